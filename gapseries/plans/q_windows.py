@@ -1 +1,146 @@
-"""Query plans (filled in below)."""
+"""Window plans (lag, shift, rolling, z-scores, QUALIFY, forward fill)."""
+
+from pyspark.sql import functions as F
+
+from gapseries.operators import ordered, windows
+from gapseries.operators.asof import ffill
+from gapseries.operators.ranges import grid_between
+from gapseries.plans.registry import register, round_doubles
+from gapseries.plans.sqlviews import BARS, BLOCKS, PURCHASES, with_
+from gapseries.sources import driver
+
+
+def _util(spark, sf_dir):
+    b = driver.blocks(spark, sf_dir)
+    return b.select("number", "timestamp", "gas_used", "base_fee_per_gas",
+                    (F.col("gas_used") / F.col("gas_limit")).alias("utilisation"),
+                    (F.col("base_fee_per_gas") / F.lit(1e9)).alias("base_fee_gwei"))
+
+
+UTIL = """util AS (
+  SELECT number, "timestamp", gas_used, base_fee_per_gas, gas_used / gas_limit AS utilisation,
+         base_fee_per_gas / 1e9 AS base_fee_gwei FROM blocks
+)"""
+
+
+@register("series_lags", "WIN-1 WIN-3 WIN-4", sql=with_(BLOCKS, UTIL) + """
+SELECT number, prev_number, round(CASE WHEN prev_gas = 0 THEN NULL ELSE gas_used / prev_gas - 1 END, 9)
+         AS gas_used_pct_change,
+       round((epoch_us("timestamp") - epoch_us(prev_ts)) / 1e6, 9) AS block_time_s,
+       number - prev_number - 1 AS skipped
+FROM (SELECT number, gas_used, "timestamp", lag(number) OVER w AS prev_number, lag(gas_used) OVER w AS prev_gas,
+             lag("timestamp") OVER w AS prev_ts FROM util WINDOW w AS (ORDER BY number)) t""")
+def series_lags(spark, sf_dir):
+    u = _util(spark, sf_dir).select("number", "gas_used", "timestamp")
+    d = ordered.with_prev(u, "number", ["number", "gas_used", "timestamp"])
+    return d.select(
+        "number", "prev_number",
+        F.round(F.try_divide(F.col("gas_used"), F.col("prev_gas_used")) - 1, 9).alias("gas_used_pct_change"),
+        F.round((F.unix_micros("timestamp") - F.unix_micros("prev_timestamp")) / F.lit(1e6), 9).alias("block_time_s"),
+        (F.col("number") - F.col("prev_number") - 1).alias("skipped"))
+
+
+@register("shift_targets", "WIN-2", sql=with_(BLOCKS, UTIL) + """
+SELECT number, round(lead(utilisation, 5) OVER w, 9) AS target_5, round(lag(utilisation, 3) OVER w, 9) AS lag_3
+FROM util WINDOW w AS (ORDER BY number)""")
+def shift_targets(spark, sf_dir):
+    u = _util(spark, sf_dir).select("number", "utilisation")
+    out = ordered.halo_window(u, ["number"], lambda w: {
+        "target_5": F.round(F.lead("utilisation", 5).over(w), 9),
+        "lag_3": F.round(F.lag("utilisation", 3).over(w), 9)}, preceding=3, following=5)
+    return out.select("number", "target_5", "lag_3")
+
+
+def _roll_sql(col: str, n: int, fn: str) -> str:
+    agg = {"mean": f"avg({col})", "std": f"stddev_samp({col})", "sum": f"sum({col})",
+           "median": f"quantile_cont({col}, 0.5)"}[fn]
+    frame = f"(ORDER BY number ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"round(CASE WHEN count({col}) OVER {frame} >= {n} THEN {agg} OVER {frame} END, 9) AS {col}_{fn}_{n}"
+
+
+ROLL_SPEC = [(12, "mean"), (60, "mean"), (25, "std"), (60, "median"), (60, "sum")]
+
+
+@register("rolling_stats", "WIN-5 WIN-6 WIN-7 WIN-8", sql=with_(BLOCKS, UTIL) + "SELECT number, "
+          + ", ".join(_roll_sql("utilisation", n, fn) for n, fn in ROLL_SPEC) + " FROM util")
+def rolling_stats(spark, sf_dir):
+    u = _util(spark, sf_dir).select("number", "utilisation")
+
+    def build(w):
+        out = {}
+        for n, fn in ROLL_SPEC:
+            out.update(ordered.rolling_exprs("utilisation", n, [fn])(w))
+        return {k: F.round(v, 9) for k, v in out.items()}
+    return ordered.halo_window(u, ["number"], build, preceding=59).select(
+        "number", *[f"utilisation_{fn}_{n}" for n, fn in ROLL_SPEC])
+
+
+@register("rolling_zscore", "WIN-9", sql=with_(BLOCKS, UTIL) + """
+SELECT number,
+  round(CASE WHEN count(base_fee_gwei) OVER w >= 60 THEN
+        (base_fee_gwei - avg(base_fee_gwei) OVER w) / (stddev_samp(base_fee_gwei) OVER w + 1e-10) END, 9)
+    AS base_fee_gwei_zscore_60
+FROM util WINDOW w AS (ORDER BY number ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)""")
+def rolling_zscore(spark, sf_dir):
+    u = _util(spark, sf_dir).select("number", "base_fee_gwei")
+    r = ordered.rolling(u, ["number"], "base_fee_gwei", 60, ["zscore"], eps=1e-10)
+    return r.select("number", F.round("base_fee_gwei_zscore_60", 9).alias("base_fee_gwei_zscore_60"))
+
+
+@register("zscore_by_user", "WIN-10", sql=with_(PURCHASES) + """
+SELECT event_id, user_id, round(z, 9) AS value_z, abs(z) > 2.0 AS value_outlier FROM (
+  SELECT event_id, user_id,
+         CASE WHEN count(value) OVER u >= 10 THEN (value - avg(value) OVER u) / (stddev_samp(value) OVER u + 1e-10) END AS z
+  FROM purchases WINDOW u AS (PARTITION BY user_id)) t""")
+def zscore_by_user(spark, sf_dir):
+    p = driver.purchases(spark, sf_dir).select("event_id", "user_id", "value")
+    z = windows.zscore(p, "value", by="user_id", min_count=10, threshold=2.0)
+    return z.select("event_id", "user_id", F.round("value_z", 9).alias("value_z"), "value_outlier")
+
+
+@register("monotonic_check", "WIN-14", sql=with_(BLOCKS) + """
+SELECT number, "timestamp" >= lag("timestamp") OVER w AS ts_monotonic, number = lag(number) OVER w + 1 AS contiguous
+FROM blocks WINDOW w AS (ORDER BY number)""")
+def monotonic_check(spark, sf_dir):
+    b = driver.blocks(spark, sf_dir).select("number", "timestamp")
+    return windows.monotonic(b, "number", "timestamp").select("number", "ts_monotonic", "contiguous")
+
+
+@register("rate_flags", "WIN-15 WIN-3", sql=with_(BLOCKS) + """
+SELECT number, round(pc, 9) AS base_fee_per_gas_pct_change, abs(pc) < 0.5 AS base_fee_per_gas_rate_ok FROM (
+  SELECT number, CASE WHEN lag(base_fee_per_gas) OVER w = 0 THEN NULL
+                      ELSE base_fee_per_gas / lag(base_fee_per_gas) OVER w - 1 END AS pc
+  FROM blocks WINDOW w AS (ORDER BY number)) t""")
+def rate_flags(spark, sf_dir):
+    b = driver.blocks(spark, sf_dir).select("number", "base_fee_per_gas")
+    r = windows.rate_flag(b, "number", "base_fee_per_gas", 0.5)
+    return r.select("number", F.round("base_fee_per_gas_pct_change", 9).alias("base_fee_per_gas_pct_change"),
+                    "base_fee_per_gas_rate_ok")
+
+
+@register("qualify_spikes", "WIN-11 WIN-5", sql=with_(BLOCKS, UTIL) + """
+SELECT number, round(utilisation, 9) AS utilisation, round(m, 9) AS utilisation_mean_12 FROM (
+  SELECT number, utilisation,
+         CASE WHEN count(utilisation) OVER w >= 12 THEN avg(utilisation) OVER w END AS m
+  FROM util WINDOW w AS (ORDER BY number ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)) t
+WHERE utilisation > 1.5 * m""")
+def qualify_spikes(spark, sf_dir):
+    u = _util(spark, sf_dir).select("number", "utilisation")
+    r = ordered.rolling(u, ["number"], "utilisation", 12, ["mean"])
+    q = windows.filter_window(r, {}, F.col("utilisation") > F.lit(1.5) * F.col("utilisation_mean_12"))
+    return q.select("number", F.round("utilisation", 9).alias("utilisation"),
+                    F.round("utilisation_mean_12", 9).alias("utilisation_mean_12"))
+
+
+@register("ffill_hourly", "WIN-13 FIL-12 JN-3", sql=with_(BARS) + """,
+grid AS (SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM bars)
+SELECT g.ts, b.ts AS bar_ts, b.close AS close_prev, round(b.volume, 9) AS volume_prev
+FROM grid g ASOF LEFT JOIN bars b ON g.ts >= b.ts""")
+def ffill_hourly(spark, sf_dir):
+    bars = driver.price_bars(spark, sf_dir)
+    span = bars.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    grid = grid_between(span, "lo", "hi", 3600, "ts").select("ts")
+    g = grid.join(bars.select("ts", F.col("ts").alias("bar_ts"), "close", "volume"), on="ts", how="left")
+    out = ffill(g, "ts", ["bar_ts", "close", "volume"], present="bar_ts")
+    return round_doubles(out.select("ts", "bar_ts", F.col("close").alias("close_prev"),
+                                    F.col("volume").alias("volume_prev")))

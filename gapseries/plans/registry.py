@@ -49,3 +49,12 @@ def _load() -> None:
     from gapseries.plans import (  # noqa: F401
         q_reads, q_gaps, q_windows, q_joins, q_rollups, q_quality, q_sources, q_features,
     )
+
+
+def round_doubles(df, digits: int = 9):
+    """Round every double column of a plan's output (oracle comparisons
+    hash values; float sums in another order differ in the last bits)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+                       else F.col(f.name) for f in df.schema.fields])
