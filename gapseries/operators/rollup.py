@@ -213,3 +213,40 @@ def storage_profile(df: DataFrame) -> DataFrame:
     """AGG-24 (re-aimed): rows and bytes per data file, from ``_metadata``."""
     m = df.select("_metadata.file_path", "_metadata.file_size")
     return m.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("file_bytes"))
+
+
+def fee_history_summary(rows: DataFrame, by) -> DataFrame:
+    """AGG-21 + AGG-22 + FN-16 per fee-history payload (decoded rows, see SRC-7).
+
+    The base-fee series of a payload is the per-block fees plus the next
+    block's fee (its newest value). Trend: change from the oldest to the
+    newest value, ±5 %. Congestion: mean gas ratio < 0.5 low, < 0.8
+    moderate, else high. Recommended fees: next base fee plus the
+    25th/50th/75th priority percentile of the newest block.
+    """
+    by = _list(by)
+    g = rows.groupBy(*by).agg(
+        F.min_by("base_fee_per_gas", "number").alias("_oldest"), F.max("next_base_fee").alias("_next"),
+        F.min("base_fee_per_gas").alias("_min"), F.max("base_fee_per_gas").alias("_max"),
+        F.sum("base_fee_per_gas").alias("_sum"), F.count(F.lit(1)).alias("_n"),
+        F.avg("gas_used_ratio").alias("_ratio"),
+        (F.max_by("gas_used_ratio", "number") > F.min_by("gas_used_ratio", "number")).alias("_rising"),
+        F.max_by("reward_p25", "number").alias("_p25"), F.max_by("reward_p50", "number").alias("_p50"),
+        F.max_by("reward_p75", "number").alias("_p75"))
+    cur = F.col("_next") / F.lit(1e9)
+    old = F.col("_oldest") / F.lit(1e9)
+    chg = F.try_divide(cur - old, old) * F.lit(100)
+    return g.select(
+        *by, cur.alias("current_base_fee_gwei"),
+        (F.least(F.col("_min"), F.col("_next")) / F.lit(1e9)).alias("min_base_fee_gwei"),
+        (F.greatest(F.col("_max"), F.col("_next")) / F.lit(1e9)).alias("max_base_fee_gwei"),
+        ((F.col("_sum") + F.col("_next")) / F.lit(1e9) / (F.col("_n") + 1)).alias("avg_base_fee_gwei"),
+        chg.alias("base_fee_change_pct"),
+        F.when(chg > 5, "increasing").when(chg < -5, "decreasing").otherwise("stable").alias("base_fee_trend"),
+        (F.col("_ratio") * 100).alias("avg_gas_utilization_pct"),
+        F.when(F.col("_ratio") < 0.5, "low").when(F.col("_ratio") < 0.8, "moderate").otherwise("high")
+        .alias("congestion_level"),
+        F.when(F.col("_rising"), "increasing").otherwise("decreasing").alias("recent_gas_trend"),
+        ((F.col("_next") + F.col("_p25")) / F.lit(1e9)).alias("slow_max_fee_gwei"),
+        ((F.col("_next") + F.col("_p50")) / F.lit(1e9)).alias("standard_max_fee_gwei"),
+        ((F.col("_next") + F.col("_p75")) / F.lit(1e9)).alias("fast_max_fee_gwei"))
