@@ -67,5 +67,20 @@ bars AS (
 )"""
 
 
+TXS = """txs AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tx_hash, l_orderkey AS block_number,
+         CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'R' THEN 1 ELSE 2 END AS type,
+         CASE WHEN l_returnflag <> 'N' THEN CAST(round(l_extendedprice) AS BIGINT) * 1000000 END AS gas_price,
+         CASE WHEN l_returnflag = 'N' THEN CAST(round(l_extendedprice) AS BIGINT) * 2000000 END AS max_fee_per_gas,
+         CASE WHEN l_returnflag = 'N' THEN CAST(round(l_discount * 100) AS BIGINT) * 1000000000 END
+           AS max_priority_fee_per_gas,
+         CAST(CAST(l_quantity AS DECIMAL(38,0)) * CAST('100000000000000000' AS DECIMAL(38,0)) AS DECIMAL(38,0)) AS value_wei,
+         CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN NULL
+              ELSE '0x' || lpad(lower(hex(l_suppkey)), 40, '0') END AS to_address,
+         CASE WHEN l_linestatus = 'O' THEN '0xa9059cbb' ELSE '0x' END AS input
+  FROM lineitem
+)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

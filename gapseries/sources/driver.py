@@ -137,3 +137,32 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.filter(F.col("event_type") == "view").select(
         F.col("event_id").alias("view_id"), F.col("ts").cast("timestamp").alias("ts"), "user_id",
         F.col("value").alias("view_value"))
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions derived from ``lineitem`` (one per line item).
+
+    block = l_orderkey; type 0 / 1 / 2 for return flag A / R / N;
+    gas price (legacy) and max fee (type 2) from the extended price, max
+    priority fee from the discount; value from the quantity (wei, decimal);
+    ``to`` is NULL (contract creation) for status F lines with flag R;
+    call data is non-empty for open lines.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                                                "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
+    t = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1).otherwise(2)
+    price = (F.round(F.col("l_extendedprice")).cast("bigint") * F.lit(1_000_000)).cast("bigint")
+    return li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tx_hash"),
+        F.col("l_orderkey").alias("block_number"),
+        t.alias("type"),
+        F.when(t != 2, price).alias("gas_price"),
+        F.when(t == 2, price * 2).alias("max_fee_per_gas"),
+        F.when(t == 2, (F.round(F.col("l_discount") * 100).cast("bigint") * F.lit(1_000_000_000)).cast("bigint"))
+        .alias("max_priority_fee_per_gas"),
+        (F.col("l_quantity").cast("decimal(38,0)") * F.lit(10 ** 17).cast("decimal(38,0)")).cast("decimal(38,0)")
+        .alias("value_wei"),
+        F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"), F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(F.col("l_suppkey"))), 40, "0"))).alias("to_address"),
+        F.when(F.col("l_linestatus") == "O", F.lit("0xa9059cbb")).otherwise(F.lit("0x")).alias("input"),
+    )
