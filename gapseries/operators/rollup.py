@@ -66,20 +66,21 @@ def count_by_month(df: DataFrame, ts: str) -> DataFrame:
 
 
 def failures_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """AGG-10: failed checks per key: count, total and max failures."""
-    f = df.filter(F.col("status") == "failed")
-    return f.groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_checks"),
+    """AGG-10: failed checks per key: count, total failures, latest failing run."""
+    f = df.filter(F.col("status") == "fail")
+    return f.groupBy(*keys).agg(F.count(F.lit(1)).alias("failure_count"),
                                 F.sum("failures").cast("bigint").alias("total_failures"),
-                                F.max("failures").alias("max_failures"))
+                                F.max("timestamp").alias("last_failure"))
 
 
 def success_rate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """AGG-11: checks, passes, failures and pass rate (percent, 2 decimals)."""
+    """AGG-11: checks, passes, fails, warnings and success rate in percent."""
+    n = F.count(F.lit(1))
+    passes = F.count_if(F.col("status") == "pass")
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count_if(F.col("status") == "passed").alias("passed"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.round(F.count_if(F.col("status") == "passed") * 100.0 / F.count(F.lit(1)), 2).alias("pass_rate"))
+        n.alias("total_checks"), passes.alias("passes"), F.count_if(F.col("status") == "fail").alias("fails"),
+        F.count_if(F.col("status") == "warning").alias("warnings"),
+        (passes.cast("double") / n * 100).alias("success_rate"))
 
 
 def layer_counts(df: DataFrame, layer: str = "layer", severity: str = "severity") -> DataFrame:
