@@ -95,10 +95,9 @@ def exclusive_scan(edges: DataFrame, by: Sequence[str], bucket: str, value: str,
         res = res.withColumn(out, F.coalesce(F.col("_gs_in"), F.lit(0)) + F.coalesce(F.col("_gs_pre"), F.lit(0)))
     elif op == "last":
         inner = F.last(value, ignorenulls=True).over(w_in)
-        totals = (e.filter(F.col(value).isNotNull()).groupBy(*by, sup)
-                  .agg(F.max_by(F.col(value), F.col(bucket)).alias("_gs_tot")))
-        all_sup = e.select(*by, sup).distinct()
-        totals = all_sup.join(totals, on=[*by, sup], how="left")
+        present = F.col(value).isNotNull()
+        totals = e.groupBy(*by, sup).agg(
+            F.max_by(F.when(present, F.col(value)), F.when(present, F.col(bucket))).alias("_gs_tot"))
         totals = totals.select(*by, sup, F.last("_gs_tot", ignorenulls=True).over(w_sup).alias("_gs_pre"))
         res = e.withColumn("_gs_in", inner).join(totals, on=[*by, sup], how="left")
         res = res.withColumn(out, F.coalesce(F.col("_gs_in"), F.col("_gs_pre")))
@@ -170,18 +169,18 @@ def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Wind
     order = _list(order)
     size = max(int(bucket_rows), int(preceding), int(following), 1)
     d = global_index(df, order, by, width)
-    d = d.withColumn(B, F.floor(F.col(IDX) / F.lit(size)).cast("bigint")).withColumn("_gs_halo", F.lit(False))
-    pos = F.col(IDX) - F.col(B) * F.lit(size)
-    parts = [d]
+    b = F.floor(F.col(IDX) / F.lit(size)).cast("bigint")
+    pos = F.col(IDX) - b * F.lit(size)
+    # each row goes to its own bucket; the last `preceding` rows of a bucket
+    # are copied into the next one, the first `following` into the previous
+    # one (one generator, the input is referenced once)
+    copies = [F.struct(b.alias("b"), F.lit(False).alias("h"))]
     if preceding > 0:
-        parts.append(d.filter(pos >= F.lit(size - preceding))
-                     .withColumn(B, F.col(B) + 1).withColumn("_gs_halo", F.lit(True)))
+        copies.append(F.when(pos >= F.lit(size - preceding), F.struct((b + 1).alias("b"), F.lit(True).alias("h"))))
     if following > 0:
-        parts.append(d.filter(pos < F.lit(following))
-                     .withColumn(B, F.col(B) - 1).withColumn("_gs_halo", F.lit(True)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+        copies.append(F.when(pos < F.lit(following), F.struct((b - 1).alias("b"), F.lit(True).alias("h"))))
+    u = d.select("*", F.explode(F.array_compact(F.array(*copies))).alias("_gs_c"))
+    u = u.select(*df.columns, IDX, F.col("_gs_c.b").alias(B), F.col("_gs_c.h").alias("_gs_halo"))
     w = Window.partitionBy(*by, B).orderBy(IDX)
     exprs = build(w)
     res = u.select(*df.columns, IDX, "_gs_halo", *[c.alias(n) for n, c in exprs.items()])
