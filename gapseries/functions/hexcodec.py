@@ -29,7 +29,11 @@ def strip0x(h) -> Column:
 def hex_to_long(h) -> Column:
     """FN-1: ``0x…`` → bigint (NULL for NULL / empty); up to 63 bits."""
     body = strip0x(h)
-    return F.when(F.length(body) > 0, F.conv(body, 16, 10).cast("bigint"))
+    n = F.length(body)
+    # up to 15 digits conv is exact; longer values go through the limb
+    # decoder and become NULL when they do not fit 63 bits (no overflow error)
+    return (F.when((n > 0) & (n <= _LIMB), F.conv(body, 16, 10).cast("bigint"))
+            .when(n > _LIMB, hex_to_decimal(h).try_cast("bigint")))
 
 
 def hex_to_decimal(h) -> Column:
