@@ -29,6 +29,13 @@ BASE_CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "gapseries",
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
+    # Python workers (the stateful stream processor) import this package:
+    # in local mode they inherit the JVM's environment. On a cluster ship
+    # the package with --py-files / spark.submit.pyFiles instead.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
