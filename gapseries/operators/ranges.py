@@ -69,7 +69,11 @@ def fetch_blocks(df: DataFrame, start: str | None = None, end: str | None = None
     as pushed filters. With ``ts_stable=False`` it runs after.
     """
     timeargs.validate_range_args(start, end, limit)
-    src = df
+    # project before deduplicating: the dedup packs the row into one struct,
+    # which Catalyst cannot prune afterwards (the scan would read every column)
+    wanted = STANDARD_COLUMNS + (DEPRECATED_COLUMNS if include_deprecated else [])
+    keep = [c for c in df.columns if c in wanted or c in (key, ts_col, seq_col, partition_col)]
+    src = df.select(*keep)
     if ts_stable:
         src = time_range(src, ts_col, start, end, partition_col)
     if seq_col and seq_col in src.columns:
@@ -150,8 +154,9 @@ def expected_grid(spark: SparkSession, start, end, interval_s: int, col: str = "
     """
     lo = timeargs.normalize_bound(start) if isinstance(start, str) else start
     hi = timeargs.normalize_bound(end) if isinstance(end, str) else end
-    lo_s = int(lo.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
-    hi_s = int(hi.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    epoch = dt.datetime(1970, 1, 1)
+    lo_s = (lo.replace(tzinfo=None) - epoch) // dt.timedelta(microseconds=1)
+    hi_s = (hi.replace(tzinfo=None) - epoch) // dt.timedelta(microseconds=1)
     step = int(interval_s) * 1_000_000
     n = (hi_s - lo_s) // step + 1 if hi_s >= lo_s else 0
     return spark.range(0, n).select(F.timestamp_micros(F.lit(lo_s) + F.col("id") * F.lit(step)).alias(col))

@@ -165,18 +165,20 @@ def tx_types(txs: DataFrame, col: str = "type") -> DataFrame:
 
 
 def withdrawal_metrics(df: DataFrame, arr: str = "withdrawals", key: str = "number") -> DataFrame:
-    """AGG-20: per block withdrawal count, total and average amount, distinct recipients.
+    """AGG-20: per block withdrawal count, total and average ETH, distinct recipients.
 
-    Array functions work inside the row: no explode, no shuffle. Amounts
-    are in gwei (decimal); zeros for blocks without withdrawals.
+    Amounts arrive as hex gwei. Array functions work inside the row: no
+    explode, no shuffle. Zeros for blocks without withdrawals.
     """
-    w = F.coalesce(F.col(arr), F.array())
-    amounts = F.transform(w, lambda x: x["amount"].cast("decimal(38,0)"))
-    total = F.aggregate(amounts, F.lit(0).cast("decimal(38,0)"), lambda acc, x: acc + x)
+    from gapseries.functions.hexcodec import hex_to_decimal
+    w = F.coalesce(F.col(arr), F.array().cast(df.schema[arr].dataType))
+    amounts = F.transform(w, lambda x: hex_to_decimal(x["amount"]))
+    total = F.aggregate(amounts, F.lit(0).cast("decimal(38,0)"), lambda acc, x: (acc + x).cast("decimal(38,0)"))
     n = F.size(w)
-    return df.select(key, n.alias("withdrawal_count"), total.alias("withdrawal_total_gwei"),
-                     F.when(n > 0, total.cast("double") / n).otherwise(F.lit(0.0))
-                     .alias("withdrawal_avg_gwei"),
+    total_eth = total.cast("double") / F.lit(1e9)
+    return df.select(key, n.alias("withdrawal_count"), F.when(n > 0, total_eth).otherwise(F.lit(0.0))
+                     .alias("total_eth_withdrawn"),
+                     F.when(n > 0, total_eth / n).otherwise(F.lit(0.0)).alias("avg_withdrawal_eth"),
                      F.size(F.array_distinct(F.transform(w, lambda x: x["address"]))).alias("unique_recipients"))
 
 

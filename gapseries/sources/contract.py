@@ -140,3 +140,29 @@ def protocol_eras(spark: SparkSession, eras: list[Era] | None = None) -> DataFra
         rows.append((e.name, e.start_block, nxt, e.description))
     schema = "era string, start_block bigint, end_block bigint, description string"
     return spark.createDataFrame(rows, schema)
+
+
+def schema_diff(spark: SparkSession, contract: T.StructType, live: T.StructType) -> DataFrame:
+    """JN-10: contract vs live columns, both directions.
+
+    One row per column name present on either side: ``status`` is
+    ``missing_in_live``, ``extra_in_live``, ``type_mismatch``,
+    ``comment_mismatch`` (only when both sides carry a comment) or ``ok``.
+    Both inputs are schemas (metadata), so the join is between two tiny
+    DataFrames of column descriptions.
+    """
+    def rows(st):
+        return [(f.name, f.dataType.simpleString(), f.nullable, (f.metadata or {}).get("comment")) for f in st.fields]
+    schema = "name string, type string, nullable boolean, comment string"
+    c = spark.createDataFrame(rows(contract), schema).alias("c")
+    lv = spark.createDataFrame(rows(live), schema).alias("l")
+    from pyspark.sql import functions as F
+    j = c.join(lv, on="name", how="full")
+    status = (F.when(F.col("c.type").isNull(), "extra_in_live")
+              .when(F.col("l.type").isNull(), "missing_in_live")
+              .when(F.col("c.type") != F.col("l.type"), "type_mismatch")
+              .when(F.col("c.comment").isNotNull() & F.col("l.comment").isNotNull()
+                    & (F.col("c.comment") != F.col("l.comment")), "comment_mismatch")
+              .otherwise("ok"))
+    return j.select("name", F.col("c.type").alias("contract_type"), F.col("l.type").alias("live_type"),
+                    status.alias("status"))

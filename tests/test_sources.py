@@ -88,3 +88,33 @@ def test_upsert_idempotent(spark):
     twice = sets.upsert(once, raw.filter(F.col("_ingest_seq") == 2))
     assert sorted(once.collect()) == sorted(twice.collect())
     assert once.count() == once.select("number").distinct().count()
+
+
+def test_schema_diff(spark):
+    from pyspark.sql import types as T
+
+    from gapseries.sources.contract import block_contract, schema_diff
+    live = T.StructType([f for f in block_contract().fields if f.name != "size"]
+                        + [T.StructField("extra", T.StringType())])
+    live = T.StructType([T.StructField(f.name, T.IntegerType()) if f.name == "gas_used" else f for f in live.fields])
+    d = {r.name: r.status for r in schema_diff(spark, block_contract(), live).collect()}
+    assert d["size"] == "missing_in_live" and d["extra"] == "extra_in_live" and d["gas_used"] == "type_mismatch"
+    assert d["number"] == "ok"
+
+
+def test_read_csv_years_lookback_reports(spark, tmp_path):
+    import datetime as dt
+
+    from gapseries.sinks import writers as W
+    csv = tmp_path / "blocks.csv"
+    csv.write_text("block_number,timestamp,datetime_utc,hash,parent_hash,miner,gas_used,gas_limit,base_fee_per_gas,tx_count\n"
+                   "21540120,1736035199,2025-01-04 23:59:59,0xa,0xb,0xc,100,200,7,3\n"
+                   "21540121,1736035211,2025-01-05 00:00:11,0xd,0xa,0xc,bad,200,7,3\n")
+    df = D.read_csv_blocks(spark, str(csv))
+    rows = df.orderBy("block_number").collect()
+    assert len(rows) == 2 and rows[1].gas_used is None and rows[0].ts == dt.datetime(2025, 1, 4, 23, 59, 59)
+    assert D.read_years(df, 2025, 2026, ts="ts").count() == 2
+    assert D.read_lookback(df, 1, "2025-01-05 00:00:11", ts="ts").count() == 1      # half-open
+    base = str(tmp_path / "reports")
+    W.append_reports(df.drop("timestamp").withColumnRenamed("ts", "timestamp"), "gaps", base)
+    assert D.read_reports(spark, base, "gaps", start="2025-01-05").count() == 1
