@@ -12,28 +12,29 @@ from gapseries.sources import driver
 
 AS_OF = "2024-01-31 00:00:00"
 
-# (name, layer, message, spark predicate, sql predicate) — rules of the block table
+# (name, layer, message, spark predicate builder, sql predicate) — rules of the block table
 RULES = [
     ("gas_used_within_limit", "sanity", "0 <= gas_used <= gas_limit",
-     (F.col("gas_used") >= 0) & (F.col("gas_used") <= F.col("gas_limit")), "gas_used >= 0 AND gas_used <= gas_limit"),
-    ("size_positive", "sanity", "size > 0", F.col("size") > 0, "size > 0"),
+     lambda: (F.col("gas_used") >= 0) & (F.col("gas_used") <= F.col("gas_limit")),
+     "gas_used >= 0 AND gas_used <= gas_limit"),
+    ("size_positive", "sanity", "size > 0", lambda: F.col("size") > 0, "size > 0"),
     ("base_fee_after_london", "sanity", "base fee >= 1 wei from London on",
-     (F.col("number") < driver.SCALED_LONDON) | (F.col("base_fee_per_gas") >= 1),
+     lambda: (F.col("number") < driver.SCALED_LONDON) | (F.col("base_fee_per_gas") >= 1),
      f"number < {driver.SCALED_LONDON} OR base_fee_per_gas >= 1"),
     ("difficulty_zero_after_merge", "sanity", "difficulty is 0 from the Merge on",
-     (F.col("number") < driver.SCALED_MERGE) | (F.col("difficulty") == 0),
+     lambda: (F.col("number") < driver.SCALED_MERGE) | (F.col("difficulty") == 0),
      f"number < {driver.SCALED_MERGE} OR difficulty = 0"),
     ("blob_gas_within_max", "sanity", "blob gas <= 6 blobs",
-     F.col("blob_gas_used").isNull() | (F.col("blob_gas_used") <= 786432),
+     lambda: F.col("blob_gas_used").isNull() | (F.col("blob_gas_used") <= 786432),
      "blob_gas_used IS NULL OR blob_gas_used <= 786432"),
     ("avg_gas_per_tx_max", "custom", "average gas per transaction <= 500000",
-     X.avg_gas_per_tx() <= 500000,
+     lambda: X.avg_gas_per_tx() <= 500000,
      "(CASE WHEN transaction_count > 0 THEN gas_used / transaction_count ELSE 0.0 END) <= 500000"),
 ]
 
 
 def _rules():
-    return [Q.Rule(n, p, m, layer) for n, layer, m, p, _ in RULES]
+    return [Q.Rule(n, p(), m, layer) for n, layer, m, p, _ in RULES]
 
 
 def _fail_sql(sql_pred: str) -> str:
@@ -56,7 +57,6 @@ def block_validation(spark, sf_dir):
 
 def _report(spark, sf_dir):
     b = driver.blocks(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
-    run = F.col("day").cast("timestamp") + F.expr("INTERVAL 1 DAY")
     return Q.report(b, _rules(), AS_OF, "ethereum", by="day", tolerance=0.01,
                     run_ts=F.to_timestamp(F.date_add(F.col("day"), 1)))
 
