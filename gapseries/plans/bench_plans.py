@@ -17,7 +17,7 @@ def bench_january(spark, sf_dir):
 
 
 def bench_count(spark, sf_dir):
-    return driver.blocks(spark, sf_dir).agg(F.count(F.lit(1)).alias("blocks"))
+    return driver.blocks(spark, sf_dir, ["number"]).agg(F.count(F.lit(1)).alias("blocks"))
 
 
 def bench_plans():

@@ -33,12 +33,12 @@ FROM ({STATS_SQL}) s,
      (SELECT count(*) AS gap_regions, CAST(COALESCE(max(gap_size), 0) AS BIGINT) AS largest_gap,
              CAST(COALESCE(sum(gap_size), 0) AS BIGINT) AS missing_in_gaps FROM gaps) g""")
 def gap_report(spark, sf_dir):
-    return G.gap_report(driver.blocks(spark, sf_dir))
+    return G.gap_report(driver.blocks(spark, sf_dir, ["timestamp"]))
 
 
 @register("detect_gaps", "GAP-1 WIN-1", sql=with_(BLOCKS, GAPS) + "SELECT * FROM gaps")
 def detect_gaps(spark, sf_dir):
-    return G.detect_gaps(driver.blocks(spark, sf_dir), "number")
+    return G.detect_gaps(driver.blocks(spark, sf_dir, ["number"]), "number")
 
 
 @register("detect_gaps_head", "GAP-1 T8", sql=with_(BLOCKS, GAPS) + """
@@ -48,25 +48,25 @@ SELECT CAST(-5 AS BIGINT) AS gap_start, min(number) - 1 AS gap_end, CAST(min(num
 FROM blocks HAVING min(number) > -5""")
 def detect_gaps_head(spark, sf_dir):
     # explicit expected first key: a true head gap before the first block
-    return G.detect_gaps(driver.blocks(spark, sf_dir), "number", expected_start=-5)
+    return G.detect_gaps(driver.blocks(spark, sf_dir, ["number"]), "number", expected_start=-5)
 
 
 @register("largest_gaps", "TOP-2", sql=with_(BLOCKS, GAPS) + """
 SELECT * FROM gaps ORDER BY gap_size DESC, gap_start ASC LIMIT 20""")
 def largest_gaps(spark, sf_dir):
-    return G.largest_gaps(G.detect_gaps(driver.blocks(spark, sf_dir)), 20)
+    return G.largest_gaps(G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])), 20)
 
 
 @register("split_gaps", "GAP-6", sql=with_(BLOCKS, GAPS) + """
 SELECT *, CASE WHEN gap_size <= 2 THEN 'inline' ELSE 'deferred' END AS handling FROM gaps""")
 def split_gaps(spark, sf_dir):
-    return G.split_gaps(G.detect_gaps(driver.blocks(spark, sf_dir)), inline_max=2)
+    return G.split_gaps(G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])), inline_max=2)
 
 
 @register("missing_keys", "JN-6 GAP-3", sql=with_(BLOCKS, GAPS) + """
 SELECT CAST(unnest(generate_series(gap_start, gap_end)) AS BIGINT) AS number FROM gaps""")
 def missing_keys(spark, sf_dir):
-    return G.missing_keys(driver.blocks(spark, sf_dir), "number")
+    return G.missing_keys(driver.blocks(spark, sf_dir, ["number"]), "number")
 
 
 TIME_GAPS = """tgaps AS (
@@ -80,7 +80,7 @@ TIME_GAPS = """tgaps AS (
 
 @register("time_gaps", "GAP-2 WIN-16", sql=with_(BLOCKS, TIME_GAPS) + "SELECT * FROM tgaps")
 def time_gaps(spark, sf_dir):
-    return G.detect_time_gaps(driver.blocks(spark, sf_dir), "timestamp", interval_s=300, threshold=1.5,
+    return G.detect_time_gaps(driver.blocks(spark, sf_dir, ["timestamp"]), "timestamp", interval_s=300, threshold=1.5,
                               tiebreak=["number"])
 
 
@@ -89,7 +89,7 @@ SELECT gap_start, unnest(generate_series(gap_start + INTERVAL 300 SECOND, gap_en
                                          INTERVAL 300 SECOND)) AS ts
 FROM tgaps""")
 def expand_time_gaps(spark, sf_dir):
-    g = G.detect_time_gaps(driver.blocks(spark, sf_dir), "timestamp", interval_s=300, threshold=1.5,
+    g = G.detect_time_gaps(driver.blocks(spark, sf_dir, ["timestamp"]), "timestamp", interval_s=300, threshold=1.5,
                            tiebreak=["number"])
     return G.expand_time_gaps(g, 300)
 
@@ -102,7 +102,7 @@ def duplicates(spark, sf_dir):
 
 @register("completeness", "AGG-2 AGG-1", sql=with_(BLOCKS) + STATS_SQL)
 def completeness(spark, sf_dir):
-    return G.completeness(driver.blocks(spark, sf_dir))
+    return G.completeness(driver.blocks(spark, sf_dir, ["number"]))
 
 
 FRESH_SQL = f"""SELECT max("timestamp") AS latest_ts, max(number) AS latest_key,
@@ -116,7 +116,7 @@ SELECT latest_ts, latest_key, age_s, age_s <= 960 AS is_fresh,
        CAST(floor(age_s * 100 / 960) AS BIGINT) AS staleness_pct, 960 - age_s AS margin_s
 FROM ({FRESH_SQL}) f""")
 def freshness(spark, sf_dir):
-    return G.freshness(driver.blocks(spark, sf_dir), "timestamp", AS_OF, threshold_s=960)
+    return G.freshness(driver.blocks(spark, sf_dir, ["timestamp"]), "timestamp", AS_OF, threshold_s=960)
 
 
 # ---- lifecycle -------------------------------------------------------------
@@ -160,7 +160,7 @@ def _state(spark, sf_dir):
 
 
 def _lifecycle(spark, sf_dir):
-    cur = G.detect_gaps(driver.blocks(spark, sf_dir))
+    cur = G.detect_gaps(driver.blocks(spark, sf_dir, ["number"]))
     return G.update_gap_state(cur, _state(spark, sf_dir), AS_OF, grace_s=1800)
 
 
@@ -181,13 +181,13 @@ def gap_state_next(spark, sf_dir):
 @register("new_gaps", "SET-3", sql=with_(*LIFECYCLE_CTES) + """
 SELECT * FROM gaps c WHERE NOT EXISTS (SELECT 1 FROM state t WHERE t.gap_start = c.gap_start AND t.gap_end = c.gap_end)""")
 def new_gaps(spark, sf_dir):
-    return G.new_gaps(G.detect_gaps(driver.blocks(spark, sf_dir)), _state(spark, sf_dir))
+    return G.new_gaps(G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])), _state(spark, sf_dir))
 
 
 @register("resolved_gaps", "SET-2", sql=with_(*LIFECYCLE_CTES) + """
 SELECT * FROM state t WHERE NOT EXISTS (SELECT 1 FROM gaps c WHERE t.gap_start = c.gap_start AND t.gap_end = c.gap_end)""")
 def resolved_gaps(spark, sf_dir):
-    return G.resolved(_state(spark, sf_dir), G.detect_gaps(driver.blocks(spark, sf_dir)))
+    return G.resolved(_state(spark, sf_dir), G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])))
 
 
 HEALTH_SQL = f"""health AS (
@@ -209,7 +209,7 @@ HEALTH_SQL = f"""health AS (
 
 def _health(spark, sf_dir):
     ev = _lifecycle(spark, sf_dir)[1]
-    return G.health(driver.blocks(spark, sf_dir), ev, AS_OF, threshold_s=960), ev
+    return G.health(driver.blocks(spark, sf_dir, ["timestamp"]), ev, AS_OF, threshold_s=960), ev
 
 
 @register("health", "AGG-4 T23", sql=with_(*LIFECYCLE_CTES, HEALTH_SQL) + "SELECT * FROM health")

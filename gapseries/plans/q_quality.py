@@ -129,8 +129,8 @@ ANOMALY_SQL = """anoms AS (
 
 
 def _anomalies(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir).select("number", "timestamp",
-                                            (F.col("gas_used") / F.col("gas_limit")).alias("utilisation"))
+    b = driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "gas_limit"]).select(
+        "number", "timestamp", (F.col("gas_used") / F.col("gas_limit")).alias("utilisation"))
     return Q.anomalies(b, "utilisation", "number", "timestamp", n=60, z=3.0, chain="ethereum")
 
 
@@ -164,7 +164,7 @@ greports AS (
 
 
 def _gap_reports(spark, sf_dir):
-    tg = G.detect_time_gaps(driver.blocks(spark, sf_dir), "timestamp", 300, 1.5, tiebreak=["number"])
+    tg = G.detect_time_gaps(driver.blocks(spark, sf_dir, ["timestamp"]), "timestamp", 300, 1.5, tiebreak=["number"])
     pending = F.col("missing_intervals") >= 2
     return Q.gap_report_rows(tg, "ethereum", F.col("gap_end") + F.expr("INTERVAL 10 MINUTES"),
                              F.when(pending, "pending").otherwise("completed"), F.col("missing_intervals"),

@@ -11,7 +11,7 @@ from gapseries.sources import driver
 
 
 def _util(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir)
+    b = driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "gas_limit", "base_fee_per_gas"])
     return b.select("number", "timestamp", "gas_used", "base_fee_per_gas",
                     (F.col("gas_used") / F.col("gas_limit")).alias("utilisation"),
                     (F.col("base_fee_per_gas") / F.lit(1e9)).alias("base_fee_gwei"))
@@ -102,7 +102,7 @@ def zscore_by_user(spark, sf_dir):
 SELECT number, "timestamp" >= lag("timestamp") OVER w AS ts_monotonic, number = lag(number) OVER w + 1 AS contiguous
 FROM blocks WINDOW w AS (ORDER BY number)""")
 def monotonic_check(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir).select("number", "timestamp")
+    b = driver.blocks(spark, sf_dir, ["timestamp"]).select("number", "timestamp")
     return windows.monotonic(b, "number", "timestamp").select("number", "ts_monotonic", "contiguous")
 
 
@@ -112,7 +112,7 @@ SELECT number, round(pc, 9) AS base_fee_per_gas_pct_change, abs(pc) < 0.5 AS bas
                       ELSE base_fee_per_gas / lag(base_fee_per_gas) OVER w - 1 END AS pc
   FROM blocks WINDOW w AS (ORDER BY number)) t""")
 def rate_flags(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir).select("number", "base_fee_per_gas")
+    b = driver.blocks(spark, sf_dir, ["base_fee_per_gas"]).select("number", "base_fee_per_gas")
     r = windows.rate_flag(b, "number", "base_fee_per_gas", 0.5)
     return r.select("number", F.round("base_fee_per_gas_pct_change", 9).alias("base_fee_per_gas_pct_change"),
                     "base_fee_per_gas_rate_ok")

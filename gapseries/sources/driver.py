@@ -93,10 +93,17 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(revised)
 
 
-def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated block view (latest version per number), without ``_ingest_seq``."""
+def blocks(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """Deduplicated block view (latest version per number), without ``_ingest_seq``.
+
+    ``cols`` projects before deduplicating, so the scan reads only what the
+    caller needs (``number`` is always kept).
+    """
     from gapseries.operators.latest import latest
-    return latest(raw_blocks(spark, sf_dir), "number", "_ingest_seq", keep_seq=False)
+    raw = raw_blocks(spark, sf_dir)
+    if cols:
+        raw = raw.select(*dict.fromkeys(["number", *cols, "_ingest_seq"]))
+    return latest(raw, "number", "_ingest_seq", keep_seq=False)
 
 
 def source_blocks(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
