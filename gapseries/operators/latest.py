@@ -7,13 +7,13 @@ calling it: every remaining column takes part in the tie-break.
 
 Two equivalent plans are offered:
 
-* ``method="window"`` (default): ``row_number() == 1``. Spark plans a
-  partial ``WindowGroupLimit`` *before* the shuffle, so a key with a huge
-  number of copies (a replayed backfill) is cut to one row per input task
-  and never lands whole in one task; columns stay separate, so Catalyst
-  prunes whatever the caller does not use downstream.
-* ``method="agg"``: ``groupBy(keys).agg(max(struct(seq, *rest)))``, also
-  combined map-side (sort-based, since the buffer is a struct).
+* ``method="agg"`` (default): ``groupBy(keys).agg(max(struct(seq, *rest)))``.
+  The aggregate is combined map-side before the shuffle, so a key with a
+  huge number of copies (a replayed backfill) is reduced inside each input
+  task and never lands whole in one task. Measured faster than the window
+  form on the bench data (one sort-aggregate pass instead of limit + window).
+* ``method="window"``: ``row_number() == 1``; Spark plans a partial
+  ``WindowGroupLimit`` before the shuffle, also bounded per key.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def _as_list(x) -> list[str]:
 
 
 def latest(df: DataFrame, keys: str | Sequence[str], seq_cols: str | Sequence[str] = "_ingest_seq",
-           method: str = "window", keep_seq: bool = True) -> DataFrame:
+           method: str = "agg", keep_seq: bool = True) -> DataFrame:
     keys = _as_list(keys)
     seq_cols = _as_list(seq_cols)
     rest = [c for c in df.columns if c not in keys and c not in seq_cols]
