@@ -150,7 +150,6 @@ SELECT ts,
   round(CASE WHEN btc_vsize_mb = 0 THEN NULL ELSE eth_gas_used / btc_vsize_mb END, 9) AS relative_activity
 FROM xm""")
 def cross_domain(spark, sf_dir):
-    from gapseries.plans.q_sources import mempool_snapshots  # noqa: F401 (same payload rules)
     p = pressure_features(driver.blocks(spark, sf_dir))
     eth = p.select(F.col("timestamp").alias("eth_ts"), F.col("number").alias("eth_number"),
                    F.col("gas_used").alias("eth_gas_used"), F.col("base_fee_per_gas").alias("eth_base_fee_per_gas"),

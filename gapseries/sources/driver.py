@@ -59,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _block_cols(ev: DataFrame, gas_used_factor: int, seq: int) -> DataFrame:
+def block_columns(ev: DataFrame, gas_used_factor: int, seq: int) -> DataFrame:
     n = F.col("event_id")
     tx = (F.lit(1) + F.col("user_id")).cast("bigint")
     post_dencun = n >= F.lit(SCALED_DENCUN)
@@ -88,8 +88,8 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ingested block versions (with duplicates), column pruned at the scan."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     ev = ev.filter(F.col("event_type") != "error")
-    first = _block_cols(ev, 60_000, 1)
-    revised = _block_cols(ev.filter(F.col("event_type") == "click"), 61_000, 2)
+    first = block_columns(ev, 60_000, 1)
+    revised = block_columns(ev.filter(F.col("event_type") == "click"), 61_000, 2)
     return first.unionByName(revised)
 
 
@@ -120,7 +120,7 @@ def source_blocks(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
         ev = ev.filter(F.col("event_type").isin("signup", "view"))
     else:
         raise ValueError(which)
-    return _block_cols(ev, 60_000, 1 if which == "primary" else 3).drop("_ingest_seq")
+    return block_columns(ev, 60_000, 1 if which == "primary" else 3).drop("_ingest_seq")
 
 
 def price_bars(spark: SparkSession, sf_dir: str, width: str = "1 hour", symbol: str = "EVT") -> DataFrame:
