@@ -135,13 +135,32 @@ def detect_time_gaps(df: DataFrame, ts: str = "timestamp", interval_s: float = 6
         (F.floor(F.col("duration_s") / F.lit(float(interval_s))) - 1).cast("bigint").alias("missing_intervals"))
 
 
-def expand_time_gaps(gaps: DataFrame, interval_s: int, out: str = "ts", by=None) -> DataFrame:
+def spread_range(df: DataFrame, count: Column, out: str = "k", chunk: int = 1 << 16) -> DataFrame:
+    """One row per ``k`` in ``0 .. count-1`` for every input row, generated in chunks.
+
+    Chunks of ``chunk`` values are spread over tasks (round-robin
+    repartition of the small chunk rows) before the values are generated,
+    so one huge range is not produced by a single task.
+    """
+    c = df.withColumn("_sr_n", count.cast("bigint")).filter(F.col("_sr_n") > 0)
+    c = c.withColumn("_sr_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                  F.floor((F.col("_sr_n") - 1) / F.lit(chunk)).cast("bigint"))))
+    c = c.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))   # round-robin
+    lo = F.col("_sr_c") * F.lit(chunk)
+    hi = F.least(F.col("_sr_n") - 1, lo + F.lit(chunk - 1))
+    return c.withColumn(out, F.explode(F.sequence(lo, hi))).drop("_sr_n", "_sr_c")
+
+
+def expand_time_gaps(gaps: DataFrame, interval_s: int, out: str = "ts", by=None, chunk: int = 1 << 16) -> DataFrame:
     """GAP-3 for time gaps: ``start + k*interval`` for every ``k >= 1`` strictly before ``end``."""
     by = _list(by)
-    step = F.expr(f"INTERVAL {int(interval_s)} SECONDS")
-    lo = F.col("gap_start") + step
-    hi = F.col("gap_end") - F.expr("INTERVAL 1 MICROSECOND")
-    return gaps.filter(lo <= hi).select(*by, "gap_start", F.explode(F.sequence(lo, hi, step)).alias(out))
+    step = int(interval_s) * 1_000_000
+    span = F.unix_micros(F.col("gap_end")) - F.unix_micros(F.col("gap_start"))
+    k_max = F.floor((span - F.lit(1)) / F.lit(step))          # largest k with start + k*step < end
+    g = gaps.select(*by, "gap_start", k_max.alias("_kmax"))
+    r = spread_range(g, F.col("_kmax"), "_k", chunk)
+    return r.select(*by, "gap_start",
+                    F.timestamp_micros(F.unix_micros(F.col("gap_start")) + (F.col("_k") + 1) * F.lit(step)).alias(out))
 
 
 # ---------------------------------------------------------------------------

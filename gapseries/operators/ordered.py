@@ -242,3 +242,60 @@ def shifted(df: DataFrame, order, cols: Sequence[str], k: int, by=None, width: i
     out = halo_window(df, order, build, preceding=max(k, 0), following=max(-k, 0), by=by, width=width,
                       bucket_rows=bucket_rows)
     return out.drop(IDX)
+
+
+# ---------------------------------------------------------------------------
+# exact ranks / quantiles without collecting a group
+# ---------------------------------------------------------------------------
+
+def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: int | None = None,
+               out: str = IDX) -> DataFrame:
+    """Dense 0-based rank of each row in ``(by, order)`` order, for any orderable type.
+
+    ``repartitionByRange`` splits the order into balanced, contiguous ranges
+    (sampled boundaries); inside each partition the position comes from
+    ``monotonically_increasing_id`` after a local sort (partition id in the
+    high bits, position in the low 33 bits); per (partition, group) counts
+    are prefix-summed over the partitions of each group. No extra shuffle
+    after the range exchange, no group held in one task. Equal order values
+    may swap ranks between runs (their values are equal).
+    """
+    by = _list(by)
+    order = _list(order)
+    spark = df.sparkSession
+    n = int(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = (df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+         .withColumn("_gs_mid", F.monotonically_increasing_id()))
+    d = d.withColumn("_gs_pid", F.shiftright("_gs_mid", 33)).withColumn(
+        "_gs_pos", F.col("_gs_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    edges = d.groupBy("_gs_pid", *by).agg(F.count(F.lit(1)).alias("_gs_cnt"), F.min("_gs_pos").alias("_gs_first"))
+    scan = exclusive_scan(edges, by, "_gs_pid", "_gs_cnt", "sum", "_gs_off")
+    d = d.join(scan.select("_gs_pid", *by, "_gs_off", "_gs_first"), on=["_gs_pid", *by], how="left")
+    return d.withColumn(out, (F.col("_gs_off") + F.col("_gs_pos") - F.col("_gs_first")).cast("bigint")).drop(
+        "_gs_mid", "_gs_pid", "_gs_pos", "_gs_off", "_gs_first")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str | None = None) -> DataFrame:
+    """Exact quantile with linear interpolation (same as ``percentile(x, q)``), one row per group.
+
+    Ranks come from :func:`range_rank`; only the (at most two) rows at the
+    interpolation ranks reach the final aggregate, so the result never
+    depends on holding a group's values in one task.
+    """
+    by = _list(by)
+    out = out or f"{col}_q{int(round(q * 100))}"
+    x = df.select(*by, F.col(col).cast("double").alias("_q_x")).filter(F.col("_q_x").isNotNull())
+    ranked = range_rank(x, ["_q_x"], by)
+    n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_q_n"))
+    pos = (F.col("_q_n") - 1) * F.lit(float(q))
+    n = n.select(*by, "_q_n", F.floor(pos).cast("bigint").alias("_q_lo"), F.ceil(pos).cast("bigint").alias("_q_hi"),
+                 (pos - F.floor(pos)).alias("_q_frac"))
+    if by:
+        j = ranked.join(n, on=by, how="inner")
+    else:   # one-row count joined on a constant key
+        j = ranked.withColumn("_one", F.lit(1)).join(n.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    pick = j.filter((F.col(IDX) == F.col("_q_lo")) | (F.col(IDX) == F.col("_q_hi")))
+    g = pick.groupBy(*by).agg(F.max(F.when(F.col(IDX) == F.col("_q_lo"), F.col("_q_x"))).alias("_lo_x"),
+                              F.max(F.when(F.col(IDX) == F.col("_q_hi"), F.col("_q_x"))).alias("_hi_x"),
+                              F.first("_q_frac").alias("_f"))
+    return g.select(*by, (F.col("_lo_x") + F.col("_f") * (F.col("_hi_x") - F.col("_lo_x"))).alias(out))

@@ -1,9 +1,9 @@
 """Rollups, profiles and summaries (AGG-6..24).
 
 All are ``groupBy(...).agg(...)`` with map-side partial aggregation; none
-collects a group into a list. Exact medians use ``percentile`` (bounded by
-distinct values per group); ``approx=True`` switches to
-``percentile_approx`` for very large groups.
+collects a group into a list. Exact medians use a distributed rank
+(``ordered.exact_quantile``); ``approx=True`` switches to
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -124,21 +124,29 @@ def bar_summary(bars: DataFrame, by: str = "symbol") -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """AGG-16: count, mean, sample std, min, median, max per column (one row per column).
 
-    One aggregation pass computes every statistic of every column; the
-    result is unpivoted with ``stack``.
+    One aggregation pass computes the moment statistics of every column. The
+    exact median comes from a distributed rank (range partitioning, see
+    :func:`gapseries.operators.ordered.exact_quantile`), not from a
+    ``percentile`` buffer holding every distinct value of the column in the
+    final task; ``approx=True`` uses ``percentile_approx`` instead. The wide
+    row is unpivoted with ``stack``.
     """
+    from gapseries.operators.ordered import exact_quantile
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        med = F.percentile_approx(x, 0.5, 10000) if approx else F.percentile(x, F.lit(0.5))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 med.alias(f"{c}__median"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if approx:
+            aggs.append(F.percentile_approx(x, 0.5, 10000).cast("double").alias(f"{c}__median"))
+    wide = df.agg(*aggs).withColumn("_one", F.lit(1))
+    if not approx:
+        for c in cols:
+            med = exact_quantile(df, c, 0.5, out=f"{c}__median").withColumn("_one", F.lit(1))
+            wide = wide.join(med, "_one", "left")
     parts = ", ".join(
         f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__median`, `{c}__max`" for c in cols)
-    long = wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, median, max)")
-    return long
+    return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, median, max)")
 
 
 def means(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:

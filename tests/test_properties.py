@@ -50,3 +50,17 @@ def test_latest_is_idempotent_and_picks_max_seq(spark, rows):
     for k, s, v in rows:
         best[k] = max(best.get(k, (s, v)), (s, v))
     assert a == sorted((k, s, v) for k, (s, v) in best.items())
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=80),
+       q=st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]))
+def test_exact_quantile_matches_numpy(spark, vals, q):
+    import numpy as np
+    df = spark.createDataFrame(vals, "g long, x long")
+    got = {r.g: r.xq for r in ordered.exact_quantile(df, "x", q, by="g", out="xq").collect()}
+    exp = {}
+    for g in {v[0] for v in vals}:
+        exp[g] = float(np.quantile([v[1] for v in vals if v[0] == g], q))
+    assert got.keys() == exp.keys()
+    assert all(abs(got[g] - exp[g]) < 1e-9 for g in exp)
