@@ -156,9 +156,24 @@ def global_index(df: DataFrame, order: Sequence[str] | str, by=None, width: int
     return d.withColumn(out, (F.col("_gs_off") + F.col("_gs_rn") - 1).cast("bigint")).drop(B, "_gs_rn", "_gs_off")
 
 
+def dense_index(df: DataFrame, order: Sequence[str], by=None, width: int | None = None,
+                index: str | None = None) -> DataFrame:
+    """Dense position by ``(by, order)``: ``bucket`` (:func:`global_index`, buckets of the
+    first order value; no sampling pass) for integer keys such as block numbers, whose
+    buckets hold at most ``width`` rows; ``range`` (:func:`range_rank`, sampled range
+    partitions) otherwise, so bursts of equal or dense timestamps cannot make one bucket hot.
+    """
+    if index is None:
+        dtype = df.schema[_list(order)[0]].dataType
+        index = "bucket" if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)) else "range"
+    if index == "bucket":
+        return global_index(df, order, by, width)
+    return range_rank(df, order, by)
+
+
 def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Window], dict[str, Column]],
                 preceding: int, following: int = 0, by=None, width: int | None = None,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                bucket_rows: int = DEFAULT_BUCKET_ROWS, index: str | None = None) -> DataFrame:
     """Apply window expressions with a frame of at most ``preceding`` rows back
     and ``following`` rows ahead, as if over ``Window.partitionBy(by).orderBy(order)``.
 
@@ -168,7 +183,7 @@ def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Wind
     by = _list(by)
     order = _list(order)
     size = max(int(bucket_rows), int(preceding), int(following), 1)
-    d = global_index(df, order, by, width)
+    d = dense_index(df, order, by, width, index)
     b = F.floor(F.col(IDX) / F.lit(size)).cast("bigint")
     pos = F.col(IDX) - b * F.lit(size)
     # each row goes to its own bucket; the last `preceding` rows of a bucket
@@ -275,17 +290,21 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
         "_gs_mid", "_gs_pid", "_gs_pos", "_gs_off", "_gs_first")
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str | None = None) -> DataFrame:
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str | None = None,
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Exact quantile with linear interpolation (same as ``percentile(x, q)``), one row per group.
 
     Ranks come from :func:`range_rank`; only the (at most two) rows at the
     interpolation ranks reach the final aggregate, so the result never
-    depends on holding a group's values in one task.
+    depends on holding a group's values in one task. Pass a unique column
+    as ``tiebreak`` (e.g. the table key) so that a value repeated in a third
+    of the rows is still split over several range partitions.
     """
     by = _list(by)
+    tiebreak = _list(tiebreak)
     out = out or f"{col}_q{int(round(q * 100))}"
-    x = df.select(*by, F.col(col).cast("double").alias("_q_x")).filter(F.col("_q_x").isNotNull())
-    ranked = range_rank(x, ["_q_x"], by)
+    x = df.select(*by, *tiebreak, F.col(col).cast("double").alias("_q_x")).filter(F.col("_q_x").isNotNull())
+    ranked = range_rank(x, ["_q_x", *tiebreak], by)
     n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_q_n"))
     pos = (F.col("_q_n") - 1) * F.lit(float(q))
     n = n.select(*by, "_q_n", F.floor(pos).cast("bigint").alias("_q_lo"), F.ceil(pos).cast("bigint").alias("_q_hi"),

@@ -121,15 +121,16 @@ def bar_summary(bars: DataFrame, by: str = "symbol") -> DataFrame:
         F.sum("volume").alias("volume"), F.sum("trades").cast("bigint").alias("trades"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, key: str | None = None) -> DataFrame:
     """AGG-16: count, mean, sample std, min, median, max per column (one row per column).
 
     One aggregation pass computes the moment statistics of every column. The
     exact median comes from a distributed rank (range partitioning, see
     :func:`gapseries.operators.ordered.exact_quantile`), not from a
     ``percentile`` buffer holding every distinct value of the column in the
-    final task; ``approx=True`` uses ``percentile_approx`` instead. The wide
-    row is unpivoted with ``stack``.
+    final task; ``approx=True`` uses ``percentile_approx`` instead. ``key``
+    (a unique column) breaks ties so repeated values spread over partitions.
+    The wide row is unpivoted with ``stack``.
     """
     from gapseries.operators.ordered import exact_quantile
     aggs = []
@@ -142,7 +143,8 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
     wide = df.agg(*aggs).withColumn("_one", F.lit(1))
     if not approx:
         for c in cols:
-            med = exact_quantile(df, c, 0.5, out=f"{c}__median").withColumn("_one", F.lit(1))
+            med = exact_quantile(df, c, 0.5, out=f"{c}__median", tiebreak=[key] if key else [])
+            med = med.withColumn("_one", F.lit(1))
             wide = wide.join(med, "_one", "left")
     parts = ", ".join(
         f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__median`, `{c}__max`" for c in cols)

@@ -101,7 +101,7 @@ def _describe_sql(c: str) -> str:
 @register("describe_blocks", "AGG-16", sql=with_(BLOCKS, UTIL) + "\nUNION ALL\n".join(
     _describe_sql(c) for c in DESCRIBE_COLS))
 def describe_blocks(spark, sf_dir):
-    return round_doubles(rollup.describe(_util(driver.blocks(spark, sf_dir)), DESCRIBE_COLS))
+    return round_doubles(rollup.describe(_util(driver.blocks(spark, sf_dir)), DESCRIBE_COLS, key="number"))
 
 
 @register("means_by_era", "AGG-17 JN-9", sql=with_(BLOCKS, UTIL) + """

@@ -114,3 +114,16 @@ def test_zscore_whole_series(blocks):
     st = blocks.agg(F.avg("gas_used"), F.stddev_samp("gas_used")).first()
     r = z.orderBy("number").first()
     assert abs(r.gas_used_z - (r.gas_used - st[0]) / (st[1] + 1e-10)) < 1e-9
+
+
+def test_range_index_equals_bucket_index(blocks):
+    a = ordered.dense_index(blocks, ["number"], index="bucket", width=128)
+    b = ordered.dense_index(blocks, ["number"], index="range")
+    assert _rows(a.select("number", ordered.IDX)) == _rows(b.select("number", ordered.IDX))
+
+
+def test_halo_over_timestamps_uses_range_index(blocks):
+    got = ordered.halo_window(blocks, ["timestamp", "number"], lambda w: {"p": F.lag("number", 1).over(w)},
+                              preceding=1, bucket_rows=50).drop(ordered.IDX)
+    exp = blocks.select("*", F.lag("number").over(Window.orderBy("timestamp", "number")).alias("p"))
+    assert _rows(got) == _rows(exp)
