@@ -271,9 +271,10 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
     (sampled boundaries); inside each partition the position comes from
     ``monotonically_increasing_id`` after a local sort (partition id in the
     high bits, position in the low 33 bits); per (partition, group) counts
-    are prefix-summed over the partitions of each group. No extra shuffle
-    after the range exchange, no group held in one task. Equal order values
-    may swap ranks between runs (their values are equal).
+    are prefix-summed over the partitions of each group. The ranked rows are
+    checkpointed once (range bounds are sampled anew by every execution, so
+    the counts must come from the same materialised partitions). No group is
+    held in one task. Equal order values may swap ranks between runs.
     """
     by = _list(by)
     order = _list(order)
@@ -283,6 +284,10 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
          .withColumn("_gs_mid", F.monotonically_increasing_id()))
     d = d.withColumn("_gs_pid", F.shiftright("_gs_mid", 33)).withColumn(
         "_gs_pos", F.col("_gs_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    # range bounds are sampled per execution: materialise once (reliable
+    # checkpoint in the shared folder) so counts and rows see the same ranges
+    from gapseries.session import cut_lineage
+    d = cut_lineage(d)
     edges = d.groupBy("_gs_pid", *by).agg(F.count(F.lit(1)).alias("_gs_cnt"), F.min("_gs_pos").alias("_gs_first"))
     scan = exclusive_scan(edges, by, "_gs_pid", "_gs_cnt", "sum", "_gs_off")
     d = d.join(scan.select("_gs_pid", *by, "_gs_off", "_gs_first"), on=["_gs_pid", *by], how="left")
