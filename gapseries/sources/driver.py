@@ -56,6 +56,10 @@ def scaled_contract():
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # block times are UTC: the driver's timestamp_ntz columns are read as UTC
+    # instants whatever session the caller brings
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
