@@ -55,12 +55,21 @@ def scaled_contract():
     return block_contract({"london": SCALED_LONDON, "merge": SCALED_MERGE, "dencun": SCALED_DENCUN})
 
 
+_READS: dict[tuple[str, int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. The resolved read (file listing, footer schema) is kept
+    per session, like a catalog table; the test data is read-only."""
     # block times are UTC: the driver's timestamp_ntz columns are read as UTC
     # instants whatever session the caller brings
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def block_columns(ev: DataFrame, gas_used_factor: int, seq: int) -> DataFrame:
