@@ -140,12 +140,14 @@ MEMPOOL_PAYLOAD = T.StructType([
 ])
 
 
-def decode_mempool(df: DataFrame, col: str = "json") -> DataFrame:
+def decode_mempool(df: DataFrame, col: str = "json", keep: list[str] | None = None) -> DataFrame:
     """SRC-6: mempool + fee payload → snapshot row (vsize / 1e6, fee / 1e8; absent → 0)."""
+    keep = keep or []
     p = F.from_json(F.col(col), MEMPOOL_PAYLOAD).alias("p")
-    d = df.select(p)
+    d = df.select(*keep, p)
     z = F.lit(0.0)
     return d.select(
+        *keep,
         F.to_timestamp(F.col("p.timestamp")).alias("timestamp"),
         F.coalesce(F.col("p.mempool.count"), F.lit(0).cast("bigint")).alias("unconfirmed_count"),
         (F.coalesce(F.col("p.mempool.vsize"), z) / F.lit(1e6)).alias("vsize_mb"),

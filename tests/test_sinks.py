@@ -63,3 +63,15 @@ def test_reports_retention_and_compaction(spark):
     assert spark.read.parquet(os.path.join(base, "daily")).count() == 10
     W.export(rows, os.path.join(base, "csv"), "csv")
     assert spark.read.option("header", True).csv(os.path.join(base, "csv")).count() == 10
+
+
+def test_copy_range_and_expected_grid(spark):
+    from gapseries.operators.ranges import expected_grid
+    base = tempfile.mkdtemp(prefix="gs-copy-")
+    dst = os.path.join(base, "copy")
+    W.copy_range(driver.raw_blocks(spark, SF001), dst, start="2024-01-02", end="2024-01-03")
+    t = W.read_table(spark, dst)
+    exp = driver.blocks(spark, SF001).filter((F.col("timestamp") >= "2024-01-02") & (F.col("timestamp") < "2024-01-04"))
+    assert t.count() == exp.count() == t.select("number").distinct().count()
+    g = expected_grid(spark, "2025-01-01 00:00:00", "2025-01-01 00:05:00", 60).orderBy("ts").collect()
+    assert [r.ts for r in g] == [dt.datetime(2025, 1, 1, 0, m) for m in range(6)]
