@@ -103,12 +103,19 @@ def gap_processor(stream: DataFrame, chain_col: str = "chain", inline_max: int =
                   stale_after_s: int | None = 960) -> DataFrame:
     """STR-4/5/6: gap / filled / stale events from a block stream (``chain``, ``number``).
 
-    The session needs the RocksDB state store provider
-    (``spark.sql.streaming.stateStore.providerClass`` = :data:`ROCKSDB`).
+    Sets the session's state store provider to RocksDB (:data:`ROCKSDB`) for
+    queries started afterwards.
     ``stale_after_s=None`` disables the dead-man timer (no processing-time
     mode), e.g. for ``availableNow`` catch-up runs, which would otherwise
     keep running timer batches.
     """
+    # ship the processor class by value: Python workers then need pandas and
+    # pyspark only, not this package on their path
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     s = stream.select(chain_col, "number")
     return s.groupBy(chain_col).transformWithStateInPandas(
         statefulProcessor=GapTracker(inline_max, stale_after_s), outputStructType=OUTPUT_SCHEMA,
