@@ -96,7 +96,8 @@ def encode_blocks(df: DataFrame) -> DataFrame:
     """Typed blocks → RPC JSON text (the inverse of :func:`decode_blocks`).
 
     Used to produce landed payloads from stored rows (replays, tests).
-    Wide decimals are written through their 15-digit limbs.
+    Wide decimals are written through their 15-digit limbs; an optional
+    ``builder`` text column becomes ``extraData`` (hex bytes).
     """
     def dec_hex(c):
         # decimal(38,0) < 2^127: high and low 60-bit halves
@@ -117,6 +118,8 @@ def encode_blocks(df: DataFrame) -> DataFrame:
         H.long_to_hex(F.col("size")).alias("size"),
         F.when(F.col("blob_gas_used").isNotNull(), H.long_to_hex(F.col("blob_gas_used"))).alias("blobGasUsed"),
         F.when(F.col("excess_blob_gas").isNotNull(), H.long_to_hex(F.col("excess_blob_gas"))).alias("excessBlobGas"),
+        (F.concat(F.lit("0x"), F.lower(F.hex(F.col("builder")))) if "builder" in df.columns
+         else F.lit("0x")).alias("extraData"),
         F.transform(F.sequence(F.lit(1), F.greatest(F.col("transaction_count").cast("int"), F.lit(1))),
                     lambda i: F.concat(F.lit("0x"), F.lower(F.hex(F.col("number") * 100000 + i))))
         .alias("transactions"),

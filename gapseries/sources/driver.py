@@ -72,7 +72,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def block_columns(ev: DataFrame, gas_used_factor: int, seq: int) -> DataFrame:
+def block_columns(ev: DataFrame, gas_used_factor: int, seq: int, extra: tuple[str, ...] = ()) -> DataFrame:
     n = F.col("event_id")
     tx = (F.lit(1) + F.col("user_id")).cast("bigint")
     post_dencun = n >= F.lit(SCALED_DENCUN)
@@ -94,6 +94,7 @@ def block_columns(ev: DataFrame, gas_used_factor: int, seq: int) -> DataFrame:
          .otherwise((F.lit(10 ** 15) + n * F.lit(1000)).cast(UINT256)).alias("difficulty"),
         F.lit(decimal.Decimal(TERMINAL_TOTAL_DIFFICULTY)).cast(UINT256).alias("total_difficulty"),
         F.lit(seq).cast("bigint").alias("_ingest_seq"),
+        *extra,
     )
 
 
