@@ -98,6 +98,23 @@ def block_columns(ev: DataFrame, gas_used_factor: int, seq: int, extra: tuple[st
     )
 
 
+def _memo(fn):
+    """Keep a derived DataFrame per (session, arguments): DataFrames are
+    immutable plans, so reusing one only saves re-analysis on the driver."""
+    cache: dict = {}
+
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir,
+               tuple(tuple(a) if isinstance(a, list) else a for a in args))
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args)
+        return cache[key]
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__name__ = fn.__name__
+    return wrapper
+
+
+@_memo
 def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ingested block versions (with duplicates), column pruned at the scan."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
@@ -107,6 +124,7 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(revised)
 
 
+@_memo
 def blocks(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
     """Deduplicated block view (latest version per number), without ``_ingest_seq``.
 
