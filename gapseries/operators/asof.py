@@ -8,8 +8,9 @@ whose bucket holds no earlier right row takes the newest right row of the
 latest earlier bucket from a small per-bucket edge table
 (:func:`gapseries.operators.ordered.exclusive_scan`).
 
-A hot key is therefore split over its time buckets; nothing is broadcast
-and no pairs are generated.
+A hot key is therefore split over its time buckets; no side is broadcast by
+hint (AQE may broadcast the per-bucket edge table after measuring it) and no
+pairs are generated.
 """
 
 from __future__ import annotations
@@ -102,11 +103,13 @@ def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] =
         out_cols.append(F.col(f"{_R}.{x}").alias(name))
     out = c.select(*out_cols)
     if tolerance_s is not None:
-        rt = r_ts + suffix if r_ts in left.columns else r_ts
-        dist = F.abs(F.unix_micros(F.col(l_ts)) - F.unix_micros(F.col(rt))) / F.lit(1e6)
+        # matches further away than the tolerance become NULL (the left row stays)
+        names = [x + suffix if x in left.columns else x for x in rsel if keep_right_ts or x != r_ts]
+        rt = F.col(f"{_R}.{r_ts}")
+        dist = F.abs(F.unix_micros(F.col(f"{_L}.{l_ts}")) - F.unix_micros(rt)) / F.lit(1e6)
         keep = dist <= F.lit(float(tolerance_s))
-        out = out.select(*[F.when(keep, F.col(n)).alias(n) if n in [
-            (x + suffix if x in left.columns else x) for x in rsel] else F.col(n) for n in out.columns])
+        out = c.select(*out_cols[:len(left.columns)],
+                       *[F.when(keep, col).alias(n) for col, n in zip(out_cols[len(left.columns):], names)])
     return out
 
 

@@ -97,6 +97,16 @@ def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.select("*", *[F.coalesce(r.predicate, F.lit(False)).alias(f"ok_{r.name}") for r in rules])
 
 
+def check_schema(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """DQ-1: per-row schema-layer flags derived from the contract."""
+    return check(df, schema_rules(contract, df.columns))
+
+
+def check_sanity(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """DQ-2 / DQ-3: per-row sanity flags for a rule set (``block_rules`` / ``mempool_rules``)."""
+    return check(df, rules)
+
+
 def validate_rows(df: DataFrame, rules: Sequence[Rule], gap_flag: Column | None = None,
                   anomaly_flag: Column | None = None) -> DataFrame:
     """DQ-5: per-row validation record ``validation = struct(valid, errors, has_gap, is_anomaly)``."""

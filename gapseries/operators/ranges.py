@@ -91,7 +91,7 @@ def era_filter(df: DataFrame, boundary: int, key: str = "number") -> DataFrame:
     return df.filter(F.col(key) >= F.lit(boundary))
 
 
-def mask_by_era(df: DataFrame, contract, key: str = "number", fill_zero_as_null: bool = True) -> DataFrame:
+def mask_by_era(df: DataFrame, contract, key: str = "number") -> DataFrame:
     """FIL-6: NULL every column before the block it exists from.
 
     The boundary comes from ``since_block`` in the contract metadata. Stored

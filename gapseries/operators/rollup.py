@@ -214,9 +214,20 @@ def congestion(df: DataFrame, ts: str, ratio: str, width: str = "1 hour", by=Non
                         .otherwise("high"))
 
 
-def correlation(df: DataFrame, a: str, b: str, by=None) -> DataFrame:
-    """AGG-23: Pearson correlation of two columns (per group)."""
+def correlation(df: DataFrame, a: str, b: str, by=None, window: int | None = None, order: str | None = None
+                ) -> DataFrame:
+    """AGG-23: Pearson correlation of two columns (per group), or over a trailing
+    ``window`` of rows ordered by ``order`` (bucketed halo window, NULL until full)."""
     by = _list(by)
+    if window:
+        from gapseries.operators import ordered
+
+        def build(w):
+            f = w.rowsBetween(-(window - 1), 0)
+            full = F.count(F.lit(1)).over(f) >= window
+            r = F.try_divide(F.covar_samp(a, b).over(f), F.stddev_samp(a).over(f) * F.stddev_samp(b).over(f))
+            return {f"corr_{a}_{b}_{window}": F.when(full, r)}
+        return ordered.halo_window(df, [order], build, preceding=window - 1, by=by).drop(ordered.IDX)
     # NULL (not an error) when either side is constant
     r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
     return df.groupBy(*by).agg(r.alias(f"corr_{a}_{b}"), F.count(F.lit(1)).alias("n"))

@@ -92,6 +92,9 @@ def normalise_blocks(df: DataFrame) -> DataFrame:
     return out.withColumn("year_month", F.date_format("timestamp", "yyyyMM"))
 
 
+normalise = normalise_blocks     # SNK-1 name used in the operator inventory
+
+
 def encode_blocks(df: DataFrame) -> DataFrame:
     """Typed blocks → RPC JSON text (the inverse of :func:`decode_blocks`).
 

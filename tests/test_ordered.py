@@ -127,3 +127,27 @@ def test_halo_over_timestamps_uses_range_index(blocks):
                               preceding=1, bucket_rows=50).drop(ordered.IDX)
     exp = blocks.select("*", F.lag("number").over(Window.orderBy("timestamp", "number")).alias("p"))
     assert _rows(got) == _rows(exp)
+
+
+def test_asof_forward_and_tolerance(spark):
+    left = spark.createDataFrame([("2024-01-01 00:00:10",), ("2024-01-01 00:01:00",)], "ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+    right = spark.createDataFrame([("2024-01-01 00:00:05", 1), ("2024-01-01 00:00:40", 2)],
+                                  "rts string, id int").withColumn("rts", F.col("rts").cast("timestamp"))
+    back = {r.ts.second + 60 * r.ts.minute: r.id for r in
+            asof.asof_join(left, right, ("ts", "rts"), width_s=30, tolerance_s=15).collect()}
+    assert back == {10: 1, 60: None}          # 00:01:00 -> 00:00:40 is 20 s away, beyond 15 s
+    fwd = {r.ts.second + 60 * r.ts.minute: r.id for r in
+           asof.asof_join(left, right, ("ts", "rts"), width_s=30, direction="forward").collect()}
+    assert fwd == {10: 2, 60: None}
+
+
+def test_rolling_correlation(blocks):
+    from gapseries.operators import rollup
+    b = blocks.withColumn("tx", F.col("transaction_count").cast("double"))
+    got = rollup.correlation(b, "gas_used", "tx", window=30, order="number").orderBy("number").toPandas()
+    f = Window.orderBy("number").rowsBetween(-29, 0)
+    exp = b.select("number", F.when(F.count(F.lit(1)).over(f) >= 30, F.corr("gas_used", "tx").over(f)).alias("c")) \
+        .orderBy("number").toPandas()
+    diff = (got["corr_gas_used_tx_30"] - exp["c"]).abs().max()
+    assert diff < 1e-9
