@@ -68,10 +68,8 @@ def era_masked(spark, sf_dir):
     return ranges.fill_nulls(m, ["blob_gas_filled"], 0)
 
 
-@register("high_utilisation", "FIL-7 FIL-13", sql=with_(BLOCKS) + """
-SELECT number, gas_used, CAST(floor((number - 1000) / 500) AS BIGINT) AS chunk_id
-FROM blocks WHERE number BETWEEN 1000 AND 8999 AND gas_used > 15000000""")
+@register("high_utilisation", "FIL-7", sql=with_(BLOCKS) + """
+SELECT number, gas_used FROM blocks WHERE gas_used > 15000000""")
 def high_utilisation(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir)
-    b = ranges.block_range(b, 1000, 8999, chunk=500)
-    return ranges.above(b, "gas_used", 15_000_000).select("number", "gas_used", "chunk_id")
+    b = driver.blocks(spark, sf_dir, ["gas_used"])
+    return ranges.above(b, "gas_used", 15_000_000).select("number", "gas_used")
