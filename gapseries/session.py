@@ -57,12 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created and set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the conf alone names the folder
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="gapseries-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -66,7 +66,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = (*_session_key(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
@@ -98,14 +98,20 @@ def block_columns(ev: DataFrame, gas_used_factor: int, seq: int, extra: tuple[st
     )
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return ("connect", id(spark))
+
+
 def _memo(fn):
     """Keep a derived DataFrame per (session, arguments): DataFrames are
     immutable plans, so reusing one only saves re-analysis on the driver."""
     cache: dict = {}
 
     def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir,
-               tuple(tuple(a) if isinstance(a, list) else a for a in args))
+        key = (*_session_key(spark), sf_dir, tuple(tuple(a) if isinstance(a, list) else a for a in args))
         if key not in cache:
             cache[key] = fn(spark, sf_dir, *args)
         return cache[key]
