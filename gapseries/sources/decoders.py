@@ -39,7 +39,8 @@ def decode_blocks(df: DataFrame, col: str = "json", keep_raw: bool = False) -> D
     Absent blob keys give NULL, ``"0x0"`` gives 0; an absent base fee is
     stored as 0 (era masking turns it into NULL for analysis); the
     transaction count is the length of the hash list. ``_valid`` is false
-    for malformed JSON, a NULL result or a missing number.
+    for malformed JSON, a NULL result, a missing number or a difficulty
+    wider than ``decimal(38,0)``.
     """
     p = F.from_json(F.col(col), RPC_MESSAGE, {"mode": "PERMISSIVE"}).alias("_p")
     d = df.select("*", p) if keep_raw else df.select(p)
@@ -61,7 +62,9 @@ def decode_blocks(df: DataFrame, col: str = "json", keep_raw: bool = False) -> D
         H.hex_to_text(F.col(r + "extraData")).alias("builder_tag"),
         F.col(r + "withdrawals").alias("withdrawals"),
         (F.col("_p").isNotNull() & F.col("_p.result").isNotNull() & F.col(r + "number").isNotNull()
+         # a 256-bit value wider than 38 digits cannot be stored: quarantine, never truncate
          & (F.col(r + "difficulty").isNull() | H.hex_to_decimal(F.col(r + "difficulty")).isNotNull())
+         & (F.col(r + "totalDifficulty").isNull() | H.hex_to_decimal(F.col(r + "totalDifficulty")).isNotNull())
          ).alias("_valid"),
     )
     return out

@@ -118,3 +118,11 @@ def test_read_csv_years_lookback_reports(spark, tmp_path):
     base = str(tmp_path / "reports")
     W.append_reports(df.drop("timestamp").withColumnRenamed("ts", "timestamp"), "gaps", base)
     assert D.read_reports(spark, base, "gaps", start="2025-01-05").count() == 1
+
+
+def test_overwide_difficulty_is_quarantined(spark):
+    msg = {"result": {"number": "0x1", "timestamp": "0x1", "gasLimit": "0x1", "gasUsed": "0x0", "size": "0x1",
+                      "difficulty": "0x0", "totalDifficulty": "0x" + "f" * 40, "transactions": []}}
+    df = spark.createDataFrame([(json.dumps(msg),)], "json string")
+    valid, bad = D.split_blocks(D.decode_blocks(df))
+    assert valid.count() == 0 and bad.count() == 1
