@@ -6,7 +6,6 @@ Everything is a DataFrame transformation; "now" is always the explicit
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
