@@ -81,3 +81,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def sizing_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20,
+                max_split_bytes: int = 512 << 20) -> dict[str, str]:
+    """Cluster settings sized from the input volume (apply with ``spark.conf.set``).
+
+    Shuffle partitions: enough that each holds about ``target_partition_bytes``
+    (so sorts and windows fit executor memory and spill rarely), at least
+    twice the cores; AQE then coalesces small ones and splits skewed ones.
+    Scan splits of ``max_split_bytes`` keep the task count of a 100 TB scan
+    in the hundreds of thousands, not millions.
+    """
+    parts = max(2 * executor_cores_total, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # runtime broadcast only below a fixed, small size: the proven bound for joins
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
