@@ -97,3 +97,11 @@ def test_freshness_bands_and_empty_raises(spark):
     empty = df.filter(F.lit(False))
     with pytest.raises(Exception):
         G.freshness(empty, "timestamp", AS_OF).collect()
+
+
+def test_time_gaps_skew_safe_equals_default(spark):
+    from gapseries.sources import driver
+    b = driver.blocks(spark, "/root/testdata/sf0.001", ["timestamp"])
+    a = G.detect_time_gaps(b, "timestamp", 300, 1.5, tiebreak=["number"], width=3_600_000_000)
+    c = G.detect_time_gaps(b, "timestamp", 300, 1.5, tiebreak=["number"], skew_safe=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, c.collect())) and a.count() > 0
