@@ -44,7 +44,8 @@ def _micros(df: DataFrame, col: str):
 
 
 def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str], direction: str,
-           width_us: int, r_order: Sequence[str]) -> DataFrame:
+           width_us: int, r_order: Sequence[str], skew_safe: bool = False,
+           bucket_rows: int = 1 << 16) -> DataFrame:
     """Left rows plus ``_as_r`` = the matching right struct (or NULL)."""
     sign = 1 if direction == "backward" else -1
     lcols = left.columns
@@ -66,7 +67,14 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
     ltab = ltab.drop("_as_k").withColumn("_as_k", F.lit(None).cast(rtab.schema["_as_k"].dataType))
     u = ltab.unionByName(rtab)
     byc = [f"_by_{b}" for b in by]
-    u = u.withColumn(_BK, F.floor(F.col(_O) / F.lit(width_us)).cast("bigint"))
+    if skew_safe:
+        # buckets of equal row counts from sampled range partitions: a burst
+        # of one key in one time span is split as well
+        from gapseries.operators.ordered import IDX, range_rank
+        u = range_rank(u, [_O, _S, "_as_k"], by=byc)
+        u = u.withColumn(_BK, F.floor(F.col(IDX) / F.lit(bucket_rows)).cast("bigint")).drop(IDX)
+    else:
+        u = u.withColumn(_BK, F.floor(F.col(_O) / F.lit(width_us)).cast("bigint"))
     w = (Window.partitionBy(*byc, _BK).orderBy(F.col(_O), F.col(_S), F.col("_as_k"))
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_as_in", F.last(F.col(_R), ignorenulls=True).over(w))
@@ -80,21 +88,23 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
 def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] = "ts", by=None,
               suffix: str = "_right", direction: str = "backward", width_s: int = DEFAULT_TIME_WIDTH_S,
               r_order: Sequence[str] = (), tolerance_s: float | None = None,
-              keep_right_ts: bool = True) -> DataFrame:
+              keep_right_ts: bool = True, skew_safe: bool = False, bucket_rows: int = 1 << 16) -> DataFrame:
     """JN-1: for each left row the newest right row with ``right.ts <= left.ts``.
 
     Left outer: every left row appears once. Equal timestamps match
     (inclusive). ``direction='forward'`` takes the oldest right row with
     ``right.ts >= left.ts``. ``r_order`` breaks ties between right rows with
     the same timestamp (the larger wins). Right columns that clash with left
-    names get ``suffix``; the ``by`` columns are kept once.
+    names get ``suffix``; the ``by`` columns are kept once. Buckets are
+    time spans of ``width_s`` per key; ``skew_safe=True`` uses buckets of
+    equal row counts instead (sampled range partitions, one materialisation).
     """
     by = _list(by)
     l_ts, r_ts = (on_ts, on_ts) if isinstance(on_ts, str) else on_ts
     rsel = [c for c in right.columns if c not in by]
     r = right.select(*by, *rsel)
     width_us = int(width_s) * 1_000_000
-    c = _carry(left, r, l_ts, r_ts, by, direction, width_us, list(r_order))
+    c = _carry(left, r, l_ts, r_ts, by, direction, width_us, list(r_order), skew_safe, bucket_rows)
     out_cols = [F.col(f"{_L}.{x}").alias(x) for x in left.columns]
     for x in rsel:
         if not keep_right_ts and x == r_ts:

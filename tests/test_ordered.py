@@ -151,3 +151,12 @@ def test_rolling_correlation(blocks):
         .orderBy("number").toPandas()
     diff = (got["corr_gas_used_tx_30"] - exp["c"]).abs().max()
     assert diff < 1e-9
+
+
+def test_asof_skew_safe_equals_default(spark):
+    left = driver.purchases(spark, SF01)
+    right = driver.views(spark, SF01)
+    a = asof.asof_join(left, right, "ts", by="user_id", r_order=["view_id"]).select("event_id", "view_id")
+    b = asof.asof_join(left, right, "ts", by="user_id", r_order=["view_id"], skew_safe=True, bucket_rows=8).select(
+        "event_id", "view_id")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
