@@ -115,7 +115,7 @@ def errors_between(spark, sf_dir):
 
 ANOMALY_SQL = """anoms AS (
   SELECT "timestamp" AS "timestamp", 'ethereum' AS chain, "timestamp" AS data_timestamp, 'utilisation' AS field,
-         u AS value, round(z, 9) AS z_score, round(m, 9) AS mean, round(s, 9) AS std,
+         round(u, 9) AS value, round(z, 9) AS z_score, round(m, 9) AS mean, round(s, 9) AS std,
          CASE WHEN z > 0 THEN 'spike' ELSE 'drop' END AS anomaly_type,
          CASE WHEN abs(z) >= 5 THEN 'high' WHEN abs(z) >= 4 THEN 'medium' WHEN abs(z) >= 3 THEN 'low' END AS severity
   FROM (SELECT "timestamp", u,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from gapseries.operators import ordered, windows
 from gapseries.operators.asof import ffill
 from gapseries.operators.ranges import grid_between
-from gapseries.plans.registry import register, round_doubles
+from gapseries.plans.registry import r9, register, round_doubles
 from gapseries.plans.sqlviews import BARS, BLOCKS, PURCHASES, with_
 from gapseries.sources import driver
 
@@ -35,8 +35,8 @@ def series_lags(spark, sf_dir):
     d = ordered.with_prev(u, "number", ["number", "gas_used", "timestamp"])
     return d.select(
         "number", "prev_number",
-        F.round(F.try_divide(F.col("gas_used"), F.col("prev_gas_used")) - 1, 9).alias("gas_used_pct_change"),
-        F.round((F.unix_micros("timestamp") - F.unix_micros("prev_timestamp")) / F.lit(1e6), 9).alias("block_time_s"),
+        r9(F.try_divide(F.col("gas_used"), F.col("prev_gas_used")) - 1).alias("gas_used_pct_change"),
+        r9((F.unix_micros("timestamp") - F.unix_micros("prev_timestamp")) / F.lit(1e6)).alias("block_time_s"),
         (F.col("number") - F.col("prev_number") - 1).alias("skipped"))
 
 
@@ -46,8 +46,8 @@ FROM util WINDOW w AS (ORDER BY number)""")
 def shift_targets(spark, sf_dir):
     u = _util(spark, sf_dir).select("number", "utilisation")
     out = ordered.halo_window(u, ["number"], lambda w: {
-        "target_5": F.round(F.lead("utilisation", 5).over(w), 9),
-        "lag_3": F.round(F.lag("utilisation", 3).over(w), 9)}, preceding=3, following=5)
+        "target_5": r9(F.lead("utilisation", 5).over(w)),
+        "lag_3": r9(F.lag("utilisation", 3).over(w))}, preceding=3, following=5)
     return out.select("number", "target_5", "lag_3")
 
 
@@ -70,7 +70,7 @@ def rolling_stats(spark, sf_dir):
         out = {}
         for n, fn in ROLL_SPEC:
             out.update(ordered.rolling_exprs("utilisation", n, [fn])(w))
-        return {k: F.round(v, 9) for k, v in out.items()}
+        return {k: r9(v) for k, v in out.items()}
     return ordered.halo_window(u, ["number"], build, preceding=59).select(
         "number", *[f"utilisation_{fn}_{n}" for n, fn in ROLL_SPEC])
 
@@ -84,7 +84,7 @@ FROM util WINDOW w AS (ORDER BY number ROWS BETWEEN 59 PRECEDING AND CURRENT ROW
 def rolling_zscore(spark, sf_dir):
     u = _util(spark, sf_dir).select("number", "base_fee_gwei")
     r = ordered.rolling(u, ["number"], "base_fee_gwei", 60, ["zscore"], eps=1e-10)
-    return r.select("number", F.round("base_fee_gwei_zscore_60", 9).alias("base_fee_gwei_zscore_60"))
+    return r.select("number", r9("base_fee_gwei_zscore_60").alias("base_fee_gwei_zscore_60"))
 
 
 @register("zscore_by_user", "WIN-10", sql=with_(PURCHASES) + """
@@ -95,7 +95,7 @@ SELECT event_id, user_id, round(z, 9) AS value_z, abs(z) > 2.0 AS value_outlier
 def zscore_by_user(spark, sf_dir):
     p = driver.purchases(spark, sf_dir).select("event_id", "user_id", "value")
     z = windows.zscore(p, "value", by="user_id", min_count=10, threshold=2.0)
-    return z.select("event_id", "user_id", F.round("value_z", 9).alias("value_z"), "value_outlier")
+    return z.select("event_id", "user_id", r9("value_z").alias("value_z"), "value_outlier")
 
 
 @register("monotonic_check", "WIN-14", sql=with_(BLOCKS) + """
@@ -114,7 +114,7 @@ SELECT number, round(pc, 9) AS base_fee_per_gas_pct_change, abs(pc) < 0.5 AS bas
 def rate_flags(spark, sf_dir):
     b = driver.blocks(spark, sf_dir, ["base_fee_per_gas"]).select("number", "base_fee_per_gas")
     r = windows.rate_flag(b, "number", "base_fee_per_gas", 0.5)
-    return r.select("number", F.round("base_fee_per_gas_pct_change", 9).alias("base_fee_per_gas_pct_change"),
+    return r.select("number", r9("base_fee_per_gas_pct_change").alias("base_fee_per_gas_pct_change"),
                     "base_fee_per_gas_rate_ok")
 
 
@@ -128,8 +128,8 @@ def qualify_spikes(spark, sf_dir):
     u = _util(spark, sf_dir).select("number", "utilisation")
     r = ordered.rolling(u, ["number"], "utilisation", 12, ["mean"])
     q = windows.filter_window(r, {}, F.col("utilisation") > F.lit(1.5) * F.col("utilisation_mean_12"))
-    return q.select("number", F.round("utilisation", 9).alias("utilisation"),
-                    F.round("utilisation_mean_12", 9).alias("utilisation_mean_12"))
+    return q.select("number", r9("utilisation").alias("utilisation"),
+                    r9("utilisation_mean_12").alias("utilisation_mean_12"))
 
 
 @register("ffill_hourly", "WIN-13 FIL-12 JN-3", sql=with_(BARS) + """,
