@@ -105,3 +105,23 @@ def test_time_gaps_skew_safe_equals_default(spark):
     a = G.detect_time_gaps(b, "timestamp", 300, 1.5, tiebreak=["number"], width=3_600_000_000)
     c = G.detect_time_gaps(b, "timestamp", 300, 1.5, tiebreak=["number"], skew_safe=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, c.collect())) and a.count() > 0
+
+
+def test_alerts_healthy_and_stale(spark):
+    blocks = spark.createDataFrame([(n, AS_OF - dt.timedelta(seconds=30)) for n in range(1, 6)],
+                                   "number long, timestamp timestamp")
+    empty = spark.createDataFrame([], "gap_start long, gap_end long, gap_size long, first_seen timestamp, "
+                                      "age_s long, status string")
+    h = G.health(blocks, empty, AS_OF)
+    a = G.alerts(empty, h).collect()
+    assert [(r.title, r.priority) for r in a] == [("HEALTHY", 0)]
+    late = G.health(blocks, empty, AS_OF + dt.timedelta(hours=2))
+    b = G.alerts(empty, late).collect()
+    assert [(r.title, r.priority) for r in b] == [("DATA STALE", 2)]
+
+
+def test_sizing_conf():
+    from gapseries.session import sizing_conf
+    c = sizing_conf(100 * 2 ** 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert sizing_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"
