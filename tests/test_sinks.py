@@ -75,3 +75,16 @@ def test_copy_range_and_expected_grid(spark):
     assert t.count() == exp.count() == t.select("number").distinct().count()
     g = expected_grid(spark, "2025-01-01 00:00:00", "2025-01-01 00:05:00", 60).orderBy("ts").collect()
     assert [r.ts for r in g] == [dt.datetime(2025, 1, 1, 0, m) for m in range(6)]
+
+
+def test_upsert_daily_partitions(spark):
+    base = tempfile.mkdtemp(prefix="gs-day-")
+    path = os.path.join(base, "blocks")
+    raw = driver.raw_blocks(spark, SF001)
+    W.write_blocks(raw.filter(F.col("_ingest_seq") == 1), path, mode="overwrite", part_col="day")
+    W.upsert_table(spark, path, raw.filter(F.col("_ingest_seq") == 2), part_col="day")
+    t = W.read_table(spark, path, part_col="day")
+    exp = {r.number: r.gas_used for r in driver.blocks(spark, SF001).select("number", "gas_used").collect()}
+    assert {r.number: r.gas_used for r in t.select("number", "gas_used").collect()} == exp
+    assert t.select("day").distinct().count() == 30 and t.filter(F.col("day") != F.date_format(
+        "timestamp", "yyyyMMdd")).count() == 0
