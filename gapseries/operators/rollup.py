@@ -257,6 +257,8 @@ def fee_history_summary(rows: DataFrame, by) -> DataFrame:
         (F.max_by("gas_used_ratio", "number") > F.min_by("gas_used_ratio", "number")).alias("_rising"),
         F.max_by("reward_p25", "number").alias("_p25"), F.max_by("reward_p50", "number").alias("_p50"),
         F.max_by("reward_p75", "number").alias("_p75"))
+    from gapseries.functions.features import recommended_fees
+    rec = recommended_fees(F.col("_next"), F.array("_p25", "_p50", "_p75"))      # FN-16
     cur = F.col("_next") / F.lit(1e9)
     old = F.col("_oldest") / F.lit(1e9)
     chg = F.try_divide(cur - old, old) * F.lit(100)
@@ -271,6 +273,4 @@ def fee_history_summary(rows: DataFrame, by) -> DataFrame:
         F.when(F.col("_ratio") < 0.5, "low").when(F.col("_ratio") < 0.8, "moderate").otherwise("high")
         .alias("congestion_level"),
         F.when(F.col("_rising"), "increasing").otherwise("decreasing").alias("recent_gas_trend"),
-        ((F.col("_next") + F.col("_p25")) / F.lit(1e9)).alias("slow_max_fee_gwei"),
-        ((F.col("_next") + F.col("_p50")) / F.lit(1e9)).alias("standard_max_fee_gwei"),
-        ((F.col("_next") + F.col("_p75")) / F.lit(1e9)).alias("fast_max_fee_gwei"))
+        *[rec[f"{k}_max_fee_gwei"].alias(f"{k}_max_fee_gwei") for k in ("slow", "standard", "fast")])
