@@ -91,8 +91,3 @@ def filter_window(df: DataFrame, exprs: dict[str, Column], predicate: Column) ->
 def rolling(df: DataFrame, order, col: str, n: int, fns: Sequence[str] = ("mean",), by=None, **kw) -> DataFrame:
     """WIN-5..9: see :func:`gapseries.operators.ordered.rolling`."""
     return ordered.rolling(df, order, col, n, fns, by=by, **kw)
-
-
-def per_key_window(by: Sequence[str], order: Sequence[str]) -> Window:
-    """A keyed window (partitioned by a real key, never unpartitioned)."""
-    return Window.partitionBy(*by).orderBy(*order)
