@@ -42,3 +42,13 @@ def test_empty_input(spark):
     assert ordered.rolling(empty, ["number"], "v", 3, ["mean"]).count() == 0
     c = G.completeness(empty).first()
     assert (c.total_rows, c.expected, c.missing) == (0, 0, 0)
+
+
+def test_schema_layer_checks(spark):
+    from gapseries.operators import quality as Q
+    from gapseries.sources.contract import block_contract
+    df = spark.createDataFrame([(1, -5)], "number long, gas_used long")
+    issues = dict(Q.schema_issues(block_contract(), df))
+    assert issues["size"] == "missing" and "gas_used" not in issues
+    row = Q.check_schema(df, block_contract()).first()
+    assert row.ok_number_not_null and not row["ok_gas_used_min_0"]
