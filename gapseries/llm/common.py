@@ -77,3 +77,31 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = -1, limit: int = 16 <<
                 start, held = i, 0
             held += size
         yield batch.slice(start, n - start)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of consecutive rows that agree in the first ``keys`` (integer) columns of sorted batches.
+
+    Holds one group at a time.
+    """
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = np.stack([batch.column(k).to_numpy() for k in range(keys)], 1)
+        cuts = np.flatnonzero((own[1:] != own[:-1]).any(1)) + 1
+        if held and tuple(own[0]) != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        starts, ends = np.append(0, cuts), np.append(cuts, batch.num_rows)
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            held.append(batch.slice(a, b - a))
+            if b < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+        last = tuple(own[-1])
+    if held:
+        yield pa.Table.from_batches(held)
