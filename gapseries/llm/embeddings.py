@@ -195,6 +195,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             for at in range(0, len(i), 50_000):
                 x, y = i[at:at + 50_000], j[at:at + 50_000]
                 good = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+                # the two may meet in either one's own bucket: then the one with the smaller class counts
+                other, owner = np.where(home[x], y, x), np.where(home[x], x, y)
+                good &= (home[x] & home[y]) | (c[owner] < c[other]) | ~(codes[other, t, :1] == codes[owner, t, :]).any(1)
                 for s in range(t):                              # met in an earlier table already?
                     good &= ~((codes[x, s, :1] == codes[y, s, :]).any(1) | (codes[y, s, :1] == codes[x, s, :]).any(1))
                 left.append(x[good])
