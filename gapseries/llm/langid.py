@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapseries.llm.common import arrow_rows, pieces
+from gapseries.llm.common import arrow_rows, pieces, without
 
 CELLS = 1 << 15
 SMOOTHING = 0.5
@@ -179,7 +179,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 for column, x in zip(out, row):
                     column.append(x)
             yield [batch.column(i) for i in range(len(kept))] + out
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias("_text")).mapInArrow(
+    extra = without([f.name for f in kept], "_text")
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`").alias(extra)).mapInArrow(
         arrow_rows(run, schema), schema)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapseries.llm.common import arrow_rows, pieces
+from gapseries.llm.common import arrow_rows, pieces, without
 
 SPACE = "▁"
 LONG = 64
@@ -360,6 +360,7 @@ def _map(docs: DataFrame, model: bytes, source: str, target: str, kind: T.DataTy
         tables = _model(shared)
         for batch in pieces(batches, limit=8 << 20):
             yield [batch.column(i) for i in at] + [fn(tables, batch.column(len(names)))]
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{source}`").alias("_source")).mapInArrow(
+    extra = without(names, "_source")
+    return docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{source}`").alias(extra)).mapInArrow(
         arrow_rows(run, schema), schema)
 
