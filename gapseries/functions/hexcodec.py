@@ -2,8 +2,8 @@
 
 RPC payloads carry integers as ``0x``-prefixed hex. ``conv`` handles up to
 64 bits; wider values (difficulty, total difficulty: up to 256 bits) are
-split into 15-digit limbs and combined as ``decimal(38,0)``. A value that
-does not fit 38 decimal digits becomes NULL so callers can quarantine it.
+split into two halves and combined as ``decimal(38,0)``. Text that is no hex
+number, and a value that does not fit, become NULL so callers can quarantine it.
 """
 
 from __future__ import annotations
@@ -15,38 +15,48 @@ from pyspark.sql import functions as F
 
 UINT256 = "decimal(38,0)"
 _LIMB = 15                      # hex digits per limb (60 bits, fits a signed long)
-_LIMBS = 5                      # 75 hex digits >= 64 (256 bits)
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def is_hex(h) -> Column:
+    """Whether the text is ``0x`` and at least one hex digit; NULL for NULL."""
+    return _c(h).rlike("^0[xX][0-9a-fA-F]+$")
+
+
 def strip0x(h) -> Column:
-    return F.regexp_replace(F.lower(_c(h)), "^0x", "")
+    h = _c(h)
+    return F.when(h.startswith("0x") | h.startswith("0X"), F.substring(h, 3, 1 << 30)).otherwise(h)
+
+
+def _digits(h: Column, start: int = 0, size: int = 1 << 30) -> Column:
+    """Digits after the ``0x`` that :func:`is_hex` has made sure of."""
+    return F.substring(h, 3 + start, size)
 
 
 def hex_to_long(h) -> Column:
-    """FN-1: ``0x…`` → bigint (NULL for NULL / empty); up to 63 bits."""
-    body = strip0x(h)
-    n = F.length(body)
-    # up to 15 digits conv is exact; longer values go through the limb
-    # decoder and become NULL when they do not fit 63 bits (no overflow error)
-    return (F.when((n > 0) & (n <= _LIMB), F.conv(body, 16, 10).cast("bigint"))
-            .when(n > _LIMB, hex_to_decimal(h).try_cast("bigint")))
+    """FN-1: ``0x…`` → bigint; NULL for NULL, for text that is not hex, and beyond 63 bits.
+
+    ``conv`` stops at the first bad digit and would turn ``0x1z`` into 1, so
+    the text is tested first. Leading zeros do not count as digits.
+    """
+    h = _c(h)
+    # 15 digits convert exactly; the sixteenth must leave the sign bit free
+    return F.when(F.length(h) <= 2 + _LIMB, F.when(is_hex(h), F.conv(_digits(h), 16, 10).cast("bigint"))).otherwise(
+        F.when(h.rlike("^0[xX]0*([0-7][0-9a-fA-F]{15}|[0-9a-fA-F]{1,15})$"), F.conv(_digits(h), 16, 10).cast("bigint")))
 
 
 def hex_to_decimal(h) -> Column:
-    """FN-2: ``0x…`` up to 256 bits → decimal(38,0); NULL when wider than 38 digits."""
-    body = strip0x(h)
-    padded = F.lpad(body, _LIMB * _LIMBS, "0")
-    base = F.lit(decimal.Decimal(16 ** _LIMB)).cast(UINT256)
-    acc = F.lit(0).cast(UINT256)
-    for i in range(_LIMBS):
-        limb = F.conv(F.substring(padded, i * _LIMB + 1, _LIMB), 16, 10).cast(UINT256)
-        acc = F.try_add(F.try_multiply(acc, base), limb)
-    ok = (F.length(body) > 0) & (F.length(body) <= _LIMB * _LIMBS)
-    return F.when(ok, acc.cast(UINT256))
+    """FN-2: ``0x…`` up to 256 bits → decimal(38,0); NULL when not hex or wider than 38 digits."""
+    h = _c(h)
+    # 32 digits (128 bits) reach beyond 10^38; longer texts fit only with zeros in front
+    padded = F.lpad(F.regexp_extract(h, "^0[xX]0*([0-9a-fA-F]{1,32})$", 1), 2 * 16, "0")
+    base = F.lit(decimal.Decimal(16 ** 16)).cast(UINT256)
+    high, low = (F.conv(F.substring(padded, k, 16), 16, 10).cast(UINT256) for k in (1, 17))
+    wide = F.when(h.rlike("^0[xX]0*[0-9a-fA-F]{1,32}$"), F.try_add(F.try_multiply(high, base), low))
+    return F.when(F.length(h) <= 2 + _LIMB, F.when(is_hex(h), F.conv(_digits(h), 16, 10).cast(UINT256))).otherwise(wide)
 
 
 def epoch_to_ts(x, unit: str = "s") -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapseries.operators.ordered import B, bucket_expr, exclusive_scan, with_prev
+from gapseries.operators.ordered import B, bucket_expr, exclusive_scan, with_prev, with_row
 
 GAP_COLS = ["gap_start", "gap_end", "gap_size"]
 
@@ -30,11 +30,6 @@ def _ts(v) -> Column:
     return F.lit(v)
 
 
-def one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two single-row aggregates side by side (equi-join on a constant)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 # ---------------------------------------------------------------------------
 # GAP-1 sequence gaps
 # ---------------------------------------------------------------------------
@@ -234,7 +229,7 @@ def gap_report(df: DataFrame, key: str = "number", ts: str = "timestamp", width:
     exp = F.coalesce(F.col("max_key") - F.col("min_key") + 1, F.lit(0)).cast("bigint")
     stats = stats.select("total_rows", "min_key", "max_key", exp.alias("expected"),
                          (exp - F.col("total_rows")).alias("missing"), "latest_ts")
-    return one_row_join(stats, gap_summary(detect_gaps(df, key, width=width)))
+    return with_row(stats, gap_summary(detect_gaps(df, key, width=width)))
 
 
 def health(df: DataFrame, gap_events: DataFrame | None, as_of, key: str = "number", ts: str = "timestamp",
@@ -248,7 +243,7 @@ def health(df: DataFrame, gap_events: DataFrame | None, as_of, key: str = "numbe
     c = completeness(df, key)
     f = freshness(df, ts, as_of, threshold_s, key=key).select("latest_ts", "latest_key", "age_s", "is_fresh",
                                                              "band", "staleness_pct", "margin_s")
-    row = one_row_join(c, f)
+    row = with_row(c, f)
     if gap_events is not None:
         ev = gap_events.agg(
             F.count(F.when(F.col("status") == "NEW", 1)).alias("new_gaps"),
@@ -257,7 +252,7 @@ def health(df: DataFrame, gap_events: DataFrame | None, as_of, key: str = "numbe
             F.count(F.when(F.col("status").isin("NEW", "GRACE", "PERSISTENT", "NOTIFIED")
                            & (F.col("age_s") > F.lit(grace_s)), 1)).alias("open_over_grace"),
         )
-        row = one_row_join(row, ev)
+        row = with_row(row, ev)
         healthy = F.col("is_fresh") & (F.col("open_over_grace") == 0)
     else:
         healthy = F.col("is_fresh") & (F.col("missing") == 0)
@@ -348,7 +343,7 @@ def alerts(events: DataFrame, health_row: DataFrame, grace_s: int = 1800, thresh
                         F.lit(threshold_s)).alias("message"))
     fired = gap_alerts.unionByName(stale)
     n_fired = fired.agg(F.count(F.lit(1)).alias("_fired"))
-    ok = one_row_join(h, n_fired).filter(F.col("healthy") & (F.col("_fired") == 0)).select(
+    ok = with_row(h, n_fired).filter(F.col("healthy") & (F.col("_fired") == 0)).select(
         F.lit("HEALTHY").alias("title"), F.lit(0).alias("priority"),
         F.format_string("rows %d, range %d to %d, age %ds (%d%%), margin %ds", F.col("total_rows"),
                         F.col("min_key"), F.col("max_key"), F.col("age_s"), F.col("staleness_pct"),

@@ -69,6 +69,15 @@ def bucket_expr(df: DataFrame, col: str, width: int | None = None) -> Column:
     return F.floor(order_value(df, col) / F.lit(w)).cast("bigint")
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row result to every row, as a scalar subquery (no join).
+
+    Without a row the columns are NULL.
+    """
+    one = row.select(F.struct(*row.columns).alias("_gs_row")).scalar()
+    return df.select("*", one.alias("_gs_row")).select(*df.columns, *[F.col(f"_gs_row.{c}").alias(c) for c in row.columns])
+
+
 # ---------------------------------------------------------------------------
 # edge scans
 # ---------------------------------------------------------------------------
@@ -316,8 +325,8 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str |
                  (pos - F.floor(pos)).alias("_q_frac"))
     if by:
         j = ranked.join(n, on=by, how="inner")
-    else:   # one-row count joined on a constant key
-        j = ranked.withColumn("_one", F.lit(1)).join(n.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    else:
+        j = with_row(ranked, n)
     pick = j.filter((F.col(IDX) == F.col("_q_lo")) | (F.col(IDX) == F.col("_q_hi")))
     g = pick.groupBy(*by).agg(F.max(F.when(F.col(IDX) == F.col("_q_lo"), F.col("_q_x"))).alias("_lo_x"),
                               F.max(F.when(F.col(IDX) == F.col("_q_hi"), F.col("_q_x"))).alias("_hi_x"),

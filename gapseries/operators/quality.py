@@ -127,15 +127,16 @@ def report(df: DataFrame, rules: Sequence[Rule], as_of, chain: str, ts: str = "t
 
     ``status`` is ``pass`` with no failure, ``warning`` while the failure
     share is within ``tolerance``, else ``fail``. ``context`` is JSON.
-    One aggregation computes every rule; ``stack`` unpivots.
+    One aggregation computes every rule; an array of structs unpivots.
     """
     by = [by] if isinstance(by, str) else list(by or [])
     aggs = [F.count(F.lit(1)).alias("_records"), F.min(ts).alias("_t0"), F.max(ts).alias("_t1")]
     aggs += [F.count_if(~F.coalesce(r.predicate, F.lit(False))).alias(f"_f{i}") for i, r in enumerate(rules)]
     wide = df.groupBy(*by).agg(*aggs)
-    parts = ", ".join(f"'{r.name}', '{r.layer}', '{r.message}', `_f{i}`" for i, r in enumerate(rules))
-    long = wide.selectExpr(*[f"`{b}`" for b in by], "_records", "_t0", "_t1",
-                           f"stack({len(rules)}, {parts}) AS (check_name, layer, message, failures)")
+    each = [F.struct(F.lit(r.name).alias("check_name"), F.lit(r.layer).alias("layer"), F.lit(r.message).alias("message"),
+                     F.col(f"_f{i}").alias("failures")) for i, r in enumerate(rules)]
+    long = wide.select(*by, "_records", "_t0", "_t1", F.explode(F.array(*each)).alias("_r")).select(
+        *by, "_records", "_t0", "_t1", "_r.*")
     share = F.try_divide(F.col("failures"), F.col("_records"))
     status = (F.when(F.col("failures") == 0, "pass").when(share <= F.lit(tolerance), "warning").otherwise("fail"))
     when = run_ts if run_ts is not None else (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of))

@@ -124,31 +124,26 @@ def bar_summary(bars: DataFrame, by: str = "symbol") -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, key: str | None = None) -> DataFrame:
     """AGG-16: count, mean, sample std, min, median, max per column (one row per column).
 
-    One aggregation pass computes the moment statistics of every column. The
-    exact median comes from a distributed rank (range partitioning, see
-    :func:`gapseries.operators.ordered.exact_quantile`), not from a
-    ``percentile`` buffer holding every distinct value of the column in the
-    final task; ``approx=True`` uses ``percentile_approx`` instead. ``key``
-    (a unique column) breaks ties so repeated values spread over partitions.
-    The wide row is unpivoted with ``stack``.
+    The columns are unpivoted to ``(column, value)`` once; one aggregation gives
+    the moments and one distributed rank the exact medians of all columns (see
+    :func:`gapseries.operators.ordered.exact_quantile`), instead of a
+    ``percentile`` buffer with every distinct value in the final task;
+    ``approx=True`` uses ``percentile_approx``. ``key`` (a unique column)
+    breaks ties so that repeated values spread over partitions.
     """
     from gapseries.operators.ordered import exact_quantile
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-        if approx:
-            aggs.append(F.percentile_approx(x, 0.5, 10000).cast("double").alias(f"{c}__median"))
-    wide = df.agg(*aggs).withColumn("_one", F.lit(1))
-    if not approx:
-        for c in cols:
-            med = exact_quantile(df, c, 0.5, out=f"{c}__median", tiebreak=[key] if key else [])
-            med = med.withColumn("_one", F.lit(1))
-            wide = wide.join(med, "_one", "left")
-    parts = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__median`, `{c}__max`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, median, max)")
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(*([F.col(key).alias("_key")] if key else []), F.explode(each).alias("_c")).select(
+        *(["_key"] if key else []), "_c.*")
+    x = F.col("value")
+    aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+            F.max(x).alias("max")]
+    if approx:
+        out = long.groupBy("column").agg(*aggs, F.percentile_approx(x, 0.5, 10000).cast("double").alias("median"))
+    else:
+        median = exact_quantile(long, "value", 0.5, by=["column"], out="median", tiebreak=["_key"] if key else [])
+        out = long.groupBy("column").agg(*aggs).join(median, "column", "left")
+    return out.select("column", "count", "mean", "std", "min", "median", "max")
 
 
 def means(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
@@ -206,11 +201,11 @@ def fee_trend(df: DataFrame, ts: str, fee: str, width: str = "1 hour", pct: floa
 
 
 def congestion(df: DataFrame, ts: str, ratio: str, width: str = "1 hour", by=None) -> DataFrame:
-    """AGG-22: mean gas ratio per bucket and level (< 0.5 low, < 0.8 medium, else high)."""
+    """AGG-22: mean gas ratio per bucket and level (< 0.5 low, < 0.8 moderate, else high)."""
     by = _list(by)
     g = df.groupBy(*by, time_bucket(ts, width).alias("bucket")).agg(
         F.avg(ratio).alias("avg_ratio"), F.count(F.lit(1)).alias("n"))
-    return g.withColumn("level", F.when(F.col("avg_ratio") < 0.5, "low").when(F.col("avg_ratio") < 0.8, "medium")
+    return g.withColumn("level", F.when(F.col("avg_ratio") < 0.5, "low").when(F.col("avg_ratio") < 0.8, "moderate")
                         .otherwise("high"))
 
 

@@ -63,7 +63,7 @@ def zscore(df: DataFrame, col: str, by=None, min_count: int = 10, eps: float = 1
     """WIN-10: whole-series (or per-``by``) z-score.
 
     The series statistics are a grouped aggregate joined back on the group
-    key (for the whole series, a one-row aggregate), not a window: the
+    key (for the whole series, a scalar subquery), not a window: the
     aggregate is combined map-side, so a huge group never sits in one task.
     ``z`` is NULL for series with fewer than ``min_count`` values.
     """
@@ -73,7 +73,7 @@ def zscore(df: DataFrame, col: str, by=None, min_count: int = 10, eps: float = 1
     if by:
         j = df.join(stats, on=by, how="left")
     else:
-        j = df.withColumn("_one", F.lit(1)).join(stats.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        j = ordered.with_row(df, stats)
     z = F.when(F.col("_z_n") >= min_count, (F.col(col) - F.col("_z_mean")) / (F.col("_z_std") + F.lit(eps)))
     return (j.withColumn(f"{col}_z", z)
              .withColumn(f"{col}_outlier", F.abs(F.col(f"{col}_z")) > F.lit(threshold))

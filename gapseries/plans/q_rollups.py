@@ -146,7 +146,7 @@ def fee_trend(spark, sf_dir):
 
 @register("congestion", "AGG-22 FN-25", sql=with_(BLOCKS, UTIL) + """
 SELECT bucket, round(avg_ratio * 1e12) / 1e12 AS avg_ratio, n,
-       CASE WHEN avg_ratio < 0.5 THEN 'low' WHEN avg_ratio < 0.8 THEN 'medium' ELSE 'high' END AS level
+       CASE WHEN avg_ratio < 0.5 THEN 'low' WHEN avg_ratio < 0.8 THEN 'moderate' ELSE 'high' END AS level
 FROM (SELECT date_trunc('hour', "timestamp") AS bucket, avg(utilisation) AS avg_ratio, count(*) AS n
       FROM util GROUP BY 1) t""")
 def congestion(spark, sf_dir):

@@ -8,6 +8,7 @@ folder to cut lineage (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is. Only when it is unset (local tests) a scratch folder is
-    created and set.
+    and is used as is; without it this raises, as a folder of the driver's
+    machine would be missing on the executors. Only a local master (tests, the
+    bench) gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,6 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master!r})")
         current = tempfile.mkdtemp(prefix="gapseries-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None:

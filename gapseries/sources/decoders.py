@@ -33,41 +33,52 @@ RPC_MESSAGE = T.StructType([
 ])
 
 
+#: RPC fields that must hold a number, and those that may be absent.
+REQUIRED = {"timestamp": "timestamp", "number": "number", "gasLimit": "gas_limit", "gasUsed": "gas_used", "size": "size"}
+OPTIONAL = {"baseFeePerGas": "base_fee_per_gas", "blobGasUsed": "blob_gas_used", "excessBlobGas": "excess_blob_gas"}
+WIDE = {"difficulty": "difficulty", "totalDifficulty": "total_difficulty"}
+
+
 def decode_blocks(df: DataFrame, col: str = "json", keep_raw: bool = False) -> DataFrame:
     """SRC-4: RPC block JSON (``{"result": {...}}``) → typed block rows.
 
     Absent blob keys give NULL, ``"0x0"`` gives 0; an absent base fee is
     stored as 0 (era masking turns it into NULL for analysis); the
-    transaction count is the length of the hash list. ``_valid`` is false
-    for malformed JSON, a NULL result, a missing number or a difficulty
-    wider than ``decimal(38,0)``.
+    transaction count is the length of the hash list.
+
+    ``_valid`` is false for malformed JSON, a NULL result, a missing or
+    malformed required field (:data:`REQUIRED`, the transaction list), and an
+    optional field that is present but no hex number or too wide to store
+    (63 bits; ``decimal(38,0)`` for the difficulties). Such values are NULL
+    and never stored as a number.
     """
     p = F.from_json(F.col(col), RPC_MESSAGE, {"mode": "PERMISSIVE"}).alias("_p")
-    d = df.select("*", p) if keep_raw else df.select(p)
+    kept = list(df.columns) if keep_raw else []
     r = "_p.result."
-    out = d.select(
-        *([c for c in df.columns] if keep_raw else []),
-        H.epoch_to_ts(H.hex_to_long(F.col(r + "timestamp"))).alias("timestamp"),
-        H.hex_to_long(F.col(r + "number")).alias("number"),
-        H.hex_to_long(F.col(r + "gasLimit")).alias("gas_limit"),
-        H.hex_to_long(F.col(r + "gasUsed")).alias("gas_used"),
-        F.coalesce(H.hex_to_long(F.col(r + "baseFeePerGas")), F.lit(0).cast("bigint")).alias("base_fee_per_gas"),
-        H.array_len(F.col(r + "transactions")).cast("bigint").alias("transaction_count"),
-        H.hex_to_long(F.col(r + "size")).alias("size"),
-        H.hex_to_long(F.col(r + "blobGasUsed")).alias("blob_gas_used"),
-        H.hex_to_long(F.col(r + "excessBlobGas")).alias("excess_blob_gas"),
-        H.hex_to_decimal(F.col(r + "difficulty")).alias("difficulty"),
-        H.hex_to_decimal(F.col(r + "totalDifficulty")).alias("total_difficulty"),
-        F.col(r + "miner").alias("miner"),
-        H.hex_to_text(F.col(r + "extraData")).alias("builder_tag"),
-        F.col(r + "withdrawals").alias("withdrawals"),
-        (F.col("_p").isNotNull() & F.col("_p.result").isNotNull() & F.col(r + "number").isNotNull()
-         # a 256-bit value wider than 38 digits cannot be stored: quarantine, never truncate
-         & (F.col(r + "difficulty").isNull() | H.hex_to_decimal(F.col(r + "difficulty")).isNotNull())
-         & (F.col(r + "totalDifficulty").isNull() | H.hex_to_decimal(F.col(r + "totalDifficulty")).isNotNull())
-         ).alias("_valid"),
-    )
-    return out
+    # every value is decoded once, in this projection; the checks below only look at it
+    once = df.select(*df.columns, p).select(
+        *kept,
+        *[F.col(r + raw).alias("_r_" + name) for raw, name in {**OPTIONAL, **WIDE}.items()],
+        *[H.hex_to_long(F.col(r + raw)).alias("_n_" + name) for raw, name in {**REQUIRED, **OPTIONAL}.items()],
+        *[H.hex_to_decimal(F.col(r + raw)).alias("_n_" + name) for raw, name in WIDE.items()],
+        F.size(F.col(r + "transactions")).cast("bigint").alias("_n_transactions"),
+        F.col(r + "miner").alias("miner"), F.col(r + "extraData").alias("_extra"),
+        F.col(r + "withdrawals").alias("withdrawals"))
+    valid = F.col("_n_transactions") >= 0
+    for name in REQUIRED.values():
+        valid = valid & F.col("_n_" + name).isNotNull()
+    for name in [*OPTIONAL.values(), *WIDE.values()]:
+        valid = valid & (F.col("_r_" + name).isNull() | F.col("_n_" + name).isNotNull())
+    zero = F.lit(0).cast("bigint")
+    return once.select(
+        *kept,
+        H.epoch_to_ts(F.col("_n_timestamp")).alias("timestamp"),
+        *[F.col("_n_" + c).alias(c) for c in ("number", "gas_limit", "gas_used")],
+        F.coalesce("_n_base_fee_per_gas", zero).alias("base_fee_per_gas"),
+        F.greatest(F.coalesce("_n_transactions", zero), zero).alias("transaction_count"),
+        *[F.col("_n_" + c).alias(c) for c in ("size", "blob_gas_used", "excess_blob_gas", "difficulty", "total_difficulty")],
+        "miner", H.hex_to_text(F.col("_extra")).alias("builder_tag"), "withdrawals",
+        F.coalesce(valid, F.lit(False)).alias("_valid"))
 
 
 def split_blocks(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -98,20 +109,23 @@ def normalise_blocks(df: DataFrame) -> DataFrame:
 normalise = normalise_blocks     # SNK-1 name used in the operator inventory
 
 
-def encode_blocks(df: DataFrame) -> DataFrame:
+def encode_blocks(df: DataFrame, message_col: str | None = None) -> DataFrame:
     """Typed blocks → RPC JSON text (the inverse of :func:`decode_blocks`).
 
     Used to produce landed payloads from stored rows (replays, tests).
     Wide decimals are written through their 15-digit limbs; an optional
-    ``builder`` text column becomes ``extraData`` (hex bytes).
+    ``builder`` text column becomes ``extraData`` (hex bytes). ``message_col``
+    gives the JSON-RPC id of the message (default 1).
     """
     def dec_hex(c):
-        # decimal(38,0) < 2^127: high and low 60-bit halves
-        lo = F.pmod(F.col(c), F.lit(2 ** 60)).cast("bigint")
-        hi = F.floor(F.col(c) / F.lit(2 ** 60)).cast("bigint")
-        hexs = F.concat(F.when(hi > 0, F.lower(F.hex(hi))).otherwise(F.lit("")),
-                        F.when(hi > 0, F.lpad(F.lower(F.hex(lo)), 15, "0")).otherwise(F.lower(F.hex(lo))))
-        return F.concat(F.lit("0x"), hexs)
+        # 60-bit limbs from the low end; the remainder is taken off first, as decimal division rounds
+        base, rest, limbs = F.lit(2 ** 60).cast(UINT256), F.col(c), []
+        for _ in range(3):                  # 10^38 < 2^127 < 2^180
+            low = F.pmod(rest, base)
+            limbs.append(low.cast("bigint"))
+            rest = ((rest - low) / base).cast(UINT256)
+        digits = F.concat(*[F.lpad(F.lower(F.hex(x)), 15, "0") for x in reversed(limbs)])
+        return F.concat(F.lit("0x"), F.regexp_replace(digits, "^0+(?=.)", ""))
 
     res = F.struct(
         H.long_to_hex(F.col("number")).alias("number"),
@@ -133,7 +147,7 @@ def encode_blocks(df: DataFrame) -> DataFrame:
     # zero-transaction blocks encode an empty list
     res = res.withField("transactions", F.when(F.col("transaction_count") > 0, res["transactions"])
                         .otherwise(F.array().cast("array<string>")))
-    return df.select(F.to_json(F.struct(F.lit("2.0").alias("jsonrpc"), F.lit(1).alias("id"),
+    return df.select(F.to_json(F.struct(F.lit("2.0").alias("jsonrpc"), (F.col(message_col) if message_col else F.lit(1)).alias("id"),
                                         res.alias("result"))).alias("json"))
 
 
@@ -150,14 +164,18 @@ MEMPOOL_PAYLOAD = T.StructType([
 
 
 def decode_mempool(df: DataFrame, col: str = "json", keep: list[str] | None = None) -> DataFrame:
-    """SRC-6: mempool + fee payload → snapshot row (vsize / 1e6, fee / 1e8; absent → 0)."""
+    """SRC-6: mempool + fee payload → snapshot row (vsize / 1e6, fee / 1e8; absent → 0).
+
+    A payload that is no JSON or has no readable timestamp gives a row with a
+    NULL timestamp; :func:`split_timed` separates those.
+    """
     keep = keep or []
     p = F.from_json(F.col(col), MEMPOOL_PAYLOAD).alias("p")
     d = df.select(*keep, p)
     z = F.lit(0.0)
     return d.select(
         *keep,
-        F.to_timestamp(F.col("p.timestamp")).alias("timestamp"),
+        F.try_to_timestamp(F.col("p.timestamp")).alias("timestamp"),
         F.coalesce(F.col("p.mempool.count"), F.lit(0).cast("bigint")).alias("unconfirmed_count"),
         (F.coalesce(F.col("p.mempool.vsize"), z) / F.lit(1e6)).alias("vsize_mb"),
         (F.coalesce(F.col("p.mempool.total_fee"), z) / F.lit(1e8)).alias("total_fee_btc"),
@@ -169,6 +187,11 @@ def decode_mempool(df: DataFrame, col: str = "json", keep: list[str] | None = No
     )
 
 
+def split_timed(decoded: DataFrame, ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """STR-11 for time series: (rows with a time, quarantined rows without)."""
+    return decoded.filter(F.col(ts).isNotNull()), decoded.filter(F.col(ts).isNull())
+
+
 # -- fee history (SRC-7) ---------------------------------------------------------
 
 FEE_HISTORY = T.StructType([
@@ -187,23 +210,25 @@ def decode_fee_history(df: DataFrame, col: str = "json", keep: list[str] | None
     The base-fee arrays are one longer than the block arrays; their last
     element (the next block's base fee) is kept on every row as
     ``next_base_fee``. Rewards are the 25th/50th/75th priority percentiles.
+    Arrays that are too short, and malformed numbers, give NULLs; a payload
+    without a gas ratio list gives no row.
     """
     keep = keep or []
     p = F.from_json(F.col(col), FEE_HISTORY).alias("p")
     d = df.select(*keep, p)
     d = d.select(*keep, "p", F.posexplode(F.col("p.gasUsedRatio")).alias("i", "gas_used_ratio"))
-    reward = F.element_at(F.col("p.reward"), F.col("i") + 1)
+    reward = F.get("p.reward", F.col("i"))
     return d.select(
         *keep,
         (H.hex_to_long(F.col("p.oldestBlock")) + F.col("i")).alias("number"),
-        H.hex_to_long(F.element_at(F.col("p.baseFeePerGas"), F.col("i") + 1)).alias("base_fee_per_gas"),
+        H.hex_to_long(F.get("p.baseFeePerGas", F.col("i"))).alias("base_fee_per_gas"),
         F.col("gas_used_ratio"),
-        F.element_at(F.col("p.blobGasUsedRatio"), F.col("i") + 1).alias("blob_gas_used_ratio"),
-        H.hex_to_long(F.element_at(F.col("p.baseFeePerBlobGas"), F.col("i") + 1)).alias("base_fee_per_blob_gas"),
-        H.hex_to_long(F.element_at(reward, 1)).alias("reward_p25"),
-        H.hex_to_long(F.element_at(reward, 2)).alias("reward_p50"),
-        H.hex_to_long(F.element_at(reward, 3)).alias("reward_p75"),
-        H.hex_to_long(F.element_at(F.col("p.baseFeePerGas"), -1)).alias("next_base_fee"),
+        F.get("p.blobGasUsedRatio", F.col("i")).alias("blob_gas_used_ratio"),
+        H.hex_to_long(F.get("p.baseFeePerBlobGas", F.col("i"))).alias("base_fee_per_blob_gas"),
+        H.hex_to_long(F.get(reward, F.lit(0))).alias("reward_p25"),
+        H.hex_to_long(F.get(reward, F.lit(1))).alias("reward_p50"),
+        H.hex_to_long(F.get(reward, F.lit(2))).alias("reward_p75"),
+        H.hex_to_long(F.try_element_at("p.baseFeePerGas", F.lit(-1))).alias("next_base_fee"),
     )
 
 
@@ -214,7 +239,9 @@ def decode_klines(df: DataFrame, col: str = "json", symbol: str | Column = "symb
     """SRC-8: exchange kline arrays (12 elements) → OHLCV rows.
 
     Numbers arrive as strings or numbers; unparsable values become NULL
-    (``try_cast``). ``start_ms``/``end_ms`` cut ``open_time`` half-open.
+    (``try_cast``), as do the missing fields of a short array; a row without
+    a readable open time has a NULL ``ts`` (see :func:`split_timed`), which no
+    bound cuts off. ``start_ms``/``end_ms`` cut ``open_time`` half-open.
     """
     arr = F.from_json(F.col(col), T.ArrayType(T.ArrayType(T.StringType())))
     sym = F.col(symbol) if isinstance(symbol, str) and symbol in df.columns else (
@@ -222,14 +249,14 @@ def decode_klines(df: DataFrame, col: str = "json", symbol: str | Column = "symb
     d = df.select(sym.alias("symbol"), F.explode(arr).alias("k"))
 
     def num(i, t="double"):
-        return F.element_at(F.col("k"), i).try_cast(t)
+        return F.get("k", F.lit(i - 1)).try_cast(t)
     out = d.select("symbol", num(1, "bigint").alias("open_ms"),
                    num(2).alias("open"), num(3).alias("high"), num(4).alias("low"), num(5).alias("close"),
                    num(6).alias("volume"), num(9, "bigint").alias("trades"))
     if start_ms is not None:
-        out = out.filter(F.col("open_ms") >= F.lit(start_ms))
+        out = out.filter(F.col("open_ms").isNull() | (F.col("open_ms") >= F.lit(start_ms)))
     if end_ms is not None:
-        out = out.filter(F.col("open_ms") < F.lit(end_ms))
+        out = out.filter(F.col("open_ms").isNull() | (F.col("open_ms") < F.lit(end_ms)))
     return out.select("symbol", F.timestamp_millis(F.col("open_ms")).alias("ts"), "open", "high", "low", "close",
                       "volume", "trades")
 

@@ -1,122 +1,180 @@
 """Stateful stream gap tracking (STR-4, STR-5, STR-6) with ``transformWithStateInPandas``.
 
-State per chain (RocksDB state store, checkpointed with the query):
+The state is keyed by ``(chain, number div WIDTH)``: each key holds a bitmap of
+the numbers present in its bucket (``WIDTH / 8`` bytes, whatever the traffic),
+so a chain is spread over as many tasks as it has buckets, in bulk replays too.
+What is present does not depend on the order of arrival; neither, in the end,
+do the open gaps.
 
-* ``expected`` — the next block number expected; never moves backwards
-  (a late block does not reset it);
-* ``missed`` — open missed ranges ``gap_start → gap_end``; a late block
-  inside a range closes that number (the range is split);
-* ``last`` — newest block number and its arrival (for staleness).
+Events of a bucket, per micro-batch:
 
-Output events: ``gap`` (a new missed range, with ``handling`` inline when
-at most ``inline_max`` blocks), ``filled`` (a late block closed a missed
-number), ``stale`` (no block for ``stale_after_s`` seconds of processing
-time: the dead-man timer).
+* ``gap``    a range between two present numbers of the bucket that is missing
+  and was not reported before (``handling`` ``inline`` up to ``inline_max``);
+* ``filled`` a range reported missing before that has now arrived;
+* ``edge``   the bucket's lowest and highest present number, when changed.
 
-One chain is one key, i.e. one task: fine for a live chain (one block every
-few seconds); bulk replays belong to batch gap detection.
+:func:`open_gaps` reduces the events to the gaps still open, and finds those
+between buckets from the edges: a step over one row per bucket.
+
+Staleness (the dead-man timer) is a processor of its own, over one row per
+chain and task: :func:`stale_events`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-OUTPUT_SCHEMA = ("chain string, event string, gap_start long, gap_end long, gap_size long, number long, "
+from gapseries.operators.ordered import exclusive_scan
+
+OUTPUT_SCHEMA = ("chain string, bucket long, event string, gap_start long, gap_end long, gap_size long, "
                  "handling string, at_ms long")
+STALE_SCHEMA = "chain string, event string, number long, at_ms long"
+WIDTH = 1 << 16
+INLINE_MAX = 5
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _ranges(mask: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of true values: (first, last) positions."""
+    step = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+    return list(zip(np.flatnonzero(step == 1).tolist(), (np.flatnonzero(step == -1) - 1).tolist()))
+
+
+def _missing(present: np.ndarray) -> np.ndarray:
+    """Absent positions between the first and the last present one."""
+    out = np.zeros(len(present), bool)
+    at = np.flatnonzero(present)
+    if len(at):
+        out[at[0]:at[-1]] = ~present[at[0]:at[-1]]
+    return out
+
+
 class GapTracker(StatefulProcessor):
-    def __init__(self, inline_max: int = 5, stale_after_s: int | None = 960):
-        self.inline_max = inline_max
-        self.stale_after_ms = None if stale_after_s is None else stale_after_s * 1000
+    def __init__(self, inline_max: int = INLINE_MAX, width: int = WIDTH):
+        self.inline_max, self.width = inline_max, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.present = handle.getValueState("present", "bits binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        chain, bucket = key
+        now, low = timerValues.getCurrentProcessingTimeInMs(), bucket * self.width
+        before = np.zeros(self.width, bool)
+        if self.present.exists():
+            before = np.unpackbits(np.frombuffer(self.present.get()[0], np.uint8), count=self.width).astype(bool)
+        after = before.copy()
+        for pdf in rows:
+            after[pdf["number"].to_numpy(np.int64) - low] = True
+        if (after == before).all():
+            return
+        self.present.update((np.packbits(after).tobytes(),))
+        was, missing = _missing(before), _missing(after)
+        out = [("gap", a, b) for a, b in _ranges(missing & ~was)] + [("filled", a, b) for a, b in _ranges(was & ~missing)]
+        at = np.flatnonzero(after)
+        old = np.flatnonzero(before)
+        if not len(old) or (old[0], old[-1]) != (at[0], at[-1]):
+            out.append(("edge", int(at[0]), int(at[-1])))
+        yield pd.DataFrame([{"chain": chain, "bucket": bucket, "event": event, "gap_start": low + a, "gap_end": low + b,
+                             "gap_size": b - a + 1, "at_ms": now,
+                             "handling": None if event != "gap" else "inline" if b - a < self.inline_max else "deferred"}
+                            for event, a, b in out])
+
+    def close(self) -> None:
+        pass
+
+
+def _by_value() -> None:
+    """Ship the processor classes by value: Python workers then need no package on their path but pyspark."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def gap_processor(stream: DataFrame, chain_col: str = "chain", inline_max: int = INLINE_MAX, width: int = WIDTH) -> DataFrame:
+    """STR-4/5: ``gap``, ``filled`` and ``edge`` events of a block stream (``chain``, ``number``).
+
+    Rows without a number are ignored. Sets the session's state store provider
+    to RocksDB (:data:`ROCKSDB`) for queries started afterwards.
+    """
+    _by_value()
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    s = stream.filter(F.col("number").isNotNull()).select(
+        F.col(chain_col).alias("chain"), F.floor(F.col("number") / F.lit(width)).cast("bigint").alias("bucket"),
+        F.col("number").cast("bigint").alias("number"))
+    return s.groupBy("chain", "bucket").transformWithStateInPandas(
+        statefulProcessor=GapTracker(inline_max, width), outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="None")
+
+
+def open_gaps(events: DataFrame, inline_max: int = INLINE_MAX) -> DataFrame:
+    """Gaps still open after all ``events`` (of :func:`gap_processor`): ``(chain, gap_start, gap_end, gap_size, handling)``.
+
+    Inside a bucket a number is open if it was reported missing and not
+    filled since; the order of the events plays no part. Between buckets the
+    gap runs from the highest present number of the bucket before.
+    """
+    ranges = events.filter(F.col("event").isin("gap", "filled"))
+    sign = F.when(F.col("event") == "gap", 1).otherwise(-1)
+    points = ranges.select("chain", "bucket", F.explode(F.array(
+        F.struct(F.col("gap_start").alias("at"), sign.alias("step")),
+        F.struct((F.col("gap_end") + 1).alias("at"), (-sign).alias("step")))).alias("p"))
+    points = points.groupBy("chain", "bucket", F.col("p.at").alias("at")).agg(F.sum("p.step").alias("step")).filter("step <> 0")
+    w = Window.partitionBy("chain", "bucket").orderBy("at")
+    inner = points.select("chain", F.col("at").alias("gap_start"), (F.lead("at").over(w) - 1).alias("gap_end"),
+                          F.sum("step").over(w).alias("depth")).filter("depth > 0").drop("depth")
+    edges = events.filter("event = 'edge'").groupBy("chain", "bucket").agg(F.min("gap_start").alias("lo"), F.max("gap_end").alias("hi"))
+    scan = exclusive_scan(edges, ["chain"], "bucket", "hi", "last", "prev_hi")
+    between = scan.filter(F.col("lo") - F.col("prev_hi") > 1).select(
+        "chain", (F.col("prev_hi") + 1).alias("gap_start"), (F.col("lo") - 1).alias("gap_end"))
+    size = F.col("gap_end") - F.col("gap_start") + 1
+    return inner.unionByName(between).withColumn("gap_size", size).withColumn(
+        "handling", F.when(F.col("gap_size") <= inline_max, "inline").otherwise("deferred"))
+
+
+class StaleTimer(StatefulProcessor):
+    def __init__(self, stale_after_s: int):
+        self.stale_after_ms = stale_after_s * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.expected = handle.getValueState("expected", "value long")
-        self.last = handle.getValueState("last", "number long, at_ms long")
-        self.missed = handle.getMapState("missed", "gap_start long", "gap_end long")
-
-    def _row(self, chain, event, start=None, end=None, number=None, at=None):
-        size = None if start is None else end - start + 1
-        handling = None
-        if event == "gap":
-            handling = "inline" if size <= self.inline_max else "deferred"
-        return {"chain": chain, "event": event, "gap_start": start, "gap_end": end, "gap_size": size,
-                "number": number, "handling": handling, "at_ms": at}
-
-    def _close(self, n: int) -> bool:
-        """Close number ``n`` if it lies in an open missed range."""
-        for (start,), (end,) in list(self.missed.iterator()):
-            if start <= n <= end:
-                self.missed.removeKey((start,))
-                if start <= n - 1:
-                    self.missed.updateValue((start,), (n - 1,))
-                if n + 1 <= end:
-                    self.missed.updateValue((n + 1,), (end,))
-                return True
-        return False
+        self.last = handle.getValueState("last", "number long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        chain = key[0]
-        now = timerValues.getCurrentProcessingTimeInMs()
-        nums = sorted(set(int(x) for pdf in rows for x in pdf["number"].tolist()))
-        expected = self.expected.get()[0] if self.expected.exists() else None
-        out = []
-        for n in nums:
-            if expected is None or n == expected:
-                expected = n + 1
-            elif n > expected:
-                self.missed.updateValue((expected,), (n - 1,))
-                out.append(self._row(chain, "gap", expected, n - 1, n, now))
-                expected = n + 1
-            elif self._close(n):
-                out.append(self._row(chain, "filled", n, n, n, now))
-        if nums:
-            self.expected.update((expected,))
-            newest = max(nums)
-            prev = self.last.get()[0] if self.last.exists() else None
-            if prev is None or newest >= prev:
-                self.last.update((newest, now))
-            if self.stale_after_ms is not None:
-                for t in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(now + self.stale_after_ms)
-        if out:
-            yield pd.DataFrame(out)
+        newest = max(int(pdf["number"].max()) for pdf in rows)
+        if not self.last.exists() or newest >= self.last.get()[0]:
+            self.last.update((newest,))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.stale_after_ms)
+        yield pd.DataFrame(columns=["chain", "event", "number", "at_ms"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        chain = key[0]
-        number = self.last.get()[0] if self.last.exists() else None
-        yield pd.DataFrame([self._row(chain, "stale", number=number, at=expiredTimerInfo.getExpiryTimeInMs())])
+        yield pd.DataFrame([{"chain": key[0], "event": "stale", "number": self.last.get()[0],
+                             "at_ms": expiredTimerInfo.getExpiryTimeInMs()}])
 
     def close(self) -> None:
         pass
 
 
-def gap_processor(stream: DataFrame, chain_col: str = "chain", inline_max: int = 5,
-                  stale_after_s: int | None = 960) -> DataFrame:
-    """STR-4/5/6: gap / filled / stale events from a block stream (``chain``, ``number``).
+def _newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per chain and batch, ahead of the shuffle."""
+    for pdf in batches:
+        if len(pdf):
+            yield pdf.groupby("chain", as_index=False)["number"].max()
 
-    Sets the session's state store provider to RocksDB (:data:`ROCKSDB`) for
-    queries started afterwards.
-    ``stale_after_s=None`` disables the dead-man timer (no processing-time
-    mode), e.g. for ``availableNow`` catch-up runs, which would otherwise
-    keep running timer batches.
-    """
-    # ship the processor class by value: Python workers then need pandas and
-    # pyspark only, not this package on their path
-    import sys
 
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+def stale_events(stream: DataFrame, chain_col: str = "chain", stale_after_s: int = 960) -> DataFrame:
+    """STR-6: a ``stale`` event when a chain sends no block for ``stale_after_s`` seconds of processing time."""
+    _by_value()
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    s = stream.select(chain_col, "number")
-    return s.groupBy(chain_col).transformWithStateInPandas(
-        statefulProcessor=GapTracker(inline_max, stale_after_s), outputStructType=OUTPUT_SCHEMA,
-        outputMode="Append", timeMode="None" if stale_after_s is None else "ProcessingTime")
+    s = (stream.filter(F.col("number").isNotNull()).select(F.col(chain_col).alias("chain"), F.col("number").cast("bigint"))
+         .mapInPandas(_newest, "chain string, number long"))
+    return s.groupBy("chain").transformWithStateInPandas(
+        statefulProcessor=StaleTimer(stale_after_s), outputStructType=STALE_SCHEMA, outputMode="Append", timeMode="ProcessingTime")

@@ -42,8 +42,7 @@ def test_ingest_available_now_replay_idempotent(spark):
     assert t.count() == n1 and t.select("number").distinct().count() == n1
 
 
-def test_gap_processor_late_block_closes_gap(spark):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", gap_state.ROCKSDB)
+def test_gap_processor_any_order(spark):
     base = tempfile.mkdtemp(prefix="gs-gaps-")
     src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
     schema = "chain string, number long"
@@ -51,44 +50,63 @@ def test_gap_processor_late_block_closes_gap(spark):
     def run():
         # catch-up runs: the state survives between them in the checkpoint
         stream = spark.readStream.schema(schema).parquet(os.path.join(src, "*"))
-        q = (gap_state.gap_processor(stream, stale_after_s=None).writeStream.format("parquet")
+        q = (gap_state.gap_processor(stream, width=8).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt).outputMode("append")
              .trigger(availableNow=True).start())
-        assert q.awaitTermination(240)
+        q.awaitTermination()
 
-    spark.createDataFrame([("eth", 1), ("eth", 2), ("eth", 5)], schema).write.parquet(os.path.join(src, "b1"))
+    def events():
+        return sorted((r.event, r.gap_start, r.gap_end) for r in spark.read.parquet(out).where("event <> 'edge'").collect())
+
+    spark.createDataFrame([("eth", 9), ("eth", 10), ("eth", 13), ("eth", 30), ("eth", None)], schema).write.parquet(os.path.join(src, "b1"))
     run()
-    spark.createDataFrame([("eth", 4), ("eth", 6)], schema).write.parquet(os.path.join(src, "b2"))
+    assert events() == [("gap", 11, 12)]
+    # late blocks: one closes a number, one opens a range below the lowest so far, one lies in a bucket of its own
+    spark.createDataFrame([("eth", 12), ("eth", 1), ("eth", 15), ("eth", 12)], schema).write.parquet(os.path.join(src, "b2"))
     run()
-    ev = sorted((r.event, r.gap_start, r.gap_end) for r in spark.read.parquet(out).collect())
-    # 3..4 missed; the late 4 closes it; expectation stayed at 6 (no gap from 5 again)
-    assert ev == [("filled", 4, 4), ("gap", 3, 4)]
+    assert events() == [("filled", 12, 12), ("gap", 11, 12), ("gap", 14, 14)]
+    got = sorted((r.gap_start, r.gap_end, r.handling) for r in gap_state.open_gaps(spark.read.parquet(out)).collect())
+    assert got == [(2, 8, "deferred"), (11, 11, "inline"), (14, 14, "inline"), (16, 29, "deferred")]
 
 
-def test_rollup_stream(spark):
+def test_rollup_counts_late_rows(spark):
     base = tempfile.mkdtemp(prefix="gs-roll-")
     blocks = driver.blocks(spark, SF001).select("timestamp", "number", "transaction_count", "gas_used")
-    blocks.write.parquet(os.path.join(base, "in"))
-    stream = spark.readStream.schema(blocks.schema).parquet(os.path.join(base, "in"))
-    q = (ingest.rollup_stream(stream, width="1 day", watermark="1 hour").writeStream.format("memory")
-         .queryName("rollup_out").outputMode("append").option("checkpointLocation", os.path.join(base, "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    got = spark.sql("SELECT sum(blocks) FROM rollup_out").first()[0]
-    # all windows but the last are closed by the watermark
-    last_day = blocks.agg(F.max(F.to_date("timestamp"))).first()[0]
-    expected = blocks.filter(F.to_date("timestamp") < F.lit(last_day)).count()
-    assert got == expected
+    # newest first, one file per trigger
+    blocks.repartitionByRange(4, F.col("number").desc()).write.parquet(os.path.join(base, "in"))
+    stream = spark.readStream.schema(blocks.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in"))
+    out = os.path.join(base, "out")
+    ingest.start_rollup(stream, out, os.path.join(base, "ck"), width="1 day").awaitTermination()
+    got = {r.bucket.date(): (r.blocks, r.tx) for r in ingest.read_rollup(spark, out).collect()}
+    want = {r.d: (r.n, r.tx) for r in blocks.groupBy(F.to_date("timestamp").alias("d")).agg(
+        F.count("*").alias("n"), F.sum("transaction_count").alias("tx")).collect()}
+    assert got == want
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 4
+
+
+def test_quarantine_keeps_equal_messages_and_survives_a_retry(spark):
+    base = tempfile.mkdtemp(prefix="gs-quar-")
+    landed = os.path.join(base, "landed")
+    os.makedirs(landed)
+    with open(os.path.join(landed, "junk.json"), "w") as fh:
+        fh.write("{broken\n" * 3 + '{"result": {"number": "0x1z"}}\n')
+    run = lambda: ingest.start_ingest(ingest.block_stream(spark, landed), *(os.path.join(base, x) for x in ("t", "q", "ckpt")),
+                                      available_now=True).awaitTermination()
+    run()
+    assert spark.read.parquet(os.path.join(base, "q")).count() == 4
+    # forget the commit: the batch runs again
+    os.remove(os.path.join(base, "ckpt", "commits", "0"))
+    run()
+    assert spark.read.parquet(os.path.join(base, "q")).count() == 4
 
 
-def test_gap_processor_stale_timer(spark):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", gap_state.ROCKSDB)
+def test_stale_timer(spark):
     base = tempfile.mkdtemp(prefix="gs-stale-")
     src = os.path.join(base, "src")
     schema = "chain string, number long"
     spark.createDataFrame([("eth", 10)], schema).write.parquet(os.path.join(src, "b1"))
     stream = spark.readStream.schema(schema).parquet(os.path.join(src, "*"))
-    q = (gap_state.gap_processor(stream, stale_after_s=2).writeStream.format("memory").queryName("stale_events")
+    q = (gap_state.stale_events(stream, stale_after_s=2).writeStream.format("memory").queryName("stale_events")
          .option("checkpointLocation", os.path.join(base, "ckpt")).outputMode("append")
          .trigger(processingTime="1 second").start())
     try:

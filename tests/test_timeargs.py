@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from gapseries.functions.timeargs import format_bound, normalize_bound, validate_range_args
+from gapseries.functions.timeargs import normalize_bound, validate_range_args
 
 
 @pytest.mark.parametrize("text,is_end,expected", [
@@ -19,8 +19,8 @@ from gapseries.functions.timeargs import format_bound, normalize_bound, validate
     ("2024-03-13 12:30:45.123456", False, "2024-03-13 12:30:45.123"),
     ("2024-03-13 12:30:45.999999", False, "2024-03-13 12:30:45.999"),
 ])
-def test_format_bound(text, is_end, expected):
-    assert format_bound(text, is_end) == expected
+def test_bound(text, is_end, expected):
+    assert normalize_bound(text, is_end).isoformat(" ", "milliseconds") == expected
 
 
 def test_offset_converted_to_utc():
@@ -31,7 +31,8 @@ def test_offset_converted_to_utc():
                                 dict(start=None, end=None, limit=None),
                                 dict(start="2024-03-14", end="2024-03-13", limit=None),
                                 dict(start="2024-03-13 12:00:00", end="2024-03-13", limit=None),
-                                dict(start=None, end=None, limit=-1)])
+                                dict(start=None, end=None, limit=-1), dict(start=None, end=None, limit=True),
+                                dict(start=None, end=None, limit=2.0), dict(start="no date", end="2024-03-13", limit=None)])
 def test_invalid(kw):
     with pytest.raises(ValueError):
         validate_range_args(**kw)
