@@ -256,7 +256,8 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     total, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
     norm = total + ALPHA * (distinct + 1)
     head_rows = (vocabulary.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(HEAD)).collect()
-    head = spark.sparkContext.broadcast({r["word"].encode(): r["c"] for r in head_rows})
+    head = spark.sparkContext.broadcast({r["word"].encode(): float(np.log10((r["c"] + ALPHA) / norm)) for r in head_rows})
+    end_log = float(np.log10((ends + ALPHA) / norm))
     # the word filter: fewer bits an entry beyond the bound (an entry a level: 2 on average covers Zipf's tail)
     fit = min(BITS, max_filter_bytes * 8 / max(1, 2 * distinct))
     word_bits = _range_bits(distinct)
@@ -274,14 +275,10 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         T.StructField("tail", T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])))])
     later = T.StructType([T.StructField("row", T.LongType()), T.StructField("more", T.DoubleType())])
 
-    def model(h: np.ndarray, pair_filter: Filter, one: Filter) -> np.ndarray:
-        """log10 probability of each token after its predecessor; 0 where the pair is in another slice."""
+    def model(h: np.ndarray, c: np.ndarray, pair_filter: Filter) -> np.ndarray:
+        """log10 probability of each token but the first after its predecessor; 0 where the pair is in another slice."""
         keys = pair_keys(h[:-1], h[1:])
         out, mine = np.zeros(len(keys)), pair_filter.has(keys)
-        distinct_words, at = np.unique(h, return_inverse=True)
-        c = one.counts(word_keys(distinct_words))
-        c[(distinct_words == START) | (distinct_words == END)] = ends
-        c = c[at]
         before, after = c[:-1][mine], c[1:][mine]
         pair = np.minimum(pair_filter.counts(keys[mine]), before)
         ratio = np.divide(pair, before, out=np.zeros(len(pair)), where=before > 0)
@@ -292,28 +289,35 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         known, one, pairs = head.value, word_filter.value, pair_filter.value
         for batch in pieces(batches, limit=4 << 20):
             texts = [words(t.as_py()) for t in batch.column(3)]
-            h = np.concatenate([x for own in texts for x in ([START], hashes(own), [END])])
+            flat = [w for own in texts for w in own]
+            sizes = np.array([len(own) for own in texts], np.int64)
+            n, doc = len(texts), np.repeat(np.arange(len(texts)), sizes)
+            # distinct words of the batch, told apart by 64-bit hashes
+            distinct_words, first_at, at = np.unique(hashes(flat), return_index=True, return_inverse=True)
+            starts = np.cumsum(sizes + 2) - sizes - 2
+            h, c, inner = np.full(len(flat) + 2 * n, START), np.full(len(flat) + 2 * n, float(ends)), np.ones(len(flat) + 2 * n, bool)
+            h[starts + sizes + 1] = END
+            inner[starts] = inner[starts + sizes + 1] = False
+            h[inner], c[inner] = distinct_words[at], one.counts(word_keys(distinct_words))[at]
             each = np.zeros(len(h))
-            each[1:] = model(h, pairs, one)
-            starts = np.cumsum([0] + [len(own) + 2 for own in texts])[:-1]
+            each[1:] = model(h, c, pairs)
             each[starts] = 0                        # the start mark is no token
-            totals = np.add.reduceat(each, starts)
+            totals = np.bincount(np.repeat(np.arange(n), sizes + 2), weights=each, minlength=n)
             if not bases:
                 yield [batch.column(0), totals]
                 continue
-            columns: list[list] = [[], [], [], []]
-            for own in texts:
-                base, seen, tail = np.log10((ends + ALPHA) / norm), int(ends > 0), []
-                for word, n in Counter(own).items():
-                    c = known.get(word)
-                    if c is None:
-                        tail.append({"word": word.decode(), "n": n})
-                    else:
-                        base += n * np.log10((c + ALPHA) / norm)
-                        seen += n
-                for column, value in zip(columns, (len(own) + 1, seen, base, tail)):
-                    column.append(value)
-            yield [batch.column(0), batch.column(1), batch.column(2), *columns[:3], totals, columns[3]]
+            names = [flat[k] for k in first_at.tolist()]
+            log = np.array([known.get(w, np.nan) for w in names], np.float64)
+            hit = ~np.isnan(log)[at]
+            base = end_log + np.bincount(doc[hit], weights=log[at[hit]], minlength=n)
+            seen = int(ends > 0) + np.bincount(doc[hit], minlength=n)
+            rare, times = np.unique(doc[~hit] * max(1, len(names)) + at[~hit], return_counts=True)
+            owner, word = np.divmod(rare, max(1, len(names)))
+            tail = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()),
+                pa.StructArray.from_arrays([pa.array([names[k] for k in word.tolist()], pa.binary()).cast(pa.string()),
+                                            pa.array(times, pa.int64())], ["word", "n"]))
+            yield [batch.column(0), batch.column(1), batch.column(2), sizes + 1, seen, base, totals, tail]
     # one pass for the first slice and the base scores, one for each further slice
     own = materialise(rows.mapInArrow(arrow_rows(lambda b, f=filters[0]: scored(b, f, True), first), first), "scores")
     z = F.lit(float(norm))
