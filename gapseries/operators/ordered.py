@@ -304,6 +304,17 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
         "_gs_mid", "_gs_pid", "_gs_pos", "_gs_off", "_gs_first")
 
 
+def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
+    """TOP-3: rows in the given order, with their 1-based position (no single-task window).
+
+    ``order`` must be a total order for a repeatable result.
+    """
+    names = [f"_gs_o{i}" for i in range(len(order))]
+    # the direction goes into the range partitioning, so any mix of asc / desc works
+    keyed = df.select("*", *[c.alias(n) for c, n in zip(order, names)])
+    return range_rank(keyed, names).withColumn(out, F.col(IDX) + 1).drop(IDX, *names).orderBy(out)
+
+
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str | None = None,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """Exact quantile with linear interpolation (same as ``percentile(x, q)``), one row per group.

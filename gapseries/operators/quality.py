@@ -193,22 +193,43 @@ def gap_report_rows(time_gaps: DataFrame, chain: str, detected: Column, status:
 
 
 def persistent_gaps(gap_reports: DataFrame, as_of, hours: float = 24) -> DataFrame:
-    """GAP-7: gaps not backfilled within ``hours`` of detection (largest first)."""
+    """GAP-7 / TOP-3: gaps not backfilled within ``hours`` of detection, largest first."""
     now = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
     cutoff = now - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
     g = gap_reports.filter((F.col("backfill_status") != "completed") & (F.col("timestamp") <= cutoff))
     return g.select("chain", "gap_start", "gap_end", (F.col("gap_duration_seconds") / 3600.0).alias("gap_hours"),
                     "backfill_status", "backfill_attempts",
                     ((F.unix_micros(now) - F.unix_micros(F.col("timestamp"))) / F.lit(3.6e9))
-                    .alias("hours_since_detection"))
+                    .alias("hours_since_detection")).orderBy(F.desc("gap_hours"), "chain", "gap_start")
 
 
 def recent_anomalies(anoms: DataFrame, as_of, hours: float = 1, severity_level: str = "high") -> DataFrame:
-    """DQ-9: anomalies of a severity detected in the last ``hours``, by z descending."""
+    """DQ-9 / TOP-3: anomalies of a severity detected in the last ``hours``, by z descending."""
     now = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
     lo = now - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
     return (anoms.filter((F.col("severity") == severity_level) & (F.col("timestamp") >= lo))
-            .select("chain", "data_timestamp", "field", "value", "z_score", "anomaly_type", "severity"))
+            .select("chain", "data_timestamp", "field", "value", "z_score", "anomaly_type", "severity")
+            .orderBy(F.desc("z_score"), "data_timestamp", "chain", "field"))
+
+
+def change_anomalies(df: DataFrame, col: str, order: str = "number", ts: str = "timestamp", jump: float = 0.5,
+                     chain: str = "ethereum", kind: str = "rate_change", as_of=None,
+                     bands: tuple[float, float, float] = (0.5, 1.0, 2.0)) -> DataFrame:
+    """DQ-4: sudden changes from one row to the next → anomaly report rows.
+
+    ``rate_change`` (prices, fees) and ``volume`` (sizes, counts) flag a relative
+    change of more than ``jump``; ``z_score`` holds the change, ``mean`` the
+    value before, the severity follows ``bands`` of the change. A step from
+    zero has no relative change and is not flagged.
+    """
+    d = ordered.with_prev(df.select(order, ts, col), order, [col], prefix="_p_")
+    change = F.try_divide(F.col(col) - F.col("_p_" + col), F.abs(F.col("_p_" + col)))
+    d = d.withColumn("_chg", change).filter(F.abs("_chg") > F.lit(jump))
+    when = F.col(ts) if as_of is None else F.lit(as_of).cast("timestamp")
+    return d.select(when.alias("timestamp"), F.lit(chain).alias("chain"), F.col(ts).alias("data_timestamp"),
+                    F.lit(col).alias("field"), F.col(col).cast("double").alias("value"), F.col("_chg").cast("double").alias("z_score"),
+                    F.col("_p_" + col).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"),
+                    F.lit(kind).alias("anomaly_type"), severity(F.col("_chg"), bands).alias("severity"))
 
 
 def errors_between(reports: DataFrame, t0, t1) -> DataFrame:

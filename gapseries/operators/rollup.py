@@ -65,22 +65,37 @@ def count_by_month(df: DataFrame, ts: str) -> DataFrame:
     return df.groupBy(F.date_format(ts, "yyyyMM").alias("year_month")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def failures_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """AGG-10: failed checks per key: count, total failures, latest failing run."""
-    f = df.filter(F.col("status") == "fail")
+REPORT_DAYS = 7         # window of the failure and success reports
+
+
+def last_days(df: DataFrame, as_of, days: int | None = REPORT_DAYS, ts: str = "timestamp") -> DataFrame:
+    """Rows from midnight ``days`` days before the day of ``as_of`` on (None: all rows)."""
+    if as_of is None or days is None:
+        return df
+    day = F.to_date(F.lit(as_of).cast("timestamp"))
+    return df.filter(F.col(ts) >= F.date_sub(day, days).cast("timestamp"))
+
+
+def failures_by(df: DataFrame, keys: Sequence[str], as_of=None, days: int | None = REPORT_DAYS) -> DataFrame:
+    """AGG-10 / TOP-3: failed checks per key: count, total failures, latest failing run; most failures first.
+
+    With ``as_of`` only the last ``days`` days count.
+    """
+    f = last_days(df, as_of, days).filter(F.col("status") == "fail")
     return f.groupBy(*keys).agg(F.count(F.lit(1)).alias("failure_count"),
                                 F.sum("failures").cast("bigint").alias("total_failures"),
-                                F.max("timestamp").alias("last_failure"))
+                                F.max("timestamp").alias("last_failure")).orderBy(F.desc("failure_count"), *keys)
 
 
-def success_rate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """AGG-11: checks, passes, fails, warnings and success rate in percent."""
+def success_rate(df: DataFrame, keys: Sequence[str], as_of=None, days: int | None = REPORT_DAYS) -> DataFrame:
+    """AGG-11: checks, passes, fails, warnings and success rate in percent, by key; with ``as_of`` of the last ``days`` days."""
+    df = last_days(df, as_of, days)
     n = F.count(F.lit(1))
     passes = F.count_if(F.col("status") == "pass")
     return df.groupBy(*keys).agg(
         n.alias("total_checks"), passes.alias("passes"), F.count_if(F.col("status") == "fail").alias("fails"),
         F.count_if(F.col("status") == "warning").alias("warnings"),
-        (passes.cast("double") / n * 100).alias("success_rate"))
+        (passes.cast("double") / n * 100).alias("success_rate")).orderBy(*keys)
 
 
 def layer_counts(df: DataFrame, layer: str = "layer", severity: str = "severity") -> DataFrame:
@@ -228,6 +243,15 @@ def correlation(df: DataFrame, a: str, b: str, by=None, window: int | None = Non
     return df.groupBy(*by).agg(r.alias(f"corr_{a}_{b}"), F.count(F.lit(1)).alias("n"))
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """AGG-24: per column: type, rows and nulls, from one aggregation (unpivoted)."""
+    nulls = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}")
+                                                       for i, f in enumerate(df.schema.fields)])
+    each = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col("_rows").alias("rows"),
+                     F.col(f"_n{i}").alias("nulls")) for i, f in enumerate(df.schema.fields)]
+    return nulls.select(F.explode(F.array(*each)).alias("_c")).select("_c.*")
+
+
 def storage_profile(df: DataFrame) -> DataFrame:
     """AGG-24 (re-aimed): rows and bytes per data file, from ``_metadata``."""
     m = df.select("_metadata.file_path", "_metadata.file_size")
@@ -248,7 +272,7 @@ def fee_history_summary(rows: DataFrame, by) -> DataFrame:
         F.min_by("base_fee_per_gas", "number").alias("_oldest"), F.max("next_base_fee").alias("_next"),
         F.min("base_fee_per_gas").alias("_min"), F.max("base_fee_per_gas").alias("_max"),
         F.sum("base_fee_per_gas").alias("_sum"), F.count(F.lit(1)).alias("_n"),
-        F.avg("gas_used_ratio").alias("_ratio"),
+        F.avg("gas_used_ratio").alias("_ratio"), F.coalesce(F.avg("blob_gas_used_ratio"), F.lit(0.0)).alias("_blob"),
         (F.max_by("gas_used_ratio", "number") > F.min_by("gas_used_ratio", "number")).alias("_rising"),
         F.max_by("reward_p25", "number").alias("_p25"), F.max_by("reward_p50", "number").alias("_p50"),
         F.max_by("reward_p75", "number").alias("_p75"))
@@ -264,7 +288,7 @@ def fee_history_summary(rows: DataFrame, by) -> DataFrame:
         ((F.col("_sum") + F.col("_next")) / F.lit(1e9) / (F.col("_n") + 1)).alias("avg_base_fee_gwei"),
         chg.alias("base_fee_change_pct"),
         F.when(chg > 5, "increasing").when(chg < -5, "decreasing").otherwise("stable").alias("base_fee_trend"),
-        (F.col("_ratio") * 100).alias("avg_gas_utilization_pct"),
+        (F.col("_ratio") * 100).alias("avg_gas_utilization_pct"), (F.col("_blob") * 100).alias("avg_blob_utilization_pct"),
         F.when(F.col("_ratio") < 0.5, "low").when(F.col("_ratio") < 0.8, "moderate").otherwise("high")
         .alias("congestion_level"),
         F.when(F.col("_rising"), "increasing").otherwise("decreasing").alias("recent_gas_trend"),

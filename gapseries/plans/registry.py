@@ -73,6 +73,7 @@ def _load() -> None:
     # importing the modules fills the registry
     from gapseries.plans import (  # noqa: F401
         q_reads, q_gaps, q_windows, q_joins, q_rollups, q_quality, q_sources, q_features, q_streaming, q_sinks,
+        q_coverage,
     )
 
 
