@@ -49,14 +49,16 @@ def detect_gaps(df: DataFrame, key: str = "number", by=None, width: int | None =
     prev = F.lag(F.col(key), 1).over(w)
     inner = (d.withColumn("_prev", prev).filter(F.col(key) - F.col("_prev") > 1)
              .select(*by, (F.col("_prev") + 1).alias("gap_start"), (F.col(key) - 1).alias("gap_end")))
-    edges = d.groupBy(*by, B).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    scan = exclusive_scan(edges, by, B, "_hi", "last", "_prev_hi")
-    cross = scan.filter(F.col("_lo") - F.col("_prev_hi") > 1).select(
-        *by, (F.col("_prev_hi") + 1).alias("gap_start"), (F.col("_lo") - 1).alias("gap_end"))
+    # one struct per bucket: both levels of the scan need all of it, so Spark reads the table
+    # for it once (two different aggregates could not share an exchange)
+    edges = d.groupBy(*by, B).agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias("_e"))
+    scan = exclusive_scan(edges, by, B, "_e", "last", "_before")
+    lo, before = F.col("_e.lo"), F.col("_before.hi")
+    cross = scan.filter(lo - before > 1).select(*by, (before + 1).alias("gap_start"), (lo - 1).alias("gap_end"))
     out = inner.unionByName(cross)
     if expected_start is not None:
-        head = scan.filter(F.col("_prev_hi").isNull() & (F.col("_lo") > F.lit(expected_start))).select(
-            *by, F.lit(expected_start).cast("bigint").alias("gap_start"), (F.col("_lo") - 1).alias("gap_end"))
+        head = scan.filter(before.isNull() & (lo > F.lit(expected_start))).select(
+            *by, F.lit(expected_start).cast("bigint").alias("gap_start"), (lo - 1).alias("gap_end"))
         out = out.unionByName(head)
     return out.withColumn("gap_size", (F.col("gap_end") - F.col("gap_start") + 1).cast("bigint"))
 

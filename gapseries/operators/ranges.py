@@ -77,6 +77,11 @@ def fetch_blocks(df: DataFrame, start: str | None = None, end: str | None = None
     if ts_stable:
         src = time_range(src, ts_col, start, end, partition_col)
     if seq_col and seq_col in src.columns:
+        if limit is not None and ts_stable:
+            # the limit-th largest key first, from the key column alone: only rows
+            # from there on are deduplicated at full width
+            newest = src.select(key).distinct().orderBy(F.desc(key)).limit(limit)
+            src = src.filter(F.col(key) >= newest.agg(F.min(key)).scalar())
         src = latest(src, key, seq_col)
     if not ts_stable:
         src = time_range(src, ts_col, start, end, partition_col)

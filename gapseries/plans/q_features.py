@@ -104,7 +104,7 @@ SELECT number,
        round((gas_used - avg(gas_used) OVER ()) / (stddev_samp(gas_used) OVER () + 1e-10), 9) AS congestion_z
 FROM (SELECT *, (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (ORDER BY number))) / 1e6 AS bt FROM blocks) t""")
 def network_velocity(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir).select("number", "timestamp", "gas_used", "transaction_count")
+    b = driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "transaction_count"])
     d = windows.diff(b, "number", "timestamp", out="block_time_s")
     z = windows.zscore(d, "gas_used", by=None, min_count=1, eps=1e-10)
     return round_doubles(z.select("number", X.ratio("transaction_count", "block_time_s").alias("tx_velocity"),

@@ -25,7 +25,8 @@ SELECT b.symbol, b.ts, b.open, b.high, b.low, b.close, round(b.volume, 9) AS vol
        n."timestamp", n.number, n.gas_used, n.base_fee_per_gas
 FROM bars b ASOF LEFT JOIN net n ON b.ts >= n."timestamp\"""")
 def align_with_ohlcv(spark, sf_dir):
-    net = driver.blocks(spark, sf_dir).select("timestamp", "number", "gas_used", "base_fee_per_gas")
+    net = driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "base_fee_per_gas"]).select(
+        "timestamp", "number", "gas_used", "base_fee_per_gas")
     return round_doubles(asof.align_with_ohlcv(driver.price_bars(spark, sf_dir), net))
 
 
@@ -35,7 +36,7 @@ hourly AS (SELECT date_trunc('hour', "timestamp") AS ts, count(*) AS blocks, CAS
 SELECT b.ts, b.close, b.trades, h.blocks, h.gas FROM bars b LEFT JOIN hourly h ON b.ts = h.ts""")
 def exact_join_hourly(spark, sf_dir):
     bars = driver.price_bars(spark, sf_dir).select("ts", "close", "trades")
-    hourly = rollup.bucket(driver.blocks(spark, sf_dir), "timestamp", "1 hour",
+    hourly = rollup.bucket(driver.blocks(spark, sf_dir, ["timestamp", "gas_used"]), "timestamp", "1 hour",
                            {"blocks": F.count(F.lit(1)), "gas": F.sum("gas_used").cast("bigint")}, out="ts")
     return asof.exact_join(bars, hourly, "ts")
 
@@ -48,7 +49,7 @@ FROM (SELECT b.ts, b.close, e.* FROM bars b ASOF LEFT JOIN eth e ON b.ts >= e.et
 ASOF LEFT JOIN net n ON x.ts >= n.net_ts""")
 def fuse_sources(spark, sf_dir):
     bars = driver.price_bars(spark, sf_dir).select("ts", "close")
-    eth = driver.blocks(spark, sf_dir).select("timestamp", "number", "gas_used")
+    eth = driver.blocks(spark, sf_dir, ["timestamp", "gas_used"]).select("timestamp", "number", "gas_used")
     net = driver.views(spark, sf_dir).select(F.col("ts").alias("timestamp"), "view_id", "view_value")
     out = asof.fuse(bars, {"eth": eth, "net": net})
     return out.withColumnRenamed("net_timestamp", "net_ts")
@@ -71,7 +72,7 @@ SELECT ts, CASE WHEN (CASE WHEN pick_b THEN db ELSE df END) <= 300 THEN (CASE WH
 FROM p""")
 def nearest_block(spark, sf_dir):
     targets = driver.price_bars(spark, sf_dir).select("ts")
-    return round_doubles(asof.nearest(targets, driver.blocks(spark, sf_dir), "ts", "timestamp", "number",
+    return round_doubles(asof.nearest(targets, driver.blocks(spark, sf_dir, ["timestamp"]), "ts", "timestamp", "number",
                                       tolerance_s=300))
 
 
@@ -87,7 +88,8 @@ SELECT t.tx_hash, t.block_number, t.type,
        CAST(t.value_wei AS DOUBLE) / 1e18 > 0 AS is_eth_transfer
 FROM txs t JOIN blocks b ON t.block_number = b.number""")
 def effective_price(spark, sf_dir):
-    return round_doubles(sets.effective_price(driver.transactions(spark, sf_dir), driver.blocks(spark, sf_dir)))
+    return round_doubles(sets.effective_price(driver.transactions(spark, sf_dir),
+                                            driver.blocks(spark, sf_dir, ["base_fee_per_gas"])))
 
 
 @register("tx_types", "AGG-19", sql=with_(TXS) + "SELECT type, count(*) AS n FROM txs GROUP BY type")
@@ -100,7 +102,7 @@ SELECT tx_hash, block_number, type FROM txs t
 WHERE NOT EXISTS (SELECT 1 FROM txs i JOIN blocks b ON i.block_number = b.number WHERE i.tx_hash = t.tx_hash)""")
 def pending_not_included(spark, sf_dir):
     txs = driver.transactions(spark, sf_dir)
-    included = txs.join(driver.blocks(spark, sf_dir).select(F.col("number").alias("block_number")),
+    included = txs.join(driver.blocks(spark, sf_dir, ["number"]).select(F.col("number").alias("block_number")),
                         "block_number", "left_semi")
     return sets.exclude_included(txs.select("tx_hash", "block_number", "type"), included, "tx_hash")
 

@@ -49,7 +49,7 @@ SELECT CASE WHEN number >= 9713 THEN 'dencun' WHEN number >= 7768 THEN 'merge'
        count(*) AS blocks, min(number) AS first_block, max(number) AS last_block
 FROM blocks GROUP BY 1""")
 def era_labels(spark, sf_dir):
-    b = ranges.label_era(driver.blocks(spark, sf_dir), driver.scaled_eras())
+    b = ranges.label_era(driver.blocks(spark, sf_dir, ["number"]), driver.scaled_eras())
     return b.groupBy("era").agg(F.count(F.lit(1)).alias("blocks"), F.min("number").alias("first_block"),
                                 F.max("number").alias("last_block"))
 
@@ -61,7 +61,7 @@ SELECT number,
        COALESCE(CASE WHEN number >= 9713 THEN blob_gas_used END, 0) AS blob_gas_filled
 FROM blocks WHERE number >= 6482""")
 def era_masked(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir)
+    b = driver.blocks(spark, sf_dir, ["base_fee_per_gas", "blob_gas_used", "excess_blob_gas"])
     b = ranges.era_filter(b, driver.SCALED_LONDON)
     m = ranges.mask_by_era(b, driver.scaled_contract()).select("number", "base_fee_per_gas", "blob_gas_used")
     m = m.withColumn("blob_gas_filled", F.col("blob_gas_used"))

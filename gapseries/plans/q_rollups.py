@@ -9,6 +9,9 @@ from gapseries.plans.sqlviews import BARS, BLOCKS, SOURCES, with_
 from gapseries.sources import driver
 
 
+UTIL_COLS = ["timestamp", "gas_used", "gas_limit", "base_fee_per_gas", "transaction_count", "size"]
+
+
 def _util(b):
     return b.withColumn("utilisation", F.col("gas_used") / F.col("gas_limit")).withColumn(
         "base_fee_gwei", F.col("base_fee_per_gas") / F.lit(1e9))
@@ -23,7 +26,7 @@ SELECT date_trunc('hour', "timestamp") AS bucket, count(*) AS blocks,
        max(base_fee_per_gas) AS max_base_fee
 FROM blocks GROUP BY 1""")
 def hourly_rollup(spark, sf_dir):
-    b = driver.blocks(spark, sf_dir)
+    b = driver.blocks(spark, sf_dir, ["timestamp", "transaction_count", "gas_used", "base_fee_per_gas"])
     return round_doubles(rollup.bucket(b, "timestamp", "1 hour", {
         "blocks": F.count(F.lit(1)), "tx": F.sum("transaction_count").cast("bigint"),
         "avg_gas_used": F.avg("gas_used"), "max_base_fee": F.max("base_fee_per_gas")}))
@@ -40,7 +43,7 @@ SELECT count(*) AS blocks, min(number) AS first_block, max(number) AS last_block
        max("timestamp") AS last_ts, round(avg(gas_used), 9) AS avg_gas_used, max(base_fee_per_gas) AS max_base_fee
 FROM blocks""")
 def block_stats(spark, sf_dir):
-    return round_doubles(rollup.block_stats(driver.blocks(spark, sf_dir)))
+    return round_doubles(rollup.block_stats(driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "base_fee_per_gas"])))
 
 
 @register("orders_by_year", "AGG-9 SNK-7", sql="""
@@ -53,7 +56,7 @@ def orders_by_year(spark, sf_dir):
 @register("blocks_by_month", "FN-8 AGG-9", sql=with_(BLOCKS) + """
 SELECT strftime("timestamp", '%Y%m') AS year_month, count(*) AS rows FROM blocks GROUP BY 1""")
 def blocks_by_month(spark, sf_dir):
-    return rollup.count_by_month(driver.blocks(spark, sf_dir), "timestamp")
+    return rollup.count_by_month(driver.blocks(spark, sf_dir, ["timestamp"]), "timestamp")
 
 
 @register("first_seen", "AGG-13 SET-1", sql=with_(SOURCES) + """
@@ -101,7 +104,7 @@ def _describe_sql(c: str) -> str:
 @register("describe_blocks", "AGG-16", sql=with_(BLOCKS, UTIL) + "\nUNION ALL\n".join(
     _describe_sql(c) for c in DESCRIBE_COLS))
 def describe_blocks(spark, sf_dir):
-    return round_doubles(rollup.describe(_util(driver.blocks(spark, sf_dir)), DESCRIBE_COLS, key="number"))
+    return round_doubles(rollup.describe(_util(driver.blocks(spark, sf_dir, UTIL_COLS)), DESCRIBE_COLS, key="number"))
 
 
 @register("means_by_era", "AGG-17 JN-9", sql=with_(BLOCKS, UTIL) + """
@@ -111,7 +114,7 @@ SELECT CASE WHEN number >= 9713 THEN 'dencun' WHEN number >= 7768 THEN 'merge'
        round(avg(transaction_count), 9) AS avg_transaction_count
 FROM util GROUP BY 1""")
 def means_by_era(spark, sf_dir):
-    b = label_era(_util(driver.blocks(spark, sf_dir)), driver.scaled_eras())
+    b = label_era(_util(driver.blocks(spark, sf_dir, UTIL_COLS)), driver.scaled_eras())
     return round_doubles(rollup.means(b, ["utilisation", "base_fee_gwei", "transaction_count"], by="era"))
 
 
@@ -123,7 +126,7 @@ SELECT CAST(floor(number / 1000) AS BIGINT) AS chunk_id, count(*) AS blocks, min
        CAST(sum(transaction_count) AS BIGINT) AS total_tx
 FROM blocks GROUP BY 1""")
 def range_summary(spark, sf_dir):
-    b = block_range(driver.blocks(spark, sf_dir), 0, 1 << 62, chunk=1000)
+    b = block_range(driver.blocks(spark, sf_dir, ["timestamp", "gas_used", "transaction_count"]), 0, 1 << 62, chunk=1000)
     summary = rollup.range_summary(b, by="chunk_id")
     return round_doubles(summary)
 
@@ -140,7 +143,7 @@ FROM (SELECT date_trunc('hour', "timestamp") AS bucket,
                / arg_min(base_fee_gwei, ("timestamp", number)) END AS change_pct
       FROM util GROUP BY 1) t""")
 def fee_trend(spark, sf_dir):
-    b = _util(driver.blocks(spark, sf_dir))
+    b = _util(driver.blocks(spark, sf_dir, UTIL_COLS))
     return round_doubles(rollup.fee_trend(b, "timestamp", "base_fee_gwei", "1 hour", 5.0))
 
 
@@ -150,7 +153,7 @@ SELECT bucket, round(avg_ratio * 1e12) / 1e12 AS avg_ratio, n,
 FROM (SELECT date_trunc('hour', "timestamp") AS bucket, avg(utilisation) AS avg_ratio, count(*) AS n
       FROM util GROUP BY 1) t""")
 def congestion(spark, sf_dir):
-    b = _util(driver.blocks(spark, sf_dir))
+    b = _util(driver.blocks(spark, sf_dir, UTIL_COLS))
     # the hourly mean of ratios often ends exactly on a 10th-decimal 5; 12 decimals keep ties away
     return round_doubles(rollup.congestion(b, "timestamp", "utilisation", "1 hour"), 12)
 
@@ -161,7 +164,7 @@ SELECT CAST("timestamp" AS DATE) AS day, round(CASE WHEN stddev_samp(utilisation
        count(*) AS n
 FROM util GROUP BY 1""")
 def daily_correlation(spark, sf_dir):
-    b = _util(driver.blocks(spark, sf_dir)).withColumn("day", F.to_date("timestamp"))
+    b = _util(driver.blocks(spark, sf_dir, UTIL_COLS)).withColumn("day", F.to_date("timestamp"))
     return round_doubles(rollup.correlation(b, "utilisation", "base_fee_gwei", by="day"))
 
 

@@ -65,7 +65,7 @@ def hourly_compaction(spark, sf_dir):
     """Write hourly snapshot partitions (Snappy), compact them into daily
     partitions, export the daily table as CSV and read it back."""
     base = _scratch(spark, "hourly")
-    blocks = driver.blocks(spark, sf_dir).select("timestamp", "number", "transaction_count")
+    blocks = driver.blocks(spark, sf_dir, ["timestamp", "transaction_count"]).select("timestamp", "number", "transaction_count")
     W.write_hourly(blocks, os.path.join(base, "hourly"))
     W.compact(spark, os.path.join(base, "hourly"), os.path.join(base, "daily"))
     daily = spark.read.parquet(os.path.join(base, "daily"))
