@@ -13,11 +13,15 @@ id. Two passes over the texts:
    and never too low. Counting aligned blocks instead of all windows keeps the
    sketch 25 times smaller.
 2. *Exact grouping.* Only windows whose estimate exceeds their own aligned
-   blocks (that is, which may occur elsewhere) are grouped by the 128-bit hash
-   of their word sequence. Each batch of documents first resolves its own
-   repeats, so that a window shared by very many documents reaches its group
-   as one row a batch (map-side combine); a window function over the rest
-   finds the smallest id.
+   blocks (that is, which may occur elsewhere) are grouped, by 128-bit hashes
+   of word sequences and in two steps that keep the shuffle small. Runs of such
+   windows are cut at content-defined places into chunks of about ``CHUNK``
+   windows; a chunk that a smaller id also holds is gone as a whole, and of
+   each distinct chunk only the smallest id's stays open. The windows of the
+   open chunks (any repeated window has its smallest holder among them) are then
+   grouped one by one. Each batch of documents first resolves its own repeats,
+   so a passage shared by very many documents reaches its group as one row a
+   batch (map-side combine); a window function over the rest finds the least id.
 
 The sketch has ``ROWS`` rows of at least ``LOAD`` counters a block (false
 estimate about 2e-4 a block), two bits each, up to ``max_sketch_bytes``: the
@@ -42,6 +46,7 @@ from gapseries.llm.common import arrow_rows, materialise, pieces
 WINDOW = 50
 ROWS = 4
 LOAD = 8
+CHUNK = 32                          # mean windows between cuts of a run
 RANGE_BITS = 20                     # counters a merged range
 MAX_SKETCH_BYTES = 256 << 20
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))    # odd, hence invertible mod 2^64
@@ -176,6 +181,12 @@ def _runs(starts: np.ndarray, window: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _spread(starts: list[int], lengths: list[int]) -> np.ndarray:
+    """All window starts of ranges."""
+    starts, lengths = np.array(starts, np.int64), np.array(lengths, np.int64)
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
 def _sketch_width(docs: DataFrame, text_col: str, window: int, max_sketch_bytes: int) -> int:
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks = max(1, size // (6 * (window // 2)))
@@ -183,6 +194,51 @@ def _sketch_width(docs: DataFrame, text_col: str, window: int, max_sketch_bytes:
     return min(width, 1 << ((4 * max_sketch_bytes // ROWS).bit_length() - 1))
 
 
+def chunks(starts: np.ndarray, keys: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Cut runs of consecutive windows at windows whose hash says so: (key 1, key 2, start, windows) of each chunk.
+
+    A chunk spans at most ``window`` windows, so its first and last window cover
+    all its words and their hashes name it.
+    """
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 4
+    new = np.ones(len(starts), bool)
+    new[1:] = (np.diff(starts) != 1) | (keys[1:, 0] % np.uint64(CHUNK) == 0)
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    new |= (np.arange(len(starts)) - first) % window == 0
+    first = np.flatnonzero(new)
+    length = np.diff(np.append(first, len(starts)))
+    last = first + length - 1
+    one, two = (mix(mix(keys[first, k] + length.astype(np.uint64)) * _BASE[1] + keys[last, k]).view(np.int64) for k in (0, 1))
+    return one, two, starts[first], length
+
+
+def window_keys(hashes: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """(n, 2) 64-bit hashes of the windows at ``starts``."""
+    return np.stack([rolling(hashes, window, k)[starts] for k in (0, 1)], 1)
+
+
+def settle(ids: list[int], held: list[tuple[np.ndarray, ...]]) -> tuple[list[list], list[list]]:
+    """Columns (key 1, key 2, values...) per document: those left open, and those known to be in a smaller id.
+
+    Of a key that several of the documents hold, only the smallest id's stays open.
+    """
+    counts = [len(h[0]) for h in held]
+    columns = [np.concatenate(c) for c in zip(*held)]
+    owner = np.repeat(np.array(ids, np.int64), counts)
+    order = np.lexsort((owner, columns[1], columns[0]))
+    a, b = columns[0][order], columns[1][order]
+    first = np.ones(len(order), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    later = np.zeros(len(order), bool)
+    if len(order):
+        later[order] = owner[order] > owner[order][first][np.cumsum(first) - 1]
+    cut = np.cumsum(counts)[:-1]
+    parts = list(zip(*(np.split(c, cut) for c in columns), np.split(later, cut)))
+    return ([[p[k][~p[-1]] for p in parts] for k in range(len(columns))],
+            [[p[k][p[-1]] for p in parts] for k in range(2, len(columns))])
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    max_sketch_bytes: int = MAX_SKETCH_BYTES) -> DataFrame:
     """One row per row of ``docs``: ``(id, n_words, n_removed, kept_sha256, kept_text)``.
@@ -198,79 +254,94 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if window < 2 or window % 2:
         raise ValueError("window must be even")
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     width = _sketch_width(docs, "text", window, max_sketch_bytes)
     shared = spark.sparkContext.broadcast(sketch(docs, "text", width, window))
-    doc = T.StructType([
-        T.StructField("id", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("n_words", T.LongType()),
-        T.StructField("text", T.StringType()), T.StructField("k1", T.ArrayType(T.LongType())),
-        T.StructField("k2", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.IntegerType())),
-        T.StructField("known", T.ArrayType(T.IntegerType()))])
-
-    def settle(held: list) -> list[list]:
-        """Resolve repeats inside the held documents; of a window shared by some keep the smallest id's rows."""
-        counts = [len(h[4]) for h in held]
-        at = np.concatenate([h[4] for h in held]) if held else np.zeros(0, np.int64)
-        k1 = np.concatenate([h[5] for h in held])
-        k2 = np.concatenate([h[6] for h in held])
-        ids = np.repeat(np.array([h[0] or 0 for h in held], np.int64), counts)
-        order = np.lexsort((ids, k2, k1))
-        first = np.ones(len(order), bool)
-        a, b = k1[order], k2[order]
-        first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        group = np.cumsum(first) - 1
-        least = ids[order][first][group] if len(order) else ids
-        later = np.zeros(len(order), bool)
-        later[order] = ids[order] > least
-        cut = np.cumsum(counts)[:-1]
-        columns = [[h[0] for h in held], [h[1] for h in held], [h[2] for h in held], [h[3] for h in held]]
-        split = [np.split(x, cut) for x in (at.astype(np.int32), k1.view(np.int64), k2.view(np.int64), later)]
-        parts = list(zip(*split))
-        open_ = [~p[3] for p in parts]
-        columns += [[p[1][o] if len(o) else None for p, o in zip(parts, open_)],
-                    [p[2][o] if len(o) else None for p, o in zip(parts, open_)],
-                    [p[0][o] if len(o) else None for p, o in zip(parts, open_)],
-                    [p[0][~o] if len(o) else None for p, o in zip(parts, open_)]]
-        return columns
+    long, ints = T.LongType(), T.ArrayType(T.IntegerType())
+    ranges = ["start", "length"]
+    first = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("n_words", long),
+                          T.StructField("sha", T.StringType()), T.StructField("text", T.StringType()),
+                          T.StructField("k1", T.ArrayType(long)), T.StructField("k2", T.ArrayType(long)),
+                          *[T.StructField(c, ints) for c in ranges], *[T.StructField(f"known_{c}", ints) for c in ranges]])
 
     def probe(batches):
         counters = np.frombuffer(shared.value, np.uint8)
-        held, size, none = [], 0, np.zeros(0, np.uint64)
+        none = (np.zeros(0, np.int64),) * 4
+        held, size = [], 0
         for batch in pieces(batches):
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for row, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = text.as_py()
-                own = words(text)
-                sha = hashlib.sha256(b" ".join(own)).hexdigest()
-                starts = np.zeros(0, np.int64)
+                own, found = words(text), none
                 if i is not None and len(own) >= window:
                     hashes = word_hashes(own)
                     starts = candidates(hashes, counters, width, window)
-                if len(starts):
-                    held.append((i, sha, len(own), text, starts, rolling(hashes, window, 0)[starts], rolling(hashes, window, 1)[starts]))
-                else:
-                    held.append((i, sha, len(own), None, starts, none, none))
-                size += len(starts) + len(own) // 8 + 100
-                if size >= 1 << 20:
-                    yield settle(held)
+                    if len(starts):
+                        found = chunks(starts, window_keys(hashes, starts, window), window)
+                some = len(found[0]) > 0
+                held.append((row, i, len(own), hashlib.sha256(b" ".join(own)).hexdigest(), text if some else None, found))
+                size += len(own) + 100
+                if size >= 1 << 22:
+                    yield chunked(held)
                     held, size = [], 0
         if held:
-            yield settle(held)
-    own = materialise(docs.mapInArrow(arrow_rows(probe, doc), doc), "windows")
-    rows = (own.where(F.size("at") > 0).select("id", "sha", F.explode(F.arrays_zip("k1", "k2", "at")).alias("w"))
-            .select("id", "sha", "w.k1", "w.k2", "w.at"))
+            yield chunked(held)
+
+    def chunked(held: list[tuple]) -> list[list]:
+        rest, known = settle([h[1] or 0 for h in held], [h[5] for h in held])
+        return [list(c) for c in zip(*(h[:5] for h in held))] + rest + known
+    own = materialise(docs.mapInArrow(arrow_rows(probe, first), first), "chunks")
+    # chunks whose words also lie in a smaller id are gone as a whole; of the others the first holder's stay open
+    rows = (own.where(F.size("start") > 0).select("row", "id", F.explode(F.arrays_zip("k1", "k2", "start", "length")).alias("c"))
+            .select("row", "id", "c.*"))
     least = F.min("id").over(Window.partitionBy("k1", "k2"))
-    found = (rows.withColumn("least", least).where("id > least").groupBy("id", "sha")
-             .agg(F.collect_list("at").alias("found")))
-    repeats = own.where("text is not null").select("id", "sha", "n_words", "text", "known").join(found, ["id", "sha"], "left")
-    out = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()),
-                        T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()),
-                        T.StructField("kept_text", T.StringType())])
+    decided = (rows.withColumn("gone", F.col("id") > least).groupBy("row")
+               .agg(F.collect_list(F.struct("start", "length", "gone")).alias("parts")))
+    wanted = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("n_words", long),
+                           T.StructField("sha", T.StringType()), T.StructField("text", T.StringType()),
+                           *[T.StructField(f"{k}_{c}", ints) for k in ("open", "known") for c in ranges]])
+    known = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: p["gone"])
+    still = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: ~p["gone"])
+    repeats = own.where("text is not null").join(decided, "row", "left").select(
+        "row", "id", "n_words", "sha", "text", still["start"].alias("open_start"), still["length"].alias("open_length"),
+        F.concat("known_start", known["start"]).alias("known_start"), F.concat("known_length", known["length"]).alias("known_length"))
+    repeats = materialise(repeats.select(*wanted.names), "repeats")
+    # the same by single windows, over the open chunks
+    single = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("k1", T.ArrayType(long)),
+                           T.StructField("k2", T.ArrayType(long)), T.StructField("at", ints), T.StructField("known", ints)])
+
+    def windows(batches):
+        held, size = [], 0
+        for batch in pieces(batches, 2):
+            for row, i, text, starts, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+                starts = _spread(starts, lengths)
+                keys = window_keys(word_hashes(words(text)), starts, window).view(np.int64)
+                held.append((row, i, (keys[:, 0], keys[:, 1], starts)))
+                size += len(starts)
+                if size >= 1 << 20:
+                    yield opened(held)
+                    held, size = [], 0
+        if held:
+            yield opened(held)
+
+    def opened(held: list[tuple]) -> list[list]:
+        rest, known = settle([h[1] for h in held], [h[2] for h in held])
+        return [[h[0] for h in held], [h[1] for h in held], *rest, *known]
+    opens = repeats.where(F.size("open_start") > 0).select("row", "id", "text", "open_start", "open_length")
+    opens = materialise(opens.mapInArrow(arrow_rows(windows, single), single), "windows")
+    rows = (opens.where(F.size("at") > 0).select("row", "id", F.explode(F.arrays_zip("k1", "k2", "at")).alias("w"))
+            .select("row", "id", "w.k1", "w.k2", "w.at"))
+    found = rows.withColumn("least", least).where("id > least").groupBy("row").agg(F.collect_list("at").alias("found"))
+    none = F.array().cast("array<int>")
+    single_starts = opens.select("row", "known").join(found, "row", "left").select(
+        "row", F.concat("known", F.coalesce("found", none)).alias("single"))
+    out = T.StructType([T.StructField("id", long), T.StructField("n_words", long), T.StructField("n_removed", long),
+                        T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
 
     def cut(batches):
         for batch in pieces(batches, 3):
             columns: list[list] = [[], [], [], [], []]
-            for i, sha, n, text, known, more in zip(*(c.to_pylist() for c in batch.columns)):
-                starts = np.array((known or []) + (more or []), np.int64)
+            for i, n, sha, text, start, length, one in zip(*(c.to_pylist() for c in batch.columns)):
+                starts = np.concatenate([_spread(start, length), np.array(one or [], np.int64)])
                 kept, removed = None, 0
                 if len(starts):
                     own = words(text)
@@ -281,7 +352,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for column, value in zip(columns, (i, n, removed, sha, kept)):
                     column.append(value)
             yield columns
-    changed = repeats.select("id", "sha", "n_words", "text", "known", "found").mapInArrow(arrow_rows(cut, out), out)
+    changed = (repeats.join(single_starts, "row", "left").select("id", "n_words", "sha", "text", "known_start", "known_length", "single")
+               .mapInArrow(arrow_rows(cut, out), out))
     same = own.where("text is null").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"),
                                             F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text"))
     return same.unionByName(changed).withColumnRenamed("id", id_col)
