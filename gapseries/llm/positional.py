@@ -1,26 +1,24 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 ``build_index`` cuts the training documents into segments of consecutive
-documents (about ``SEGMENT_BYTES`` of text each) and stores, per segment and
-term, the sorted positions of the term in the segment's concatenated words
-(delta-encoded 32-bit integers; a gap between documents keeps phrases from
-crossing). A hot term has one bounded row per segment, never one list.
-
-``phrase_matches`` answers all phrases together: global posting counts rank
-each phrase's terms; a phrase meets a segment only if the segment holds its
-rarest term (an equi-join on the term), then its second rarest, and so on for
-``PROBES`` terms; the postings that the surviving (segment, phrase) pairs need
-are brought to the segment, and offset-adjusted lists are intersected from the
-rarest term on. ``near_matches`` does the same for unordered terms within a
-span. Nothing is broadcast and no segment needs more memory than its own
-postings.
+documents (about ``SEGMENT_BYTES`` of text each). A segment is one row: its
+terms, their counts and their sorted positions in the segment's concatenated
+words (delta-encoded 32-bit integers; a gap between documents keeps phrases
+from crossing). A hot term has one bounded list per segment, never one list.
+
+``phrase_matches`` answers a table of phrases over the whole index without
+moving a posting: posting counts summed over all segments rank each phrase's
+terms, the ranked phrases are broadcast in blocks of at most ``BLOCK_TERMS``
+terms (one pass over the index per block), and each segment intersects the
+offset-adjusted lists of the phrases whose rarest term it holds, from the
+rarest term on, until a list is empty. ``near_matches`` does the same for
+unordered terms within a span.
 """
 
 from __future__ import annotations
 
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +26,9 @@ from pyspark.sql import types as T
 from gapseries.llm.common import arrow_rows, materialise, pieces
 
 WINDOW = 10
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 GAP = 64                    # positions between documents; spans of ``near_matches`` stay below it
-PROBES = 3                  # rarest terms that a segment must hold before its postings are fetched
+BLOCK_TERMS = 1 << 20       # terms of the phrases broadcast at once
 
 # lower-case A-Z; every byte outside 0-9, a-z and 0x80..0xFF separates words
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -41,44 +39,30 @@ def words(text: str | None) -> list[bytes]:
 
 
 INDEX = T.StructType([
-    T.StructField("segment", T.StringType()), T.StructField("term", T.StringType()), T.StructField("n", T.LongType()),
-    T.StructField("postings", T.BinaryType()), T.StructField("docs", T.ArrayType(T.LongType())),
-    T.StructField("rows", T.ArrayType(T.StringType())), T.StructField("n_words", T.ArrayType(T.LongType()))])
+    T.StructField("segment", T.StringType()), T.StructField("terms", T.ArrayType(T.StringType())),
+    T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("postings", T.BinaryType()),
+    T.StructField("docs", T.ArrayType(T.LongType())), T.StructField("n_words", T.ArrayType(T.LongType()))])
 
 
-def _segment_columns(name: str, docs: list[tuple[int | None, list[bytes]]]) -> list:
-    """Index rows of one segment: one per term, and one (term null) that lists its documents."""
+def _segment(name: str, docs: list[tuple[int | None, list[bytes]]]) -> list:
+    """Index row of one segment."""
     vocabulary: dict[bytes, int] = {}
     number = vocabulary.setdefault
     ids = np.fromiter((number(w, len(vocabulary)) for _, own in docs for w in own), np.int64)
     lengths = np.array([len(own) for _, own in docs], np.int64)
-    gaps = np.repeat(np.arange(len(docs)) * GAP, lengths)
-    at = np.arange(len(ids)) + gaps
-    order = np.argsort(ids, kind="stable")
+    at = np.arange(len(ids)) + np.repeat(np.arange(len(docs)) * GAP, lengths)
     counts = np.bincount(ids, minlength=len(vocabulary))
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    sorted_at = at[order]
-    deltas = np.diff(sorted_at, prepend=0)
-    deltas[bounds[:-1]] = sorted_at[bounds[:-1]]
-    offsets = np.append(bounds * 4, bounds[-1] * 4).astype(np.int32)
-    postings = pa.Array.from_buffers(pa.binary(), len(vocabulary) + 1,
-                                     [None, pa.py_buffer(offsets), pa.py_buffer(deltas.astype("<u4").tobytes())])
-    size, none = len(vocabulary) + 1, [None] * len(vocabulary)
-    return [[name] * size, [w.decode() for w in vocabulary] + [None], counts.tolist() + [0], postings,
-            none + [[i for i, _ in docs]], none + [[f"{name}/{k}" for k in range(len(docs))]], none + [lengths.tolist()]]
-
-
-def positions(postings: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(postings, "<u4"), dtype=np.int64)
+    at = at[np.argsort(ids, kind="stable")]
+    deltas = np.diff(at, prepend=0)
+    first = np.cumsum(counts) - counts
+    deltas[first] = at[first]
+    return [[name], [[w.decode() for w in vocabulary]], [counts.tolist()], [deltas.astype("<u4").tobytes()],
+            [[i for i, _ in docs]], [lengths.tolist()]]
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Positional index of all documents, written to the shared folder.
-
-    Rows ``(segment, term, n, postings)`` and one row per segment with a null
-    term that lists the segment's documents: ids, row names and word counts.
-    """
+    """Positional index of all documents, one row per segment, written to the shared folder."""
     def run(batches):
         from pyspark import TaskContext
         part, serial, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -88,113 +72,113 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 held.append((i, words(text)))
                 size += len(text or "") + 64
                 if size >= segment_bytes:
-                    yield _segment_columns(f"{part}-{serial}", held)
+                    yield _segment(f"{part}-{serial}", held)
                     serial, held, size = serial + 1, [], 0
         if held:
-            yield _segment_columns(f"{part}-{serial}", held)
+            yield _segment(f"{part}-{serial}", held)
     own = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     return materialise(own.mapInArrow(arrow_rows(run, INDEX), INDEX), "index")
 
 
 def document_rows(index: DataFrame) -> DataFrame:
-    """``(row, doc, n_words)`` of every indexed document row."""
-    return (index.where("term is null").select(F.explode(F.arrays_zip("rows", "docs", "n_words")).alias("d"))
-            .select(F.col("d.rows").alias("row"), F.col("d.docs").alias("doc"), F.col("d.n_words").alias("n_words")))
+    """``(row, doc, n_words)`` of every indexed document row; ``row`` names it uniquely."""
+    return (index.select("segment", F.posexplode(F.arrays_zip("docs", "n_words")).alias("k", "d"))
+            .select(F.concat_ws("/", "segment", "k").alias("row"), F.col("d.docs").alias("doc"), F.col("d.n_words").alias("n_words")))
 
 
 def _ranked(index: DataFrame, phrases: DataFrame) -> DataFrame:
-    """``(phrase, terms)`` of the phrases all of whose terms occur, terms ordered from the rarest."""
+    """``(phrase, ranked)`` of the phrases all of whose terms occur; (total, offset, term) from the rarest term on."""
     terms = phrases.select("phrase", F.posexplode("terms").alias("offset", "term"))
-    wanted = terms.select("term").distinct()
-    counts = (index.where("term is not null").select("term", "n").join(wanted, "term", "left_semi")
-              .groupBy("term").agg(F.sum("n").alias("total")))
+    wanted = materialise(terms.select("term").distinct(), "terms")          # its size is known to the planner
+    counts = (index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(F.col("t.terms").alias("term"), "t.counts")
+              .join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("counts").alias("total")))
     return (terms.join(counts, "term").groupBy("phrase")
             .agg(F.sort_array(F.collect_list(F.struct("total", "offset", "term"))).alias("ranked"))
             .join(phrases.select("phrase", F.size("terms").alias("size")), "phrase")
             .where(F.size("ranked") == F.col("size")).select("phrase", "ranked"))
 
 
-def _meet(index: DataFrame, ranked: DataFrame, probes: int) -> DataFrame:
-    """``(segment, phrase, ranked)`` where the segment holds the phrase's ``probes`` rarest terms."""
-    held = index.where("term is not null").select("segment", "term")
-    met = ranked
-    for k in range(probes):
-        keys = ["term"] if k == 0 else ["segment", "term"]
-        met = met.withColumn("term", F.get("ranked", F.lit(k))["term"])
-        short = met.where("term is null") if k else None
-        met = met.join(held, keys)
-        if short is not None:
-            met = met.unionByName(short)
-        met = met.drop("term")
-    return met
-
-
-def _by_segment(index: DataFrame, met: DataFrame, match, out: T.StructType) -> DataFrame:
-    """Run ``match(postings by term, document starts, [(phrase, [(offset, term)])])`` per segment."""
-    met = materialise(met, "meetings")
-    needed = met.select("segment", F.explode("ranked.term").alias("term")).distinct()
-    lists = (index.where("term is not null").select("segment", "term", "postings").join(needed, ["segment", "term"])
-             .select("segment", F.lit(0).alias("kind"), "term", "postings", F.lit(None).cast(INDEX["rows"].dataType).alias("rows"),
-                     F.lit(None).cast("array<long>").alias("n_words")))
-    tables = (index.where("term is null").join(met.select("segment").distinct(), "segment", "left_semi")
-              .select("segment", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("term"),
-                      F.lit(None).cast("binary").alias("postings"), "rows", "n_words"))
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        by_term, rows, lengths = {}, [], []
-        for kind, term, postings, names, n_words in zip(*(left.column(c).to_pylist() for c in
-                                                          ("kind", "term", "postings", "rows", "n_words"))):
-            if kind:
-                rows, lengths = names, n_words
-            else:
-                by_term[term] = positions(postings)
-        starts = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + GAP)])
-        asked = [(p, [(t["offset"], t["term"]) for t in ranked]) for p, ranked in
-                 zip(right.column("phrase").to_pylist(), right.column("ranked").to_pylist())]
-        found_rows, found_phrases, found_at, found_len = [], [], [], []
-        for phrase, at, length in match(by_term, asked):
-            of = np.searchsorted(starts, at, side="right") - 1
-            found_rows += [rows[k] for k in of]
-            found_phrases += [phrase] * len(at)
-            found_at += (at - starts[of]).tolist()
-            found_len += length.tolist()
-        return pa.table([pa.array(x, f) for x, f in zip((found_rows, found_phrases, found_at, found_len),
-                                                        (pa.string(), pa.int64(), pa.int64(), pa.int64()))],
-                        names=["row", "phrase", "at", "length"])
-    return (lists.unionByName(tables).groupBy("segment")
-            .cogroup(met.select("segment", "phrase", "ranked").groupBy("segment")).applyInArrow(run, out))
+def _match(index: DataFrame, phrases: DataFrame, match) -> DataFrame:
+    """``match(lists, phrase's (offset, term) pairs)`` -> (starts, lengths), per segment and phrase."""
+    spark = index.sparkSession
+    asked = phrases.where(F.size("terms") > 0).select("phrase", "terms")
+    ranked = materialise(_ranked(index, asked), "ranked")
+    total = ranked.agg(F.sum(F.size("ranked"))).first()[0] or 0
+    blocks = 1 + total // BLOCK_TERMS
+    found = spark.createDataFrame([], MATCH)
+    for k in range(blocks):
+        rows = ranked.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k).collect() if total else []
+        by_rarest: dict[str, list] = {}
+        for r in rows:
+            by_rarest.setdefault(r["ranked"][0]["term"], []).append((r["phrase"], [(t["offset"], t["term"]) for t in r["ranked"]]))
+        if rows:
+            found = found.unionByName(_block(index, spark.sparkContext.broadcast(by_rarest), match))
+    return found
+
+
+def _block(index: DataFrame, shared, match) -> DataFrame:
+    def run(batches):
+        by_rarest = shared.value
+        for batch in batches:
+            for name, terms, counts, postings, lengths in zip(*(batch.column(c) for c in range(5))):
+                number = {t: k for k, t in enumerate(terms.as_py())}
+                ends = np.cumsum(counts.values.to_numpy())
+                deltas, cache = np.frombuffer(postings.as_buffer(), "<u4"), {}
+
+                def lists(term: str) -> np.ndarray | None:
+                    if term not in number:
+                        return None
+                    if term not in cache:
+                        k = number[term]
+                        cache[term] = np.cumsum(deltas[ends[k - 1] if k else 0:ends[k]], dtype=np.int64)
+                    return cache[term]
+                starts = np.concatenate([[0], np.cumsum(lengths.values.to_numpy() + GAP)])
+                columns: list[list] = [[], [], [], []]
+                for term in number.keys() & by_rarest.keys():
+                    for phrase, ranked in by_rarest[term]:
+                        at, length = match(lists, ranked)
+                        if len(at):
+                            of = np.searchsorted(starts, at, side="right") - 1
+                            columns[0] += [f"{name.as_py()}/{k}" for k in of]
+                            columns[1] += [phrase] * len(at)
+                            columns[2] += (at - starts[of]).tolist()
+                            columns[3] += length.tolist()
+                if columns[0]:
+                    yield columns
+    return index.select("segment", "terms", "counts", "postings", "n_words").mapInArrow(arrow_rows(run, MATCH), MATCH)
 
 
 MATCH = T.StructType([T.StructField("row", T.StringType()), T.StructField("phrase", T.LongType()),
                       T.StructField("at", T.LongType()), T.StructField("length", T.LongType())])
 
 
-def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Exact occurrences of ``phrases(phrase long, terms array<string>)``: ``(row, phrase, at, length)``.
-
-    Phrases without terms match nothing.
-    """
-    def match(by_term, asked):
-        for phrase, ranked in asked:
-            starts = None
-            for offset, term in ranked:
-                own = by_term[term] - offset
-                starts = own if starts is None else starts[np.isin(starts, own, assume_unique=True)] \
-                    if len(starts) * 8 > len(own) else starts[_within(starts, own)]
-                if not len(starts):
-                    break
-            if len(starts):
-                yield phrase, starts, np.full(len(starts), len(ranked))
-    asked = phrases.where(F.size("terms") > 0).select("phrase", "terms")
-    return _by_segment(index, _meet(index, _ranked(index, asked), PROBES), match, MATCH)
+def _phrase(lists, ranked: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of a phrase: offset-adjusted lists intersected from the rarest term on."""
+    starts = np.zeros(0, np.int64)
+    for k, (offset, term) in enumerate(ranked):
+        own = lists(term)
+        if own is None:
+            return starts[:0], starts[:0]
+        starts = own - offset if not k else starts[_within(starts + offset, own)]
+        if not len(starts):
+            break
+    return starts, np.full(len(starts), len(ranked))
 
 
 def _within(few: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Mask of the values of ``few`` that the sorted ``many`` holds (galloping by binary search)."""
+    """Mask of the values of ``few`` that the sorted ``many`` holds."""
     at = np.searchsorted(many, few)
     return many[np.minimum(at, len(many) - 1)] == few
 
 
+def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Exact occurrences of ``phrases(phrase long, terms array<string>)``: ``(row, phrase, at, length)``.
+
+    Phrases without terms match nothing.
+    """
+    return _match(index, phrases, _phrase)
+
+
 def near_matches(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
     """Places where all distinct terms of a phrase occur, in any order, within ``span`` words.
 
@@ -204,23 +188,21 @@ def near_matches(index: DataFrame, phrases: DataFrame, span: int) -> DataFrame:
     if not 1 <= span <= GAP:
         raise ValueError(f"span must be 1 to {GAP}")
 
-    def match(by_term, asked):
-        for phrase, ranked in asked:
-            lists = [by_term[t] for t in dict.fromkeys(t for _, t in ranked)]
-            starts = np.unique(np.concatenate(lists))
-            rare = lists[0]         # starts near the rarest term only
-            after = np.searchsorted(rare, starts)
-            starts = starts[(after < len(rare)) & (rare[np.minimum(after, len(rare) - 1)] < starts + span)]
-            end = starts.copy()
-            for own in lists:
-                after = np.searchsorted(own, starts)
-                at = np.where(after < len(own), own[np.minimum(after, len(own) - 1)], np.iinfo(np.int64).max)
-                end = np.maximum(end, at)
-            good = end < starts + span
-            if good.any():
-                yield phrase, starts[good], end[good] - starts[good] + 1
-    asked = phrases.where(F.size("terms") > 0).select("phrase", "terms")
-    return _by_segment(index, _meet(index, _ranked(index, asked), PROBES), match, MATCH)
+    def match(lists, ranked):
+        every = [lists(t) for t in dict.fromkeys(t for _, t in ranked)]
+        if any(own is None for own in every):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        starts, rare = np.unique(np.concatenate(every)), every[0]
+        after = np.searchsorted(rare, starts)       # starts near the rarest term only
+        starts = starts[(after < len(rare)) & (rare[np.minimum(after, len(rare) - 1)] < starts + span)]
+        end = starts.copy()
+        for own in every:
+            after = np.searchsorted(own, starts)
+            at = np.where(after < len(own), own[np.minimum(after, len(own) - 1)], np.iinfo(np.int64).max)
+            end = np.maximum(end, at)
+        good = end < starts + span
+        return starts[good], end[good] - starts[good] + 1
+    return _match(index, phrases, match)
 
 
 def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
