@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapseries.operators.ordered import DEFAULT_TIME_WIDTH_S, exclusive_scan
+from gapseries.operators.ordered import DEFAULT_TIME_WIDTH_S, crowded, exclusive_scan
 
 _L = "_as_l"
 _R = "_as_r"
@@ -44,7 +44,7 @@ def _micros(df: DataFrame, col: str):
 
 
 def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str], direction: str,
-           width_us: int, r_order: Sequence[str], skew_safe: bool = False,
+           width_us: int, r_order: Sequence[str], skew_safe: bool | None = None,
            bucket_rows: int = 1 << 16) -> DataFrame:
     """Left rows plus ``_as_r`` = the matching right struct (or NULL)."""
     sign = 1 if direction == "backward" else -1
@@ -67,6 +67,9 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
     ltab = ltab.drop("_as_k").withColumn("_as_k", F.lit(None).cast(rtab.schema["_as_k"].dataType))
     u = ltab.unionByName(rtab)
     byc = [f"_by_{b}" for b in by]
+    timed = F.floor(F.col(_O) / F.lit(width_us)).cast("bigint")
+    if skew_safe is None:
+        skew_safe = crowded(ltab.select(*byc, _O).unionByName(rtab.select(*byc, _O)).withColumn(_BK, timed), [*byc, _BK])
     if skew_safe:
         # buckets of equal row counts from sampled range partitions: a burst
         # of one key in one time span is split as well
@@ -74,7 +77,7 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
         u = range_rank(u, [_O, _S, "_as_k"], by=byc)
         u = u.withColumn(_BK, F.floor(F.col(IDX) / F.lit(bucket_rows)).cast("bigint")).drop(IDX)
     else:
-        u = u.withColumn(_BK, F.floor(F.col(_O) / F.lit(width_us)).cast("bigint"))
+        u = u.withColumn(_BK, timed)
     w = (Window.partitionBy(*byc, _BK).orderBy(F.col(_O), F.col(_S), F.col("_as_k"))
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_as_in", F.last(F.col(_R), ignorenulls=True).over(w))
@@ -88,7 +91,7 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
 def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] = "ts", by=None,
               suffix: str = "_right", direction: str = "backward", width_s: int = DEFAULT_TIME_WIDTH_S,
               r_order: Sequence[str] = (), tolerance_s: float | None = None,
-              keep_right_ts: bool = True, skew_safe: bool = False, bucket_rows: int = 1 << 16) -> DataFrame:
+              keep_right_ts: bool = True, skew_safe: bool | None = None, bucket_rows: int = 1 << 16) -> DataFrame:
     """JN-1: for each left row the newest right row with ``right.ts <= left.ts``.
 
     Left outer: every left row appears once. Equal timestamps match
@@ -96,8 +99,9 @@ def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] =
     ``right.ts >= left.ts``. ``r_order`` breaks ties between right rows with
     the same timestamp (the larger wins). Right columns that clash with left
     names get ``suffix``; the ``by`` columns are kept once. Buckets are
-    time spans of ``width_s`` per key; ``skew_safe=True`` uses buckets of
-    equal row counts instead (sampled range partitions, one materialisation).
+    time spans of ``width_s`` per key or, if one of those is crowded (measured
+    by a count per bucket, or said by ``skew_safe``), equal row counts (sampled
+    range partitions, one materialisation).
     """
     by = _list(by)
     l_ts, r_ts = (on_ts, on_ts) if isinstance(on_ts, str) else on_ts
@@ -124,18 +128,18 @@ def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] =
 
 
 def align_with_ohlcv(bars: DataFrame, network: DataFrame, bar_ts: str = "ts", net_ts: str = "timestamp",
-                     width_s: int = DEFAULT_TIME_WIDTH_S) -> DataFrame:
+                     width_s: int = DEFAULT_TIME_WIDTH_S, skew_safe: bool | None = None) -> DataFrame:
     """JN-2: every bar keeps its row and gets the newest network row at or before it (no look-ahead)."""
-    return asof_join(bars, network, (bar_ts, net_ts), width_s=width_s, suffix="_net")
+    return asof_join(bars, network, (bar_ts, net_ts), width_s=width_s, suffix="_net", skew_safe=skew_safe)
 
 
 def fuse(base: DataFrame, sources: dict[str, DataFrame], base_ts: str = "ts", src_ts: str = "timestamp",
-         width_s: int = DEFAULT_TIME_WIDTH_S) -> DataFrame:
+         width_s: int = DEFAULT_TIME_WIDTH_S, skew_safe: bool | None = None) -> DataFrame:
     """JN-4: chain as-of joins, prefixing each source's columns with its name."""
     out = base
     for name, src in sources.items():
         renamed = src.select(*[F.col(c).alias(f"{name}_{c}") for c in src.columns])
-        out = asof_join(out, renamed, (base_ts, f"{name}_{src_ts}"), width_s=width_s)
+        out = asof_join(out, renamed, (base_ts, f"{name}_{src_ts}"), width_s=width_s, skew_safe=skew_safe)
     return out
 
 
@@ -145,17 +149,18 @@ def exact_join(left: DataFrame, right: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def nearest(targets: DataFrame, df: DataFrame, t_ts: str = "ts", d_ts: str = "timestamp",
-            key: str = "number", tolerance_s: float = 60, width_s: int = DEFAULT_TIME_WIDTH_S) -> DataFrame:
+            key: str = "number", tolerance_s: float = 60, width_s: int = DEFAULT_TIME_WIDTH_S,
+            skew_safe: bool | None = None) -> DataFrame:
     """JN-8: the row of ``df`` closest in time to each target, within ``tolerance_s``.
 
     Two as-of passes (backward and forward); the closer wins, a tie goes to
     the lower key. NULL when nothing lies within the tolerance.
     """
     d = df.select(F.col(d_ts).alias("_n_ts"), F.col(key).alias("_n_key"))
-    back = asof_join(targets, d, (t_ts, "_n_ts"), width_s=width_s, r_order=["_n_key"])
+    back = asof_join(targets, d, (t_ts, "_n_ts"), width_s=width_s, r_order=["_n_key"], skew_safe=skew_safe)
     both = asof_join(back.withColumnRenamed("_n_ts", "_b_ts").withColumnRenamed("_n_key", "_b_key"),
                      d, (t_ts, "_n_ts"), width_s=width_s, direction="forward",
-                     r_order=["_n_key"])
+                     r_order=["_n_key"], skew_safe=skew_safe)
     tu = F.unix_micros(F.col(t_ts))
     db = (tu - F.unix_micros(F.col("_b_ts"))) / F.lit(1e6)
     df_ = (F.unix_micros(F.col("_n_ts")) - tu) / F.lit(1e6)
@@ -170,7 +175,7 @@ def nearest(targets: DataFrame, df: DataFrame, t_ts: str = "ts", d_ts: str = "ti
 
 
 def ffill(df: DataFrame, order: str, cols: Sequence[str], by=None, width_s: int = DEFAULT_TIME_WIDTH_S,
-          present: str | None = None) -> DataFrame:
+          present: str | None = None, skew_safe: bool | None = None) -> DataFrame:
     """WIN-13: forward fill from the last *row* that exists (reindex-ffill).
 
     ``present`` marks rows that really exist (non-NULL there); the whole
@@ -182,5 +187,5 @@ def ffill(df: DataFrame, order: str, cols: Sequence[str], by=None, width_s: int
     exists = F.col(present).isNotNull() if present else F.greatest(*[F.col(c).isNotNull() for c in cols])
     rows = df.filter(exists).select(*by, F.col(order).alias("_ff_ts"), *cols)
     targets = df.select(*[c for c in df.columns if c not in cols])
-    out = asof_join(targets, rows, (order, "_ff_ts"), by=by, width_s=width_s, suffix="_prev")
+    out = asof_join(targets, rows, (order, "_ff_ts"), by=by, width_s=width_s, suffix="_prev", skew_safe=skew_safe)
     return out.drop("_ff_ts")

@@ -118,24 +118,17 @@ def backfill_stats(missing: DataFrame, filled: DataFrame, key: str = "number") -
 
 def detect_time_gaps(df: DataFrame, ts: str = "timestamp", interval_s: float = 60, threshold: float = 1.5,
                      by=None, width: int | None = None, tiebreak: Sequence[str] = (),
-                     skew_safe: bool = False) -> DataFrame:
+                     skew_safe: bool | None = None) -> DataFrame:
     """Steps longer than ``interval_s * threshold`` between consecutive rows.
 
     ``missing = floor(delta / interval) - 1`` intervals lie inside the gap.
-    The default splits the series into time buckets of ``width``; a burst
-    that puts a large share of all rows into one bucket makes that bucket's
-    task large. ``skew_safe=True`` orders through sampled range partitions
-    instead (balanced whatever the time distribution, at the cost of a
-    sampling pass and one materialisation).
+    The series is split into time buckets of ``width`` or, if a burst puts too
+    many rows into one of them (measured, or said by ``skew_safe``), into
+    sampled ranges of equal row counts.
     """
     by = _list(by)
-    if skew_safe:
-        from gapseries.operators.ordered import IDX, halo_window
-        d = halo_window(df.select(*by, ts, *tiebreak), [ts, *tiebreak],
-                        lambda w: {"_p_" + ts: F.lag(ts, 1).over(w)}, preceding=1, by=by, index="range").drop(IDX)
-    else:
-        d = with_prev(df.select(*by, ts, *tiebreak), ts, [ts], by=by, width=width, tiebreak=tiebreak,
-                      prefix="_p_")
+    d = with_prev(df.select(*by, ts, *tiebreak), ts, [ts], by=by, width=width, tiebreak=tiebreak, prefix="_p_",
+                  skew_safe=skew_safe)
     delta = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_p_" + ts))) / F.lit(1e6)
     d = d.withColumn("duration_s", delta)
     return d.filter(F.col("duration_s") > F.lit(interval_s * threshold)).select(

@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 DEFAULT_KEY_WIDTH = 1 << 16          # keys per bucket for integer orders
 DEFAULT_TIME_WIDTH_S = 6 * 3600      # seconds per bucket for timestamp orders
 DEFAULT_BUCKET_ROWS = 1 << 16        # rows per bucket for index-based buckets
+CROWDED_ROWS = 1 << 20               # rows of one time bucket from which on buckets hold equal row counts instead
 SUPER = 1024                         # buckets per super-bucket in edge scans
 
 B = "_gs_b"
@@ -69,6 +70,17 @@ def bucket_expr(df: DataFrame, col: str, width: int | None = None) -> Column:
     return F.floor(order_value(df, col) / F.lit(w)).cast("bigint")
 
 
+def crowded(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Whether one bucket holds more than ``limit`` rows: a count per bucket, combined before the shuffle.
+
+    Reads the key columns only. Decides between time buckets (one shuffle) and
+    buckets of equal row counts (a sampling pass and a materialisation, but no
+    task larger than another however the rows crowd in time).
+    """
+    most = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (most or 0) > (CROWDED_ROWS if limit is None else limit)
+
+
 def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Add the columns of a one-row result to every row, as a scalar subquery (no join).
 
@@ -120,16 +132,25 @@ def exclusive_scan(edges: DataFrame, by: Sequence[str], bucket: str, value: str,
 # ---------------------------------------------------------------------------
 
 def with_prev(df: DataFrame, order: str, cols: Sequence[str], by=None, width: int | None = None,
-              prefix: str = "prev_", tiebreak: Sequence[str] = ()) -> DataFrame:
+              prefix: str = "prev_", tiebreak: Sequence[str] = (), skew_safe: bool | None = None) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` in the previous row by ``(by, order)``.
 
     Same result as ``lag(c, 1).over(Window.partitionBy(by).orderBy(order))``,
     computed per bucket plus an edge scan. The previous row of the very
-    first row is NULL (no default value).
+    first row is NULL (no default value). Buckets of a time order can be
+    crowded by a burst; then (``skew_safe``, by default as measured by
+    :func:`crowded`) the rows are split by count instead.
     """
     by = _list(by)
     cols = _list(cols)
     keys = [order, *tiebreak]
+    if skew_safe is None:
+        # distinct integer keys fill a bucket with at most its width
+        timed = isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+        skew_safe = timed and crowded(df.select(*by, bucket_expr(df, order, width).alias(B)), [*by, B])
+    if skew_safe:
+        d = halo_window(df, keys, lambda w: {prefix + c: F.lag(c, 1).over(w) for c in cols}, preceding=1, by=by, index="range")
+        return d.drop(IDX)
     packed_cols = list(dict.fromkeys(keys + cols))
     d = df.withColumn(B, bucket_expr(df, order, width))
     w = Window.partitionBy(*by, B).orderBy(*[F.col(k) for k in keys])

@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from gapseries.operators import gaps as G
-from gapseries.operators import ordered, rollup, sets
+from gapseries.operators import asof, ordered, rollup, sets
 from gapseries.plans.q_gaps import GAPS, _gaps_sql
 from gapseries.plans.q_streaming import _finish
 from gapseries.plans.registry import register, round_doubles
-from gapseries.plans.sqlviews import BLOCKS, SOURCES, with_
+from gapseries.plans.sqlviews import BLOCKS, PURCHASES, SOURCES, VIEWS, with_
 from gapseries.session import scratch_path
 from gapseries.sinks import writers as W
 from gapseries.sources import contract as C
@@ -180,6 +180,37 @@ def blocks_by_era(spark, sf_dir):
     return b.join(eras, inside).groupBy("era").agg(F.count("*").alias("blocks"), F.min("number").alias("first_block"))
 
 
+BURST_SQL = """burst AS (SELECT view_id, user_id, view_value, CASE WHEN view_id % 3 = 0 THEN TIMESTAMP '2024-01-15 12:00:00' ELSE ts END AS ts
+          FROM views)"""
+
+
+@register("asof_burst", "JN-1 WIN-16", sql=with_(PURCHASES, VIEWS, BURST_SQL) + """
+SELECT event_id, user_id, view_id FROM (
+  SELECT p.event_id, p.user_id, b.view_id,
+         row_number() OVER (PARTITION BY p.event_id ORDER BY b.ts DESC, b.view_id DESC) AS rn
+  FROM purchases p LEFT JOIN burst b ON b.user_id = p.user_id AND b.ts <= p.ts) t WHERE rn = 1""")
+def asof_burst(spark, sf_dir):
+    """A third of the right rows share one timestamp: buckets of equal row counts split the burst."""
+    v = driver.views(spark, sf_dir)
+    v = v.withColumn("ts", F.when(F.col("view_id") % 3 == 0, F.lit("2024-01-15 12:00:00").cast("timestamp")).otherwise(F.col("ts")))
+    p = driver.purchases(spark, sf_dir).select("event_id", "ts", "user_id")
+    j = asof.asof_join(p, v.select("ts", "user_id", "view_id"), "ts", by="user_id", r_order=["view_id"], keep_right_ts=False,
+                       skew_safe=True, bucket_rows=256)
+    return j.select("event_id", "user_id", "view_id")
+
+
+@register("time_gaps_burst", "GAP-2 WIN-16", sql=with_(VIEWS, BURST_SQL) + """
+SELECT p AS gap_start, ts AS gap_end FROM (SELECT ts, lag(ts) OVER (ORDER BY ts, view_id) AS p FROM burst) t
+WHERE epoch_us(ts) - epoch_us(p) > 450000000""")
+def time_gaps_burst(spark, sf_dir):
+    """Time gaps of a series with a burst of equal timestamps; the burst is measured and split by row count."""
+    v = driver.views(spark, sf_dir)
+    v = v.withColumn("ts", F.when(F.col("view_id") % 3 == 0, F.lit("2024-01-15 12:00:00").cast("timestamp")).otherwise(F.col("ts")))
+    d = v.select("ts", "view_id")
+    safe = ordered.crowded(d.select(ordered.bucket_expr(d, "ts").alias("b")), ["b"], limit=200)
+    return G.detect_time_gaps(d, "ts", 300, 1.5, tiebreak=["view_id"], skew_safe=safe).select("gap_start", "gap_end")
+
+
 def _mempool_json(ev):
     """A payload per event; each eleventh has no readable time, each thirteenth is no JSON."""
     when = F.when(F.col("event_id") % 11 == 0, F.lit("yesterday, 25:61")).otherwise(
