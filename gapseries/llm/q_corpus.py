@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapseries.llm import langid, positional, simhash, spm, substring
+from gapseries.llm import langid, positional, simhash, spm, sql, substring
 from gapseries.llm.common import load
 from gapseries.llm.queries import query
 
@@ -26,12 +26,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", langid.fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-@query("op7_substring_dedup")
+@query("op7_substring_dedup", sql.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(load(spark, sf_dir, "documents")).drop("kept_text")
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", sql.OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 

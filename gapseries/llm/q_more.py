@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapseries.llm import embeddings, htmltext, langid, lm, sharding, warc
+from gapseries.llm import embeddings, htmltext, langid, lm, sharding, sql, warc
 from gapseries.llm.common import load, shared_path
 from gapseries.llm.queries import query
 
 
-@query("op1_warc")
+@query("op1_warc", sql.OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write(load(spark, sf_dir, "pages"), path)
@@ -22,7 +22,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(load(spark, sf_dir, "pages"))
 
 
-@query("op5_embedding_dedup")
+@query("op5_embedding_dedup", sql.OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(load(spark, sf_dir, "embeddings"))
 
