@@ -88,3 +88,62 @@ def test_upsert_daily_partitions(spark):
     assert {r.number: r.gas_used for r in t.select("number", "gas_used").collect()} == exp
     assert t.select("day").distinct().count() == 30 and t.filter(F.col("day") != F.date_format(
         "timestamp", "yyyyMMdd")).count() == 0
+
+
+def _one(spark, number, when, gas, seq):
+    b = driver.blocks(spark, SF001).limit(1)
+    return b.withColumn("number", F.lit(number).cast("long")).withColumn("timestamp", F.lit(when)).withColumn(
+        "gas_used", F.lit(gas).cast("long")).withColumn("_ingest_seq", F.lit(seq).cast("long"))
+
+
+def test_first_write_keeps_the_newest_version(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="gs-first-"), "blocks")
+    both = _one(spark, 5, dt.datetime(2024, 1, 3), 900, 1).unionByName(_one(spark, 5, dt.datetime(2024, 1, 3), 100, 2))
+    W.upsert_table(spark, path, both)
+    assert [r.gas_used for r in W.read_table(spark, path).collect()] == [100]
+
+
+def test_upsert_removes_an_emptied_partition(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="gs-moved-"), "blocks")
+    W.upsert_table(spark, path, _one(spark, 5, dt.datetime(2024, 1, 3), 1, 1).unionByName(_one(spark, 9, dt.datetime(2024, 3, 3), 1, 1)))
+    W.upsert_table(spark, path, _one(spark, 5, dt.datetime(2024, 2, 3), 2, 2))
+    assert sorted((r.number, r.year_month, r.gas_used) for r in W.read_table(spark, path).collect()) == [(5, "202402", 2), (9, "202403", 1)]
+    assert not os.path.exists(os.path.join(path, "year_month=202401"))
+
+
+def test_upsert_does_not_wipe_what_it_cannot_read(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="gs-bad-"), "blocks")
+    os.makedirs(os.path.join(path, "year_month=202401"))
+    bad = os.path.join(path, "year_month=202401", "part-0.parquet")
+    with open(bad, "w") as fh:
+        fh.write("no parquet")
+    try:
+        W.upsert_table(spark, path, _one(spark, 5, dt.datetime(2024, 1, 3), 1, 1))
+        raised = False
+    except Exception:  # noqa: BLE001 - whichever error Spark gives for a broken file
+        raised = True
+    assert raised and os.path.exists(bad)
+
+
+def test_checkpoint_folder_must_be_shared_off_local():
+    import pytest
+
+    from gapseries import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+    Session.conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert session.ensure_checkpoint_dir(Session()) == "hdfs:///shared"
+
+
+def test_report_messages_may_hold_quotes(spark):
+    from gapseries.operators import quality as Q
+    b = driver.blocks(spark, SF001)
+    rows = Q.report(b, [Q.custom_rule("c", F.col("size") > 0, "it can't be \\ \"empty\"")], "2024-01-31", "x").collect()
+    assert [r.message for r in rows] == ["it can't be \\ \"empty\""]

@@ -126,3 +126,23 @@ def test_overwide_difficulty_is_quarantined(spark):
     df = spark.createDataFrame([(json.dumps(msg),)], "json string")
     valid, bad = D.split_blocks(D.decode_blocks(df))
     assert valid.count() == 0 and bad.count() == 1
+
+
+def test_wide_values_and_bad_fields_are_never_stored(spark):
+    good = '{"result":{"number":"0x5","timestamp":"0x5","gasLimit":"%s","gasUsed":"0x1","size":"0x2","transactions":[]%s}}'
+    cases = [(good % ("0x9", ""), True), (good % ("0x" + "f" * 20, ""), False), (good % ("0x1z", ""), False),
+             (good % ("9", ""), False), (good % ("0x9", ',"blobGasUsed":"0xq"'), False), (good % ("0x9", ',"difficulty":"0x%s"' % ("f" * 40)), False),
+             ('{"result":{"number":"0x5"}}', False), ("", False), ("[]", False), (None, False)]
+    rows = D.decode_blocks(spark.createDataFrame([(j,) for j, _ in cases], "json string"), keep_raw=True).collect()
+    assert {r.json: r._valid for r in rows} == dict(cases)
+
+
+def test_decoders_survive_bad_records(spark):
+    df = spark.createDataFrame([("nope",), ('{"timestamp":"25:61"}',), ('{"timestamp":"2024-01-01T00:00:00Z"}',)], "json string")
+    good, bad = D.split_timed(D.decode_mempool(df))
+    assert good.count() == 1 and bad.count() == 2
+    fees = D.decode_fee_history(spark.createDataFrame([('{"oldestBlock":"0x1","gasUsedRatio":[0.1,0.2],"baseFeePerGas":["0x5"],"reward":[["0x1"]]}',),
+                                                       ("{",)], "json string")).collect()
+    assert [(r.number, r.base_fee_per_gas, r.reward_p25, r.reward_p50) for r in fees] == [(1, 5, 1, None), (2, None, None, None)]
+    bars = D.decode_klines(spark.createDataFrame([("[[1000],[]]",), ("x",)], "json string"), symbol="S").collect()
+    assert sorted((r.ts is not None, r.close) for r in bars) == [(False, None), (True, None)]
