@@ -34,8 +34,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 ASIDE = frozenset("nav footer aside form button select option label fieldset menu dialog".split())
 HINTS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent "
                   "contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
-                  "notice notices pager pagination popup promo promoted recommended related replies reply respond search share "
+                  "alert infobar notice notices pager pagination popup promo promoted recommended related replies reply respond search share "
                   "sharing sidebar sidebars signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
+HINT_STARTS = ("comment", "advert", "adsby", "adsense", "cookie", "sidebar", "footer", "newsletter", "breadcrumb", "sponsor", "navbar")
+HINT_ENDS = ("nav", "sidebar", "footer", "menu", "comments", "banner", "advert")
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("ul ol dl table article section div main body html blockquote td th".split())
@@ -48,6 +50,7 @@ MOST = 0.75             # of the content's length, which the article's element h
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_LACKING = re.compile(r"\b(?:with|has|no|without)[-_]?[a-z]+")       # "has-sidebar" is no sidebar
 _HIDDEN = re.compile(r"\shidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？；]")
@@ -56,14 +59,15 @@ _PUNCTUATION = re.compile(r"[.,;:!?、。，！？；]")
 class _Page:
     """Blocks of one page: (text, path, element, link characters), and the element tree."""
 
-    def __init__(self) -> None:
+    def __init__(self, hints: bool = True) -> None:
+        self.hints = hints
         self.blocks: list[tuple[str, int, int, int]] = []
         self.parent, self.tags = [-1], [""]                 # by element; 0 is the document
         self.paths: dict[tuple[int, str], int] = {}
         self.stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]      # tag, element, path, left out
         self.held: list[str] = []
         self.links: list[str] = []
-        self.open_links = 0
+        self.open: dict[str, int] = {}                      # open elements by tag
 
     def flush(self) -> None:
         if self.held:
@@ -84,12 +88,12 @@ class _Page:
     def text(self, raw: str) -> None:
         if raw:
             self.held.append(raw)
-            if self.open_links:
+            if self.open.get("a"):
                 self.links.append(raw)
 
     def pop(self, size: int) -> None:
         for tag, *_ in self.stack[size:]:
-            self.open_links -= tag == "a"
+            self.open[tag] -= 1
         del self.stack[size:]
 
     def start(self, tag: str, attributes: str) -> None:
@@ -102,28 +106,33 @@ class _Page:
         if tag in VOID:
             return
         closes = CLOSES.get(tag, set())
+        if block:
+            closes = closes | {"p"}
         for k in range(len(self.stack) - 1, 0, -1):
+            if not any(map(self.open.get, closes)):
+                break                                       # none is open: deep nesting costs nothing
             open_tag = self.stack[k][0]
-            if block and open_tag == "p" or open_tag in closes:
+            if open_tag in closes:
                 self.pop(k)
-            elif open_tag in SCOPES and not (open_tag in ("td", "th") and closes):
+            elif open_tag in SCOPES and not (open_tag in ("td", "th") and tag in CLOSES):
                 break
         _, element, path, out = self.stack[-1]
         if block:
-            out = out or tag in ASIDE or tag == "header" and not any(s[0] in ("article", "main") for s in self.stack)
-            if not out and attributes and tag not in ("html", "body", "article", "main"):
-                names = {w for m in _ATTRIBUTE.finditer(attributes) for w in _WORDS.findall(m[1].lower())}
-                out = bool(names & HINTS) or bool(_HIDDEN.search(attributes))
+            if not out:
+                inside = bool(self.open.get("article") or self.open.get("main"))
+                out = tag in ASIDE or tag == "header" and not inside
+                if attributes and self.hints and not out and tag not in ("html", "body", "article", "main"):
+                    out = _aside(attributes, inside)
             self.parent.append(element)
             self.tags.append(tag)
             element = len(self.tags) - 1
             path = self.paths.setdefault((path, tag), len(self.paths) + 1)
         self.stack.append((tag, element, path, out))
-        self.open_links += tag == "a"
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
         block = tag not in INLINE
-        for k in range(len(self.stack) - 1, 0, -1):
+        for k in range(len(self.stack) - 1, 0, -1) if self.open.get(tag) else ():
             if self.stack[k][0] == tag:
                 if block:
                     self.flush()
@@ -133,9 +142,20 @@ class _Page:
                 return                                      # an inline end tag closes nothing across blocks
 
 
-def parse(html: str) -> _Page:
-    """Tolerant parse: unclosed, misnested and cut-off markup never raises."""
-    page, at, size, broken = _Page(), 0, len(html), False
+def _aside(attributes: str, inside: bool) -> bool:
+    """Whether class, id, role or hiding say that an element holds no article text; ``inside``: of an article."""
+    if _HIDDEN.search(attributes):
+        return True
+    for m in _ATTRIBUTE.finditer(attributes):
+        for w in _WORDS.findall(_LACKING.sub(" ", m[1].lower())):
+            if (w in HINTS or w.startswith(HINT_STARTS) or w.endswith(HINT_ENDS)) and not (inside and w == "header"):
+                return True
+    return False
+
+
+def parse(html: str, hints: bool = True) -> _Page:
+    """Tolerant parse: unclosed, misnested and cut-off markup never raises. Without ``hints`` class names play no part."""
+    page, at, size, broken = _Page(hints), 0, len(html), False
     while at < size:
         tag_at = html.find("<", at)
         if tag_at < 0:
@@ -237,7 +257,9 @@ def content(page: _Page) -> list[str]:
 
 def main_text(html: str | None) -> str:
     """Main text of one page; empty if there is none."""
-    return " ".join(content(parse(html or "")))
+    html = html or ""
+    # a page that its class names leave empty is read without them
+    return " ".join(content(parse(html)) or content(parse(html, hints=False)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

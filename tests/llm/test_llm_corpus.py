@@ -250,7 +250,9 @@ def _proto(pieces, kind):
     return rows + field(2, bytes([0x18, kind])) + field(3, field(1, b"identity") + bytes([0x18, 1, 0x20, 0, 0x28, 1]))
 
 
-def test_unigram_viterbi_equals_library():
+@pytest.mark.parametrize("dense", [4096, 0])
+def test_unigram_viterbi_equals_library(dense, monkeypatch):
+    monkeypatch.setattr(spm, "DENSE", dense)
     sentencepiece = pytest.importorskip("sentencepiece")
     rng = np.random.default_rng(5)
     texts = ["▁", *"abcd"] + sorted({"".join(rng.choice(list("abcd▁"), int(rng.integers(2, 5)), p=[.24, .24, .24, .24, .04])) for _ in range(60)})

@@ -90,6 +90,10 @@ CASES = [
     (f"<article><p>a<b>b</b>c &lt;x&gt; &eacute;&nbsp;z<br>new\n\t line. {PROSE}</p></article><div", f"abc <x> é z new line. {PROSE}"),
     (f"<article><p class=\"a>b\">{PROSE}</p><!-- <p>no</p> --><style>p{{}}</style><p>{PROSE}</article", f"{PROSE} {PROSE}"),
     (f"<article><p title='open>{PROSE}</p><p>{PROSE}</p></article>", None),
+    (f"<div class='content has-sidebar'><div class=article-header><h1>H</h1></div><p>{PROSE}</p></div><div id=rightSidebar><p>{PROSE}</p></div>"
+     f"<ol class=commentlist><li><p>{PROSE}</p></ol><p class=adsbygoogle>{PROSE}</p>", PROSE),
+    (f"<main><div class=article-header><h1>H</h1></div><p>{PROSE}</p></main><section id=comments><p>{PROSE}</p></section>", f"H {PROSE}"),
+    (f"<div class='comment'><p>{PROSE}</p></div>", PROSE),
 ]
 
 
@@ -100,7 +104,8 @@ def test_html_cases(page, want):
 
 
 def test_html_linear_on_hostile_input():
-    for page in ("<a \"" * 50_000, "<" * 200_000, "<div>" * 100_000, "</p>" * 100_000, "<p>" * 50_000 + "x", "&" * 100_000, "<script>" * 20_000):
+    for page in ("<a \"" * 50_000, "<" * 200_000, "<div>" * 100_000, "<div>" * 50_000 + "</x>" * 50_000, "<x>" * 50_000 + "<li>" * 50_000, "<b>" * 50_000 + "<div>y" * 50_000,
+                 "</p>" * 100_000, "<p>" * 50_000 + "x", "&" * 100_000, "<script>" * 20_000):
         htmltext.main_text(page)
 
 
