@@ -55,7 +55,7 @@ def arrow_rows(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[list]], schema:
     return run
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int = -1, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: int = -1, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the strings of column ``text`` hold about ``limit`` bytes at a time.
 
     Bounds what one step of a task holds in memory; a single longer text is a piece of its own.
@@ -69,7 +69,9 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int = -1, limit: int = 16 <<
             yield batch
             continue
         import pyarrow.compute as pc
-        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+        width = max(1, column.nbytes // max(1, pc.sum(length(column)).as_py() or 1)) if pa.types.is_list(column.type) else 1
+        sizes = pc.fill_null(pc.multiply(length(column).cast(pa.int64()), width), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:

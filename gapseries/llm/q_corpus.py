@@ -40,7 +40,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number of ids, their SHA-256 (comma-joined) and whether decoding returns the text."""
     model = spm.read_model(PIECES)
-    docs = spm.decode(spm.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    docs = spm.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded_col="decoded")
     return docs.select("doc_id", F.size(F.coalesce("ids", F.array().cast("array<int>"))).cast("long").alias("n_ids"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))

@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi.
 
-Texts are cut into units that no piece can cross (a run of the space mark and
-the joining characters after it; any other character alone). Distinct units of
-equal length form one character matrix and advance together: the polynomial
+A batch of texts is one array of characters, cut into units that no piece can
+cross: between two characters that follow each other in no piece. Units are
+told apart by 64-bit polynomial hashes, and each distinct unit is encoded once.
+Units of equal length form one character matrix and advance together: the polynomial
 hashes of all substrings probe the sorted piece keys, and for each end position
 the best (previous score + step) over the piece lengths is a vectorised
 maximum whose argument is kept as back pointer.
@@ -25,8 +26,8 @@ The model file is read on the driver (its size is checked) and broadcast.
 from __future__ import annotations
 
 import heapq
-import re
 import struct
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,10 @@ from gapseries.llm.common import arrow_rows, pieces, without
 SPACE = "▁"
 LONG = 64
 MAX_MODEL_BYTES = 64 << 20
-CACHED = 800_000                     # units whose encoding a worker keeps
+CACHED = 400_000                     # units whose encoding a task keeps, in two generations
+KEPT = 50_000                        # of them, for the next task in the same worker
+CHARACTERS = 0x110000
+DENSE = 4096                         # joining characters up to which all pairs are a table
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -102,12 +106,25 @@ class Model:
         self.raw = [b"" if k in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if k == BYTE
                     else p.replace(SPACE, " ").encode() for p, _, k in self.pieces]
         self.raw[self.unknown] = " ⁇ ".encode()
-        joining = sorted({c for p in self.by_text if len(p) > 1 for c in p} - {SPACE})
-        inside = "".join(map(re.escape, joining))
-        self.unit = re.compile(f"{SPACE}*[{inside}]+|{SPACE}+|[^{inside}{SPACE}]" if joining else ".", re.S)
+        # class 0: characters that no longer piece holds; joined: the pairs of classes that follow each other in some piece
+        joining = sorted({c for p in self.by_text if len(p) > 1 for c in p})
+        self.classes = np.zeros(CHARACTERS, np.int16 if len(joining) < 1 << 15 else np.int32)
+        self.classes[[ord(c) for c in joining]] = np.arange(1, len(joining) + 1)
+        follows = {p[k:k + 2] for p in self.by_text for k in range(len(p) - 1)}
+        pairs = self.classes[[[ord(c) for c in f] for f in follows]].astype(np.int64) if follows else np.zeros((0, 2), np.int64)
+        self.joined = np.sort(pairs[:, 0] * (len(joining) + 1) + pairs[:, 1])
+        self.matrix = None
+        if len(joining) <= DENSE:               # a table of all pairs is quicker than a search
+            self.matrix = np.zeros((len(joining) + 1, len(joining) + 1), bool)
+            self.matrix[pairs[:, 0], pairs[:, 1]] = True
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_size = np.array([len(r) for r in self.raw], np.int64)
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.scores = np.array([p[1] for p in self.pieces], np.float64)
         self._tables()
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[int, bytes] = {}       # ids by unit hash, of this generation and of the one before
+        self.old: dict[int, bytes] = {}
+        self.powers = np.ones(1, np.uint64)
 
     def _tables(self) -> None:
         """Sorted substring keys and, for BPE, ranks, splits and joins."""
@@ -209,8 +226,8 @@ class Model:
             at, limit = at[go], limit[go]
         return ok
 
-    def viterbi(self, units: list[str]) -> list[list[int]]:
-        """Internal ids of units of one length."""
+    def viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Internal ids of units of one length, one unit after the other, and how many each has."""
         n, size = len(units), len(units[0])
         chars = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").reshape(n, size).astype(np.uint64) + np.uint64(1)
         found: list[np.ndarray] = []               # found[l - 1][:, j]: piece of l characters from j, or -1
@@ -230,10 +247,14 @@ class Model:
         best[:, 0] = 0
         last, back = np.full((n, size + 1), -1, np.int64), np.zeros((n, size + 1), np.int64)
         for end in range(1, size + 1):
-            for length in range(1, min(end, self.longest) + 1):
+            # BPE: one piece only can end a prefix, so a row is done once it has one (long ones are likelier)
+            for length in range(min(end, self.longest), 0, -1):
                 start = end - length
                 piece = single[:, start] if length == 1 else found[length - 1][:, start]
-                rows = np.flatnonzero((piece >= 0) & (best[:, start] > -np.inf))
+                open_ = (piece >= 0) & (best[:, start] > -np.inf)
+                if self.bpe:
+                    open_ &= best[:, end] == -np.inf
+                rows = np.flatnonzero(open_)
                 if not len(rows):
                     continue
                 own, before = piece[rows], last[rows, start]
@@ -247,13 +268,16 @@ class Model:
                 better = score > best[rows, end]
                 at = rows[better]
                 best[at, end], last[at, end], back[at, end] = score[better], own[better], start
-        out: list[list[int]] = [[] for _ in range(n)]
-        here = np.full(n, size)
-        while (going := np.flatnonzero(here)).size:
-            for row, piece in zip(going.tolist(), last[going, here[going]].tolist()):
-                out[row].append(piece)
-            here[going] = back[going, here[going]]
-        return [o[::-1] for o in out]
+        # follow the back pointers of all units at once
+        here, going, path = np.full(n, size), np.arange(n), []
+        while going.size:
+            end = here[going]
+            path.append((going, end, last[going, end]))
+            here[going] = back[going, end]
+            going = going[here[going] > 0]
+        row, end, piece = (np.concatenate(x) for x in zip(*path))
+        order = np.lexsort((end, row))
+        return piece[order], np.bincount(row, minlength=n)
 
     def _ids(self, unit: str, internal: list[int]) -> bytes:
         """Public ids as 32-bit integers: characters without a piece become their UTF-8 bytes, or the unknown piece."""
@@ -283,34 +307,97 @@ class Model:
             else:
                 by_length.setdefault(len(u), []).append(u)
         for own in by_length.values():
-            for at in range(0, len(own), 50_000):
-                part = own[at:at + 50_000]
-                for u, internal in zip(part, self.viterbi(part)):
-                    out[u] = self._ids(u, internal)
+            for at in range(0, len(own), 20_000):
+                part = own[at:at + 20_000]
+                ids, counts = self.viterbi(part)
+                plain, ends = ids.astype("<i4").tobytes(), np.cumsum(counts) * 4
+                out.update(zip(part, map(plain.__getitem__, map(slice, (ends - counts * 4).tolist(), ends.tolist()))))
+                odd = (ids >= len(self.pieces)) | (ids == self.unknown)
+                for k in np.unique(np.repeat(np.arange(len(part)), counts)[odd]).tolist():
+                    out[part[k]] = self._ids(part[k], ids[ends[k] // 4 - counts[k]:ends[k] // 4].tolist())
         return out
 
+    def units(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Starts of the units; ``starts``: of the texts."""
+        own = self.classes[codes]
+        cut = np.ones(len(codes), bool)
+        if self.matrix is not None:
+            cut[1:] = ~self.matrix[own[:-1], own[1:]]
+        elif len(self.joined):
+            key = own[:-1].astype(np.int64) * (int(self.classes.max()) + 1) + own[1:]
+            cut[1:] = self.joined[np.minimum(np.searchsorted(self.joined, key), len(self.joined) - 1)] != key
+        cut[starts] = True
+        return np.flatnonzero(cut)
+
+    def unit_hashes(self, codes: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        longest = int(sizes.max(initial=1))
+        if len(self.powers) < longest:
+            self.powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(2 * longest, _HASH)]))
+        inside = np.arange(len(codes), dtype=np.int32) - np.repeat(at.astype(np.int32), sizes)
+        weighed = self.powers[inside]
+        weighed *= codes + np.uint64(1)
+        sums = np.add.reduceat(weighed, at)
+        mixed = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + sizes.astype(np.uint64)
+        return mixed ^ (mixed >> np.uint64(29))
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the bounds of each text's."""
+        marked = [t.replace(" ", SPACE) for t in texts]
+        if self.prefix:
+            marked = [SPACE + t if t else t for t in marked]
+        every, lengths = "".join(marked), np.array([len(t) for t in marked], np.int64)
+        if not every:
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        codes = np.frombuffer(every.encode("utf-32-le"), "<u4")
+        begin = np.cumsum(lengths) - lengths
+        at = self.units(codes, begin[lengths > 0])
+        sizes = np.diff(at, append=len(codes))
+        distinct, first, which = np.unique(self.unit_hashes(codes, at, sizes), return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        for k in self.old.keys() & keys:                    # what the older generation has is kept on
+            self.cache[k] = self.old[k]
+        new = [j for j, k in enumerate(keys) if k not in self.cache]
+        if new:
+            where, size = at[first[new]].tolist(), sizes[first[new]].tolist()
+            names = [every[a:a + n] for a, n in zip(where, size)]
+            ids = self.encode_units(names)
+            self.cache.update((keys[j], ids[u]) for j, u in zip(new, names))
+        found = list(map(self.cache.__getitem__, keys))
+        if len(self.cache) > CACHED // 2:
+            self.old, self.cache = self.cache, {}
+        counts = np.array([len(f) for f in found], np.int64) // 4
+        out = _spread(np.frombuffer(b"".join(found), "<i4"), np.cumsum(counts) - counts, counts, which)
+        ends = np.concatenate([[0], np.cumsum(counts[which])])
+        return out, ends[np.searchsorted(at, np.concatenate([begin, [len(codes)]]))]
+
+    def trim(self) -> None:
+        """Forget most units: a worker that waits for its next task should hold little memory."""
+        self.cache, self.old = dict(islice((self.old or self.cache).items(), KEPT)), {}
+
+    def decode_flat(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """Texts of ids that lie one after the other."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.raw)):
+            raise ValueError("id outside the vocabulary")
+        data = _spread(self.raw_bytes, self.raw_start, self.raw_size, ids).tobytes()
+        ends = np.concatenate([[0], np.cumsum(self.raw_size[ids])])[bounds].tolist()
+        texts = [data[a:b].decode(errors="replace") for a, b in zip(ends, ends[1:])]
+        return [t[1:] if self.prefix and t.startswith(" ") else t for t in texts]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Ids of each text; null stays null."""
-        known, split, new = self.cache, [], {}
-        for text in texts:
-            if text is not None:
-                text = text.replace(" ", SPACE)
-                text = self.unit.findall(SPACE + text if self.prefix and text else text)
-                new.update(dict.fromkeys(u for u in text if u not in known))
-            split.append(text)
-        if new:
-            known.update(self.encode_units(list(new)))
-        out = [None if s is None else np.frombuffer(b"".join([known[u] for u in s]), "<i4") for s in split]
-        if len(known) > CACHED:
-            known.clear()
-        return out
+        ids, bounds = self.encode_flat([t or "" for t in texts])
+        return [None if t is None else ids[a:b] for t, a, b in zip(texts, bounds.tolist(), bounds[1:].tolist())]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; bytes that are not UTF-8 become U+FFFD, an id outside the vocabulary raises."""
-        if len(ids) and min(ids) < 0:
-            raise ValueError("negative id")
-        text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return self.decode_flat(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+
+def _spread(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``data[start:start + size]`` of the entries ``which``, one after the other."""
+    size = sizes[which]
+    shift = starts[which] - np.cumsum(size) + size
+    return data[np.repeat(shift, size) + np.arange(size.sum())]
 
 
 def read_model(path: str) -> bytes:
@@ -333,34 +420,54 @@ def _model(shared) -> Model:
     return _MODELS[key]
 
 
-def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def _list(ids: np.ndarray, bounds: np.ndarray, null: list[bool]) -> pa.ListArray:
+    offsets = pa.array(bounds, pa.int32(), mask=np.array([*null, False]))       # a null offset makes a null list
+    return pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+
+
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """All columns of ``docs`` and ``ids_col`` (array<int>), which replaces a column of that name.
 
+    ``decoded_col`` adds the text that the ids decode to, in the same pass.
+
     Null text: null ids; empty text: no ids. A space mark (U+2581) in a text is
     treated as a space, as the library does. Repeated rows are all returned; an
     empty table gives an empty result.
     """
-    return _map(docs, model, text_col, ids_col, T.ArrayType(T.IntegerType()), lambda m, column: m.encode(column.to_pylist()))
+    new = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded_col, T.StringType())] if decoded_col else [])
+
+    def run(tables: Model, column: pa.Array) -> list:
+        texts = column.to_pylist()
+        null = [t is None for t in texts]
+        ids, bounds = tables.encode_flat([t or "" for t in texts])
+        out: list = [_list(ids, bounds, null)]
+        if decoded_col:
+            out.append([None if n else t for n, t in zip(null, tables.decode_flat(ids, bounds))])
+        return out
+    return _map(docs, model, text_col, new, run)
 
 
 def decode(docs: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """All columns of ``docs`` and ``text_col`` (string), which replaces a column of that name; null ids: null."""
-    return _map(docs, model, ids_col, text_col, T.StringType(),
-                lambda m, column: [None if x.as_py() is None else m.decode(x.values.to_pylist()) for x in column])
+    def run(tables: Model, column: pa.Array) -> list:
+        ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
+        texts = tables.decode_flat(ids, np.concatenate([[0], np.cumsum(sizes)]))
+        return [[t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())]]
+    return _map(docs, model, ids_col, [T.StructField(text_col, T.StringType())], run)
 
 
-def _map(docs: DataFrame, model: bytes, source: str, target: str, kind: T.DataType, fn) -> DataFrame:
+def _map(docs: DataFrame, model: bytes, source: str, new: list[T.StructField], fn) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name.lower() != target.lower() or f.name == source]
-    names = [f.name for f in kept]
-    schema = T.StructType([f for f in kept if f.name.lower() != target.lower()] + [T.StructField(target, kind)])
-    at = [i for i, f in enumerate(kept) if f.name.lower() != target.lower()]
+    taken = {f.name.lower() for f in new}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in taken]
+    schema = T.StructType(kept + new)
+    extra = without([f.name for f in kept], "_source")
 
     def run(batches):
         tables = _model(shared)
-        for batch in pieces(batches, limit=8 << 20):
-            yield [batch.column(i) for i in at] + [fn(tables, batch.column(len(names)))]
-    extra = without(names, "_source")
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{source}`").alias(extra)).mapInArrow(
+        for batch in pieces(batches, limit=2 << 20):
+            yield [batch.column(i) for i in range(len(kept))] + fn(tables, batch.column(len(kept)))
+        tables.trim()
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{source}`").alias(extra)).mapInArrow(
         arrow_rows(run, schema), schema)
-
