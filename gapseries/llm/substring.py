@@ -13,8 +13,8 @@ id. Two passes over the texts:
    and never too low. Counting aligned blocks instead of all windows keeps the
    sketch 25 times smaller.
 2. *Exact grouping.* Only windows whose estimate exceeds their own aligned
-   blocks (that is, which may occur elsewhere) are grouped, by 128-bit hashes
-   of word sequences and in two steps that keep the shuffle small. Runs of such
+   blocks (that is, which may occur elsewhere) are grouped, by 128-bit (96-bit
+   for single windows) hashes of word sequences and in two steps that keep the shuffle small. Runs of such
    windows are cut at content-defined places into chunks of about ``CHUNK``
    windows; a chunk that a smaller id also holds is gone as a whole, and of
    each distinct chunk only the smallest id's stays open. The windows of the
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,7 +127,7 @@ def sketch(docs: DataFrame, text_col: str, width: int, window: int = WINDOW) ->
                 if len(own) >= window:
                     held.append(rolling(word_hashes(own), half)[::half])
                     size += len(held[-1])
-                    if size >= 1 << 20:
+                    if size >= 1 << 18:
                         yield emit(held)
                         held, size = [], 0
         if size:
@@ -260,13 +261,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     long, ints = T.LongType(), T.ArrayType(T.IntegerType())
     ranges = ["start", "length"]
     first = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("n_words", long),
-                          T.StructField("sha", T.StringType()), T.StructField("text", T.StringType()),
+                          T.StructField("sha", T.StringType()), T.StructField("text", T.BinaryType()),
                           T.StructField("k1", T.ArrayType(long)), T.StructField("k2", T.ArrayType(long)),
                           *[T.StructField(c, ints) for c in ranges], *[T.StructField(f"known_{c}", ints) for c in ranges]])
 
     def probe(batches):
         counters = np.frombuffer(shared.value, np.uint8)
         none = (np.zeros(0, np.int64),) * 4
+        pack = zstandard.ZstdCompressor(level=3).compress       # the words travel twice from here on
         held, size = [], 0
         for batch in pieces(batches):
             for row, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -277,10 +279,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     starts = candidates(hashes, counters, width, window)
                     if len(starts):
                         found = chunks(starts, window_keys(hashes, starts, window), window)
-                some = len(found[0]) > 0
-                held.append((row, i, len(own), hashlib.sha256(b" ".join(own)).hexdigest(), text if some else None, found))
+                kept = b" ".join(own)
+                held.append((row, i, len(own), hashlib.sha256(kept).hexdigest(), pack(kept) if len(found[0]) else None, found))
                 size += len(own) + 100
-                if size >= 1 << 22:
+                if size >= 1 << 20:
                     yield chunked(held)
                     held, size = [], 0
         if held:
@@ -297,7 +299,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     decided = (rows.withColumn("gone", F.col("id") > least).groupBy("row")
                .agg(F.collect_list(F.struct("start", "length", "gone")).alias("parts")))
     wanted = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("n_words", long),
-                           T.StructField("sha", T.StringType()), T.StructField("text", T.StringType()),
+                           T.StructField("sha", T.StringType()), T.StructField("text", T.BinaryType()),
                            *[T.StructField(f"{k}_{c}", ints) for k in ("open", "known") for c in ranges]])
     known = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: p["gone"])
     still = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: ~p["gone"])
@@ -307,17 +309,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeats = materialise(repeats.select(*wanted.names), "repeats")
     # the same by single windows, over the open chunks
     single = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("k1", T.ArrayType(long)),
-                           T.StructField("k2", T.ArrayType(long)), T.StructField("at", ints), T.StructField("known", ints)])
+                           T.StructField("k2", ints), T.StructField("at", ints), T.StructField("known", ints)])
 
     def windows(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         held, size = [], 0
         for batch in pieces(batches, 2):
             for row, i, text, starts, lengths in zip(*(c.to_pylist() for c in batch.columns)):
                 starts = _spread(starts, lengths)
-                keys = window_keys(word_hashes(words(text)), starts, window).view(np.int64)
-                held.append((row, i, (keys[:, 0], keys[:, 1], starts)))
+                keys = window_keys(word_hashes(unpack(text).split()), starts, window)
+                # 96 bits a window
+                held.append((row, i, (keys[:, 0].view(np.int64), (keys[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32), starts)))
                 size += len(starts)
-                if size >= 1 << 20:
+                if size >= 1 << 19:
                     yield opened(held)
                     held, size = [], 0
         if held:
@@ -338,13 +342,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
 
     def cut(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in pieces(batches, 3):
             columns: list[list] = [[], [], [], [], []]
             for i, n, sha, text, start, length, one in zip(*(c.to_pylist() for c in batch.columns)):
                 starts = np.concatenate([_spread(start, length), np.array(one or [], np.int64)])
                 kept, removed = None, 0
                 if len(starts):
-                    own = words(text)
+                    own = unpack(text).split()
                     gone = _runs(starts, window, n)
                     removed = int(gone.sum())
                     kept = b" ".join(w for w, g in zip(own, gone.tolist()) if not g)
