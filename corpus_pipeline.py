@@ -36,8 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated 50-word passages; a document that loses all its words goes."""
-    kept = materialise(substring.remove_repeats(docs).where("n_removed > 0").select("doc_id", "kept_text").distinct(), "kept")
+    """Removes repeated 50-word passages; a document that loses all its words goes. Rows of one id keep one text."""
+    cut = substring.remove_repeats(docs).where("n_removed > 0")
+    kept = materialise(cut.groupBy("doc_id").agg(F.min("kept_text").alias("kept_text")), "kept")
     text = F.coalesce("kept_text", "text")
     return (docs.join(kept, "doc_id", "left").where("kept_text is null or kept_text <> ''")
             .withColumn("n_chars", F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long"))
@@ -53,7 +54,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every text, with a check that decoding returns it."""
     model = spm.read_model(PIECES)
-    both = spm.decode(spm.encode(docs, model), model)
+    both = spm.encode(docs, model, decoded_col="decoded")
     return both.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
