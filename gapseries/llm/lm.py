@@ -16,10 +16,12 @@ Building: every task sorts and counts the pair keys of some millions of words
 at a time and emits them packed by key range; one task a range merges them and
 builds the range's segment of the filter, ``BITS`` bits an entry. The number of
 ranges follows the corpus, so a range holds about ``RANGE_KEYS`` keys at every
-size. The word filter is broadcast whole (``max_filter_bytes``: its bits an
-entry shrink to fit). Pair segments are broadcast in slices of at most
-``max_filter_bytes``; a pass per slice scores the words whose pair falls in it,
-and the passes add up. Nothing is pruned.
+size. Both filters have ``BITS`` bits an entry whatever their size and are
+broadcast in slices of at most ``max_filter_bytes``. Words in one slice are
+looked up while scoring; of more, a pass per slice writes the levels of the
+words that fall in it (one byte a token) before any score is made. A scoring
+pass per slice of the pairs scores the words whose pair falls in it, and the
+passes add up. Nothing is pruned.
 
 The base score needs exact word counts. The ``HEAD`` most frequent words (of
 at most ``HEAD_BYTES`` bytes) are broadcast with their counts; the others, none
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +89,11 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
 
 
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of 2^(level-1) .. 2^level - 1; 0 at level 0."""
+    return np.where(level > 0, (3 * np.exp2(np.maximum(level, 1) - 1) - 1) / 2, 0.0)
+
+
 def _bit(low: np.ndarray, level: int, probe: int, bits: np.ndarray | int) -> np.ndarray:
     """Position within a segment of ``bits`` (< 2^32) bits of an n-gram's level and probe."""
     seed = np.uint64((level * PROBES + probe + 1) * _GOLD & (1 << 64) - 1)
@@ -106,8 +114,8 @@ class Filter:
         own = (keys >> np.uint64(64 - self.range_bits)).astype(np.int64) - self.first if self.range_bits else np.zeros(len(keys), np.int64)
         return (own >= 0) & (own < len(self.bits))
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts of keys whose ranges are present; 0 where level 1 is missing."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of keys whose ranges are present; 0 where level 1 is missing."""
         own, low = split(keys, self.range_bits)
         own = own - self.first
         bits, starts = self.bits[own], self.starts[own]
@@ -120,8 +128,11 @@ class Filter:
                 live = live[self.data[where >> np.uint64(3)] >> (where & np.uint64(7)).astype(np.uint8) & 1 > 0]
             level[live] = at
             at += 1
-        # the middle of 2^(level-1) .. 2^level - 1
-        return np.where(level > 0, (3 * np.exp2(np.maximum(level, 1) - 1) - 1) / 2, 0.0)
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """Estimated counts of keys whose ranges are present; 0 where level 1 is missing."""
+        return middle(self.levels(keys))
 
 
 def split(keys: np.ndarray, range_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +159,7 @@ def pack(keys: np.ndarray, counts: np.ndarray | None, range_bits: int) -> list:
     return columns
 
 
-def segments(packed: DataFrame, bits_per_entry: float = BITS) -> DataFrame:
+def segments(packed: DataFrame) -> DataFrame:
     """Merge packed keys and build each range's segment."""
     def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [], []
@@ -159,7 +170,7 @@ def segments(packed: DataFrame, bits_per_entry: float = BITS) -> DataFrame:
         low, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
         level = levels(total)
-        bits = min(max(64, int(level.sum() * bits_per_entry)), (1 << 32) - 1)
+        bits = min(max(64, int(level.sum()) * BITS), (1 << 32) - 1)
         out = np.zeros((bits + 7) // 8 * 8, bool)
         low = low.astype(np.uint64)
         for at in range(1, int(level.max()) + 1):
@@ -187,6 +198,11 @@ def slices(built: DataFrame, range_bits: int, limit: int) -> Iterator[Filter]:
     yield Filter(range_bits, first, bits, bytes(data) or b"\0")
 
 
+def size_of(built: DataFrame) -> int:
+    """Bytes of all segments."""
+    return built.agg(F.sum(F.floor((F.col("bits") + 7) / 8))).first()[0] or 0
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``(word, c)`` of a one-column table of texts."""
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("c", T.LongType())])
@@ -229,6 +245,33 @@ def packed_words(vocabulary: DataFrame, range_bits: int) -> DataFrame:
     return vocabulary.select("word", "c").mapInArrow(arrow_rows(run, PACKED), PACKED)
 
 
+def word_levels(rows: DataFrame, filters: Iterator[Filter]) -> DataFrame:
+    """``rows(_row, .., _text)`` with ``_levels``: per filter the levels of the text's words, 0 for those in another one.
+
+    One filter is broadcast at a time.
+    """
+    spark = rows.sparkSession
+    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_levels", T.BinaryType())])
+    parts = []
+    for one in filters:
+        shared = spark.sparkContext.broadcast(one)
+
+        def run(batches, shared=shared):
+            for batch in pieces(batches, limit=2 << 20):
+                texts = [words(t.as_py()) for t in batch.column(1)]
+                own, at = np.unique(hashes([w for text in texts for w in text]), return_inverse=True)
+                keys, level = word_keys(own), np.zeros(len(own), np.uint8)
+                mine = shared.value.has(keys)
+                level[mine] = shared.value.levels(keys[mine])
+                ends = np.cumsum([0] + [len(text) for text in texts]).tolist()
+                level = level[at]
+                yield [batch.column(0), [level[a:b].tobytes() for a, b in zip(ends, ends[1:])]]
+        parts.append(materialise(rows.select("_row", "_text").mapInArrow(arrow_rows(run, schema), schema), "levels"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, parts).groupBy("_row").agg(F.collect_list("_levels").alias("_levels"))
+    return rows.join(every, "_row")
+
+
 def _range_bits(keys: int) -> int:
     return max(0, (max(1, keys) // RANGE_KEYS).bit_length())
 
@@ -258,15 +301,20 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     head_rows = (vocabulary.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(HEAD)).collect()
     head = spark.sparkContext.broadcast({r["word"].encode(): float(np.log10((r["c"] + ALPHA) / norm)) for r in head_rows})
     end_log = float(np.log10((ends + ALPHA) / norm))
-    # the word filter: fewer bits an entry beyond the bound (an entry a level: 2 on average covers Zipf's tail)
-    fit = min(BITS, max_filter_bytes * 8 / max(1, 2 * distinct))
     word_bits = _range_bits(distinct)
-    word_filter = spark.sparkContext.broadcast(
-        next(slices(segments(packed_words(vocabulary, word_bits), fit), word_bits, 1 << 62)))
+    word_segments = materialise(segments(packed_words(vocabulary, word_bits)), "words", "uncompressed")
+    word_filters = slices(word_segments, word_bits, max_filter_bytes)
+    whole = size_of(word_segments) <= max_filter_bytes
+    if whole:
+        word_filter = spark.sparkContext.broadcast(next(word_filters))
+        rows = rows.withColumn("_levels", F.lit(None).cast("array<binary>"))
+    else:
+        word_filter = None
+        rows = materialise(word_levels(materialise(rows, "texts"), word_filters), "texts")
     pair_bits = _range_bits(total)
     pairs = materialise(segments(pair_counts(texts, pair_bits)), "segments", "uncompressed")
     filters = [spark.sparkContext.broadcast(f) for f in slices(pairs, pair_bits, max_filter_bytes)]
-    if len(filters) > 1:
+    if len(filters) > 1 and whole:
         rows = materialise(rows, "texts")
     first = T.StructType([
         T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("learned", T.BooleanType()),
@@ -286,8 +334,8 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         return out
 
     def scored(batches, pair_filter, bases: bool):
-        known, one, pairs = head.value, word_filter.value, pair_filter.value
-        for batch in pieces(batches, limit=4 << 20):
+        known, pairs = head.value, pair_filter.value
+        for batch in pieces(batches, 3, limit=2 << 20):
             texts = [words(t.as_py()) for t in batch.column(3)]
             flat = [w for own in texts for w in own]
             sizes = np.array([len(own) for own in texts], np.int64)
@@ -298,7 +346,12 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
             h, c, inner = np.full(len(flat) + 2 * n, START), np.full(len(flat) + 2 * n, float(ends)), np.ones(len(flat) + 2 * n, bool)
             h[starts + sizes + 1] = END
             inner[starts] = inner[starts + sizes + 1] = False
-            h[inner], c[inner] = distinct_words[at], one.counts(word_keys(distinct_words))[at]
+            h[inner] = distinct_words[at]
+            if whole:
+                c[inner] = word_filter.value.counts(word_keys(distinct_words))[at]
+            else:
+                c[inner] = middle(sum(np.frombuffer(b"".join(part), np.uint8).astype(np.int64)
+                                      for part in zip(*batch.column(4).to_pylist())))
             each = np.zeros(len(h))
             each[1:] = model(h, c, pairs)
             each[starts] = 0                        # the start mark is no token

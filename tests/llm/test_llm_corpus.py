@@ -187,6 +187,24 @@ def test_lm_filter_slices_and_errors(spark, monkeypatch):
     assert (unseen > 0).mean() < 0.1
 
 
+def test_lm_scores_do_not_depend_on_the_filter_bound(spark, monkeypatch):
+    """Words and pairs in many slices: every score equals that of the whole filters."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(120).unionByName(
+        spark.createDataFrame([(None, None), (-1, ""), (-2, "never seen zzqx")], "doc_id long, text string"), allowMissingColumns=True)
+    learn = F.col("doc_id").isNotNull() & ~langid.fold("doc_id", 10, 0)
+    monkeypatch.setattr(lm, "RANGE_KEYS", 1 << 12)
+    made = []
+    slices = lm.slices
+    monkeypatch.setattr(lm, "slices", lambda *a: (made.append(f.range_bits) or f for f in slices(*a)))
+    read = lambda df: sorted(((r.doc_id is not None, r.doc_id or 0, r.n_known, r.base_score, r.score) for r in df.collect()))
+    whole = read(lm.score(docs, learn))
+    assert len(made) == 2
+    parts = read(lm.score(docs, learn, max_filter_bytes=1 << 13))
+    assert len(made) > 6
+    for a, b in zip(whole, parts, strict=True):
+        assert a[:3] == b[:3] and math.isclose(a[4], b[4], rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_sharding(docs):
     got = sharding.shard(docs).toPandas()
     assert len(got) == docs.count()
