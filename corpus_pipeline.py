@@ -4,7 +4,9 @@
 and returns a DataFrame that is written as Parquet and reread as the next
 stage's ``docs``. All but the last keep the columns of ``documents``. Rows with
 a null ``doc_id`` pass the two deduplication stages unchanged (they can be
-neither kept nor removed by id). Empty tables give empty results.
+neither kept nor removed by id); they are decontaminated like any other row.
+Rows are judged by their text (its SHA-256 is the key), not by their id alone.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapseries.llm import langid, positional, simhash, spm, substring
-from gapseries.llm.common import load, materialise
+from gapseries.llm.common import load, materialise, without
 from gapseries.llm.q_corpus import PIECES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,15 +26,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs).where("lang_pred <> 'und' and fit > 0").select(*docs.columns)
 
 
-def _drop(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``gone`` (written first, so Spark knows its size and picks the join)."""
-    return docs.join(materialise(gone.select("doc_id").distinct(), "gone"), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the SHA-256 of each text, and that column's name. Unlike a row number it is the same at every reading."""
+    key = without(docs.columns, "_key")
+    return docs.withColumn(key, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))), key
+
+
+def _drop(docs: DataFrame, gone: DataFrame, *by: str) -> DataFrame:
+    """``docs`` without what ``gone`` holds (written first, so Spark knows its size and picks the join)."""
+    return docs.join(materialise(gone.select(*by).distinct(), "gone"), list(by), "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates (three-word shingles, two bits): the smallest doc_id of each component stays."""
     found = simhash.near_duplicates(docs)
-    return _drop(docs, found.where("doc_id <> component_id"))
+    return _drop(docs, found.where("doc_id <> component_id"), "doc_id")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +55,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a ten-word window of a benchmark item."""
-    hits = positional.contamination(docs, load(spark, sf_dir, "benchmark"))
-    return _drop(docs, hits.where("contaminated"))
+    docs, key = _keyed(docs)
+    hits = positional.contamination(docs, load(spark, sf_dir, "benchmark"), key_col=key)
+    return _drop(docs, hits.where("contaminated"), key).drop(key)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

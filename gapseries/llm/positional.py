@@ -41,15 +41,15 @@ def words(text: str | None) -> list[bytes]:
 INDEX = T.StructType([
     T.StructField("segment", T.StringType()), T.StructField("terms", T.ArrayType(T.StringType())),
     T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("postings", T.BinaryType()),
-    T.StructField("docs", T.ArrayType(T.LongType())), T.StructField("n_words", T.ArrayType(T.LongType()))])
+    T.StructField("docs", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.BinaryType())), T.StructField("n_words", T.ArrayType(T.LongType()))])
 
 
-def _segment(name: str, docs: list[tuple[int | None, list[bytes]]]) -> list:
+def _segment(name: str, docs: list[tuple[int | None, bytes | None, list[bytes]]]) -> list:
     """Index row of one segment."""
     vocabulary: dict[bytes, int] = {}
     number = vocabulary.setdefault
-    ids = np.fromiter((number(w, len(vocabulary)) for _, own in docs for w in own), np.int64)
-    lengths = np.array([len(own) for _, own in docs], np.int64)
+    ids = np.fromiter((number(w, len(vocabulary)) for *_, own in docs for w in own), np.int64)
+    lengths = np.array([len(own) for *_, own in docs], np.int64)
     at = np.arange(len(ids)) + np.repeat(np.arange(len(docs)) * GAP, lengths)
     counts = np.bincount(ids, minlength=len(vocabulary))
     at = at[np.argsort(ids, kind="stable")]
@@ -57,33 +57,37 @@ def _segment(name: str, docs: list[tuple[int | None, list[bytes]]]) -> list:
     first = np.cumsum(counts) - counts
     deltas[first] = at[first]
     return [[name], [[w.decode() for w in vocabulary]], [counts.tolist()], [deltas.astype("<u4").tobytes()],
-            [[i for i, _ in docs]], [lengths.tolist()]]
+            [[i for i, *_ in docs]], [[k for _, k, _ in docs]], [lengths.tolist()]]
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Positional index of all documents, one row per segment, written to the shared folder."""
+                segment_bytes: int = SEGMENT_BYTES, key_col: str | None = None) -> DataFrame:
+    """Positional index of all documents, one row per segment, written to the shared folder.
+
+    ``key_col``: a binary column to keep with every document.
+    """
     def run(batches):
         from pyspark import TaskContext
         part, serial, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in pieces(batches, limit=segment_bytes):
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for i, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = text.as_py()
-                held.append((i, words(text)))
+                held.append((i, key, words(text)))
                 size += len(text or "") + 64
                 if size >= segment_bytes:
                     yield _segment(f"{part}-{serial}", held)
                     serial, held, size = serial + 1, [], 0
         if held:
             yield _segment(f"{part}-{serial}", held)
-    own = docs.select(F.col(id_col).cast("long"), F.col(text_col))
+    own = docs.select(F.col(id_col).cast("long"), F.col(key_col) if key_col else F.lit(None).cast("binary"), F.col(text_col))
     return materialise(own.mapInArrow(arrow_rows(run, INDEX), INDEX), "index")
 
 
 def document_rows(index: DataFrame) -> DataFrame:
-    """``(row, doc, n_words)`` of every indexed document row; ``row`` names it uniquely."""
-    return (index.select("segment", F.posexplode(F.arrays_zip("docs", "n_words")).alias("k", "d"))
-            .select(F.concat_ws("/", "segment", "k").alias("row"), F.col("d.docs").alias("doc"), F.col("d.n_words").alias("n_words")))
+    """``(row, doc, key, n_words)`` of every indexed document row; ``row`` names it uniquely."""
+    return (index.select("segment", F.posexplode(F.arrays_zip("docs", "keys", "n_words")).alias("k", "d"))
+            .select(F.concat_ws("/", "segment", "k").alias("row"), F.col("d.docs").alias("doc"),
+                    F.col("d.keys").alias("key"), F.col("d.n_words").alias("n_words")))
 
 
 def _ranked(index: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -223,15 +227,17 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+                  key_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``(id, n_words, n_hit, n_items, items_sha256, contaminated)``.
 
     Null and empty texts have no words, on either side; items without words
     have no window; a null item id counts as no item, though its windows hit.
-    Repeated rows are all returned. Other columns are ignored. Empty tables
+    Repeated rows are all returned. Other columns are ignored, but for a binary
+    ``key_col``, which every row then brings back as a last column. Empty tables
     give an empty result, or one without hits.
     """
-    index = build_index(docs, id_col, text_col)
+    index = build_index(docs, id_col, text_col, key_col=key_col)
     phrases = item_windows(items, item_col, item_text_col, window)
     hits = materialise(phrase_matches(index, phrases.groupBy("phrase").agg(F.first("terms").alias("terms"))), "hits")
     # words under at least one occurrence: lengths of the union of intervals, by a running end per document
@@ -246,6 +252,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     rows = document_rows(index).join(covered, "row", "left").join(found, "row", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    kept = [F.col("key").alias(key_col)] if key_col else []
     return rows.select(F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"),
                        F.size(listed).cast("long").alias("n_items"),
-                       F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+                       F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), *kept)

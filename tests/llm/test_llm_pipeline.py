@@ -48,5 +48,16 @@ def test_stages_on_edge_cases(spark, empty):
         assert {None, 7, 16} <= {r.doc_id for r in docs.collect()}
 
 
+def test_decontaminate_judges_null_ids(spark):
+    """Every row goes by its own text, whatever its id."""
+    item = load(spark, SMALL, "benchmark").first().text
+    rows = [(None, "before " + item + " after"), (None, "clean words"), (1, item), (1, "other clean words"), (2, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.decontaminate(spark, docs, SMALL)
+    assert got.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([rows[1], *rows[3:]], key=str)
+
+
 def test_model_path_is_read(spark):
     assert len(spm.read_model(PIECES)) > 1000
