@@ -5,7 +5,8 @@ and returns a DataFrame that is written as Parquet and reread as the next
 stage's ``docs``. All but the last keep the columns of ``documents``. Rows with
 a null ``doc_id`` pass the two deduplication stages unchanged (they can be
 neither kept nor removed by id); they are decontaminated like any other row.
-Rows are judged by their text (its SHA-256 is the key), not by their id alone.
+Rows are judged by id and text (its SHA-256 is the key), so rows that share an
+id but not their text lose nothing to each other.
 Empty tables give empty results.
 """
 
@@ -39,18 +40,22 @@ def _drop(docs: DataFrame, gone: DataFrame, *by: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates (three-word shingles, two bits): the smallest doc_id of each component stays."""
-    found = simhash.near_duplicates(docs)
-    return _drop(docs, found.where("doc_id <> component_id"), "doc_id")
+    docs, key = _keyed(docs)
+    found = simhash.near_duplicates(docs, key_col=key)
+    return _drop(docs, found.where("doc_id <> component_id"), "doc_id", key).drop(key)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated 50-word passages; a document that loses all its words goes. Rows of one id keep one text."""
-    cut = substring.remove_repeats(docs).where("n_removed > 0")
-    kept = materialise(cut.groupBy("doc_id").agg(F.min("kept_text").alias("kept_text")), "kept")
+    """Removes repeated 50-word passages; a document that loses all its words goes."""
+    columns = docs.columns
+    docs, key = _keyed(docs)
+    cut = substring.remove_repeats(docs, key_col=key).where("n_removed > 0")
+    # rows equal in id and text lose the same words
+    kept = materialise(cut.groupBy("doc_id", key).agg(F.min("kept_text").alias("kept_text")), "kept")
     text = F.coalesce("kept_text", "text")
-    return (docs.join(kept, "doc_id", "left").where("kept_text is null or kept_text <> ''")
+    return (docs.join(kept, ["doc_id", key], "left").where("kept_text is null or kept_text <> ''")
             .withColumn("n_chars", F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long"))
-                        .otherwise(F.col("n_chars"))).withColumn("text", text).select(*docs.columns))
+                        .otherwise(F.col("n_chars"))).withColumn("text", text).select(*columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

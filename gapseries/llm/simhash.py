@@ -61,15 +61,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fingerprint)`` of every row, the fingerprint as a signed 64-bit integer."""
-    schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("fingerprint", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 key_col: str | None = None) -> DataFrame:
+    """``(id, fingerprint)`` of every row, the fingerprint as a signed 64-bit integer; with ``key_col`` (binary) that column too."""
+    schema = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("fingerprint", T.LongType()),
+                           *([T.StructField(key_col, T.BinaryType())] if key_col else [])])
 
     def run(batches):
         for batch in pieces(batches):
-            prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield [batch.column(0), pa.array(prints.view(np.int64))]
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(arrow_rows(run, schema), schema)
+            prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.columns[-1]), np.uint64, batch.num_rows)
+            yield [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[1:-1]]
+    kept = [F.col(key_col)] if key_col else []
+    return docs.select(F.col(id_col).cast("long"), *kept, F.col(text_col)).mapInArrow(arrow_rows(run, schema), schema)
 
 
 @cache
@@ -147,7 +150,7 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    distance: int = 2) -> DataFrame:
+                    distance: int = 2, key_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``(id, fingerprint, component_id)``.
 
     ``fingerprint``: 16 lower-case hex digits. ``component_id``: the smallest id
@@ -155,14 +158,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null or wordless texts have fingerprint zero and link like any other; a null
     id never becomes a component id unless the whole component has null ids.
-    Repeated rows are all returned. Other columns are ignored. An empty table
-    gives an empty result.
+    Repeated rows are all returned. Other columns are ignored, but for a binary
+    ``key_col``, which every row then brings back as a last column. An empty
+    table gives an empty result.
     """
-    own = materialise(fingerprints(docs, id_col, text_col, shingle).toDF("id", "fp"), "fingerprints")
+    kept = ["key"] if key_col else []
+    own = materialise(fingerprints(docs, id_col, text_col, shingle, key_col).toDF("id", "fp", *kept), "fingerprints")
     groups = own.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(groups.select("fp"), distance)).withColumnsRenamed({"node": "fp"})
     placed = groups.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = placed.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return own.join(by_print, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        *(F.col(k).alias(key_col) for k in kept))

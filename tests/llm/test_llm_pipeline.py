@@ -59,5 +59,20 @@ def test_decontaminate_judges_null_ids(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([rows[1], *rows[3:]], key=str)
 
 
+def test_rows_of_one_id_keep_their_own_texts(spark):
+    """A copy or a repeat in one row takes nothing from another row of its id; equal rows share one result."""
+    copy, passage = "one two three four five six seven eight nine ten", " ".join(f"p{i}" for i in range(60))
+    own = " ".join(f"q{i}" for i in range(70))
+    rows = [(1, copy), (2, copy), (2, own), (3, passage), (4, passage), (4, "x " + passage + " y"), (4, "x " + passage + " y"),
+            (4, "nothing repeated here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    read = lambda df: sorted((r.doc_id, r.text, r.n_chars) for r in df.collect())
+    got = read(corpus_pipeline.near_duplicates(spark, docs.where("doc_id < 3"), SMALL))
+    assert got == sorted((i, t, len(t)) for i, t in (rows[0], rows[2]))
+    got = read(corpus_pipeline.repeated_passages(spark, docs.where("doc_id > 2"), SMALL))
+    assert got == sorted((i, t, len(t)) for i, t in (rows[3], (4, "x y"), (4, "x y"), rows[7]))
+
+
 def test_model_path_is_read(spark):
     assert len(spm.read_model(PIECES)) > 1000
