@@ -8,8 +8,9 @@ order, fused (length times punctuation, less the share of link text) and
 averaged back per path; paths at or above a share of the page's length-weighted
 mean are content. Last, the deepest element that holds most of the content
 also yields its short blocks (headings, list items), so that an article is
-returned whole. Navigation, forms and the like, known by tag, role or class
-name, take no part.
+returned whole. Navigation, forms and the like, known by tag, take no part;
+what class, id or role hint at has its ratio cut to ``PENALTY``, so that a
+chance hit on the article's own container loses to nothing but better text.
 
 Pages are independent: one pass over the table, no shuffle. The parser is
 linear in the page's length.
@@ -27,32 +28,44 @@ from pyspark.sql import types as T
 from gapseries.llm.common import arrow_rows, pieces
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe svg annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var".split())
-# tags and words of class, id and role that never hold the article
+                   "span strike strong sub sup time tt u var object "
+                   # MathML: a formula is part of its sentence
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+                   "mtable mtr mtd mstyle mpadded mphantom menclose merror semantics".split())
+# tags that never hold the article, and tokens of class, id and role that seldom do
 ASIDE = frozenset("nav footer aside form button select option label fieldset menu dialog".split())
 HINTS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent "
                   "contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
                   "alert infobar notice notices pager pagination popup promo promoted recommended related replies reply respond search share "
                   "sharing sidebar sidebars signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
 HINT_STARTS = ("comment", "advert", "adsby", "adsense", "cookie", "sidebar", "footer", "newsletter", "breadcrumb", "sponsor", "navbar")
-HINT_ENDS = ("nav", "sidebar", "footer", "menu", "comments", "banner", "advert")
+HINT_ENDS = ("nav", "sidebar", "footer", "menu", "comments", "banner", "advert", "header")
+# words that say nothing in a token beside a hint: "related-posts", "share_buttons"
+LAYOUT = frozenset("area article articles bar block body bottom box button buttons col column container content cta entry form global group "
+                   "icons inner item items left links list main media middle module outer page panel post posts primary right row secondary "
+                   "section site stories story text title top unit wrap wrapper zone".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("ul ol dl table article section div main body html blockquote td th".split())
 HOMES = frozenset(["", "html", "body", "article", "main", "section", "div"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+ASIDE_TAG, HIDDEN = 1, 2        # why an element is left out
 SMOOTH = (1.0, 2.0, 1.0)
 SHARE = 0.35            # of the mean fused ratio, from which on a path is content
+PENALTY = 0.02          # on the ratio of paths that class, id or role hint at
+LEAST = 0.1             # of the page's text; a hinted reading that keeps less is read without hints
 MOST = 0.75             # of the content's length, which the article's element holds
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _LACKING = re.compile(r"\b(?:with|has|no|without)[-_]?[a-z]+")       # "has-sidebar" is no sidebar
 _HIDDEN = re.compile(r"\shidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[-_:]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？；]")
 
 
@@ -63,22 +76,26 @@ class _Page:
         self.hints = hints
         self.blocks: list[tuple[str, int, int, int]] = []
         self.parent, self.tags = [-1], [""]                 # by element; 0 is the document
-        self.paths: dict[tuple[int, str], int] = {}
-        self.stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]      # tag, element, path, left out
+        self.hinted = [0]                                   # by element: hints on it and above
+        self.paths: dict[tuple[int, str, bool], int] = {}
+        self.stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]      # tag, element, path, left out
         self.held: list[str] = []
         self.links: list[str] = []
         self.open: dict[str, int] = {}                      # open elements by tag
+        self.size = 0                                       # characters of the blocks, with those of hidden elements
 
     def flush(self) -> None:
         if self.held:
             tag, element, path, out = self.block()
             text = " ".join(unescape("".join(self.held)).split())
+            if text and out != ASIDE_TAG and tag != "head":
+                self.size += len(text)
             if text and not out and tag != "head":
                 link = len(" ".join(unescape("".join(self.links)).split())) if self.links else 0
                 self.blocks.append((text, path, element, link))
             self.held, self.links = [], []
 
-    def block(self) -> tuple[str, int, int, bool]:
+    def block(self) -> tuple[str, int, int, int]:
         """The innermost block-level element."""
         for entry in reversed(self.stack):
             if entry[0] not in INLINE:
@@ -118,15 +135,18 @@ class _Page:
                 break
         _, element, path, out = self.stack[-1]
         if block:
+            hint = False
             if not out:
                 inside = bool(self.open.get("article") or self.open.get("main"))
-                out = tag in ASIDE or tag == "header" and not inside
+                out = ASIDE_TAG if tag in ASIDE or tag == "header" and not inside else 0
                 if attributes and self.hints and not out and tag not in ("html", "body", "article", "main"):
-                    out = _aside(attributes, inside)
+                    out = HIDDEN if _HIDDEN.search(attributes) else 0
+                    hint = not out and _aside(attributes, inside)
             self.parent.append(element)
             self.tags.append(tag)
+            self.hinted.append(self.hinted[element] + hint)
             element = len(self.tags) - 1
-            path = self.paths.setdefault((path, tag), len(self.paths) + 1)
+            path = self.paths.setdefault((path, tag, hint), len(self.paths) + 1)
         self.stack.append((tag, element, path, out))
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -143,16 +163,23 @@ class _Page:
 
 
 def _aside(attributes: str, inside: bool) -> bool:
-    """Whether class, id, role or hiding say that an element holds no article text; ``inside``: of an article."""
-    if _HIDDEN.search(attributes):
-        return True
+    """Whether a whole token of class, id or role hints at other text than the article's; ``inside``: of an article."""
     for m in _ATTRIBUTE.finditer(attributes):
-        for w in _WORDS.findall(_LACKING.sub(" ", m[1].lower())):
-            if (w in HINTS or w.startswith(HINT_STARTS) or w.endswith(HINT_ENDS)) and not (inside and w == "header"):
+        for token in _LACKING.sub(" ", m[1].strip("\"'")).split():
+            if _hint(token) and not (inside and token.lower().endswith("header")):
                 return True
     return False
 
 
+def _hint(token: str) -> bool:
+    """All its words are hints or say nothing, or it starts or ends like one: "social-share", not "social-science" or "3f9ad12"."""
+    low = token.lower()
+    if low.startswith(HINT_STARTS) or low.endswith(HINT_ENDS):
+        return True
+    own = [w for w in _SPLIT.split(_CAMEL.sub("-", token).lower()) if w and w not in LAYOUT and not _SIZE.fullmatch(w)]
+    return bool(own) and all(w in HINTS for w in own)
+
+
 def parse(html: str, hints: bool = True) -> _Page:
     """Tolerant parse: unclosed, misnested and cut-off markup never raises. Without ``hints`` class names play no part."""
     page, at, size, broken = _Page(hints), 0, len(html), False
@@ -224,14 +251,25 @@ def content(page: _Page) -> list[str]:
         stops[path] = stops.get(path, 0) + len(_PUNCTUATION.findall(text))
         links[path] = links.get(path, 0) + link
         count[path] = count.get(path, 0) + 1
-    length = _smooth([chars[p] / count[p] for _, p, _, _ in blocks])
-    marks = _smooth([stops[p] / count[p] for _, p, _, _ in blocks])
-    fused: dict[int, float] = {}
-    for (_, p, _, _), a, b in zip(blocks, length, marks):
-        fused[p] = fused.get(p, 0.0) + a * (1 + b) * max(0.0, 1 - links[p] / chars[p]) / count[p]
-    total = sum(chars.values())
-    mean = sum(fused[p] * chars[p] for p in chars) / total
-    chosen = {p for p in fused if fused[p] >= SHARE * mean and fused[p] > 0}
+
+    def fuse(paths: list[int]) -> dict[int, float]:
+        length = _smooth([chars[p] / count[p] for p in paths])
+        marks = _smooth([stops[p] / count[p] for p in paths])
+        out: dict[int, float] = {}
+        for p, a, b in zip(paths, length, marks):
+            out[p] = out.get(p, 0.0) + a * (1 + b) * max(0.0, 1 - links[p] / chars[p]) / count[p]
+        return out
+
+    def mean(ratios: dict[int, float]) -> float:
+        total = sum(chars[p] for p in ratios)
+        return sum(ratios[p] * chars[p] for p in ratios) / total if total else 0.0
+    # text without hints is weighed among itself; hinted text counts if it beats that in spite of the penalty
+    fused = fuse([p for _, p, e, _ in blocks if not page.hinted[e]])
+    least = mean(fused)
+    if len(fused) < len(chars):
+        fused = {p: PENALTY * r for p, r in fuse([p for _, p, _, _ in blocks]).items()} | fused
+        least = max(least, mean(fused))
+    chosen = {p for p in fused if fused[p] >= SHARE * least and fused[p] > 0}
     weight = [0] * len(page.tags)
     for text, path, element, _ in blocks:
         if path in chosen:
@@ -249,7 +287,7 @@ def content(page: _Page) -> list[str]:
     here = {p for _, p, e, _ in blocks if inside[e]} & chosen
     out = []
     for text, path, element, _ in blocks:
-        if path in here or inside[element] and links[path] < 0.5 * chars[path] and (
+        if path in here or inside[element] and page.hinted[element] == page.hinted[home] and links[path] < 0.5 * chars[path] and (
                 not broad or page.tags[element] in HEADINGS):
             out.append(text)
     return out
@@ -257,9 +295,12 @@ def content(page: _Page) -> list[str]:
 
 def main_text(html: str | None) -> str:
     """Main text of one page; empty if there is none."""
-    html = html or ""
-    # a page that its class names leave empty is read without them
-    return " ".join(content(parse(html)) or content(parse(html, hints=False)))
+    page = parse(html or "")
+    found = content(page)
+    # a page of which its hints (or hidden elements) leave next to nothing is read without them
+    if sum(map(len, found)) <= LEAST * page.size:
+        found = content(parse(html or "", hints=False)) or found
+    return " ".join(found)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

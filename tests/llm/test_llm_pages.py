@@ -103,6 +103,29 @@ def test_html_cases(page, want):
     assert got == want if want is not None else PROSE in got
 
 
+ARTICLE = f"<h1>H</h1><p>{PROSE}</p><p>{PROSE}</p>"
+
+
+@pytest.mark.parametrize("attributes", ["id=3f9ad12", "data-id='x ad'", "class='elementor-widget-text-editor'", "class='social-science'",
+                                        "class=social", "id='sidebar'"])
+def test_html_hints_are_no_cut(attributes):
+    """A hit by chance on the article's container loses no text, and no leftover line stands in for the article."""
+    page = f"<body><div {attributes}>{ARTICLE}</div><div>© 2024 Some Name.</div></body>"
+    assert htmltext.main_text(page) == f"H {PROSE} {PROSE}"
+
+
+def test_html_hinted_text_stays_out():
+    """However long it is, next to an article."""
+    many = "".join(f"<p>{PROSE}</p>" for _ in range(8))
+    for token in ("comments", "related-posts", "post_comments-area", "shareButtons", "widget-2"):
+        assert htmltext.main_text(f"<div>{ARTICLE}</div><div class={token}>{many}</div>") == f"H {PROSE} {PROSE}"
+
+
+def test_html_math_and_object():
+    page = f"<article><p>{PROSE} If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds, <object>a map</object> shows it.</p></article>"
+    assert htmltext.main_text(page) == f"{PROSE} If x=2 holds, a map shows it."
+
+
 def test_html_linear_on_hostile_input():
     for page in ("<a \"" * 50_000, "<" * 200_000, "<div>" * 100_000, "<div>" * 50_000 + "</x>" * 50_000, "<x>" * 50_000 + "<li>" * 50_000, "<b>" * 50_000 + "<div>y" * 50_000,
                  "</p>" * 100_000, "<p>" * 50_000 + "x", "&" * 100_000, "<script>" * 20_000):
