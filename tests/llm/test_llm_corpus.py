@@ -253,6 +253,11 @@ def test_sentencepiece_units(text):
     assert ids == lib.encode(text) and model.decode(ids) == lib.decode(ids)
 
 
+def test_registered_vocabulary_takes_the_batched_path():
+    model = spm.Model(spm.read_model(PIECES))
+    assert model.bpe and model.ordered
+
+
 def _proto(pieces, kind):
     """A hand-made model: piece texts with scores and types."""
     import struct
