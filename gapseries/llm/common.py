@@ -32,6 +32,14 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written intermediate tables (of ``materialise``) that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def without(columns: list[str], base: str) -> str:
     """``base``, or ``base`` with underscores in front until no column clashes (case-insensitively)."""
     taken = {c.lower() for c in columns}

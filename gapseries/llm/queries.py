@@ -36,4 +36,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from gapseries.llm import q_corpus, q_more  # noqa: F401  (they register on import)
+    from gapseries.llm import q_corpus, q_more, q_structures  # noqa: F401  (they register on import)
