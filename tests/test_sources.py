@@ -146,3 +146,30 @@ def test_decoders_survive_bad_records(spark):
     assert [(r.number, r.base_fee_per_gas, r.reward_p25, r.reward_p50) for r in fees] == [(1, 5, 1, None), (2, None, None, None)]
     bars = D.decode_klines(spark.createDataFrame([("[[1000],[]]",), ("x",)], "json string"), symbol="S").collect()
     assert sorted((r.ts is not None, r.close) for r in bars) == [(False, None), (True, None)]
+
+
+def test_footers_add_up(spark, tmp_path):
+    """Sizes, nulls and row groups from footers alone, several files, nested columns, hidden files, a single file, no file."""
+    import pyarrow.parquet as pq
+    import pytest
+
+    from gapseries.sources import footers
+    path = str(tmp_path / "t")
+    df = spark.range(0, 1000).selectExpr("id", "CASE WHEN id % 4 = 0 THEN NULL ELSE id * 0.5 END AS v", "array(id, id + 1) AS a")
+    df.repartition(3).write.partitionBy().parquet(path)
+    got = {r.column: r for r in footers.column_storage(spark, path, files_per_partition=2).collect()}
+    assert set(got) == {"id", "v", "a.list.element"}
+    files = [f for f in (tmp_path / "t").iterdir() if f.name.startswith("part-")]
+    for name, i in (("id", 0), ("v", 1), ("a.list.element", 2)):
+        want = [pq.read_metadata(f).row_group(g).column(i) for f in files for g in range(pq.read_metadata(f).num_row_groups)]
+        assert got[name].compressed_bytes == sum(c.total_compressed_size for c in want)
+        assert got[name].plain_bytes == sum(c.total_uncompressed_size for c in want)
+        assert got[name].rows == 1000 and got[name].files == len(files)
+    assert got["v"].nulls == 250 and got["id"].nulls == 0 and got["a.list.element"]["values"] == 2000
+    assert footers.footers(spark, path, 1).rdd.getNumPartitions() == len(files)
+    one = footers.file_storage(spark, str(files[0])).collect()
+    assert len(one) == 1 and one[0].rows == pq.read_metadata(files[0]).num_rows
+    (tmp_path / "none").mkdir()
+    assert footers.column_storage(spark, str(tmp_path / "none")).collect() == []
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        footers.column_storage(spark, str(tmp_path / "missing")).collect()
