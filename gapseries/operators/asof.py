@@ -16,12 +16,14 @@ pairs are generated.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapseries.operators.ordered import DEFAULT_TIME_WIDTH_S, crowded, exclusive_scan
+from gapseries.operators.ordered import DEFAULT_TIME_WIDTH_S, crowded, exclusive_scan, keyed
 
 _L = "_as_l"
 _R = "_as_r"
@@ -65,6 +67,8 @@ def _carry(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, by: list[str
                         rk.alias("_as_k"))
     # the two "_as_k" types differ; keep the right one only
     ltab = ltab.drop("_as_k").withColumn("_as_k", F.lit(None).cast(rtab.schema["_as_k"].dataType))
+    # as in SQL a missing key equals nothing: such left rows stay without a match
+    rtab = rtab.dropna(subset=[f"_by_{b}" for b in by]) if by else rtab
     u = ltab.unionByName(rtab)
     byc = [f"_by_{b}" for b in by]
     timed = F.floor(F.col(_O) / F.lit(width_us)).cast("bigint")
@@ -95,7 +99,7 @@ def asof_join(left: DataFrame, right: DataFrame, on_ts: str | tuple[str, str] =
     """JN-1: for each left row the newest right row with ``right.ts <= left.ts``.
 
     Left outer: every left row appears once. Equal timestamps match
-    (inclusive). ``direction='forward'`` takes the oldest right row with
+    (inclusive). A NULL in a ``by`` column matches nothing, as in an SQL join. ``direction='forward'`` takes the oldest right row with
     ``right.ts >= left.ts``. ``r_order`` breaks ties between right rows with
     the same timestamp (the larger wins). Right columns that clash with left
     names get ``suffix``; the ``by`` columns are kept once. Buckets are
@@ -180,12 +184,14 @@ def ffill(df: DataFrame, order: str, cols: Sequence[str], by=None, width_s: int
 
     ``present`` marks rows that really exist (non-NULL there); the whole
     previous existing row is taken as a struct, so a NULL inside it stays.
-    Without ``present`` a row exists when any of ``cols`` is not NULL.
+    Without ``present`` a row exists when any of ``cols`` is not NULL. Rows
+    without a key are a series of their own.
     """
-    by = _list(by)
+    own = df.columns
+    df, by = keyed(df, by)
     cols = _list(cols)
-    exists = F.col(present).isNotNull() if present else F.greatest(*[F.col(c).isNotNull() for c in cols])
+    exists = F.col(present).isNotNull() if present else reduce(or_, [F.col(c).isNotNull() for c in cols])
     rows = df.filter(exists).select(*by, F.col(order).alias("_ff_ts"), *cols)
-    targets = df.select(*[c for c in df.columns if c not in cols])
+    targets = df.select(*[c for c in own if c not in cols], *by)
     out = asof_join(targets, rows, (order, "_ff_ts"), by=by, width_s=width_s, suffix="_prev", skew_safe=skew_safe)
-    return out.drop("_ff_ts")
+    return out.drop("_ff_ts", *by)

@@ -38,6 +38,7 @@ SUPER = 1024                         # buckets per super-bucket in edge scans
 
 B = "_gs_b"
 IDX = "_gs_idx"
+KEY = "_gs_by"
 
 
 def _list(x) -> list[str]:
@@ -46,6 +47,16 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def keyed(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``(rows with the series key as one struct, its column as a list)``; both unchanged without ``by``.
+
+    A struct is never NULL, and structs whose fields are both NULL are equal:
+    rows without a key form one series in windows, groups and joins alike.
+    """
+    by = _list(by)
+    return (df.withColumn(KEY, F.struct(*by)), [KEY]) if by else (df, [])
+
+
 def order_value(df: DataFrame, col: str) -> Column:
     """A numeric ordering value: micros for timestamps, the value for numbers."""
     dtype = df.schema[col].dataType
@@ -152,7 +163,7 @@ def with_prev(df: DataFrame, order: str, cols: Sequence[str], by=None, width: in
         d = halo_window(df, keys, lambda w: {prefix + c: F.lag(c, 1).over(w) for c in cols}, preceding=1, by=by, index="range")
         return d.drop(IDX)
     packed_cols = list(dict.fromkeys(keys + cols))
-    d = df.withColumn(B, bucket_expr(df, order, width))
+    d, by = keyed(df.withColumn(B, bucket_expr(df, order, width)), by)
     w = Window.partitionBy(*by, B).orderBy(*[F.col(k) for k in keys])
     rowv = F.struct(*[F.col(c) for c in packed_cols])
     d = d.withColumn("_gs_prev", F.lag(rowv, 1).over(w))
@@ -177,13 +188,13 @@ def global_index(df: DataFrame, order: Sequence[str] | str, by=None, width: int
     """
     by = _list(by)
     order = _list(order)
-    d = df.withColumn(B, bucket_expr(df, order[0], width))
+    d, by = keyed(df.withColumn(B, bucket_expr(df, order[0], width)), by)
     w = Window.partitionBy(*by, B).orderBy(*order)
     d = d.withColumn("_gs_rn", F.row_number().over(w))
     counts = d.groupBy(*by, B).agg(F.count(F.lit(1)).alias("_gs_cnt"))
     offs = exclusive_scan(counts, by, B, "_gs_cnt", "sum", "_gs_off").select(*by, B, "_gs_off")
     d = d.join(offs, on=[*by, B], how="left")
-    return d.withColumn(out, (F.col("_gs_off") + F.col("_gs_rn") - 1).cast("bigint")).drop(B, "_gs_rn", "_gs_off")
+    return d.withColumn(out, (F.col("_gs_off") + F.col("_gs_rn") - 1).cast("bigint")).drop(B, "_gs_rn", "_gs_off", KEY)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], by=None, width: int | None = None,
@@ -201,17 +212,9 @@ def dense_index(df: DataFrame, order: Sequence[str], by=None, width: int | None
     return range_rank(df, order, by)
 
 
-def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Window], dict[str, Column]],
-                preceding: int, following: int = 0, by=None, width: int | None = None,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS, index: str | None = None) -> DataFrame:
-    """Apply window expressions with a frame of at most ``preceding`` rows back
-    and ``following`` rows ahead, as if over ``Window.partitionBy(by).orderBy(order)``.
-
-    ``build(w)`` receives the per-bucket window spec (ordered by the dense
-    index) and returns ``{name: column}``.
-    """
-    by = _list(by)
-    order = _list(order)
+def _haloed(df: DataFrame, order: list[str], preceding: int, following: int, by: list[str], width: int | None, bucket_rows: int,
+            index: str | None) -> DataFrame:
+    """Rows with their dense index, bucket ``B`` and ``_gs_halo`` (a copy for the frames of a neighbouring bucket)."""
     size = max(int(bucket_rows), int(preceding), int(following), 1)
     d = dense_index(df, order, by, width, index)
     b = F.floor(F.col(IDX) / F.lit(size)).cast("bigint")
@@ -226,54 +229,142 @@ def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Wind
         copies.append(F.when(pos < F.lit(following), F.struct((b - 1).alias("b"), F.lit(True).alias("h"))))
     u = d.select("*", F.explode(F.array_compact(F.array(*copies))).alias("_gs_c"))
     u = u.select(*df.columns, IDX, F.col("_gs_c.b").alias(B), F.col("_gs_c.h").alias("_gs_halo"))
-    w = Window.partitionBy(*by, B).orderBy(IDX)
+    return keyed(u, by)[0]
+
+
+def halo_window(df: DataFrame, order: Sequence[str] | str, build: Callable[[Window], dict[str, Column]],
+                preceding: int, following: int = 0, by=None, width: int | None = None,
+                bucket_rows: int = DEFAULT_BUCKET_ROWS, index: str | None = None) -> DataFrame:
+    """Apply window expressions with a frame of at most ``preceding`` rows back
+    and ``following`` rows ahead, as if over ``Window.partitionBy(by).orderBy(order)``.
+
+    ``build(w)`` receives the per-bucket window spec (ordered by the dense
+    index) and returns ``{name: column}``.
+    """
+    by = _list(by)
+    u = _haloed(df, _list(order), preceding, following, by, width, bucket_rows, index)
+    w = Window.partitionBy(*([KEY] if by else []), B).orderBy(IDX)
     exprs = build(w)
     res = u.select(*df.columns, IDX, "_gs_halo", *[c.alias(n) for n, c in exprs.items()])
     return res.filter(~F.col("_gs_halo")).drop("_gs_halo")
 
 
-def rolling_exprs(col: str, n: int, fns: Sequence[str], min_periods: int | None = None,
-                  eps: float = 0.0) -> Callable[[Window], dict[str, Column]]:
-    """Builders for trailing ``n``-row statistics (pandas ``rolling(n)`` semantics).
+ROLLING = ("mean", "std", "sum", "min", "max", "zscore", "median")
 
-    A statistic is NULL until the frame holds ``min_periods`` (default ``n``)
-    non-null values; ``std`` is the sample form; ``median`` is exact.
+
+def _frame_parts(col: str, n: int, by: list[str], fns: set[str]) -> dict[str, tuple[Column, Column]]:
+    """Running aggregates whose combination covers the last ``n`` rows: ``{name: (up to this row, from the frame's start)}``.
+
+    Rows are cut into blocks of ``n`` by their index. A frame is the end of
+    one block and the start of the next (or one whole block), so a running
+    aggregate forwards and one backwards inside blocks give it in two
+    operations a row, whatever ``n``. Nothing is subtracted: no cancellation.
     """
-    need = n if min_periods is None else min_periods
-
-    def build(w: Window) -> dict[str, Column]:
-        f = w.rowsBetween(-(n - 1), 0)
-        cnt = F.count(F.col(col)).over(f)
-        ok = cnt >= F.lit(need)
-        out = {}
-        for fn in fns:
-            if fn == "mean":
-                e = F.avg(col).over(f)
-            elif fn == "std":
-                e = F.stddev_samp(col).over(f)
-            elif fn == "sum":
-                e = F.sum(col).over(f)
-            elif fn == "median":
-                e = F.percentile(F.col(col), F.lit(0.5)).over(f)
-            elif fn == "min":
-                e = F.min(col).over(f)
-            elif fn == "max":
-                e = F.max(col).over(f)
-            elif fn == "zscore":
-                e = (F.col(col) - F.avg(col).over(f)) / (F.stddev_samp(col).over(f) + F.lit(eps))
+    block = F.floor(F.col(IDX) / F.lit(n))
+    ahead = Window.partitionBy(*by, B, block).orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(*by, B, block).orderBy(F.desc(IDX)).rowsBetween(Window.unboundedPreceding, 0)
+    aggs = {"n": F.count(col)}
+    if fns & {"mean", "std", "zscore"}:
+        aggs["mean"] = F.avg(col)
+    if fns & {"std", "zscore"}:
+        aggs["var"] = F.var_pop(col)
+    for fn, agg in (("sum", F.sum), ("min", F.min), ("max", F.max)):
+        if fn in fns:
+            aggs[fn] = agg(col)
+    return {k: (a.over(ahead), a.over(back)) for k, a in aggs.items()}
+
+
+def rolling_many(df: DataFrame, order, specs: Sequence[tuple[str, int, str]], by=None, width: int | None = None,
+                 bucket_rows: int = DEFAULT_BUCKET_ROWS, min_periods: int | None = None, eps: float = 0.0,
+                 index: str | None = None, also: Callable[[Window], dict[str, Column]] | None = None) -> DataFrame:
+    """WIN-5..9: several trailing statistics ``(column, rows, function)`` in one pass, as ``<column>_<function>_<rows>``.
+
+    pandas ``rolling(n)`` semantics: NULL until the frame holds
+    ``min_periods`` (default ``n``) non-null values; ``std`` is the sample
+    form. Sums, means, deviations, minima and maxima cost the same for every
+    ``n`` (see :func:`_frame_parts`); the exact ``median`` keeps its window
+    in an ordered structure, a logarithmic step a row, over Arrow batches of
+    one bucket (at most ``bucket_rows`` plus ``n`` rows). For the median a
+    NaN counts as missing. ``also(w)`` adds window expressions over the same
+    rows (see :func:`halo_window`; a frame within the longest statistic's).
+    """
+    by, order = _list(by), _list(order)
+    bad = {fn for _, _, fn in specs} - set(ROLLING)
+    if bad:
+        raise ValueError(f"unknown rolling function {sorted(bad)[0]!r}")
+    names = list(dict.fromkeys(f"{col}_{fn}_{n}" for col, n, fn in specs))
+    most = max([n for _, n, _ in specs] + [2 if also else 1])
+    u = _haloed(df, order, most - 1, 0, by, width, bucket_rows, index)
+    by = [KEY] if by else []
+    frames: dict[tuple[str, int], set[str]] = {}
+    for col, n, fn in specs:
+        frames.setdefault((col, n), set()).add(fn)
+    medians = list(dict.fromkeys((col, n) for col, n, fn in specs if fn == "median"))
+    if medians:
+        u = _with_medians(u, medians, by, min_periods)
+    w = Window.partitionBy(*by, B).orderBy(IDX)
+    step1, step2, out = {}, dict(also(w)) if also else {}, {}
+    more = list(step2)
+    for k, ((col, n), fns) in enumerate(frames.items()):
+        if fns == {"median"}:
+            continue
+        for part, (a, b) in _frame_parts(col, n, by, fns).items():
+            step1[f"_a{k}_{part}"], step1[f"_b{k}_{part}"] = a, b
+            # the frame starts n - 1 rows back; when that is this row's own block the forward part is the whole frame
+            step2[f"_c{k}_{part}"] = F.when(F.pmod(F.col(IDX), F.lit(n)) != n - 1, F.lag(f"_b{k}_{part}", n - 1).over(w))
+    u = u.select("*", *[c.alias(x) for x, c in step1.items()])
+    u = u.select("*", *[c.alias(x) for x, c in step2.items()])
+    zero = F.lit(0).cast("bigint")
+    for k, ((col, n), fns) in enumerate(frames.items()):
+        need = n if min_periods is None else min_periods
+        for fn in fns - {"median"}:
+            n1, n2 = F.col(f"_a{k}_n"), F.coalesce(f"_c{k}_n", zero)
+            both = n1 + n2
+            if fn in ("sum", "min", "max"):
+                a, b = F.col(f"_a{k}_{fn}"), F.col(f"_c{k}_{fn}")
+                e = F.coalesce(a + b, a, b) if fn == "sum" else F.least(a, b) if fn == "min" else F.greatest(a, b)
             else:
-                raise ValueError(f"unknown rolling function {fn!r}")
-            out[f"{col}_{fn}_{n}"] = F.when(ok, e)
+                m1, m2 = F.coalesce(f"_a{k}_mean", F.lit(0.0)), F.coalesce(f"_c{k}_mean", F.lit(0.0))
+                mean = F.when(both > 0, (m1 * n1 + m2 * n2) / both)
+                if fn == "mean":
+                    e = mean
+                else:
+                    v1, v2 = F.coalesce(f"_a{k}_var", F.lit(0.0)), F.coalesce(f"_c{k}_var", F.lit(0.0))
+                    squares = v1 * n1 + v2 * n2 + F.when((n1 > 0) & (n2 > 0), (m1 - m2) * (m1 - m2) * n1 * n2 / both).otherwise(0.0)
+                    std = F.when(both > 1, F.sqrt(squares / (both - 1)))
+                    e = std if fn == "std" else F.try_divide(F.col(col) - mean, std + F.lit(eps))
+            out[f"{col}_{fn}_{n}"] = F.when(both >= F.lit(need), e)
+    res = u.filter(~F.col("_gs_halo"))
+    return res.select(*df.columns, IDX, *more, *[(out[x] if x in out else F.col(x)).alias(x) for x in names])
+
+
+def _with_medians(u: DataFrame, wanted: list[tuple[str, int]], by: list[str], min_periods: int | None) -> DataFrame:
+    """Exact rolling medians of each bucket's rows (the halo gives the frames of its first rows)."""
+    fields = [T.StructField(f"{col}_median_{n}", T.DoubleType()) for col, n in wanted]
+    values = {col: f"_gs_v{i}" for i, col in enumerate(dict.fromkeys(c for c, _ in wanted))}
+    u = u.select("*", *[F.col(c).cast("double").alias(v) for c, v in values.items()])
+    schema = T.StructType([f for f in u.schema.fields if f.name not in values.values()] + fields)
+    kept = [f.name for f in u.schema.fields if f.name not in values.values()]
+
+    def medians(table):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        table = table.take(pc.sort_indices(table.column(IDX)))
+        series = {c: pd.Series(table.column(v).to_numpy()) for c, v in values.items()}
+        out = table.select(kept)
+        for (col, n), f in zip(wanted, fields):
+            m = series[col].rolling(n, min_periods=n if min_periods is None else min_periods).median()
+            out = out.append_column(f.name, pa.array(m, pa.float64(), from_pandas=True))
         return out
-    return build
+    return u.groupBy(*by, B).applyInArrow(medians, schema)
 
 
 def rolling(df: DataFrame, order, col: str, n: int, fns: Sequence[str] = ("mean",), by=None,
             width: int | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS, min_periods: int | None = None,
             eps: float = 0.0, keep_index: bool = False) -> DataFrame:
-    """WIN-5..9: rolling mean / std / median / sum / zscore over ``n`` rows."""
-    out = halo_window(df, order, rolling_exprs(col, n, fns, min_periods, eps), preceding=n - 1,
-                      by=by, width=width, bucket_rows=bucket_rows)
+    """WIN-5..9: rolling mean / std / median / sum / min / max / zscore of one column over ``n`` rows."""
+    out = rolling_many(df, order, [(col, n, fn) for fn in fns], by, width, bucket_rows, min_periods, eps)
     return out if keep_index else out.drop(IDX)
 
 
@@ -310,6 +401,7 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
     order = _list(order)
     spark = df.sparkSession
     n = int(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df, by = keyed(df, by)
     d = (df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
          .withColumn("_gs_mid", F.monotonically_increasing_id()))
     d = d.withColumn("_gs_pid", F.shiftright("_gs_mid", 33)).withColumn(
@@ -322,7 +414,7 @@ def range_rank(df: DataFrame, order: Sequence[str] | str, by=None, partitions: i
     scan = exclusive_scan(edges, by, "_gs_pid", "_gs_cnt", "sum", "_gs_off")
     d = d.join(scan.select("_gs_pid", *by, "_gs_off", "_gs_first"), on=["_gs_pid", *by], how="left")
     return d.withColumn(out, (F.col("_gs_off") + F.col("_gs_pos") - F.col("_gs_first")).cast("bigint")).drop(
-        "_gs_mid", "_gs_pid", "_gs_pos", "_gs_off", "_gs_first")
+        "_gs_mid", "_gs_pid", "_gs_pos", "_gs_off", "_gs_first", KEY)
 
 
 def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
@@ -350,13 +442,13 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, by=None, out: str |
     tiebreak = _list(tiebreak)
     out = out or f"{col}_q{int(round(q * 100))}"
     x = df.select(*by, *tiebreak, F.col(col).cast("double").alias("_q_x")).filter(F.col("_q_x").isNotNull())
-    ranked = range_rank(x, ["_q_x", *tiebreak], by)
-    n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_q_n"))
+    ranked, keys = keyed(range_rank(x, ["_q_x", *tiebreak], by), by)
+    n = keyed(x, by)[0].groupBy(*keys).agg(F.count(F.lit(1)).alias("_q_n"))
     pos = (F.col("_q_n") - 1) * F.lit(float(q))
-    n = n.select(*by, "_q_n", F.floor(pos).cast("bigint").alias("_q_lo"), F.ceil(pos).cast("bigint").alias("_q_hi"),
+    n = n.select(*keys, "_q_n", F.floor(pos).cast("bigint").alias("_q_lo"), F.ceil(pos).cast("bigint").alias("_q_hi"),
                  (pos - F.floor(pos)).alias("_q_frac"))
     if by:
-        j = ranked.join(n, on=by, how="inner")
+        j = ranked.join(n, on=keys, how="inner")
     else:
         j = with_row(ranked, n)
     pick = j.filter((F.col(IDX) == F.col("_q_lo")) | (F.col(IDX) == F.col("_q_hi")))

@@ -164,15 +164,8 @@ def anomalies(df: DataFrame, col: str, order: str = "number", ts: str = "timesta
               bands: tuple[float, float, float] = SEVERITY_BANDS, bucket_rows: int | None = None) -> DataFrame:
     """DQ-4: rolling z-score anomalies → anomaly report rows (spike / drop)."""
     kw = {"bucket_rows": bucket_rows} if bucket_rows else {}
-
-    def build(w):
-        f = w.rowsBetween(-(n - 1), 0)
-        ok = F.count(F.col(col)).over(f) >= F.lit(n)
-        mean = F.avg(col).over(f)
-        std = F.stddev_samp(col).over(f)
-        return {"_mean": F.when(ok, mean), "_std": F.when(ok, std),
-                "_z": F.when(ok, (F.col(col) - mean) / (std + F.lit(eps)))}
-    r = ordered.halo_window(df.select(order, ts, col), [order], build, preceding=n - 1, **kw)
+    r = ordered.rolling_many(df.select(order, ts, col), [order], [(col, n, fn) for fn in ("mean", "std", "zscore")], eps=eps, **kw)
+    r = r.withColumnsRenamed({f"{col}_mean_{n}": "_mean", f"{col}_std_{n}": "_std", f"{col}_zscore_{n}": "_z"})
     r = r.filter(F.abs(F.col("_z")) > F.lit(z))
     when = F.lit(as_of).cast("timestamp") if as_of is not None else F.col(ts)
     return r.select(when.alias("timestamp"), F.lit(chain).alias("chain"), F.col(ts).alias("data_timestamp"),

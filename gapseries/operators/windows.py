@@ -65,9 +65,10 @@ def zscore(df: DataFrame, col: str, by=None, min_count: int = 10, eps: float = 1
     The series statistics are a grouped aggregate joined back on the group
     key (for the whole series, a scalar subquery), not a window: the
     aggregate is combined map-side, so a huge group never sits in one task.
-    ``z`` is NULL for series with fewer than ``min_count`` values.
+    ``z`` is NULL for series with fewer than ``min_count`` values; rows
+    without a key are a series of their own.
     """
-    by = _list(by)
+    df, by = ordered.keyed(df, by)
     stats = df.groupBy(*by).agg(F.avg(col).alias("_z_mean"), F.stddev_samp(col).alias("_z_std"),
                                 F.count(col).alias("_z_n"))
     if by:
@@ -77,7 +78,7 @@ def zscore(df: DataFrame, col: str, by=None, min_count: int = 10, eps: float = 1
     z = F.when(F.col("_z_n") >= min_count, (F.col(col) - F.col("_z_mean")) / (F.col("_z_std") + F.lit(eps)))
     return (j.withColumn(f"{col}_z", z)
              .withColumn(f"{col}_outlier", F.abs(F.col(f"{col}_z")) > F.lit(threshold))
-             .drop("_z_mean", "_z_std", "_z_n"))
+             .drop("_z_mean", "_z_std", "_z_n", ordered.KEY))
 
 
 def filter_window(df: DataFrame, exprs: dict[str, Column], predicate: Column) -> DataFrame:

@@ -69,21 +69,14 @@ def pressure_features(blocks):
     runs as a second bucketed window pass over the first pass's output.
     """
     b = blocks.select("number", "timestamp", "base_fee_per_gas", "gas_used", "gas_limit", "transaction_count")
-
-    def pass1(w):
-        out = {}
-        out.update(ordered.rolling_exprs("base_fee_per_gas", 60, ["median"])(w))
-        out.update(ordered.rolling_exprs("base_fee_per_gas", 1440, ["median"])(w))
-        out.update(ordered.rolling_exprs("transaction_count", 60, ["sum"])(w))
-        return out
-    p = ordered.halo_window(b, ["number"], pass1, preceding=1439).drop(ordered.IDX)
+    p = ordered.rolling_many(b, ["number"], [("base_fee_per_gas", 60, "median"), ("base_fee_per_gas", 1440, "median"),
+                                             ("transaction_count", 60, "sum")]).drop(ordered.IDX)
     p = p.select("number", "timestamp", "base_fee_per_gas", "gas_used", "gas_limit", "transaction_count",
                  X.utilisation().alias("utilisation"),
                  X.ratio("base_fee_per_gas", "base_fee_per_gas_median_60").alias("gas_pressure_60"),
                  X.ratio("base_fee_per_gas", "base_fee_per_gas_median_1440").alias("gas_pressure_1440"),
                  F.col("transaction_count_sum_60").alias("tx_velocity_60"))
-    p2 = ordered.halo_window(p, ["number"], ordered.rolling_exprs("tx_velocity_60", 1440, ["mean"]),
-                             preceding=1439).drop(ordered.IDX)
+    p2 = ordered.rolling_many(p, ["number"], [("tx_velocity_60", 1440, "mean")]).drop(ordered.IDX)
     return p2.withColumn("congestion_index", X.congestion_index("gas_pressure_60", "utilisation", "tx_velocity_60",
                                                                 "tx_velocity_60_mean_1440")).drop(
         "tx_velocity_60_mean_1440")
@@ -161,8 +154,7 @@ def cross_domain(spark, sf_dir):
                    (F.col("value") * 10000 / 1e6).alias("btc_vsize_mb"),
                    (F.col("user_id") * 100).alias("btc_unconfirmed_count"),
                    (F.col("value") * 1000000 / 1e8).alias("btc_total_fee_btc"))
-    mpp = ordered.halo_window(mp, ["btc_ts", "btc_id"], ordered.rolling_exprs("btc_fastest_fee", 60, ["median"]),
-                              preceding=59).drop(ordered.IDX)
+    mpp = ordered.rolling_many(mp, ["btc_ts", "btc_id"], [("btc_fastest_fee", 60, "median")]).drop(ordered.IDX)
     mpp = mpp.withColumn("btc_fee_pressure_60", X.ratio("btc_fastest_fee", "btc_fastest_fee_median_60")).drop(
         "btc_fastest_fee_median_60")
     # the two feature tables are materialised in the shared checkpoint folder

@@ -237,14 +237,10 @@ FROM blocks b JOIN flags f USING (number)""")
 def block_validation_flags(spark, sf_dir):
     """The validation record with its gap and anomaly flags: a number missing before the block, and a rolling z-score beyond 3."""
     b = driver.blocks(spark, sf_dir)
-
-    def build(w):
-        u, f = F.col("gas_used") / F.col("gas_limit"), w.rowsBetween(-59, 0)
-        full = F.count(u).over(f) >= 60
-        return {"_step": F.col("number") - F.lag("number", 1).over(w),
-                "_z": F.when(full, (u - F.avg(u).over(f)) / (F.stddev_samp(u).over(f) + F.lit(1e-10)))}
-    d = ordered.halo_window(b, ["number"], build, preceding=59).drop(ordered.IDX)
-    v = Q.validate_rows(d, _rules(), F.coalesce(F.col("_step") > 1, F.lit(False)), F.coalesce(F.abs("_z") > 3, F.lit(False)))
+    b = b.withColumn("_u", F.col("gas_used") / F.col("gas_limit"))
+    d = ordered.rolling_many(b, ["number"], [("_u", 60, "zscore")], eps=1e-10,
+                             also=lambda w: {"_step": F.col("number") - F.lag("number", 1).over(w)}).drop(ordered.IDX)
+    v = Q.validate_rows(d, _rules(), F.coalesce(F.col("_step") > 1, F.lit(False)), F.coalesce(F.abs("_u_zscore_60") > 3, F.lit(False)))
     return v.select("number", F.array_join("validation.errors", ",").alias("errors"), F.col("validation.has_gap").alias("has_gap"),
                     F.col("validation.is_anomaly").alias("is_anomaly"))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gapseries.operators import ordered, windows
-from gapseries.operators.asof import ffill
+from gapseries.operators.asof import asof_join, ffill
 from gapseries.operators.ranges import grid_between
 from gapseries.plans.registry import r9, register, round_doubles
 from gapseries.plans.sqlviews import BARS, BLOCKS, PURCHASES, with_
@@ -51,6 +51,59 @@ def shift_targets(spark, sf_dir):
     return out.select("number", "target_5", "lag_3")
 
 
+#: events whose key is missing for a tenth of the users
+SOME_KEYS = """p AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, CASE WHEN user_id % 10 <> 0 THEN user_id % 10 END AS k, value
+  FROM events WHERE event_type <> 'error')"""
+
+
+def _some_keys(spark, sf_dir):
+    ev = driver.table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    k = F.col("user_id") % 10
+    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(k != 0, k).alias("k"), "value")
+
+
+@register("lags_by_key", "WIN-1 WIN-2 WIN-3 WIN-4 WIN-14", sql=with_(SOME_KEYS) + """
+SELECT event_id, k, prev, round(CASE WHEN pv <> 0 THEN value / pv - 1 END, 9) AS value_pct_change, round(value - pv, 9) AS value_diff, back_3,
+       ts >= pt AS ts_monotonic
+FROM (SELECT *, lag(event_id) OVER w AS prev, lag(value) OVER w AS pv, lag(event_id, 3) OVER w AS back_3, lag(ts) OVER w AS pt
+      FROM p WINDOW w AS (PARTITION BY k ORDER BY event_id)) t""")
+def lags_by_key(spark, sf_dir):
+    """Keyed lags over many buckets; rows without a key form a series like any other."""
+    p = _some_keys(spark, sf_dir)
+    d = ordered.with_prev(p, "event_id", ["event_id", "value", "ts"], by="k", width=512)
+    back = ordered.halo_window(d, ["event_id"], lambda w: {"back_3": F.lag("event_id", 3).over(w)}, preceding=3, by="k", bucket_rows=100)
+    return back.select("event_id", "k", F.col("prev_event_id").alias("prev"),
+                       r9(F.try_divide(F.col("value"), F.col("prev_value")) - 1).alias("value_pct_change"),
+                       r9(F.col("value") - F.col("prev_value")).alias("value_diff"), "back_3",
+                       (F.col("ts") >= F.col("prev_ts")).alias("ts_monotonic"))
+
+
+@register("zscore_by_key", "WIN-10", sql=with_(SOME_KEYS) + """
+SELECT event_id, k, round((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-10), 9) AS value_z
+FROM p WINDOW w AS (PARTITION BY k)""")
+def zscore_by_key(spark, sf_dir):
+    z = windows.zscore(_some_keys(spark, sf_dir), "value", by="k")
+    return z.select("event_id", "k", r9("value_z").alias("value_z"))
+
+
+@register("quantiles_by_key", "AGG-16", sql=with_(SOME_KEYS) + """
+SELECT k, round(quantile_cont(value, 0.9), 9) AS value_q90 FROM p GROUP BY k""")
+def quantiles_by_key(spark, sf_dir):
+    q = ordered.exact_quantile(_some_keys(spark, sf_dir), "value", 0.9, by="k", tiebreak=["event_id"])
+    return q.select("k", r9("value_q90").alias("value_q90"))
+
+
+@register("asof_missing_keys", "JN-1", sql=with_(SOME_KEYS) + """,
+l AS (SELECT * FROM p WHERE event_id % 2 = 0), r AS (SELECT event_id AS r_id, ts AS r_ts, k FROM p WHERE event_id % 2 = 1)
+SELECT l.event_id, l.k, r.r_id, r.r_ts FROM l ASOF LEFT JOIN r ON l.k = r.k AND l.ts >= r.r_ts""")
+def asof_missing_keys(spark, sf_dir):
+    """Even events against odd ones, by key: a missing key matches nothing, as in an SQL join."""
+    p = _some_keys(spark, sf_dir)
+    r = p.filter("event_id % 2 = 1").select(F.col("event_id").alias("r_id"), F.col("ts").alias("r_ts"), "k")
+    j = asof_join(p.filter("event_id % 2 = 0"), r, ("ts", "r_ts"), by="k", r_order=["r_id"])
+    return j.select("event_id", "k", "r_id", "r_ts")
+
+
 def _roll_sql(col: str, n: int, fn: str) -> str:
     agg = {"mean": f"avg({col})", "std": f"stddev_samp({col})", "sum": f"sum({col})",
            "median": f"quantile_cont({col}, 0.5)"}[fn]
@@ -65,14 +118,34 @@ ROLL_SPEC = [(12, "mean"), (60, "mean"), (25, "std"), (60, "median"), (60, "sum"
           + ", ".join(_roll_sql("utilisation", n, fn) for n, fn in ROLL_SPEC) + " FROM util")
 def rolling_stats(spark, sf_dir):
     u = _util(spark, sf_dir).select("number", "utilisation")
+    r = ordered.rolling_many(u, ["number"], [("utilisation", n, fn) for n, fn in ROLL_SPEC])
+    return r.select("number", *[r9(f"utilisation_{fn}_{n}").alias(f"utilisation_{fn}_{n}") for n, fn in ROLL_SPEC])
 
-    def build(w):
-        out = {}
-        for n, fn in ROLL_SPEC:
-            out.update(ordered.rolling_exprs("utilisation", n, [fn])(w))
-        return {k: r9(v) for k, v in out.items()}
-    return ordered.halo_window(u, ["number"], build, preceding=59).select(
-        "number", *[f"utilisation_{fn}_{n}" for n, fn in ROLL_SPEC])
+
+DAY_SPEC = [(1440, "mean"), (1440, "std"), (1440, "sum"), (1440, "median")]
+
+
+@register("rolling_day", "WIN-5 WIN-6 WIN-7 WIN-8", sql=with_(BLOCKS, UTIL) + "SELECT number, "
+          + ", ".join(_roll_sql("utilisation", n, fn) for n, fn in DAY_SPEC) + " FROM util")
+def rolling_day(spark, sf_dir):
+    """Statistics over 1,440 blocks: a row costs what it costs over 60."""
+    u = _util(spark, sf_dir).select("number", "utilisation")
+    r = ordered.rolling_many(u, ["number"], [("utilisation", n, fn) for n, fn in DAY_SPEC])
+    return r.select("number", *[r9(f"utilisation_{fn}_{n}").alias(f"utilisation_{fn}_{n}") for n, fn in DAY_SPEC])
+
+
+@register("rolling_by_user", "WIN-5 WIN-6 WIN-7 WIN-9", sql=with_(SOME_KEYS) + """
+SELECT event_id, k, round(CASE WHEN count(value) OVER w >= 30 THEN avg(value) OVER w END, 9) AS value_mean_30,
+       round(CASE WHEN count(value) OVER w >= 30 THEN stddev_samp(value) OVER w END, 9) AS value_std_30,
+       round(CASE WHEN count(value) OVER w >= 30 THEN quantile_cont(value, 0.5) OVER w END, 9) AS value_median_30,
+       round(CASE WHEN count(value) OVER w >= 30 THEN max(value) OVER w END, 9) AS value_max_30
+FROM p WINDOW w AS (PARTITION BY k ORDER BY event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
+def rolling_by_user(spark, sf_dir):
+    """Keyed statistics; rows without a key form a series of their own."""
+    p = _some_keys(spark, sf_dir).drop("ts")
+    fns = ["mean", "std", "median", "max"]
+    r = ordered.rolling_many(p, ["event_id"], [("value", 30, fn) for fn in fns], by="k")
+    return r.select("event_id", "k", *[r9(f"value_{fn}_30").alias(f"value_{fn}_30") for fn in fns])
 
 
 @register("rolling_zscore", "WIN-9", sql=with_(BLOCKS, UTIL) + """

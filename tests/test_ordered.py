@@ -160,3 +160,53 @@ def test_asof_skew_safe_equals_default(spark):
     b = asof.asof_join(left, right, "ts", by="user_id", r_order=["view_id"], skew_safe=True, bucket_rows=8).select(
         "event_id", "view_id")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+@pytest.mark.parametrize("n", [1, 2, 60, 200])
+def test_rolling_blocks_equal_window(spark, n):
+    """Every statistic, keyed (NULL key included), with NULL values, for frames below and above a bucket."""
+    rows = [(i, None if i % 4 == 0 else i % 4, None if i % 7 == 3 else float((i * 37) % 101) - 50) for i in range(600)]
+    df = spark.createDataFrame(rows, "n long, k long, v double")
+    fns = ["mean", "std", "sum", "min", "max", "zscore", "median"]
+    for need in (None, 1):
+        got = ordered.rolling(df, ["n"], "v", n, fns, by="k", bucket_rows=50, width=64, min_periods=need, eps=1e-9)
+        f = Window.partitionBy("k").orderBy("n").rowsBetween(-(n - 1), 0)
+        ok = F.count("v").over(f) >= (need or n)
+        mean, std = F.avg("v").over(f), F.stddev_samp("v").over(f)
+        exprs = {"mean": mean, "std": std, "sum": F.sum("v").over(f), "min": F.min("v").over(f), "max": F.max("v").over(f),
+                 "zscore": F.try_divide(F.col("v") - mean, std + 1e-9), "median": F.percentile("v", F.lit(0.5)).over(f)}
+        exp = df.select("*", *[F.when(ok, e).alias(f"v_{fn}_{n}") for fn, e in exprs.items()])
+        a, b = (x.toPandas().sort_values("n").reset_index(drop=True) for x in (got, exp))
+        pd.testing.assert_frame_equal(a[b.columns], b, check_exact=False, rtol=1e-9, atol=1e-9)
+
+
+def test_rolling_does_not_cancel(spark):
+    """Values of 1e18 leave no error behind once they have left the frame."""
+    df = spark.createDataFrame([(i, 1e18 if i < 50 else 0.25) for i in range(200)], "n long, v double")
+    got = {r.n: r for r in ordered.rolling(df, ["n"], "v", 20, ["sum", "mean", "std"], bucket_rows=30, width=16).collect()}
+    for i in range(70, 200):
+        assert (got[i].v_sum_20, got[i].v_mean_20, got[i].v_std_20) == (5.0, 0.25, 0.0)
+
+
+def test_rows_without_a_key_are_a_series(spark):
+    rows = [(i, None if i % 3 == 0 else i % 3, float(i * i % 17)) for i in range(90)]
+    df = spark.createDataFrame(rows, "n long, k long, v double")
+    w = Window.partitionBy("k").orderBy("n")
+    for skew_safe in (False, True):
+        got = ordered.with_prev(df, "n", ["v"], by="k", width=5, skew_safe=skew_safe)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, df.withColumn("prev_v", F.lag("v").over(w)).collect()))
+    got = ordered.global_index(df, ["n"], by="k", width=5)
+    exp = df.withColumn(ordered.IDX, (F.row_number().over(w) - 1).cast("bigint"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, exp.collect()))
+    exp = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("q")).collect()}
+    assert {r.k: r.v_q50 for r in ordered.exact_quantile(df, "v", by="k").collect()} == exp
+    z = windows.zscore(df, "v", by="k", min_count=3)
+    assert z.filter("v_z is null").count() == 0 and z.columns == ["n", "k", "v", "v_z", "v_outlier"]
+    ts = df.select(F.timestamp_seconds(F.col("n") * 7200).alias("ts"), "k", "v")
+    j = asof.asof_join(ts, ts.withColumnRenamed("v", "r"), "ts", by="k")
+    assert j.filter("k is null and r is not null").count() == 0 and j.filter("k is not null and r <> v").count() == 0
+    holes = ts.withColumn("v", F.when(F.unix_seconds("ts") % 14400 == 0, F.col("v")))
+    filled = asof.ffill(holes, "ts", ["v"], by="k")
+    exp = holes.select("ts", "k", F.last("v", ignorenulls=True).over(Window.partitionBy("k").orderBy("ts")).alias("v_prev"))
+    name = [c for c in filled.columns if c not in ("ts", "k")][0]
+    assert sorted(map(repr, filled.select("ts", "k", F.col(name).alias("v_prev")).collect())) == sorted(map(repr, exp.collect()))
