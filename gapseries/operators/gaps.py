@@ -10,8 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gapseries.operators.ordered import B, bucket_expr, exclusive_scan, with_prev, with_row
+from gapseries.operators.ordered import B, KEY, exclusive_scan, keyed, with_prev, with_row
 
 GAP_COLS = ["gap_start", "gap_end", "gap_size"]
 
@@ -34,33 +35,86 @@ def _ts(v) -> Column:
 # GAP-1 sequence gaps
 # ---------------------------------------------------------------------------
 
+BITS = 1 << 15                       # keys of one bitmap (4 KiB)
+
+
+def key_bitmaps(df: DataFrame, key: str = "number", by=None, width: int | None = None) -> DataFrame:
+    """One row per non-empty bucket of at most 32,768 keys: ``(series key, bucket, bitmap)``.
+
+    The bitmaps are built map-side: a task sends one bitmap per bucket it
+    saw, whatever the number of rows or copies of a key. Keys that are few
+    and far apart (hashes, not sequence numbers) gain nothing from it.
+    """
+    size = min(int(width or BITS), BITS)
+    d, by = keyed(df.select(*_list(by), key).filter(F.col(key).isNotNull()), by)
+    # integer arithmetic: a quotient of doubles would lose digits beyond 2^53
+    k = F.col(key).cast("bigint")
+    at = F.pmod(k, F.lit(size).cast("bigint"))
+    b = F.call_function("div", k - at, F.lit(size).cast("bigint"))
+    return d.groupBy(*by, b.alias(B)).agg(F.bitmap_construct_agg(at).alias("bitmap"))
+
+
+def _bitmap_runs(bitmaps: DataFrame, by: list[str], size: int) -> DataFrame:
+    """``(series key, bucket, edge)``: first and last key of a bucket and the missing ranges between them."""
+    edge = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()),
+                         T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*[f for f in bitmaps.schema.fields if f.name != "bitmap"], T.StructField("_e", edge)])
+
+    def runs(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        target = to_arrow_schema(schema)
+        for batch in batches:
+            out = []
+            for b, bits in zip(batch.column(B).to_pylist(), batch.column("bitmap")):
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), bitorder="little"))
+                step = np.flatnonzero(np.diff(at) > 1)
+                base = b * size
+                out.append({"lo": base + int(at[0]), "hi": base + int(at[-1]), "starts": (base + at[step] + 1).tolist(),
+                            "ends": (base + at[step + 1] - 1).tolist()})
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in [*by, B]], pa.array(out, target.field("_e").type)], schema=target)
+    return bitmaps.select(*by, B, "bitmap").mapInArrow(runs, schema)
+
+
 def detect_gaps(df: DataFrame, key: str = "number", by=None, width: int | None = None,
                 expected_start: int | None = None) -> DataFrame:
     """Missing ranges in an integer key: ``(gap_start, gap_end, gap_size)``.
 
-    Bucketed by ``key div width``: neighbours inside a bucket are compared
-    with ``lag``; the step between buckets comes from an edge table of
-    bucket ``min``/``max``. No head gap unless ``expected_start`` is given.
-    Duplicate keys are harmless (a step of 0 is not a gap).
+    The keys of a bucket (``key div width``, at most 32,768) become a bitmap
+    (:func:`key_bitmaps`), so the rows are read once and only bitmaps are
+    shuffled. Ranges missing inside a bucket are the zero runs of its bitmap;
+    the step between buckets comes from an edge table of their first and last
+    keys. No head gap unless ``expected_start`` is given. Duplicate and NULL
+    keys are harmless; rows without a series key form a series of their own.
     """
-    by = _list(by)
-    d = df.select(*by, key).withColumn(B, bucket_expr(df, key, width))
-    w = Window.partitionBy(*by, B).orderBy(key)
-    prev = F.lag(F.col(key), 1).over(w)
-    inner = (d.withColumn("_prev", prev).filter(F.col(key) - F.col("_prev") > 1)
-             .select(*by, (F.col("_prev") + 1).alias("gap_start"), (F.col(key) - 1).alias("gap_end")))
-    # one struct per bucket: both levels of the scan need all of it, so Spark reads the table
-    # for it once (two different aggregates could not share an exchange)
-    edges = d.groupBy(*by, B).agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias("_e"))
-    scan = exclusive_scan(edges, by, B, "_e", "last", "_before")
+    names = _list(by)
+    size = min(int(width or BITS), BITS)
+    edges = _bitmap_runs(key_bitmaps(df, key, names, width), [KEY] if names else [], size)
+    # one struct per bucket: both levels of the scan need all of it, so they share one exchange
+    scan = exclusive_scan(edges, [KEY] if names else [], B, "_e", "last", "_before")
     lo, before = F.col("_e.lo"), F.col("_before.hi")
-    cross = scan.filter(lo - before > 1).select(*by, (before + 1).alias("gap_start"), (lo - 1).alias("gap_end"))
-    out = inner.unionByName(cross)
+    cross = F.when(lo - before > 1, F.array(F.struct((before + 1).alias("gap_start"), (lo - 1).alias("gap_end"))))
     if expected_start is not None:
-        head = scan.filter(before.isNull() & (lo > F.lit(expected_start))).select(
-            *by, F.lit(expected_start).cast("bigint").alias("gap_start"), (lo - 1).alias("gap_end"))
-        out = out.unionByName(head)
-    return out.withColumn("gap_size", (F.col("gap_end") - F.col("gap_start") + 1).cast("bigint"))
+        head = F.array(F.struct(F.lit(expected_start).cast("bigint").alias("gap_start"), (lo - 1).alias("gap_end")))
+        cross = F.when(before.isNull() & (lo > F.lit(expected_start)), head).otherwise(cross)
+    none = F.array().cast("array<struct<gap_start:bigint,gap_end:bigint>>")
+    inner = F.transform(F.arrays_zip(F.col("_e.starts").alias("gap_start"), F.col("_e.ends").alias("gap_end")),
+                        lambda x: F.struct(x["gap_start"].alias("gap_start"), x["gap_end"].alias("gap_end")))
+    every = scan.select(*[F.col(f"{KEY}.{c}").alias(c) for c in names], F.explode(F.concat(F.coalesce(cross, none), inner)).alias("_g"))
+    return every.select(*names, "_g.gap_start", "_g.gap_end",
+                        (F.col("_g.gap_end") - F.col("_g.gap_start") + 1).cast("bigint").alias("gap_size"))
+
+
+def distinct_keys(df: DataFrame, key: str = "number", by=None, width: int | None = None) -> DataFrame:
+    """Exact number of distinct keys, their least and largest (per series): bits set in the bitmaps, duplicates free."""
+    names, size = _list(by), min(int(width or BITS), BITS)
+    runs = _bitmap_runs(key_bitmaps(df, key, names, width), [KEY] if names else [], size)
+    held = F.aggregate(F.arrays_zip(F.col("_e.starts").alias("s"), F.col("_e.ends").alias("e")),
+                       F.col("_e.hi") - F.col("_e.lo") + 1, lambda n, x: n - (x["e"] - x["s"] + 1))
+    g = runs.groupBy(*([KEY] if names else [])).agg(F.coalesce(F.sum(held), F.lit(0)).cast("bigint").alias("keys"),
+                                                    F.min("_e.lo").alias("min_key"), F.max("_e.hi").alias("max_key"))
+    return g.select(*[F.col(f"{KEY}.{c}").alias(c) for c in names], "keys", "min_key", "max_key")
 
 
 def largest_gaps(gaps: DataFrame, k: int = 20) -> DataFrame:

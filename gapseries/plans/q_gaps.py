@@ -36,9 +36,14 @@ def gap_report(spark, sf_dir):
     return G.gap_report(driver.blocks(spark, sf_dir, ["timestamp"]))
 
 
+def _keys(spark, sf_dir):
+    # every stored version: duplicates are free in the bitmaps, so nothing is deduplicated first
+    return driver.raw_blocks(spark, sf_dir).select("number")
+
+
 @register("detect_gaps", "GAP-1 WIN-1", sql=with_(BLOCKS, GAPS) + "SELECT * FROM gaps")
 def detect_gaps(spark, sf_dir):
-    return G.detect_gaps(driver.blocks(spark, sf_dir, ["number"]), "number")
+    return G.detect_gaps(_keys(spark, sf_dir), "number")
 
 
 @register("detect_gaps_head", "GAP-1 T8", sql=with_(BLOCKS, GAPS) + """
@@ -48,25 +53,25 @@ SELECT CAST(-5 AS BIGINT) AS gap_start, min(number) - 1 AS gap_end, CAST(min(num
 FROM blocks HAVING min(number) > -5""")
 def detect_gaps_head(spark, sf_dir):
     # explicit expected first key: a true head gap before the first block
-    return G.detect_gaps(driver.blocks(spark, sf_dir, ["number"]), "number", expected_start=-5)
+    return G.detect_gaps(_keys(spark, sf_dir), "number", expected_start=-5)
 
 
 @register("largest_gaps", "TOP-2", sql=with_(BLOCKS, GAPS) + """
 SELECT * FROM gaps ORDER BY gap_size DESC, gap_start ASC LIMIT 20""")
 def largest_gaps(spark, sf_dir):
-    return G.largest_gaps(G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])), 20)
+    return G.largest_gaps(G.detect_gaps(_keys(spark, sf_dir)), 20)
 
 
 @register("split_gaps", "GAP-6", sql=with_(BLOCKS, GAPS) + """
 SELECT *, CASE WHEN gap_size <= 2 THEN 'inline' ELSE 'deferred' END AS handling FROM gaps""")
 def split_gaps(spark, sf_dir):
-    return G.split_gaps(G.detect_gaps(driver.blocks(spark, sf_dir, ["number"])), inline_max=2)
+    return G.split_gaps(G.detect_gaps(_keys(spark, sf_dir)), inline_max=2)
 
 
 @register("missing_keys", "JN-6 GAP-3", sql=with_(BLOCKS, GAPS) + """
 SELECT CAST(unnest(generate_series(gap_start, gap_end)) AS BIGINT) AS number FROM gaps""")
 def missing_keys(spark, sf_dir):
-    return G.missing_keys(driver.blocks(spark, sf_dir, ["number"]), "number")
+    return G.missing_keys(_keys(spark, sf_dir), "number")
 
 
 TIME_GAPS = """tgaps AS (
@@ -105,6 +110,26 @@ def completeness(spark, sf_dir):
     return G.completeness(driver.blocks(spark, sf_dir, ["number"]))
 
 
+@register("distinct_keys", "AGG-2 AGG-5", sql=with_(RAW_BLOCKS) + """
+SELECT transaction_count % 4 AS part, count(DISTINCT number) AS keys, min(number) AS min_key, max(number) AS max_key FROM raw_blocks GROUP BY 1""")
+def distinct_keys(spark, sf_dir):
+    """Exact distinct block numbers per part of the raw versions, by bitmap."""
+    raw = driver.raw_blocks(spark, sf_dir).select("number", (F.col("transaction_count") % 4).alias("part"))
+    return G.distinct_keys(raw, "number", by="part")
+
+
+@register("gaps_by_part", "GAP-1 JN-6", sql=with_(RAW_BLOCKS) + """
+SELECT k, prev + 1 AS gap_start, number - 1 AS gap_end, CAST(number - prev - 1 AS BIGINT) AS gap_size FROM (
+  SELECT k, number, lag(number) OVER (PARTITION BY k ORDER BY number) AS prev
+  FROM (SELECT DISTINCT number, CASE WHEN number % 3 <> 0 THEN number % 3 END AS k FROM raw_blocks WHERE number % 7 < 5) d) t
+WHERE number - prev > 1""")
+def gaps_by_part(spark, sf_dir):
+    """Gaps of several interleaved series, one of them without a key."""
+    raw = driver.raw_blocks(spark, sf_dir).select("number").filter(F.col("number") % 7 < 5)
+    k = F.col("number") % 3
+    return G.detect_gaps(raw.withColumn("k", F.when(k != 0, k)), "number", by="k", width=1000)
+
+
 FRESH_SQL = f"""SELECT max("timestamp") AS latest_ts, max(number) AS latest_key,
        CAST(floor((epoch_us({AS_OF_SQL}) - epoch_us(max("timestamp"))) / 1e6) AS BIGINT) AS age_s
 FROM blocks"""

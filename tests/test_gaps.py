@@ -125,3 +125,35 @@ def test_sizing_conf():
     c = sizing_conf(100 * 2 ** 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert sizing_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_bitmap_gaps_equal_window(spark):
+    """Bitmaps against lag: negative and very large keys, duplicates, NULLs, series without a key, tiny and full buckets."""
+    import random
+
+    from pyspark.sql import Window
+    rng = random.Random(3)
+    keys = [rng.randint(-300, 300) for _ in range(200)] + [(1 << 60) + rng.randint(0, 90_000) for _ in range(300)]
+    rows = [(k, rng.choice([None, "a", "b"])) for k in keys] + [(None, "a"), (None, None)]
+    df = spark.createDataFrame(rows, "number long, chain string")
+    w = Window.partitionBy("chain").orderBy("number")
+    exp = (df.dropna(subset=["number"]).distinct().withColumn("p", F.lag("number").over(w)).filter("number - p > 1")
+           .selectExpr("chain", "p + 1 AS gap_start", "number - 1 AS gap_end", "number - p - 1 AS gap_size"))
+    for width in (None, 7, 64):
+        got = G.detect_gaps(df, "number", by="chain", width=width)
+        assert got.columns == ["chain", "gap_start", "gap_end", "gap_size"]
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, exp.collect()))
+        held = G.distinct_keys(df, "number", by="chain", width=width)
+        want = df.dropna(subset=["number"]).groupBy("chain").agg(F.count_distinct("number").alias("keys"), F.min("number").alias("min_key"),
+                                                                F.max("number").alias("max_key"))
+        assert sorted(map(repr, held.collect())) == sorted(map(repr, want.collect()))
+    assert G.detect_gaps(df.limit(0)).collect() == []
+
+
+def test_bitmap_gaps_read_the_table_once(spark, tmp_path):
+    spark.range(0, 200_000).filter("id % 1000 <> 7").withColumnRenamed("id", "number").write.parquet(str(tmp_path / "t"))
+    out = G.detect_gaps(spark.read.parquet(str(tmp_path / "t")))
+    assert out.count() == 200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert "bitmap_construct_agg" in plan
