@@ -59,9 +59,19 @@ def hex_to_decimal(h) -> Column:
     return F.when(F.length(h) <= 2 + _LIMB, F.when(is_hex(h), F.conv(_digits(h), 16, 10).cast(UINT256))).otherwise(wide)
 
 
+#: epoch seconds of year 1 and of the last second of year 9999
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def epoch_to_ts(x, unit: str = "s") -> Column:
-    """FN-3: epoch seconds / milliseconds → UTC timestamp."""
-    return F.timestamp_seconds(_c(x)) if unit == "s" else F.timestamp_millis(_c(x))
+    """FN-3: epoch seconds / milliseconds → UTC timestamp; NULL outside the years 1 to 9999.
+
+    A time beyond the range would stop the job (microseconds overflow), so it
+    is no time here and the row can be set aside.
+    """
+    x, scale = _c(x), 1 if unit == "s" else 1000
+    inside = F.when(x.between(F.lit(FIRST_SECOND * scale), F.lit(LAST_SECOND * scale + scale - 1)), x)
+    return F.timestamp_seconds(inside) if unit == "s" else F.timestamp_millis(inside)
 
 
 def hex_to_text(h) -> Column:

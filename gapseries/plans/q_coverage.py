@@ -239,35 +239,54 @@ def mempool_stream(spark, sf_dir):
 
 
 @register("fee_history_bad_rows", "SRC-7 STR-11", sql="""
-SELECT CAST(event_id AS BIGINT) AS number, CASE WHEN event_id % 3 = 0 THEN CAST(1000 AS BIGINT) END AS base_fee_per_gas,
-       CASE WHEN event_id % 3 = 0 THEN CAST(7 AS BIGINT) END AS reward_p25,
-       CASE WHEN event_id % 3 = 2 THEN CAST(NULL AS BIGINT) ELSE 9 END AS next_base_fee
-FROM events WHERE event_id % 5 <> 0""")
+SELECT event_id, CASE WHEN event_id % 5 > 1 THEN event_id END AS number,
+       CASE WHEN event_id % 5 <> 0 AND event_id % 3 = 0 THEN CAST(1000 AS BIGINT) END AS base_fee_per_gas,
+       CASE WHEN event_id % 5 <> 0 AND event_id % 3 = 0 THEN CAST(7 AS BIGINT) END AS reward_p25,
+       CASE WHEN event_id % 5 <> 0 AND event_id % 3 <> 2 THEN CAST(9 AS BIGINT) END AS next_base_fee,
+       event_id % 5 < 2 AS set_aside FROM events""")
 def fee_history_bad_rows(spark, sf_dir):
-    """Payloads with short reward and fee lists, bad hex and no JSON at all, among good ones."""
+    """Payloads with short reward and fee lists, bad hex, an unreadable block and no JSON at all, among good ones: none is lost."""
     ev = driver.table(spark, sf_dir, "events").select("event_id")
-    number = F.concat(F.lit('{"oldestBlock":"0x'), F.lower(F.hex("event_id")), F.lit('","gasUsedRatio":[0.5],"baseFeePerGas":'))
+    block = F.when(F.col("event_id") % 5 == 1, F.lit("zz")).otherwise(F.lower(F.hex("event_id")))
+    number = F.concat(F.lit('{"oldestBlock":"0x'), block, F.lit('","gasUsedRatio":[0.5],"baseFeePerGas":'))
     rest = F.get(F.array(F.lit('["0x3e8","0x9"],"reward":[["0x7","0x8","0x9"]]}'), F.lit('["0xzz","0x9"],"reward":[[]]}'),
                          F.lit('[],"reward":[]}')), (F.col("event_id") % 3).cast("int"))
     text = F.when(F.col("event_id") % 5 == 0, F.lit("not json")).otherwise(F.concat(number, rest))
-    return D.decode_fee_history(ev.select(text.alias("json"))).select("number", "base_fee_per_gas", "reward_p25", "next_base_fee")
+    rows = D.decode_fee_history(ev.select("event_id", text.alias("json")), keep=["event_id"])
+    good, bad = D.split_timed(rows, "number")
+    kept = ["event_id", "number", "base_fee_per_gas", "reward_p25", "next_base_fee"]
+    return good.select(*kept, F.lit(False).alias("set_aside")).unionByName(bad.select(*kept, F.lit(True).alias("set_aside")))
 
 
 @register("klines_bad_rows", "SRC-8 STR-11", sql="""
-SELECT count(*) FILTER (WHERE event_id % 4 <> 3) AS bars, count(*) FILTER (WHERE event_id % 4 = 3) AS quarantined,
-       count(*) FILTER (WHERE event_id % 4 IN (0, 2)) AS with_close, count(*) FILTER (WHERE event_id % 4 = 0) AS with_trades
+SELECT count(*) FILTER (WHERE event_id % 7 < 3) AS bars, count(*) FILTER (WHERE event_id % 7 BETWEEN 3 AND 5) AS quarantined,
+       count(*) FILTER (WHERE event_id % 7 IN (0, 2)) AS with_close, count(*) FILTER (WHERE event_id % 7 = 0) AS with_trades
 FROM events""")
 def klines_bad_rows(spark, sf_dir):
-    """Short arrays and unreadable numbers among good bars: every row is decoded or set aside."""
+    """Short arrays, unreadable numbers, times beyond any year and no JSON at all among good bars: every row is decoded
+    or set aside; an empty list stands for no bars."""
     ev = driver.table(spark, sf_dir, "events").select("event_id")
     t = F.concat(F.lit("[["), F.col("event_id").cast("string"))
     text = F.get(F.array(F.concat(t, F.lit(',"1","2","0.5","1.5","10",0,"0",7,"0","0","0"]]')), F.concat(t, F.lit(',"1"]]')),
-                         F.concat(t, F.lit(',"1","2","0.5","1.5","n/a"]]')), F.lit('[["soon","1"]]')), (F.col("event_id") % 4).cast("int"))
+                         F.concat(t, F.lit(',"1","2","0.5","1.5","n/a"]]')), F.lit('[["soon","1"]]'), F.lit('[[9223372036854775807,"1"]]'),
+                         F.lit("not json"), F.lit("[]")), (F.col("event_id") % 7).cast("int"))
     good, bad = D.split_timed(D.decode_klines(ev.select(text.alias("json")), symbol=F.lit("X")), "ts")
     row = good.agg(F.count("*").alias("bars"), F.count("close").alias("with_close"), F.count("trades").alias("with_trades"))
     return ordered.with_row(row, bad.agg(F.count("*").alias("quarantined")))
 
 
+@register("series_bad_rows", "SRC-9 STR-11 FN-3", sql="""
+SELECT event_id, CASE WHEN event_id % 4 = 0 THEN make_timestamp(event_id * 1000000) END AS ts,
+       CAST(CASE WHEN event_id % 4 < 2 THEN 0.5 END AS DOUBLE) AS value FROM events""")
+def series_bad_rows(spark, sf_dir):
+    """Chart payloads: good points, times beyond any year, points without a time and text that is no JSON."""
+    ev = driver.table(spark, sf_dir, "events").select("event_id")
+    good = F.concat(F.lit('{"values":[{"x":'), F.col("event_id").cast("string"), F.lit(',"y":0.5}]}'))
+    text = F.get(F.array(good, F.lit('{"values":[{"x":9223372036854775807,"y":0.5}]}'), F.lit('{"values":[{}]}'), F.lit("<html>")),
+                 (F.col("event_id") % 4).cast("int"))
+    return D.decode_series(ev.select("event_id", text.alias("json")), keep=["event_id"])
+
+
 @register("windowed_correlation", "AGG-23", sql=with_(BLOCKS) + """
 SELECT number, round(r, 9) AS corr_60 FROM (
   SELECT number, CASE WHEN count(*) OVER w >= 60 THEN covar_samp(gas_used, size) OVER w

@@ -47,7 +47,8 @@ def decode_blocks(df: DataFrame, col: str = "json", keep_raw: bool = False) -> D
     transaction count is the length of the hash list.
 
     ``_valid`` is false for malformed JSON, a NULL result, a missing or
-    malformed required field (:data:`REQUIRED`, the transaction list), and an
+    malformed required field (:data:`REQUIRED`, the transaction list), a time
+    outside the years 1 to 9999, and an
     optional field that is present but no hex number or too wide to store
     (63 bits; ``decimal(38,0)`` for the difficulties). Such values are NULL
     and never stored as a number.
@@ -67,6 +68,7 @@ def decode_blocks(df: DataFrame, col: str = "json", keep_raw: bool = False) -> D
     valid = F.col("_n_transactions") >= 0
     for name in REQUIRED.values():
         valid = valid & F.col("_n_" + name).isNotNull()
+    valid = valid & H.epoch_to_ts(F.col("_n_timestamp")).isNotNull()
     for name in [*OPTIONAL.values(), *WIDE.values()]:
         valid = valid & (F.col("_r_" + name).isNull() | F.col("_n_" + name).isNotNull())
     zero = F.lit(0).cast("bigint")
@@ -188,7 +190,10 @@ def decode_mempool(df: DataFrame, col: str = "json", keep: list[str] | None = No
 
 
 def split_timed(decoded: DataFrame, ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
-    """STR-11 for time series: (rows with a time, quarantined rows without)."""
+    """STR-11 for time series: (rows with a time, quarantined rows without).
+
+    Fee-history rows are told by their block: ``split_timed(rows, "number")``.
+    """
     return decoded.filter(F.col(ts).isNotNull()), decoded.filter(F.col(ts).isNull())
 
 
@@ -210,17 +215,21 @@ def decode_fee_history(df: DataFrame, col: str = "json", keep: list[str] | None
     The base-fee arrays are one longer than the block arrays; their last
     element (the next block's base fee) is kept on every row as
     ``next_base_fee``. Rewards are the 25th/50th/75th priority percentiles.
-    Arrays that are too short, and malformed numbers, give NULLs; a payload
-    without a gas ratio list gives no row.
+    Arrays that are too short, and malformed numbers, give NULLs. A payload
+    that is no JSON, or has no gas ratio list or no readable oldest block,
+    gives rows with a NULL ``number`` (one at least), which :func:`split_timed`
+    sets aside; an empty list stands for no blocks and gives no row.
     """
     keep = keep or []
     p = F.from_json(F.col(col), FEE_HISTORY).alias("p")
     d = df.select(*keep, p)
-    d = d.select(*keep, "p", F.posexplode(F.col("p.gasUsedRatio")).alias("i", "gas_used_ratio"))
+    none = F.array(F.lit(None).cast("double"))
+    listed = F.coalesce(F.col("p.gasUsedRatio"), none)
+    d = d.select(*keep, "p", F.posexplode(listed).alias("i", "gas_used_ratio"))
     reward = F.get("p.reward", F.col("i"))
     return d.select(
         *keep,
-        (H.hex_to_long(F.col("p.oldestBlock")) + F.col("i")).alias("number"),
+        F.when(F.col("p.gasUsedRatio").isNotNull(), H.hex_to_long(F.col("p.oldestBlock")) + F.col("i")).alias("number"),
         H.hex_to_long(F.get("p.baseFeePerGas", F.col("i"))).alias("base_fee_per_gas"),
         F.col("gas_used_ratio"),
         F.get("p.blobGasUsedRatio", F.col("i")).alias("blob_gas_used_ratio"),
@@ -235,41 +244,49 @@ def decode_fee_history(df: DataFrame, col: str = "json", keep: list[str] | None
 # -- klines (SRC-8) ------------------------------------------------------------
 
 def decode_klines(df: DataFrame, col: str = "json", symbol: str | Column = "symbol", start_ms: int | None = None,
-                  end_ms: int | None = None) -> DataFrame:
+                  end_ms: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """SRC-8: exchange kline arrays (12 elements) → OHLCV rows.
 
     Numbers arrive as strings or numbers; unparsable values become NULL
     (``try_cast``), as do the missing fields of a short array; a row without
-    a readable open time has a NULL ``ts`` (see :func:`split_timed`), which no
-    bound cuts off. ``start_ms``/``end_ms`` cut ``open_time`` half-open.
+    a readable open time, and a payload that is no list of lists, has a NULL
+    ``ts`` (see :func:`split_timed`), which no bound cuts off. ``keep`` names
+    columns to carry along, such as the payload itself. ``start_ms``/``end_ms`` cut ``open_time`` half-open.
     """
     arr = F.from_json(F.col(col), T.ArrayType(T.ArrayType(T.StringType())))
     sym = F.col(symbol) if isinstance(symbol, str) and symbol in df.columns else (
         symbol if isinstance(symbol, Column) else F.lit(symbol))
-    d = df.select(sym.alias("symbol"), F.explode(arr).alias("k"))
+    keep = keep or []
+    unread = F.array(F.lit(None).cast("array<string>"))
+    d = df.select(*keep, sym.alias("symbol"), F.explode(F.coalesce(arr, unread)).alias("k"))
 
     def num(i, t="double"):
         return F.get("k", F.lit(i - 1)).try_cast(t)
-    out = d.select("symbol", num(1, "bigint").alias("open_ms"),
+    out = d.select(*keep, "symbol", num(1, "bigint").alias("open_ms"),
                    num(2).alias("open"), num(3).alias("high"), num(4).alias("low"), num(5).alias("close"),
                    num(6).alias("volume"), num(9, "bigint").alias("trades"))
     if start_ms is not None:
         out = out.filter(F.col("open_ms").isNull() | (F.col("open_ms") >= F.lit(start_ms)))
     if end_ms is not None:
         out = out.filter(F.col("open_ms").isNull() | (F.col("open_ms") < F.lit(end_ms)))
-    return out.select("symbol", F.timestamp_millis(F.col("open_ms")).alias("ts"), "open", "high", "low", "close",
+    return out.select(*keep, "symbol", H.epoch_to_ts(F.col("open_ms"), "ms").alias("ts"), "open", "high", "low", "close",
                       "volume", "trades")
 
 
 # -- chart series (SRC-9) --------------------------------------------------------
 
 def decode_series(df: DataFrame, col: str = "json", keep: list[str] | None = None) -> DataFrame:
-    """SRC-9: ``{"values": [{"x": epoch_s, "y": v}, ...]}`` → ``(ts, value)`` rows."""
+    """SRC-9: ``{"values": [{"x": epoch_s, "y": v}, ...]}`` → ``(ts, value)`` rows.
+
+    A payload that is no JSON or has no list, and a point without a readable
+    time, give a NULL ``ts`` (see :func:`split_timed`).
+    """
     keep = keep or []
     schema = T.StructType([T.StructField("values", T.ArrayType(T.StructType([
         T.StructField("x", T.LongType()), T.StructField("y", T.DoubleType())])))])
-    d = df.select(*keep, F.explode(F.from_json(F.col(col), schema)["values"]).alias("v"))
-    return d.select(*keep, F.timestamp_seconds(F.col("v.x")).alias("ts"), F.col("v.y").alias("value"))
+    unread = F.array(F.lit(None).cast("struct<x:bigint,y:double>"))
+    d = df.select(*keep, F.explode(F.coalesce(F.from_json(F.col(col), schema)["values"], unread)).alias("v"))
+    return d.select(*keep, H.epoch_to_ts(F.col("v.x")).alias("ts"), F.col("v.y").alias("value"))
 
 
 # -- files ---------------------------------------------------------------------

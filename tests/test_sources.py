@@ -173,3 +173,29 @@ def test_footers_add_up(spark, tmp_path):
     assert footers.column_storage(spark, str(tmp_path / "none")).collect() == []
     with pytest.raises(Exception, match="FileNotFoundError"):
         footers.column_storage(spark, str(tmp_path / "missing")).collect()
+
+
+def test_times_beyond_any_year_are_no_times(spark):
+    """Huge and negative epochs give NULL in every decoder and stop nothing."""
+    big = 9223372036854775807
+    blocks = D.decode_blocks(spark.createDataFrame([('{"result":{"number":"0x1","timestamp":"0x7fffffffffffffff","gasLimit":"0x1","gasUsed":"0x1",'
+                                                     '"size":"0x1","transactions":[]}}',)], "json string")).first()
+    assert blocks.timestamp is None and not blocks._valid
+    bars = D.decode_klines(spark.createDataFrame([(f'[[{big},"1"],[253402300800000,"1"],[253402300799999,"1"]]',)], "json string"), symbol="S").collect()
+    assert [b.ts is None for b in bars] == [True, True, False]
+    points = D.decode_series(spark.createDataFrame([('{"values":[{"x":%d,"y":1},{"x":-%d,"y":2},{"x":0,"y":3}]}' % (big, big),)], "json string")).collect()
+    assert [p.ts is None for p in points] == [True, True, False]
+
+
+def test_unreadable_payloads_are_not_lost(spark):
+    df = spark.createDataFrame([("not json",), (None,), ('{"error":"x"}',), ('{"oldestBlock":"0x1","gasUsedRatio":[]}',),
+                                ('{"oldestBlock":"0x1","gasUsedRatio":[0.5]}',), ('{"gasUsedRatio":[0.5,0.5]}',)], "json string")
+    good, bad = D.split_timed(D.decode_fee_history(df), "number")
+    assert good.count() == 1 and bad.count() == 5
+    df = spark.createDataFrame([("not json",), (None,), ('{"code":-1}',), ("[]",), ('[[1000,"1"]]',)], "json string")
+    rows = D.decode_klines(df, symbol="S", end_ms=500, keep=["json"])
+    good, bad = D.split_timed(rows, "ts")
+    assert good.count() == 0 and sorted(map(str, (r.json for r in bad.collect()))) == ["None", "not json", '{"code":-1}']
+    df = spark.createDataFrame([("not json",), ("{}",), ('{"values":[]}',), ('{"values":[{"x":1,"y":2}]}',)], "json string")
+    good, bad = D.split_timed(D.decode_series(df), "ts")
+    assert good.count() == 1 and bad.count() == 2
