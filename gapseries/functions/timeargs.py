@@ -15,24 +15,32 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-_DAY = re.compile(r"\s*(\d{4})([-/]?)(\d{1,2})\2(\d{1,2})\s*")
+# a clock in the text: hours and minutes, or an ISO "T" before digits
+_CLOCK = re.compile(r":|\dT\d")
 MILLISECOND = dt.timedelta(milliseconds=1)
 
 
+def _read(text: str) -> dt.datetime:
+    """The text as a naive UTC time: ISO forms, a month (``2024-03``) or year alone, names (``March 13, 2024``)."""
+    import pandas as pd
+    try:
+        when = pd.to_datetime(str(text).strip())
+    except (ValueError, OverflowError) as e:
+        raise ValueError(f"{text!r} is no time: {e}") from None
+    if when is pd.NaT:
+        raise ValueError(f"{text!r} is no time")
+    if when.tzinfo is not None:
+        when = when.tz_convert("UTC").tz_localize(None)
+    return when.floor("us").to_pydatetime()
+
+
 def _day(text: str) -> dt.datetime | None:
-    """Midnight of a date-only text (``2024-03-13``, ``2024/3/13``, ``20240313``), else None."""
-    found = _DAY.fullmatch(str(text))
-    return dt.datetime(int(found[1]), int(found[3]), int(found[4])) if found else None
+    """Midnight of a text without a clock, else None; a month or a year alone stands for its first day."""
+    when = _read(text)
+    return when if when.time() == dt.time() and not _CLOCK.search(str(text)) else None
 
 
-def _instant(text: str) -> dt.datetime:
-    """The text as a naive UTC time."""
-    day = _day(text)
-    if day is not None:
-        return day
-    # more than six fraction digits say nothing a datetime can hold
-    when = dt.datetime.fromisoformat(re.sub(r"(\.\d{6})\d+", r"\1", str(text).strip().replace("/", "-")))
-    return when if when.tzinfo is None else when.astimezone(dt.timezone.utc).replace(tzinfo=None)
+_instant = _read
 
 
 def normalize_bound(text: str, is_end: bool = False) -> dt.datetime:

@@ -59,14 +59,17 @@ def latest_n(df: DataFrame, key: str, n: int | None, ascending_result: bool = Tr
 
 def fetch_blocks(df: DataFrame, start: str | None = None, end: str | None = None, limit: int | None = None,
                  include_deprecated: bool = False, key: str = "number", ts_col: str = "timestamp",
-                 seq_col: str | None = "_ingest_seq", ts_stable: bool = True,
+                 seq_col: str | None = "_ingest_seq", ts_stable: bool = False,
                  partition_col: str | None = None, sort: bool = True) -> DataFrame:
     """FIL-4: deduplicated range / latest-N read of a block table.
 
-    ``df`` may hold several versions per key (``seq_col``); the latest wins.
-    A block's timestamp never changes between versions (``ts_stable``), so
-    the range filter runs *before* deduplication and reaches the Parquet scan
-    as pushed filters. With ``ts_stable=False`` it runs after.
+    ``df`` may hold several versions per key (``seq_col``); the latest wins,
+    and the range holds for it: a block revised to a time outside the range
+    is not returned. The keys with any version in the range are found first
+    (pushed filters, the two columns alone), then all versions of those keys
+    are read (bounded by their least and largest), deduplicated and filtered
+    again. ``ts_stable`` promises that no version changes a block's time:
+    then one pass does, with the filter before the deduplication.
     """
     timeargs.validate_range_args(start, end, limit)
     # project before deduplicating: the dedup packs the row into one struct,
@@ -74,16 +77,23 @@ def fetch_blocks(df: DataFrame, start: str | None = None, end: str | None = None
     wanted = STANDARD_COLUMNS + (DEPRECATED_COLUMNS if include_deprecated else [])
     keep = [c for c in df.columns if c in wanted or c in (key, ts_col, seq_col, partition_col)]
     src = df.select(*keep)
-    if ts_stable:
+    several = bool(seq_col) and seq_col in src.columns
+    ranged = start is not None or end is not None
+    again = several and ranged and not ts_stable
+    if again:
+        near = time_range(src, ts_col, start, end, partition_col).select(key)
+        ends = near.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        src = src.filter(F.col(key).between(ends.select("lo").scalar(), ends.select("hi").scalar())).join(near.distinct(), key, "left_semi")
+    else:
         src = time_range(src, ts_col, start, end, partition_col)
-    if seq_col and seq_col in src.columns:
-        if limit is not None and ts_stable:
+    if several:
+        if limit is not None and not again:
             # the limit-th largest key first, from the key column alone: only rows
             # from there on are deduplicated at full width
             newest = src.select(key).distinct().orderBy(F.desc(key)).limit(limit)
             src = src.filter(F.col(key) >= newest.agg(F.min(key)).scalar())
         src = latest(src, key, seq_col)
-    if not ts_stable:
+    if again:
         src = time_range(src, ts_col, start, end, partition_col)
     src = standard_columns(src, include_deprecated)
     if limit is None and not sort:

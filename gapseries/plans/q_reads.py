@@ -35,6 +35,30 @@ def fetch_blocks_limit_only(spark, sf_dir):
     return ranges.fetch_blocks(driver.raw_blocks(spark, sf_dir), limit=1000)
 
 
+MOVED = """moved AS (SELECT * REPLACE (CASE WHEN _ingest_seq = 2 THEN "timestamp" + to_days(CAST(number % 5 AS INTEGER)) ELSE "timestamp" END AS "timestamp")
+  FROM raw_blocks), newest AS (SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY number ORDER BY _ingest_seq DESC) AS _rn FROM moved) WHERE _rn = 1)"""
+
+
+def _moved(spark, sf_dir):
+    raw = driver.raw_blocks(spark, sf_dir)
+    days = F.when(F.col("_ingest_seq") == 2, F.col("number") % 5).otherwise(F.lit(0)).cast("int")
+    return raw.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(days))
+
+
+@register("fetch_blocks_moved", "FIL-4 FIL-1", sql=with_(RAW_BLOCKS, MOVED) + f"""
+SELECT {STD} FROM newest WHERE "timestamp" >= TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-08 00:00:00'""")
+def fetch_blocks_moved(spark, sf_dir):
+    """Revisions that move a block to another day: it leaves the old range and enters the new one."""
+    return ranges.fetch_blocks(_moved(spark, sf_dir), start="2024-01-05", end="2024-01-07")
+
+
+@register("fetch_blocks_moved_latest", "FIL-4 TOP-1", sql=with_(RAW_BLOCKS, MOVED) + f"""
+SELECT {STD} FROM newest WHERE "timestamp" < TIMESTAMP '2024-01-15 12:00:00' ORDER BY number DESC LIMIT 500""")
+def fetch_blocks_moved_latest(spark, sf_dir):
+    return ranges.fetch_blocks(_moved(spark, sf_dir), end="2024-01-15 12:00:00", limit=500)
+
+
 @register("latest_dedup", "SRC-1 WIN-12 SNK-2", sql=with_(RAW_BLOCKS) + """
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY number ORDER BY _ingest_seq DESC) AS _rn FROM raw_blocks
