@@ -118,3 +118,95 @@ def test_stale_timer(spark):
         assert stale and stale[0].number == 10
     finally:
         q.stop()
+
+
+def _message(number, ts="0x5", gas="0x1"):
+    return ('{"result":{"number":"%s","timestamp":"%s","gasLimit":"0x1","gasUsed":"%s","size":"0x2","transactions":[]}}' % (hex(number), ts, gas))
+
+
+def test_poison_message_is_set_aside(spark):
+    """A time beyond any year neither stops the stream nor reaches the table; the rest is stored."""
+    base = tempfile.mkdtemp(prefix="gs-poison-")
+    landed = os.path.join(base, "landed")
+    os.makedirs(landed)
+    with open(os.path.join(landed, "m.json"), "w") as fh:
+        fh.write("\n".join([_message(1), _message(2, "0x7fffffffffffffff"), _message(3, "0x3afff44180")]) + "\n")
+    table, quar, ckpt = (os.path.join(base, x) for x in ("table", "quarantine", "ckpt"))
+    ingest.start_ingest(ingest.block_stream(spark, landed), table, quar, ckpt, available_now=True).awaitTermination()
+    assert [r.number for r in spark.read.parquet(table).collect()] == [1]
+    assert spark.read.parquet(quar).count() == 2
+
+
+def test_failed_flush_is_kept_and_retried(spark, monkeypatch):
+    """A batch whose write fails is delivered again by the next run, with what has landed since; its quarantine is not doubled."""
+    base = tempfile.mkdtemp(prefix="gs-retry-")
+    landed = os.path.join(base, "landed")
+    os.makedirs(landed)
+    with open(os.path.join(landed, "a.json"), "w") as fh:
+        fh.write(_message(1) + "\n{broken\n")
+    real, calls = ingest.upsert_table, []
+
+    def failing(*args, **kw):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("store is away")
+        return real(*args, **kw)
+    monkeypatch.setattr(ingest, "upsert_table", failing)
+    start = lambda: ingest.flush_query(ingest.block_stream(spark, landed), *(os.path.join(base, x) for x in ("t", "q", "ckpt")), interval_s=1)
+    q = start()
+    try:
+        q.processAllAvailable()
+        raise AssertionError("the first flush must fail")
+    except Exception as e:  # noqa: BLE001
+        assert "store is away" in str(e)
+    q.stop()
+    with open(os.path.join(landed, "b.json"), "w") as fh:
+        fh.write(_message(2) + "\n")
+    q = start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.number for r in spark.read.parquet(os.path.join(base, "t")).collect()) == [1, 2]
+    assert spark.read.parquet(os.path.join(base, "q")).count() == 1
+    assert len(calls) >= 2
+
+
+def test_rollup_counts_each_block_once(spark):
+    """Ten blocks delivered twice, one revised to another hour, by two queries with checkpoints of one name."""
+    base = tempfile.mkdtemp(prefix="gs-once-")
+    schema = "timestamp timestamp, number long, transaction_count long, gas_used long, _ingest_seq long"
+    rows = [(f"2024-01-01 0{i % 2}:00:00", i, 2, 10, 1) for i in range(10)]
+    df = spark.createDataFrame(rows, "t string, number long, transaction_count long, gas_used long, _ingest_seq long")
+    df = df.select(F.col("t").cast("timestamp").alias("timestamp"), *df.columns[1:])
+    src, out = os.path.join(base, "in"), os.path.join(base, "out")
+    for _ in range(2):
+        df.write.mode("append").parquet(src)
+    moved = df.filter("number = 0").withColumn("timestamp", F.lit("2024-01-01 05:00:00").cast("timestamp")).withColumn("_ingest_seq", F.lit(2).cast("long"))
+    moved.write.mode("append").parquet(src)
+    for name in ("x", "y"):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(src)
+        ingest.start_rollup(stream, out, os.path.join(base, name, "ckpt")).awaitTermination()
+    got = {r.bucket.hour: (r.blocks, r.tx) for r in ingest.read_rollup(spark, out).collect()}
+    assert got == {0: (4, 8), 1: (5, 10), 5: (1, 2)}
+
+
+def test_silences_are_told_once(spark):
+    """Within a delivery, between deliveries, by a timer before the chain comes back, and for ever; quiet heartbeats make no event."""
+    base = tempfile.mkdtemp(prefix="gs-silent-")
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    schema = "chain string, number long, s long"
+
+    def deliver(rows):
+        df = spark.createDataFrame(rows, schema).select("chain", "number", F.timestamp_seconds("s").alias("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(df.schema).parquet(src)
+        (gap_state.silent_events(stream, stale_after_s=100).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start()).awaitTermination()
+
+    def events():
+        return sorted((r.chain or "-", r.number, int(r.s)) for r in spark.read.parquet(out).select("chain", "number", F.unix_seconds("at").alias("s")).collect())
+    deliver([("a", 1, 1000), ("a", 2, 1300), ("b", 1, 1000), ("b", 2, 1090), ("b", 3, 1180), (None, 7, 1310)])
+    assert ("a", 1, 1100) in events() and ("a", 2, 1400) not in events()
+    deliver([("b", 4, 1500), (gap_state.HEARTBEAT, None, 1600)])
+    deliver([(gap_state.HEARTBEAT, None, 1700)])
+    deliver([("a", 3, 1800), ("b", 5, 1810), (gap_state.HEARTBEAT, None, 1820)])
+    assert [e for e in events() if e[0] in ("a", "b")] == [("a", 1, 1100), ("a", 2, 1400), ("b", 3, 1280), ("b", 4, 1600)]
