@@ -188,8 +188,27 @@ def congestion_index(pressure, util, velocity, velocity_mean) -> Column:
             + F.lit(0.2) * F.try_divide(_c(velocity), _c(velocity_mean)))
 
 
-def feature_matrix(df: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """FN-28: the row-local block features in one projection."""
+#: rolling features: column they are taken over, statistics they need, and how these make the feature
+ROLLING_FEATURES = {
+    "gas_pressure_60": ("base_fee_per_gas", [(60, "median")], lambda c: ratio(c, f"{c}_median_60")),
+    "gas_pressure_1440": ("base_fee_per_gas", [(1440, "median")], lambda c: ratio(c, f"{c}_median_1440")),
+    "tx_velocity_60": ("transaction_count", [(60, "sum")], lambda c: F.col(f"{c}_sum_60")),
+    "utilisation_mean_60": ("utilisation", [(60, "mean")], lambda c: F.col(f"{c}_mean_60")),
+    "utilisation_std_60": ("utilisation", [(60, "std")], lambda c: F.col(f"{c}_std_60")),
+    "utilisation_zscore_60": ("utilisation", [(60, "zscore")], lambda c: F.col(f"{c}_zscore_60")),
+    "base_fee_gwei_mean_1440": ("base_fee_gwei", [(1440, "mean")], lambda c: F.col(f"{c}_mean_1440")),
+    "base_fee_gwei_zscore_1440": ("base_fee_gwei", [(1440, "zscore")], lambda c: F.col(f"{c}_zscore_1440")),
+}
+
+
+def feature_matrix(df: DataFrame, names: list[str] | None = None, order: str = "number", by=None, eps: float = 1e-10) -> DataFrame:
+    """FN-28: block features by name, row-local and rolling ones (:data:`ROLLING_FEATURES`) in one call.
+
+    Without ``names`` the row-local ones, in one projection. Rolling features
+    are taken in the order of ``order`` (per ``by``), all in one pass over
+    bucketed windows; they are NULL until their window is full. The columns
+    of ``df`` come first, then the features in the order asked for.
+    """
     feats = {
         "utilisation": utilisation(), "utilisation_pct": utilisation_pct(), "high_congestion": high_congestion(),
         "base_fee_gwei": base_fee_gwei(), "tx_density": tx_density(), "bytes_per_tx": bytes_per_tx(),
@@ -199,5 +218,16 @@ def feature_matrix(df: DataFrame, names: list[str] | None = None) -> DataFrame:
         "day_of_week": day_of_week(), "is_weekend": is_weekend(), "year_month": year_month(),
         "tx_per_second": tx_per_second(),
     }
-    names = names or list(feats)
-    return df.select("*", *[feats[n].alias(n) for n in names])
+    names = list(feats) if names is None else list(names)
+    unknown = [n for n in names if n not in feats and n not in ROLLING_FEATURES]
+    if unknown:
+        raise ValueError(f"unknown feature {unknown[0]!r}")
+    rolling = {n: ROLLING_FEATURES[n] for n in names if n in ROLLING_FEATURES}
+    if not rolling:
+        return df.select("*", *[feats[n].alias(n) for n in names])
+    from gapseries.operators import ordered
+    # a feature may be taken over another feature
+    taken = dict.fromkeys(c for c, _, _ in rolling.values())
+    wide = df.select("*", *[feats[c].alias(c) for c in taken if c in feats and c not in df.columns])
+    wide = ordered.rolling_many(wide, [order], [(c, n, fn) for c, stats, _ in rolling.values() for n, fn in stats], by=by, eps=eps)
+    return wide.select(*df.columns, *[(rolling[n][2](rolling[n][0]) if n in rolling else feats[n]).alias(n) for n in names])

@@ -111,31 +111,41 @@ def exclusive_scan(edges: DataFrame, by: Sequence[str], bucket: str, value: str,
 
     ``op='sum'`` gives an exclusive prefix sum (0 for the first bucket);
     ``op='last'`` gives the value of the latest earlier bucket whose value is
-    not NULL. Two levels: inside super-buckets of ``super_size`` buckets,
-    then across super-buckets (a table ``super_size`` times smaller).
+    not NULL. See :func:`exclusive_scans`.
     """
-    by = list(by)
-    sup = "_gs_sup"
+    return exclusive_scans(edges, by, bucket, {out: (value, op)}, super_size)
+
+
+def exclusive_scans(edges: DataFrame, by: Sequence[str], bucket: str, outs: dict[str, tuple[str, str]], super_size: int = SUPER) -> DataFrame:
+    """Several scans in one pass: ``{out: (value, op)}`` with ``op`` ``sum``, ``last``, or ``next`` (the earliest later bucket's value).
+
+    Two levels: inside super-buckets of ``super_size`` buckets, then across
+    super-buckets (a table ``super_size`` times smaller).
+    """
+    by, sup = list(by), "_gs_sup"
     e = edges.withColumn(sup, F.floor(F.col(bucket) / F.lit(super_size)).cast("bigint"))
-    w_in = Window.partitionBy(*by, sup).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    w_sup = Window.partitionBy(*by).orderBy(sup).rowsBetween(Window.unboundedPreceding, -1)
-    if op == "sum":
-        inner = F.sum(value).over(w_in)
-        totals = e.groupBy(*by, sup).agg(F.sum(value).alias("_gs_tot"))
-        totals = totals.select(*by, sup, F.sum("_gs_tot").over(w_sup).alias("_gs_pre"))
-        res = e.withColumn("_gs_in", inner).join(totals, on=[*by, sup], how="left")
-        res = res.withColumn(out, F.coalesce(F.col("_gs_in"), F.lit(0)) + F.coalesce(F.col("_gs_pre"), F.lit(0)))
-    elif op == "last":
-        inner = F.last(value, ignorenulls=True).over(w_in)
-        present = F.col(value).isNotNull()
-        totals = e.groupBy(*by, sup).agg(
-            F.max_by(F.when(present, F.col(value)), F.when(present, F.col(bucket))).alias("_gs_tot"))
-        totals = totals.select(*by, sup, F.last("_gs_tot", ignorenulls=True).over(w_sup).alias("_gs_pre"))
-        res = e.withColumn("_gs_in", inner).join(totals, on=[*by, sup], how="left")
-        res = res.withColumn(out, F.coalesce(F.col("_gs_in"), F.col("_gs_pre")))
-    else:
-        raise ValueError(op)
-    return res.drop(sup, "_gs_in", "_gs_pre")
+    before, after = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    inner, totals, across, res = [], [], [], []
+    for i, (out, (value, op)) in enumerate(outs.items()):
+        if op not in ("sum", "last", "next"):
+            raise ValueError(op)
+        frame = after if op == "next" else before
+        w_in, w_sup = (Window.partitionBy(*by, *p).orderBy(o).rowsBetween(*frame) for p, o in (([sup], bucket), ([], sup)))
+        if op == "sum":
+            inner.append(F.sum(value).over(w_in).alias(f"_gs_in{i}"))
+            totals.append(F.sum(value).alias(f"_gs_tot{i}"))
+            across.append(F.sum(f"_gs_tot{i}").over(w_sup).alias(f"_gs_pre{i}"))
+            res.append((F.coalesce(F.col(f"_gs_in{i}"), F.lit(0)) + F.coalesce(F.col(f"_gs_pre{i}"), F.lit(0))).alias(out))
+            continue
+        pick, end = (F.first, F.min_by) if op == "next" else (F.last, F.max_by)
+        there = F.col(value).isNotNull()
+        inner.append(pick(value, ignorenulls=True).over(w_in).alias(f"_gs_in{i}"))
+        totals.append(end(F.when(there, F.col(value)), F.when(there, F.col(bucket))).alias(f"_gs_tot{i}"))
+        across.append(pick(f"_gs_tot{i}", ignorenulls=True).over(w_sup).alias(f"_gs_pre{i}"))
+        res.append(F.coalesce(F.col(f"_gs_in{i}"), F.col(f"_gs_pre{i}")).alias(out))
+    sums = e.groupBy(*by, sup).agg(*totals).select(*by, sup, *across)
+    j = e.select("*", *inner).join(sums, on=[*by, sup], how="left")
+    return j.select(*[F.col(c) for c in edges.columns], *res)
 
 
 # ---------------------------------------------------------------------------

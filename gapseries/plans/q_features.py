@@ -91,6 +91,29 @@ def gas_pressure(spark, sf_dir):
                                   "congestion_index"))
 
 
+ROLLING = list(X.ROLLING_FEATURES)
+
+
+def _rolling_sql(n: str) -> str:
+    column, [(rows, fn)], _ = X.ROLLING_FEATURES[n]
+    agg = {"mean": f"avg({column})", "std": f"stddev_samp({column})", "sum": f"sum({column})", "median": f"quantile_cont({column}, 0.5)"}
+    w = f"OVER (ORDER BY number ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    e = (f"({column} - avg({column}) {w}) / (stddev_samp({column}) {w} + 1e-10)" if fn == "zscore"
+         else f"{column} / nullif({agg[fn]} {w}, 0)" if n.startswith("gas_pressure") else f"{agg[fn]} {w}")
+    full = f"CASE WHEN count({column}) {w} >= {rows} THEN {e} END"
+    return f"CAST({full} AS BIGINT) AS {n}" if fn == "sum" else f"round({full}, 9) AS {n}"
+
+
+@register("feature_matrix_rolling", "FN-28 FN-17 FN-18 WIN-5 WIN-7 WIN-8 WIN-9", sql=with_(BLOCKS) + "SELECT number, round(utilisation, 9) AS utilisation, "
+          + ", ".join(_rolling_sql(n) for n in ROLLING) + """
+FROM (SELECT *, gas_used / gas_limit AS utilisation, base_fee_per_gas / 1e9 AS base_fee_gwei FROM blocks) b""")
+def feature_matrix_rolling(spark, sf_dir):
+    """Row-local and rolling features through the same call."""
+    b = driver.blocks(spark, sf_dir, ["gas_used", "gas_limit", "base_fee_per_gas", "transaction_count"])
+    m = X.feature_matrix(b, ["utilisation", *ROLLING]).select("number", "utilisation", *ROLLING)
+    return round_doubles(m)
+
+
 @register("network_velocity", "FN-23 WIN-4 WIN-10", sql=with_(BLOCKS) + """
 SELECT number,
        round(CASE WHEN bt = 0 THEN NULL ELSE transaction_count / bt END, 9) AS tx_velocity,
@@ -112,7 +135,7 @@ mp AS (
   SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS btc_ts, event_id AS btc_id,
          round(value / 10) + 2 AS btc_fastest_fee, value * 10000 / 1e6 AS btc_vsize_mb,
          user_id * 100 AS btc_unconfirmed_count, value * 1000000 / 1e8 AS btc_total_fee_btc
-  FROM events WHERE event_type = 'view'
+  FROM events
 ),
 mpp AS (
   SELECT *, CASE WHEN m = 0 THEN NULL ELSE btc_fastest_fee / m END AS btc_fee_pressure_60
@@ -121,7 +144,7 @@ mpp AS (
 ),
 x AS (
   SELECT y.*, m.* FROM (SELECT b.*, e.* FROM bars b ASOF LEFT JOIN eth e ON b.ts >= e.eth_ts) y
-  ASOF LEFT JOIN mpp m ON y.ts >= m.btc_ts
+  ASOF LEFT JOIN (SELECT * FROM mpp QUALIFY row_number() OVER (PARTITION BY btc_ts ORDER BY btc_id DESC) = 1) m ON y.ts >= m.btc_ts
 ),
 xm AS (SELECT *, CASE WHEN lag(close) OVER (ORDER BY ts) = 0 THEN NULL
                       ELSE close / lag(close) OVER (ORDER BY ts) - 1 END AS price_momentum FROM x)"""
@@ -147,7 +170,7 @@ def cross_domain(spark, sf_dir):
     eth = p.select(F.col("timestamp").alias("eth_ts"), F.col("number").alias("eth_number"),
                    F.col("gas_used").alias("eth_gas_used"), F.col("base_fee_per_gas").alias("eth_base_fee_per_gas"),
                    F.col("gas_pressure_60").alias("eth_gas_pressure_60"))
-    ev = driver.table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    ev = driver.table(spark, sf_dir, "events")
     fee = F.round(F.col("value") / 10)
     mp = ev.select(F.date_trunc("second", F.col("ts").cast("timestamp")).alias("btc_ts"),
                    F.col("event_id").alias("btc_id"), (fee + 2).alias("btc_fastest_fee"),
@@ -161,8 +184,10 @@ def cross_domain(spark, sf_dir):
     # before the as-of joins: each is reused and has a deep window lineage
     eth, mpp = cut_lineage(eth), cut_lineage(mpp)
     bars = driver.price_bars(spark, sf_dir)
-    x = asof.asof_join(bars, eth, ("ts", "eth_ts"), r_order=["eth_number"])
-    x = asof.asof_join(x, mpp, ("ts", "btc_ts"), r_order=["btc_id"])
+    # both networks in one pass
+    c = asof.carry(bars, "ts", [asof.Carried(eth, "eth_ts", ["eth_number"], "backward", "_eth"),
+                                asof.Carried(mpp, "btc_ts", ["btc_id"], "backward", "_btc")])
+    x = c.select(*[F.col(f"_as_l.{n}").alias(n) for n in bars.columns], "_eth.*", "_btc.*")
     x = windows.pct_change(x, "ts", "close", out="price_momentum")
     return round_doubles(x.select(
         "ts",

@@ -210,3 +210,42 @@ def test_rows_without_a_key_are_a_series(spark):
     exp = holes.select("ts", "k", F.last("v", ignorenulls=True).over(Window.partitionBy("k").orderBy("ts")).alias("v_prev"))
     name = [c for c in filled.columns if c not in ("ts", "k")][0]
     assert sorted(map(repr, filled.select("ts", "k", F.col(name).alias("v_prev")).collect())) == sorted(map(repr, exp.collect()))
+
+
+def test_many_sources_in_one_pass(spark):
+    """Backward and forward sources together, keyed, crowded spans cut, equal times, empty sources: as one join after the other."""
+    import random
+    rng = random.Random(11)
+    left = spark.createDataFrame([(i, rng.choice(["a", "b", None]), rng.randint(0, 400)) for i in range(120)], "id long, k string, s long")
+    side = lambda n, lo: spark.createDataFrame(
+        [(i, rng.choice(["a", "b", None]), rng.randint(lo, 400)) for i in range(n)], "r long, k string, s long")
+    at = lambda df: df.withColumn("ts", F.timestamp_seconds("s")).drop("s")     # noqa: E731
+    left, sides = at(left), [at(side(200, 0)), at(side(80, 100)), at(side(50, 0)).limit(0)]
+    rows = [[tuple(r) for r in x.select("r", "k", F.unix_seconds("ts").cast("int")).collect()] for x in sides]
+    want = []
+    for r in left.select("id", "k", F.unix_seconds("ts").cast("int").alias("s")).collect():
+        out = [r.id]
+        for table, forward in ((rows[0], False), (rows[1], True), (rows[2], False), (rows[1], False)):
+            near = [x for x in table if x[1] == r.k and r.k is not None and (x[2] >= r.s if forward else x[2] <= r.s)]
+            best = (min(near, key=lambda x: (x[2], x[0])) if forward else max(near, key=lambda x: (x[2], x[0]))) if near else None
+            out.append(best and best[0])
+        want.append(tuple(out))
+    for options in ({}, {"skew_safe": False}, {"skew_safe": True, "bucket_rows": 16}, {"crowded_rows": 3}):
+        got = asof.carry(left, "ts", [asof.Carried(sides[0], "ts", ["r"], "backward", "a"), asof.Carried(sides[1], "ts", ["r"], "forward", "b"),
+                                      asof.Carried(sides[2], "ts", ["r"], "backward", "c"), asof.Carried(sides[1], "ts", ["r"], "backward", "d")],
+                         by=["k"], width_us=40_000_000, **options)
+        got = got.select("_as_l.id", "a.r", "b.r", "c.r", "d.r")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str), options
+
+
+def test_fuse_and_nearest_run_nothing_while_planned(spark):
+    """No job before an action, and the series is shuffled once."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    bars = spark.range(10).select(F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
+    src = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 30).alias("timestamp"), F.col("id").alias("number"))
+    fused = asof.fuse(bars, {"a": src, "b": src, "c": src}, skew_safe=False)
+    near = asof.nearest(bars, src, tolerance_s=60)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert fused.count() == 10 and near.filter("nearest_number is not null").count() == 9
