@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -28,16 +29,37 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     so a lost executor costs a reread and not a recomputation.
     """
     path = shared_path(df.sparkSession, name)
+    if _recorded is not None:
+        _recorded.append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written intermediate tables (of ``materialise``) that nothing reads any more."""
     for table in tables:
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            remove(table.sparkSession, folder)
+
+
+_recorded: list[str] | None = None
+
+
+@contextlib.contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The paths that ``materialise`` writes meanwhile, for a caller that knows when they are no longer read."""
+    global _recorded
+    before, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = before
 
 
 def without(columns: list[str], base: str) -> str:

@@ -241,7 +241,7 @@ def settle(ids: list[int], held: list[tuple[np.ndarray, ...]]) -> tuple[list[lis
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   max_sketch_bytes: int = MAX_SKETCH_BYTES, key_col: str | None = None) -> DataFrame:
+                   max_sketch_bytes: int = MAX_SKETCH_BYTES, carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``(id, n_words, n_removed, kept_sha256, kept_text)``.
 
     ``kept_text``: null when nothing was removed, else the kept words joined by
@@ -250,21 +250,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no words; texts under ``window`` words no
     windows. Rows with a null id are returned unchanged and delete nothing.
     Rows that share an id count as one document: no repeat among them is
-    removed. Other columns are ignored, but for a binary ``key_col``, which
-    every row then brings back as a last column; an empty table gives an empty
-    result.
+    removed. Other columns are ignored, but for those in ``carry``, which every
+    row then brings back as one struct ``carried`` besides its ``text``, the
+    original one or, when something was removed, the kept words (the texts
+    travel with the rows, so nothing is joined back); an empty table gives an
+    empty result.
     """
     if window < 2 or window % 2:
         raise ValueError("window must be even")
     spark = docs.sparkSession
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.col(key_col).alias("key") if key_col else F.lit(None).cast("binary").alias("key"), F.col(text_col).alias("text"))
+                       F.struct(*[F.col(f"`{c}`") for c in carry]).alias("key") if carry else F.lit(None).cast("binary").alias("key"),
+                       F.col(text_col).alias("text"))
+    key_type = docs.schema["key"].dataType
     width = _sketch_width(docs, "text", window, max_sketch_bytes)
     shared = spark.sparkContext.broadcast(sketch(docs, "text", width, window))
     long, ints = T.LongType(), T.ArrayType(T.IntegerType())
     ranges = ["start", "length"]
-    first = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("key", T.BinaryType()), T.StructField("n_words", long),
-                          T.StructField("sha", T.StringType()), T.StructField("text", T.BinaryType()),
+    first = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("key", key_type), T.StructField("n_words", long),
+                          T.StructField("sha", T.StringType()), T.StructField("text", T.BinaryType()), T.StructField("open", T.BooleanType()),
                           T.StructField("k1", T.ArrayType(long)), T.StructField("k2", T.ArrayType(long)),
                           *[T.StructField(c, ints) for c in ranges], *[T.StructField(f"known_{c}", ints) for c in ranges]])
 
@@ -283,7 +287,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     if len(starts):
                         found = chunks(starts, window_keys(hashes, starts, window), window)
                 kept = b" ".join(own)
-                held.append((row, i, key, len(own), hashlib.sha256(kept).hexdigest(), pack(kept) if len(found[0]) else None, found))
+                # a carried text goes on as it is (split, it gives the same words); else only the words of an open row are needed
+                packed = (None if text is None else pack(text.encode())) if carry else pack(kept) if len(found[0]) else None
+                held.append((row, i, key, len(own), hashlib.sha256(kept).hexdigest(), packed, len(found[0]) > 0, found))
                 size += len(own) + 100
                 if size >= 1 << 20:
                     yield chunked(held)
@@ -292,8 +298,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield chunked(held)
 
     def chunked(held: list[tuple]) -> list[list]:
-        rest, known = settle([h[1] or 0 for h in held], [h[6] for h in held])
-        return [list(c) for c in zip(*(h[:6] for h in held))] + rest + known
+        rest, known = settle([h[1] or 0 for h in held], [h[7] for h in held])
+        return [list(c) for c in zip(*(h[:7] for h in held))] + rest + known
     own = materialise(docs.mapInArrow(arrow_rows(probe, first), first), "chunks")
     # chunks whose words also lie in a smaller id are gone as a whole; of the others the first holder's stay open
     rows = (own.where(F.size("start") > 0).select("row", "id", F.explode(F.arrays_zip("k1", "k2", "start", "length")).alias("c"))
@@ -301,12 +307,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = F.min("id").over(Window.partitionBy("k1", "k2"))
     decided = (rows.withColumn("gone", F.col("id") > least).groupBy("row")
                .agg(F.collect_list(F.struct("start", "length", "gone")).alias("parts")))
-    wanted = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("key", T.BinaryType()), T.StructField("n_words", long),
+    wanted = T.StructType([T.StructField("row", long), T.StructField("id", long), T.StructField("key", key_type), T.StructField("n_words", long),
                            T.StructField("sha", T.StringType()), T.StructField("text", T.BinaryType()),
                            *[T.StructField(f"{k}_{c}", ints) for k in ("open", "known") for c in ranges]])
     known = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: p["gone"])
     still = F.filter(F.coalesce("parts", F.array().cast("array<struct<start:int,length:int,gone:boolean>>")), lambda p: ~p["gone"])
-    repeats = own.where("text is not null").join(decided, "row", "left").select(
+    repeats = own.where("open").join(decided, "row", "left").select(
         "row", "id", "key", "n_words", "sha", "text", still["start"].alias("open_start"), still["length"].alias("open_length"),
         F.concat("known_start", known["start"]).alias("known_start"), F.concat("known_length", known["length"]).alias("known_length"))
     repeats = materialise(repeats.select(*wanted.names), "repeats")
@@ -343,28 +349,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "row", F.concat("known", F.coalesce("found", none)).alias("single"))
     out = T.StructType([T.StructField("id", long), T.StructField("n_words", long), T.StructField("n_removed", long),
                         T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType()),
-                        T.StructField("key", T.BinaryType())])
+                        T.StructField("key", key_type), *([T.StructField("text", T.StringType())] if carry else [])])
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in pieces(batches, 4):
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[] for _ in out.fields]
             for i, key, n, sha, text, start, length, one in zip(*(c.to_pylist() for c in batch.columns)):
                 starts = np.concatenate([_spread(start, length), np.array(one or [], np.int64)])
-                kept, removed = None, 0
+                kept, removed, whole = None, 0, unpack(text).decode() if carry else None
                 if len(starts):
                     own = unpack(text).split()
                     gone = _runs(starts, window, n)
                     removed = int(gone.sum())
                     kept = b" ".join(w for w, g in zip(own, gone.tolist()) if not g)
                     sha, kept = hashlib.sha256(kept).hexdigest(), kept.decode()
-                for column, value in zip(columns, (i, n, removed, sha, kept, key)):
+                for column, value in zip(columns, (i, n, removed, sha, kept, key, whole if kept is None else kept)):
                     column.append(value)
             yield columns
+    def whole_texts(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in pieces(batches):
+            yield [*batch.columns[:-1], [None if t is None else unpack(t).decode() for t in batch.column(batch.num_columns - 1).to_pylist()]]
     changed = (repeats.join(single_starts, "row", "left").select("id", "key", "n_words", "sha", "text", "known_start", "known_length", "single")
                .mapInArrow(arrow_rows(cut, out), out))
-    same = own.where("text is null").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"),
-                                            F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text"), "key")
+    same = own.where("not open").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"),
+                                        F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text"), "key", *(["text"] if carry else []))
+    if carry:
+        same = same.mapInArrow(arrow_rows(whole_texts, out), out)
     every = same.unionByName(changed)
-    every = every.withColumnRenamed("key", key_col) if key_col else every.drop("key")
+    every = every.withColumnRenamed("key", "carried") if carry else every.drop("key")
     return every.withColumnRenamed("id", id_col)

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and [name for name, _ in corpus_pipeline.STAGES] == [
         "language", "near_duplicates", "repeated_passages", "decontaminate", "tokenise"]
@@ -74,5 +74,46 @@ def test_rows_of_one_id_keep_their_own_texts(spark):
     assert got == sorted((i, t, len(t)) for i, t in (rows[3], (4, "x y"), (4, "x y"), rows[7]))
 
 
+def test_clashing_columns_pass_all_stages(spark):
+    """Extra columns with the names that the operators use inside keep their values."""
+    from pyspark.sql import functions as F
+    docs = load(spark, SMALL, "documents").limit(300)
+    names = ["kept_text", "score", "lang_pred", "fit", "_key", "_row", "_one", "row", "id", "carried", "_maybe", "component_id", "open", "fp"]
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = materialise(stage(spark, docs, SMALL), name)
+        assert docs.columns == columns
+    assert docs.count() > 0
+    for name in names:
+        assert docs.where(F.col(name) != F.concat(F.lit(name), F.col("doc_id").cast("string"))).count() == 0
+
+
+def test_scratch_goes_with_the_next_stage(spark, tmp_path):
+    """Tables of a stage are there until the next one starts, which may not read them itself."""
+    import os
+    docs = load(spark, SMALL, "documents")
+    lazy = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    kept = list(corpus_pipeline._left)
+    assert kept and all(os.path.isdir(p) for p in kept)
+    cut = corpus_pipeline.repeated_passages(spark, lazy, SMALL)      # reads the tables of the stage before
+    assert cut.count() > 0
+    corpus_pipeline.decontaminate(spark, docs, SMALL)
+    assert not any(os.path.isdir(p) for p in kept)
+
+
+@pytest.mark.parametrize("max_bytes", [4096, 1 << 20])
+def test_drop_matching(spark, max_bytes):
+    """As a left-anti join, nulls included, also with a filter that is full."""
+    from gapseries.llm.keyfilter import drop_matching
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS a", "cast(id % 5 AS string) AS b", "id AS _maybe")
+    gone = spark.range(0, 60_000, 3).selectExpr("id AS a", "cast(id % 5 AS string) AS b").union(spark.createDataFrame([(None, "1")], "a long, b string"))
+    got = drop_matching(rows, gone, ["a", "b"], max_bytes)
+    want = rows.join(gone, ["a", "b"], "left_anti").select(*rows.columns)
+    assert got.columns == rows.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert drop_matching(rows, gone.limit(0), ["a", "b"]).count() == 60_000
+
+
 def test_model_path_is_read(spark):
     assert len(spm.read_model(PIECES)) > 1000
