@@ -90,6 +90,32 @@ def schema_diff(spark, sf_dir):
     return diff.join(counts, "name", "left").select("name", "status", "present")
 
 
+#: a third chain, declared in a file alone
+TESTNET = """{"chain": "event_testnet", "columns": [
+  {"name": "event_id", "type": "bigint", "nullable": false, "minimum": 100, "rank": 1, "comment": "key"},
+  {"name": "user_id", "type": "bigint", "nullable": false},
+  {"name": "value", "type": "double", "nullable": false, "minimum": 2.5},
+  {"name": "fee", "type": "decimal(38,0)", "nullable": false, "since_block": 9000, "minimum": 0},
+  {"name": "event_type", "type": "string"}]}"""
+
+
+@register("contract_from_file", "SRC-14 DQ-1 DQ-2", sql="""
+WITH t AS (SELECT event_id, value, event_id >= 9000 AS late FROM events)
+SELECT rule, count(*) AS n_rows FROM (
+  SELECT 'kept' AS rule FROM t WHERE event_id >= 100 AND value >= 2.5 AND NOT late
+  UNION ALL SELECT 'event_id:minimum' FROM t WHERE event_id < 100
+  UNION ALL SELECT 'value:minimum' FROM t WHERE value < 2.5
+  UNION ALL SELECT 'fee:null' FROM t WHERE late) r GROUP BY rule""")
+def contract_from_file(spark, sf_dir):
+    """A chain that only a contract file knows: its table is read and held against the rules, without code for it."""
+    path = os.path.join(_scratch(spark, "contract"), "event_testnet.json")
+    spark.createDataFrame([(" ".join(TESTNET.split()),)], "value string").coalesce(1).write.text(path)
+    C.load_contract(spark, path)
+    good, bad = C.read_contract(spark, f"{sf_dir}/events.parquet", C.contract_schema("event_testnet"), key="event_id")
+    rules = good.select(F.lit("kept").alias("rule")).unionByName(bad.select(F.explode("violations").alias("rule")))
+    return rules.groupBy("rule").agg(F.count("*").alias("n_rows"))
+
+
 @register("column_profile", "AGG-24", sql=with_(BLOCKS) + """
 SELECT column_name AS column, rows, nulls FROM (
   SELECT 'number' AS column_name, count(*) AS rows, count(*) - count(number) AS nulls FROM blocks

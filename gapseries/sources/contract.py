@@ -8,9 +8,11 @@ inferred, and the quality layer derives its checks from it.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -113,11 +115,82 @@ CONTRACTS = {"ethereum_mainnet": block_contract, "bitcoin_mempool": mempool_cont
 
 
 def contract_schema(name: str, **kw) -> T.StructType:
-    """Contract by chain name (SRC-14)."""
-    try:
-        return CONTRACTS[name](**kw)
-    except KeyError:
-        raise ValueError(f"unknown contract {name!r}; known: {sorted(CONTRACTS)}") from None
+    """Contract by chain name (SRC-14): a built-in one, or one that :func:`load_contract` has read."""
+    if name not in CONTRACTS:
+        raise ValueError(f"unknown contract {name!r}; known: {sorted(CONTRACTS)}")
+    return CONTRACTS[name](**kw)
+
+
+#: what a column of a contract file may say
+COLUMN_KEYS = {"name", "type", "nullable", "minimum", "since_block", "rank", "deprecated", "comment"}
+
+
+def parse_contract(text: str) -> tuple[str, T.StructType]:
+    """``(chain, contract)`` of a JSON document ``{"chain": ..., "columns": [{"name", "type", ...}]}``.
+
+    A column has a name and a Spark SQL type (``bigint``, ``decimal(38,0)``,
+    ``array<string>``) and may say ``nullable`` (default true), ``minimum``,
+    ``since_block``, ``rank``, ``deprecated`` and ``comment``. Whatever else
+    the document says is refused, so that a misspelt rule is not a lost one.
+    """
+    doc = json.loads(text)
+    if not isinstance(doc, dict) or not isinstance(doc.get("chain"), str) or not isinstance(doc.get("columns"), list) or not doc["columns"]:
+        raise ValueError("a contract has a chain and a list of columns")
+    if set(doc) - {"chain", "columns"}:
+        raise ValueError(f"unknown entry {sorted(set(doc) - {'chain', 'columns'})[0]!r} in the contract of {doc['chain']}")
+    fields = []
+    for c in doc["columns"]:
+        where = f"column {c.get('name')!r} of {doc['chain']}"
+        if set(c) - COLUMN_KEYS:
+            raise ValueError(f"unknown entry {sorted(set(c) - COLUMN_KEYS)[0]!r} in {where}")
+        if not isinstance(c.get("name"), str) or not isinstance(c.get("type"), str):
+            raise ValueError(f"{where} needs a name and a type")
+        if any(isinstance(c.get(k), bool) or not isinstance(c.get(k, 0), (int, float)) for k in ("minimum", "since_block", "rank")):
+            raise ValueError(f"minimum, since_block and rank of {where} are numbers")
+        fields.append(_field(c["name"], T.DataType.fromDDL(c["type"]), bool(c.get("nullable", True)), c.get("rank"), bool(c.get("deprecated")),
+                             c.get("since_block"), c.get("minimum"), c.get("comment")))
+    names = [f.name.lower() for f in fields]
+    if len(set(names)) < len(names):
+        raise ValueError(f"the contract of {doc['chain']} names a column twice")
+    return doc["chain"], T.StructType(fields)
+
+
+def load_contract(spark: SparkSession, path: str) -> T.StructType:
+    """SRC-14: read a contract file (from any store Spark reads) and make it known to :func:`contract_schema`."""
+    chain, contract = parse_contract(spark.read.text(path, wholetext=True).first()[0])
+    CONTRACTS[chain] = lambda: contract
+    return contract
+
+
+def violations(contract: T.StructType, key: str | None = None):
+    """Column: names of the rules a row breaks (``<column>:null``, ``<column>:minimum``), in the contract's order.
+
+    A column that exists from ``since_block`` on must hold a value only for
+    rows whose ``key`` has reached that block; its minimum holds everywhere.
+    """
+    checks = []
+    for f in contract.fields:
+        md = f.metadata or {}
+        if not f.nullable:
+            missing = F.col(f"`{f.name}`").isNull()
+            if md.get("since_block") is not None and key:
+                missing = missing & (F.col(key) >= F.lit(md["since_block"]))
+            checks.append(F.when(missing, F.lit(f"{f.name}:null")))
+        if md.get("minimum") is not None:
+            checks.append(F.when(F.col(f"`{f.name}`") < F.lit(md["minimum"]), F.lit(f"{f.name}:minimum")))
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+
+
+def read_contract(spark: SparkSession, path: str, contract: T.StructType, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """SRC-14: a Parquet table read by its contract: ``(rows that keep it, rows that break it with their violations)``.
+
+    The contract is the read schema: nothing is inferred, other columns are
+    not read, a column that the files lack is NULL and so breaks a null rule.
+    """
+    # declared nullable for the read: the null rules are checked, not assumed
+    schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in contract.fields])
+    rows = spark.read.schema(schema).parquet(path).withColumn("violations", violations(contract, key))
+    return rows.filter(F.size("violations") == 0).drop("violations"), rows.filter(F.size("violations") > 0)
 
 
 def default_eras(london: int = LONDON_BLOCK, merge: int = MERGE_BLOCK, dencun: int = DENCUN_BLOCK) -> list[Era]:
@@ -156,7 +229,6 @@ def schema_diff(spark: SparkSession, contract: T.StructType, live: T.StructType)
     schema = "name string, type string, nullable boolean, comment string"
     c = spark.createDataFrame(rows(contract), schema).alias("c")
     lv = spark.createDataFrame(rows(live), schema).alias("l")
-    from pyspark.sql import functions as F
     j = c.join(lv, on="name", how="full")
     status = (F.when(F.col("c.type").isNull(), "extra_in_live")
               .when(F.col("l.type").isNull(), "missing_in_live")

@@ -3,6 +3,7 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gapseries.functions import hexcodec as H
 from gapseries.operators import rollup, sets
@@ -199,3 +200,34 @@ def test_unreadable_payloads_are_not_lost(spark):
     df = spark.createDataFrame([("not json",), ("{}",), ('{"values":[]}',), ('{"values":[{"x":1,"y":2}]}',)], "json string")
     good, bad = D.split_timed(D.decode_series(df), "ts")
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_contract_files(spark, tmp_path):
+    """A contract read from a file enforces types, null rules, minima and era starts; a wrong one is refused."""
+    import pytest
+
+    from gapseries.sources import contract as C
+    text = ('{"chain": "toy", "columns": [{"name": "number", "type": "bigint", "nullable": false, "minimum": 0},'
+            ' {"name": "fee", "type": "decimal(20,0)", "nullable": false, "since_block": 10, "minimum": 1}, {"name": "tags", "type": "array<string>"}]}')
+    (tmp_path / "toy.json").write_text(text)
+    got = C.load_contract(spark, str(tmp_path / "toy.json"))
+    assert C.contract_schema("toy") is got and got["fee"].dataType == T.DecimalType(20, 0) and got["fee"].metadata["since_block"] == 10
+    rows = [(1, None, ["a"]), (12, None, None), (-1, 5, None), (None, 0, None), (20, 7, None)]
+    df = spark.createDataFrame(rows, "number long, fee long, tags array<string>").withColumn("fee", F.col("fee").cast("decimal(20,0)"))
+    df.withColumn("other", F.lit(1)).write.parquet(str(tmp_path / "t"))
+    good, bad = C.read_contract(spark, str(tmp_path / "t"), got, key="number")
+    assert sorted(r.number for r in good.collect()) == [1, 20] and good.columns == ["number", "fee", "tags"]
+    assert sorted((r.number or 0, tuple(r.violations)) for r in bad.collect()) == [
+        (-1, ("number:minimum",)), (0, ("number:null", "fee:minimum")), (12, ("fee:null",))]
+    # a column that the files lack
+    df.drop("fee").write.parquet(str(tmp_path / "u"))
+    good, bad = C.read_contract(spark, str(tmp_path / "u"), got, key="number")
+    assert {r.number for r in bad.collect()} == {12, 20, -1, None}
+    for wrong in ('[]', '{"chain": "x"}', '{"chain": "x", "columns": []}', '{"chain": "x", "columns": [{"name": "a"}]}',
+                  '{"chain": "x", "columns": [{"name": "a", "type": "bigint", "minumum": 1}]}', '{"chain": "x", "rules": 1, "columns": [{"name": "a", "type": "int"}]}',
+                  '{"chain": "x", "columns": [{"name": "a", "type": "int"}, {"name": "A", "type": "int"}]}',
+                  '{"chain": "x", "columns": [{"name": "a", "type": "int", "minimum": "1"}]}'):
+        with pytest.raises(ValueError):
+            C.parse_contract(wrong)
+    with pytest.raises(ValueError, match="unknown contract"):
+        C.contract_schema("nowhere")
