@@ -29,6 +29,8 @@ QUERIES = {
     "asof_join": "asof_purchase_view",
     "rolling_zscore": "rolling_zscore",
     "rolling_stats": "rolling_stats",
+    "rolling_day": "rolling_day",
+    "fuse": "fuse_sources",
     "gap_lifecycle": "gap_lifecycle_events",
     "feature_matrix": "feature_matrix",
     "historical_load": "bench_historical_load",
