@@ -142,11 +142,12 @@ def test_decoders_survive_bad_records(spark):
     df = spark.createDataFrame([("nope",), ('{"timestamp":"25:61"}',), ('{"timestamp":"2024-01-01T00:00:00Z"}',)], "json string")
     good, bad = D.split_timed(D.decode_mempool(df))
     assert good.count() == 1 and bad.count() == 2
-    fees = D.decode_fee_history(spark.createDataFrame([('{"oldestBlock":"0x1","gasUsedRatio":[0.1,0.2],"baseFeePerGas":["0x5"],"reward":[["0x1"]]}',),
-                                                       ("{",)], "json string")).collect()
-    assert [(r.number, r.base_fee_per_gas, r.reward_p25, r.reward_p50) for r in fees] == [(1, 5, 1, None), (2, None, None, None)]
+    good, bad = D.split_timed(D.decode_fee_history(spark.createDataFrame(
+        [('{"oldestBlock":"0x1","gasUsedRatio":[0.1,0.2],"baseFeePerGas":["0x5"],"reward":[["0x1"]]}',), ("{",)], "json string")), "number")
+    assert [(r.number, r.base_fee_per_gas, r.reward_p25, r.reward_p50) for r in good.collect()] == [(1, 5, 1, None), (2, None, None, None)]
+    assert bad.count() == 1     # the unreadable payload is set aside, it used to vanish
     bars = D.decode_klines(spark.createDataFrame([("[[1000],[]]",), ("x",)], "json string"), symbol="S").collect()
-    assert sorted((r.ts is not None, r.close) for r in bars) == [(False, None), (True, None)]
+    assert sorted((r.ts is not None, r.close) for r in bars) == [(False, None), (False, None), (True, None)]
 
 
 def test_footers_add_up(spark, tmp_path):
