@@ -2,7 +2,7 @@
 
 A batch of texts is one array of characters, cut into units that no piece can
 cross: between two characters that follow each other in no piece. Units are
-told apart by 64-bit polynomial hashes, and each distinct unit is encoded once.
+told apart by 64-bit polynomial hashes that their characters confirm, and each distinct unit is encoded once.
 Units of equal length form one character matrix and advance together: the polynomial
 hashes of all substrings probe the sorted piece keys, and for each end position
 the best (previous score + step) over the piece lengths is a vectorised
@@ -122,8 +122,9 @@ class Model:
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.scores = np.array([p[1] for p in self.pieces], np.float64)
         self._tables()
-        self.cache: dict[int, bytes] = {}       # ids by unit hash, of this generation and of the one before
-        self.old: dict[int, bytes] = {}
+        # by unit hash (by text where hashes clash): the unit and its ids, of this generation and of the one before
+        self.cache: dict[int | str, tuple[str, bytes]] = {}
+        self.old: dict[int | str, tuple[str, bytes]] = {}
         self.powers = np.ones(1, np.uint64)
 
     def _tables(self) -> None:
@@ -340,6 +341,18 @@ class Model:
         mixed = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + sizes.astype(np.uint64)
         return mixed ^ (mixed >> np.uint64(29))
 
+    def agree(self, codes: np.ndarray, at: np.ndarray, sizes: np.ndarray, like: np.ndarray) -> bool:
+        """Whether every unit has the characters of the unit ``like``, compared some at a time."""
+        if (sizes != sizes[like]).any():
+            return False
+        for a in range(0, len(at), 1 << 16):
+            s = slice(a, a + (1 << 16))
+            size = sizes[s]
+            inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            if (codes[np.repeat(at[s], size) + inside] != codes[np.repeat(at[like[s]], size) + inside]).any():
+                return False
+        return True
+
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the bounds of each text's."""
         marked = [t.replace(" ", SPACE) for t in texts]
@@ -354,15 +367,21 @@ class Model:
         sizes = np.diff(at, append=len(codes))
         distinct, first, which = np.unique(self.unit_hashes(codes, at, sizes), return_index=True, return_inverse=True)
         keys = distinct.tolist()
+        if not self.agree(codes, at, sizes, first[which]):
+            # units that share a hash: told apart by their texts, here and by what follows
+            index: dict[str, int] = {}
+            which = np.array([index.setdefault(every[a:a + n], len(index)) for a, n in zip(at.tolist(), sizes.tolist())])
+            names, keys = list(index), list(index)
+        else:
+            names = [every[a:a + n] for a, n in zip(at[first].tolist(), sizes[first].tolist())]
         for k in self.old.keys() & keys:                    # what the older generation has is kept on
             self.cache[k] = self.old[k]
-        new = [j for j, k in enumerate(keys) if k not in self.cache]
+        # a hash stands for the text it was kept with, for no other
+        new = [j for j, k in enumerate(keys) if k not in self.cache or self.cache[k][0] != names[j]]
         if new:
-            where, size = at[first[new]].tolist(), sizes[first[new]].tolist()
-            names = [every[a:a + n] for a, n in zip(where, size)]
-            ids = self.encode_units(names)
-            self.cache.update((keys[j], ids[u]) for j, u in zip(new, names))
-        found = list(map(self.cache.__getitem__, keys))
+            ids = self.encode_units([names[j] for j in new])
+            self.cache.update((keys[j], (names[j], ids[names[j]])) for j in new)
+        found = [self.cache[k][1] for k in keys]
         if len(self.cache) > CACHED // 2:
             self.old, self.cache = self.cache, {}
         counts = np.array([len(f) for f in found], np.int64) // 4

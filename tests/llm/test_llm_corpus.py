@@ -288,3 +288,23 @@ def test_unigram_viterbi_equals_library(dense, monkeypatch):
         got, want = model.encode([text])[0].tolist(), lib.encode(text)
         value = lambda ids: sum(pieces[i][1] for i in ids)
         assert got == want or math.isclose(value(got), value(want), rel_tol=1e-5)
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+@pytest.mark.parametrize("letters", ["ab", "xy"])
+def test_units_that_share_a_hash(size, letters):
+    """A Thue-Morse string and its complement have one polynomial hash modulo 2^64: each keeps its own ids, in one batch and one after the other."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    one = "".join(letters[i.bit_count() & 1] for i in range(size))
+    two = "".join(letters[1 - (i.bit_count() & 1)] for i in range(size))
+    want = [lib.encode(t) for t in (one, two)]
+    assert want[0] != want[1]
+    model = spm.Model(spm.read_model(PIECES))
+    texts = [one, two, "plain words", one + " " + two]
+    for _ in range(2):
+        got = model.encode(texts)
+        assert [list(g) for g in got] == [lib.encode(t) for t in texts]
+        assert [model.decode(list(g)) for g in got] == texts
+    model = spm.Model(spm.read_model(PIECES))
+    assert [list(model.encode([t])[0]) for t in (one, two, one)] == [want[0], want[1], want[0]]
