@@ -8,9 +8,13 @@ order, fused (length times punctuation, less the share of link text) and
 averaged back per path; paths at or above a share of the page's length-weighted
 mean are content. Last, the deepest element that holds most of the content
 also yields its short blocks (headings, list items), so that an article is
-returned whole. Navigation, forms and the like, known by tag, take no part;
-what class, id or role hint at has its ratio cut to ``PENALTY``, so that a
-chance hit on the article's own container loses to nothing but better text.
+returned whole, and lists of links that stand in the article. Navigation and
+the like, known by tag, take no part; what class, id or role hint at has its
+ratio cut to ``PENALTY``, so that a chance hit on the article's own container
+loses to nothing but better text. A form takes no part unless the page is built
+inside it (it holds the article, the menu or most of the sentences). Reader
+comments take no part, however long, unless the page has no other sentence or
+their container holds the page's heading.
 
 Pages are independent: one pass over the table, no shuffle. The parser is
 linear in the page's length.
@@ -35,7 +39,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts "
                    "mtable mtr mtd mstyle mpadded mphantom menclose merror semantics".split())
 # tags that never hold the article, and tokens of class, id and role that seldom do
-ASIDE = frozenset("nav footer aside form button select option label fieldset menu dialog".split())
+ASIDE = frozenset("nav footer aside button select option label fieldset menu dialog".split())
 HINTS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent "
                   "contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
                   "alert infobar notice notices pager pagination popup promo promoted recommended related replies reply respond search share "
@@ -51,18 +55,24 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table article section div main body html blockquote td th".split())
 HOMES = frozenset(["", "html", "body", "article", "main", "section", "div"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+# starts of a token that names reader comments, and what starts alike but does not
+COMMENTS = ("comment", "kommentar", "disqus", "replies", "respond")
+NO_COMMENTS = ("commentary", "commentat", "respondent")
 ASIDE_TAG, HIDDEN = 1, 2        # why an element is left out
+SENTENCE = 60           # characters of a block with a full stop, from which on it is a sentence of prose
 SMOOTH = (1.0, 2.0, 1.0)
 SHARE = 0.35            # of the mean fused ratio, from which on a path is content
 PENALTY = 0.02          # on the ratio of paths that class, id or role hint at
-LEAST = 0.1             # of the page's text; a hinted reading that keeps less is read without hints
+LEAST = 0.1             # of the page's text; a hinted reading that keeps less, and no sentence, is read without hints
 MOST = 0.75             # of the content's length, which the article's element holds
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _LACKING = re.compile(r"\b(?:with|has|no|without)[-_]?[a-z]+")       # "has-sidebar" is no sidebar
-_HIDDEN = re.compile(r"\shidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+_STOP = re.compile(r"[.!?。！？]")
+_RIGHTS = re.compile(r"\W*(?:©|\(c\)|copyright)", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPLIT = re.compile(r"[-_:]+")
 _SIZE = re.compile(r"\d+(?:x\d+)?")
@@ -77,19 +87,22 @@ class _Page:
         self.blocks: list[tuple[str, int, int, int]] = []
         self.parent, self.tags = [-1], [""]                 # by element; 0 is the document
         self.hinted = [0]                                   # by element: hints on it and above
+        self.forms, self.threads = [0], [0]                 # by element: the form and the innermost comments around it
+        self.outer = {0: (0, 0)}                            # by comments: those around them, and how many lie around a block in them
+        self.holds: set[int] = set()                        # forms and comments that the page is built inside of
         self.paths: dict[tuple[int, str, bool], int] = {}
         self.stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]      # tag, element, path, left out
         self.held: list[str] = []
         self.links: list[str] = []
         self.open: dict[str, int] = {}                      # open elements by tag
-        self.size = 0                                       # characters of the blocks, with those of hidden elements
+        self.sizes: dict[int, int] = {}                     # characters by element, with those of hidden elements
 
     def flush(self) -> None:
         if self.held:
             tag, element, path, out = self.block()
             text = " ".join(unescape("".join(self.held)).split())
             if text and out != ASIDE_TAG and tag != "head":
-                self.size += len(text)
+                self.sizes[element] = self.sizes.get(element, 0) + len(text)
             if text and not out and tag != "head":
                 link = len(" ".join(unescape("".join(self.links)).split())) if self.links else 0
                 self.blocks.append((text, path, element, link))
@@ -135,16 +148,30 @@ class _Page:
                 break
         _, element, path, out = self.stack[-1]
         if block:
-            hint = False
+            hint = thread = False
+            form = self.forms[element]
+            if tag in ("article", "main", "nav"):
+                self.holds.add(form)
+            talk = self.threads[element]
+            while tag in ("h1", "main") and talk and talk not in self.holds:
+                self.holds.add(talk)
+                talk = self.outer[talk][0]
             if not out:
                 inside = bool(self.open.get("article") or self.open.get("main"))
                 out = ASIDE_TAG if tag in ASIDE or tag == "header" and not inside else 0
-                if attributes and self.hints and not out and tag not in ("html", "body", "article", "main"):
-                    out = HIDDEN if _HIDDEN.search(attributes) else 0
-                    hint = not out and _aside(attributes, inside)
+                if attributes and not out and tag not in ("html", "body", "article", "main"):
+                    named = _named(attributes)
+                    out = HIDDEN if self.hints and _hidden(named) else 0
+                    found = "" if out else _aside(named, inside)
+                    hint, thread = bool(found) and self.hints, found == "comments"
             self.parent.append(element)
             self.tags.append(tag)
             self.hinted.append(self.hinted[element] + hint)
+            self.forms.append(form or (len(self.forms) if tag == "form" else 0))
+            talk = self.threads[element]
+            if thread:
+                self.outer[len(self.threads)] = talk, self.outer[talk][1] + 1
+            self.threads.append(len(self.threads) if thread else talk)
             element = len(self.tags) - 1
             path = self.paths.setdefault((path, tag, hint), len(self.paths) + 1)
         self.stack.append((tag, element, path, out))
@@ -162,18 +189,38 @@ class _Page:
                 return                                      # an inline end tag closes nothing across blocks
 
 
-def _aside(attributes: str, inside: bool) -> bool:
-    """Whether a whole token of class, id or role hints at other text than the article's; ``inside``: of an article."""
+def _named(attributes: str) -> dict[str, str]:
+    """Attributes by lower-case name; of equal names the first counts."""
+    found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
-        for token in _LACKING.sub(" ", m[1].strip("\"'")).split():
-            if _hint(token) and not (inside and token.lower().endswith("header")):
-                return True
-    return False
+        found.setdefault(m[1].lower(), (m[2] or "").strip("\"'"))
+    return found
+
+
+def _hidden(named: dict[str, str]) -> bool:
+    return "hidden" in named or named.get("aria-hidden", "").strip().lower() == "true" or bool(_UNSEEN.search(named.get("style", "")))
+
+
+def _aside(named: dict[str, str], inside: bool) -> str:
+    """What a whole token of class, id or role hints at: "comments", "other" text than the article's, or ""; ``inside``: of an article."""
+    found = ""
+    for name in ("class", "id", "role"):
+        for token in _LACKING.sub(" ", named.get(name, "")).split():
+            low = token.lower()
+            if low.startswith(COMMENTS) and not low.startswith(NO_COMMENTS):
+                return "comments"
+            if _hint(token) and not (inside and low.endswith("header")):
+                found = "comments" if any(w.startswith(COMMENTS) and not w.startswith(NO_COMMENTS) for w in _SPLIT.split(low)) else "other"
+                if found == "comments":
+                    return found
+    return found
 
 
 def _hint(token: str) -> bool:
     """All its words are hints or say nothing, or it starts or ends like one: "social-share", not "social-science" or "3f9ad12"."""
     low = token.lower()
+    if low.startswith(NO_COMMENTS):
+        return False
     if low.startswith(HINT_STARTS) or low.endswith(HINT_ENDS):
         return True
     own = [w for w in _SPLIT.split(_CAMEL.sub("-", token).lower()) if w and w not in LAYOUT and not _SIZE.fullmatch(w)]
@@ -240,9 +287,35 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def content(page: _Page) -> list[str]:
+def sentence(text: str) -> bool:
+    """Whether a block reads as prose: long enough, with a full stop, and no note of rights."""
+    return len(text) >= SENTENCE and bool(_STOP.search(text)) and not _RIGHTS.match(text)
+
+
+def settled(page: _Page) -> tuple[list[tuple[str, int, int, int]], int]:
+    """Blocks without those of forms and comments that take no part, and the characters of what takes part, hidden or not."""
+    forms, threads = page.forms, page.threads
+    prose: dict[int, int] = {}
+    for text, _, e, _ in page.blocks:
+        if sentence(text):
+            prose[forms[e]] = prose.get(forms[e], 0) + len(text)
+    total = sum(prose.values())
+    kept = {f for f in set(forms) if not f or f in page.holds or 2 * prose.get(f, 0) > total}
+    own = [False] * len(page.tags)                          # inside an article or main element, and not in comments
+    for e in range(1, len(own)):
+        own[e] = not threads[e] and (own[page.parent[e]] or page.tags[e] in ("article", "main"))
+    talks = set(threads) - page.holds - {0}
+    if talks and not any(forms[e] in kept and threads[e] not in talks and page.hinted[e] <= page.outer[threads[e]][1] and (
+            own[e] or sentence(text) or page.tags[e] == "p" and _STOP.search(text) and not _RIGHTS.match(text)) for text, _, e, _ in page.blocks):
+        talks = set()                                       # nothing else is there to read
+
+    def part(e: int) -> bool:
+        return forms[e] in kept and threads[e] not in talks
+    return [b for b in page.blocks if part(b[2])], sum(n for e, n in page.sizes.items() if part(e))
+
+
+def content(page: _Page, blocks: list[tuple[str, int, int, int]]) -> list[str]:
     """Texts of the content blocks, in page order."""
-    blocks = page.blocks
     if not blocks:
         return []
     chars, stops, links, count = {}, {}, {}, {}
@@ -285,21 +358,45 @@ def content(page: _Page) -> list[str]:
         inside[e] = e == home or e > 0 and inside[page.parent[e]]
     broad = page.tags[home] in ("", "html", "body")
     here = {p for _, p, e, _ in blocks if inside[e]} & chosen
+    lists = _link_lists(page, blocks, here, home) if not broad else set()
     out = []
     for text, path, element, _ in blocks:
-        if path in here or inside[element] and page.hinted[element] == page.hinted[home] and links[path] < 0.5 * chars[path] and (
-                not broad or page.tags[element] in HEADINGS):
+        if path in here or inside[element] and page.hinted[element] == page.hinted[home] and (
+                links[path] < 0.5 * chars[path] or element in lists) and (not broad or page.tags[element] in HEADINGS):
             out.append(text)
     return out
 
 
+def _link_lists(page: _Page, blocks: list[tuple[str, int, int, int]], here: set[int], home: int) -> set[int]:
+    """Elements of the lists in the article: in its ``article`` element, or between blocks of content side by side with them."""
+    around = [0] * len(page.tags)           # by element: the outermost list around it
+    own = [False] * len(page.tags)          # by element: inside an article element
+    for e in range(1, len(page.tags)):
+        around[e] = around[page.parent[e]] or (e if page.tags[e] in ("ul", "ol", "dl") else 0)
+        own[e] = own[page.parent[e]] or page.tags[e] == "article"
+    first: dict[int, int] = {}              # by element: places of its own first and last block of content
+    last: dict[int, int] = {}
+    for k, (_, path, e, _) in enumerate(blocks):
+        if path in here:
+            first.setdefault(page.parent[e], k)
+            last[page.parent[e]] = k
+    out = set()
+    for k, (_, _, e, _) in enumerate(blocks):
+        beside = page.parent[around[e]] if around[e] else 0
+        if around[e] and (own[e] or first.get(beside, k) < k < last.get(beside, k)):
+            out.add(e)
+    return out
+
+
 def main_text(html: str | None) -> str:
     """Main text of one page; empty if there is none."""
     page = parse(html or "")
-    found = content(page)
-    # a page of which its hints (or hidden elements) leave next to nothing is read without them
-    if sum(map(len, found)) <= LEAST * page.size:
-        found = content(parse(html or "", hints=False)) or found
+    blocks, size = settled(page)
+    found = content(page, blocks)
+    # a page of which its hints (or hidden elements) leave next to nothing, and no sentence, is read without them
+    if sum(map(len, found)) <= LEAST * size and not any(map(sentence, found)):
+        page = parse(html or "", hints=False)
+        found = content(page, settled(page)[0]) or found
     return " ".join(found)
 
 

@@ -121,6 +121,47 @@ def test_html_hinted_text_stays_out():
         assert htmltext.main_text(f"<div>{ARTICLE}</div><div class={token}>{many}</div>") == f"H {PROSE} {PROSE}"
 
 
+@pytest.mark.parametrize("count", [0, 1, 12, 20, 300])
+@pytest.mark.parametrize("token", ["id=comments", "class='comment-list'", "class=disqus_thread", "id=replies", "class='post-comments wide'"])
+def test_html_comments_never_stand_in(count, token):
+    """However many, beside an article of any length."""
+    thread = f"<div {token}>" + f"<div class=item><p>{PROSE} {PROSE}</p></div>" * count + "</div>"
+    assert htmltext.main_text(f"<body><div>{ARTICLE}</div>{thread}<div>© 2024 Some Name.</div></body>") == f"H {PROSE} {PROSE}"
+    assert htmltext.main_text(f"<body><article><p>A short one.</p></article>{thread}</body>") == "A short one."
+    assert htmltext.main_text(f"<body><div class=commentary>{ARTICLE}</div>{thread}</body>") == f"H {PROSE} {PROSE}"
+    assert htmltext.main_text(f"<body><div class='post comments-open'>{ARTICLE}{thread.replace('div', 'section')}</div></body>") == f"H {PROSE} {PROSE}"
+
+
+def test_html_form_around_the_page():
+    """A form that the page is built inside of is a container; any other is left out."""
+    menu = "<nav><ul><li><a href=/>Home</a></ul></nav>"
+    login = "<div><label>Name</label><input><span>Log in to write. It costs nothing, and it takes no more than a minute.</span></div>"
+    for page in (f"<form id=aspnetForm>{menu}<div>{ARTICLE}</div></form>", f"<form id=aspnetForm><div>{ARTICLE}</div></form>",
+                 f"<form><article>{ARTICLE}</article></form>", f"<div>{ARTICLE}</div><form>{login}</form>",
+                 f"<form>{login}</form><div>{ARTICLE}</div>"):
+        assert htmltext.main_text(f"<body>{page}<footer>© Some Name.</footer></body>") == f"H {PROSE} {PROSE}"
+    assert htmltext.main_text("<form><label>Name</label><input><button>Send</button></form>") == ""
+
+
+@pytest.mark.parametrize("attributes", ["title='a hidden gem'", "alt=\"x class='ad'\"", "data-style='display:none'", "data-hidden", "title=' hidden '",
+                                        "aria-hidden=false", "data-x='1'class=text"])
+def test_html_attributes_are_read_by_name(attributes):
+    assert htmltext.main_text(f"<body><div {attributes}>{ARTICLE}</div><div>Left over.</div></body>") == f"H {PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "style='color:red; display : none'", "aria-hidden=true", "class=text hidden"])
+def test_html_hidden_elements(attributes):
+    assert htmltext.main_text(f"<body><div>{ARTICLE}</div><div {attributes}><p>{PROSE} Unseen.</p></div></body>") == f"H {PROSE} {PROSE}"
+
+
+def test_html_lists_of_links_in_the_article():
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Link {k}</a>" for k in range(4)) + "</ul>"
+    want = "Link 0 Link 1 Link 2 Link 3"
+    assert htmltext.main_text(f"<article><p>{PROSE}</p>{links}</article>{links}") == f"{PROSE} {want}"
+    assert htmltext.main_text(f"<div>{links}</div><div><p>{PROSE}</p>{links}<p>{PROSE}</p></div>{links}") == f"{PROSE} {want} {PROSE}"
+    assert htmltext.main_text(f"<article><p>{PROSE}</p><nav>{links}</nav><p>{PROSE}</p></article>") == f"{PROSE} {PROSE}"
+
+
 def test_html_math_and_object():
     page = f"<article><p>{PROSE} If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds, <object>a map</object> shows it.</p></article>"
     assert htmltext.main_text(page) == f"{PROSE} If x=2 holds, a map shows it."
