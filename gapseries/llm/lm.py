@@ -9,8 +9,10 @@ by one level with the filter's error rate (about 6 % at ``BITS`` bits and
 ``PROBES`` probes an entry).
 
 The model interpolates words and pairs: P(w | v) = A * min(1, c(v w) / c(v)) +
-(1 - A) * (c(w) + 0.1) / (N + 0.1 * (V + 1)), all counts from the filter. Texts
-start with a start mark (context only) and end with an end token.
+(1 - A) * P(w), and P(w | v) = P(w) after a word not seen in training; P(w) =
+(c(w) + 0.1) / Z. All counts are the filter's, and Z is the sum of c(w) + 0.1
+over the vocabulary, the end token and one unknown word, so that P(w) adds up to
+1. Texts start with a start mark (context only) and end with an end token.
 
 Building: every task sorts and counts the pair keys of some millions of words
 at a time and emits them packed by key range; one task a range merges them and
@@ -21,7 +23,8 @@ broadcast in slices of at most ``max_filter_bytes``. Words in one slice are
 looked up while scoring; of more, a pass per slice writes the levels of the
 words that fall in it (one byte a token) before any score is made. A scoring
 pass per slice of the pairs scores the words whose pair falls in it, and the
-passes add up. Nothing is pruned.
+passes add up. One slice of the pairs is read, broadcast, used and destroyed
+before the next. Nothing is pruned.
 
 The base score needs exact word counts. The ``HEAD`` most frequent words (of
 at most ``HEAD_BYTES`` bytes) are broadcast with their counts; the others, none
@@ -159,8 +162,8 @@ def pack(keys: np.ndarray, counts: np.ndarray | None, range_bits: int) -> list:
     return columns
 
 
-def segments(packed: DataFrame) -> DataFrame:
-    """Merge packed keys and build each range's segment."""
+def segments(packed: DataFrame, entry_bits: int = BITS) -> DataFrame:
+    """Merge packed keys and build each range's segment of ``entry_bits`` bits an entry."""
     def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [], []
         for batch in batches:
@@ -170,7 +173,7 @@ def segments(packed: DataFrame) -> DataFrame:
         low, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
         level = levels(total)
-        bits = min(max(64, int(level.sum()) * BITS), (1 << 32) - 1)
+        bits = min(max(64, int(level.sum()) * entry_bits), (1 << 32) - 1)
         out = np.zeros((bits + 7) // 8 * 8, bool)
         low = low.astype(np.uint64)
         for at in range(1, int(level.max()) + 1):
@@ -245,16 +248,29 @@ def packed_words(vocabulary: DataFrame, range_bits: int) -> DataFrame:
     return vocabulary.select("word", "c").mapInArrow(arrow_rows(run, PACKED), PACKED)
 
 
-def word_levels(rows: DataFrame, filters: Iterator[Filter]) -> DataFrame:
-    """``rows(_row, .., _text)`` with ``_levels``: per filter the levels of the text's words, 0 for those in another one.
+def held_words(vocabulary: DataFrame, shared) -> float:
+    """Sum of the counts that a broadcast filter gives the words of the vocabulary in its slice."""
+    schema = T.StructType([T.StructField("total", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            keys = word_keys(hashes([w.encode() for w in batch.column(0).to_pylist()]))
+            yield [[float(shared.value.counts(keys[shared.value.has(keys)]).sum())]]
+    return vocabulary.select("word").mapInArrow(arrow_rows(run, schema), schema).agg(F.coalesce(F.sum("total"), F.lit(0.0))).first()[0]
+
+
+def word_levels(rows: DataFrame, vocabulary: DataFrame, filters: Iterator[Filter]) -> tuple[DataFrame, float]:
+    """``rows(_row, .., _text)`` with ``_levels``: per filter the levels of the text's words, 0 for those in another one;
+    and the sum of the counts that the filters give the vocabulary.
 
     One filter is broadcast at a time.
     """
     spark = rows.sparkSession
     schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_levels", T.BinaryType())])
-    parts = []
+    parts, total = [], 0.0
     for one in filters:
         shared = spark.sparkContext.broadcast(one)
+        total += held_words(vocabulary, shared)
 
         def run(batches, shared=shared):
             for batch in pieces(batches, limit=2 << 20):
@@ -269,7 +285,7 @@ def word_levels(rows: DataFrame, filters: Iterator[Filter]) -> DataFrame:
         parts.append(materialise(rows.select("_row", "_text").mapInArrow(arrow_rows(run, schema), schema), "levels"))
         shared.destroy()
     every = reduce(DataFrame.unionByName, parts).groupBy("_row").agg(F.collect_list("_levels").alias("_levels"))
-    return rows.join(every, "_row")
+    return rows.join(every, "_row"), total
 
 
 def _range_bits(keys: int) -> int:
@@ -277,7 +293,7 @@ def _range_bits(keys: int) -> int:
 
 
 def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: str = "text",
-          max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+          max_filter_bytes: int = MAX_FILTER_BYTES, entry_bits: int = BITS) -> DataFrame:
     """Scores of every row of ``docs``, learning from the rows where ``learn`` holds.
 
     Returns ``(id, learned, n_tokens, n_known, train_tokens, base_score, score)``:
@@ -302,20 +318,22 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
     head = spark.sparkContext.broadcast({r["word"].encode(): float(np.log10((r["c"] + ALPHA) / norm)) for r in head_rows})
     end_log = float(np.log10((ends + ALPHA) / norm))
     word_bits = _range_bits(distinct)
-    word_segments = materialise(segments(packed_words(vocabulary, word_bits)), "words", "uncompressed")
+    word_segments = materialise(segments(packed_words(vocabulary, word_bits), entry_bits), "words", "uncompressed")
     word_filters = slices(word_segments, word_bits, max_filter_bytes)
     whole = size_of(word_segments) <= max_filter_bytes
     if whole:
         word_filter = spark.sparkContext.broadcast(next(word_filters))
+        mass = held_words(vocabulary, word_filter)
         rows = rows.withColumn("_levels", F.lit(None).cast("array<binary>"))
     else:
         word_filter = None
-        rows = materialise(word_levels(materialise(rows, "texts"), word_filters), "texts")
-    pair_bits = _range_bits(total)
-    pairs = materialise(segments(pair_counts(texts, pair_bits)), "segments", "uncompressed")
-    filters = [spark.sparkContext.broadcast(f) for f in slices(pairs, pair_bits, max_filter_bytes)]
-    if len(filters) > 1 and whole:
+        rows, mass = word_levels(materialise(rows, "texts"), vocabulary, word_filters)
         rows = materialise(rows, "texts")
+    mass += ends + ALPHA * (distinct + 1)
+    pair_bits = _range_bits(total)
+    pairs = materialise(segments(pair_counts(texts, pair_bits), entry_bits), "segments", "uncompressed")
+    if whole and size_of(pairs) > max_filter_bytes:
+        rows = materialise(rows, "texts")               # read by every pass
     first = T.StructType([
         T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("learned", T.BooleanType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()),
@@ -330,7 +348,8 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
         before, after = c[:-1][mine], c[1:][mine]
         pair = np.minimum(pair_filter.counts(keys[mine]), before)
         ratio = np.divide(pair, before, out=np.zeros(len(pair)), where=before > 0)
-        out[mine] = np.log10(WEIGHT * ratio + (1 - WEIGHT) * (after + ALPHA) / norm)
+        weight = np.where(before > 0, WEIGHT, 0.0)      # a word not seen before says nothing of the next
+        out[mine] = np.log10(weight * ratio + (1 - weight) * (after + ALPHA) / mass)
         return out
 
     def scored(batches, pair_filter, bases: bool):
@@ -372,15 +391,22 @@ def score(docs: DataFrame, learn: F.Column, id_col: str = "doc_id", text_col: st
                                             pa.array(times, pa.int64())], ["word", "n"]))
             yield [batch.column(0), batch.column(1), batch.column(2), sizes + 1, seen, base, totals, tail]
     # one pass for the first slice and the base scores, one for each further slice
-    own = materialise(rows.mapInArrow(arrow_rows(lambda b, f=filters[0]: scored(b, f, True), first), first), "scores")
+    own, further = None, []
+    for pair_filter in slices(pairs, pair_bits, max_filter_bytes):
+        shared = spark.sparkContext.broadcast(pair_filter)
+        if own is None:
+            own = materialise(rows.mapInArrow(arrow_rows(lambda b, f=shared: scored(b, f, True), first), first), "scores")
+        else:
+            further.append(materialise(rows.mapInArrow(arrow_rows(lambda b, f=shared: scored(b, f, False), later), later), "scores"))
+        shared.destroy()
     z = F.lit(float(norm))
     rest = (own.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(vocabulary, "word", "left")
             .groupBy("row").agg(F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + ALPHA) / z)).alias("rest"),
                                 F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("found")))
     out = own.drop("tail").join(rest, "row", "left")
-    for f in filters[1:]:
-        more = rows.mapInArrow(arrow_rows(lambda b, f=f: scored(b, f, False), later), later)
-        out = out.join(more, "row").withColumn("score", F.col("score") + F.col("more")).drop("more")
+    if further:
+        more = reduce(DataFrame.unionByName, further).groupBy("row").agg(F.sum("more").alias("more"))
+        out = out.join(more, "row").withColumn("score", F.col("score") + F.col("more"))
     return out.select(F.col("id").alias(id_col), "learned", "n_tokens",
                       (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
                       (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")

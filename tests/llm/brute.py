@@ -140,3 +140,30 @@ def base_scores(docs):
         out.append((i, len(counts), sum(c > 0 for c in counts), total,
                     sum(math.log10((c + 0.1) / (total + 0.1 * (distinct + 1))) for c in counts)))
     return out
+
+
+def pair_scores(rows, learned, weight, alpha):
+    """Scores by id of the interpolated model with counts at the middle of their power of two; and the mass of its words."""
+    from collections import Counter
+    split = lambda t: (t or "").encode().lower().split()
+    middle = lambda c: (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0.0
+    words, pairs = Counter(), Counter()
+    for _, text in learned:
+        own = split(text)
+        words.update(own)
+        pairs.update(zip(["<"] + own, own + [">"]))
+    edge = {"<": float(len(learned)), ">": float(len(learned))}
+    count = lambda w: edge[w] if isinstance(w, str) else middle(words[w])
+    z = sum(map(count, words)) + len(learned) + alpha * (len(words) + 2)
+    mass = (sum(count(w) + alpha for w in words) + len(learned) + alpha + alpha) / z
+    out = {}
+    for i, text in rows:
+        own = split(text)
+        total = 0.0
+        for v, w in zip(["<"] + own, own + [">"]):
+            plain = (count(w) + alpha) / z
+            before = count(v)
+            share = min(middle(pairs[v, w]), before) / before if before else 0.0
+            total += math.log10(weight * share + (1 - weight) * plain if before else plain)
+        out[i] = total
+    return out, mass

@@ -205,6 +205,36 @@ def test_lm_scores_do_not_depend_on_the_filter_bound(spark, monkeypatch):
         assert a[:3] == b[:3] and math.isclose(a[4], b[4], rel_tol=1e-9, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("limit", [1 << 30, 1 << 14])
+def test_lm_score_of_exact_counts(spark, monkeypatch, limit):
+    """With a filter too large to err, scores are those of a plain loop over quantised counts, sliced or whole."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).select("doc_id", "text").unionByName(
+        spark.createDataFrame([(None, None), (-1, ""), (-2, "never seen zzqx"), (-3, "zzqx the zzqx")], "doc_id long, text string"))
+    monkeypatch.setattr(lm, "RANGE_KEYS", 1 << 12)
+    learn = F.col("doc_id").isNotNull() & (F.col("doc_id") >= 0)
+    got = {r.doc_id: r.score for r in lm.score(docs, learn, max_filter_bytes=limit, entry_bits=1000).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, mass = brute.pair_scores(rows, [r for r in rows if r[0] is not None and r[0] >= 0], lm.WEIGHT, lm.ALPHA)
+    assert abs(mass - 1) < 1e-9                     # of all words after an unseen one
+    for doc_id, score in want.items():
+        assert math.isclose(got[doc_id], score, rel_tol=1e-9, abs_tol=1e-9), doc_id
+
+
+def test_lm_mass_after_an_unseen_word(spark):
+    """The probabilities of all tokens after an unseen word add up to 1, read off the scores (of a filter too large to err)."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40).select("doc_id", "text")
+    known = sorted({w for r in docs.collect() for w in lm.words(r.text)})
+    odd = [w.decode() for w in known] + ["zzqy"]
+    probes = spark.createDataFrame([(-1 - i, f"zzqx {w} zzqx") for i, w in enumerate(odd)] + [(-10**9, "zzqx"), (-10**9 - 1, "zzqx zzqx")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score(docs.unionByName(probes), F.col("doc_id") >= 0, entry_bits=1000).collect()}
+    first = got[-10**9]                             # of the unseen word and the end after it
+    unseen = got[-10**9 - 1] - first                # of an unseen word after one
+    # "zzqx w zzqx" is, beside ``first``, w after an unseen word and an unseen word after w, whose pair term is 0
+    after = [got[-1 - i] - first - unseen - (np.log10(1 - lm.WEIGHT) if w != "zzqy" else 0) for i, w in enumerate(odd)]
+    ends = 40 / 10 ** -unseen                       # not read off: 40 ends against one unseen word's share
+    assert abs(sum(10 ** x for x in after) + ends / lm.ALPHA + 10 ** unseen - 1) < 1e-3
+
+
 def test_sharding(docs):
     got = sharding.shard(docs).toPandas()
     assert len(got) == docs.count()
