@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from gapseries.plans.q_quality import REPORTS, _report
 from gapseries.plans.registry import register
 from gapseries.plans.sqlviews import BLOCKS, RAW_BLOCKS, with_
-from gapseries.session import scratch_path
+from gapseries.session import cut_lineage, scratch_path
+from gapseries.sinks import compaction as C
+from gapseries.sinks import deltas as X
 from gapseries.sinks import writers as W
 from gapseries.sources import decoders as D
 from gapseries.sources import driver
@@ -74,3 +76,44 @@ def hourly_compaction(spark, sf_dir):
             .option("header", True).csv(os.path.join(base, "csv")))
     return back.groupBy(F.to_date("timestamp").alias("date")).agg(
         F.count(F.lit(1)).alias("blocks"), F.sum("transaction_count").cast("bigint").alias("tx"))
+
+
+@register("delta_upsert", "SNK-2 SNK-8", sql=with_(RAW_BLOCKS) + """,
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY number ORDER BY _ingest_seq DESC) AS _rn FROM raw_blocks) t
+           WHERE _rn = 1)
+SELECT stage, strftime("timestamp", '%Y%m%d') AS day, count(*) AS blocks, CAST(sum(gas_used) AS BIGINT) AS gas_used,
+       CAST(sum(number) AS BIGINT) AS numbers
+FROM newest, (VALUES ('laid over'), ('merged')) s(stage) GROUP BY 1, 2""")
+def delta_upsert(spark, sf_dir):
+    """First versions as base, the revisions flushed as three deltas (one delivered twice): the table read with its deltas
+    laid over, and again after they were merged."""
+    path = os.path.join(_scratch(spark, "deltas"), "table")
+    raw = driver.raw_blocks(spark, sf_dir)
+    W.write_blocks(raw.filter(F.col("_ingest_seq") == 1), os.path.join(path, "base"), mode="overwrite")
+    later = raw.filter(F.col("_ingest_seq") > 1)
+    for k in (0, 1, 2, 1):
+        X.append_delta(spark, path, later.filter(F.pmod(F.xxhash64("number"), F.lit(3)) == k), f"flush-{k}")
+
+    def days(stage):
+        return X.read_merged(spark, path).groupBy(F.date_format("timestamp", "yyyyMMdd").alias("day")).agg(
+            F.count(F.lit(1)).alias("blocks"), F.sum("gas_used").cast("bigint").alias("gas_used"),
+            F.sum("number").cast("bigint").alias("numbers")).select(F.lit(stage).alias("stage"), "day", "blocks", "gas_used", "numbers")
+    before = cut_lineage(days("laid over"))         # the merge removes what it reads
+    X.merge_deltas(spark, path)
+    return before.unionByName(days("merged"))
+
+
+@register("size_compaction", "SNK-12", sql=with_(BLOCKS) + """
+SELECT strftime("timestamp", '%Y%m%d') AS day, count(*) AS blocks, CAST(sum(gas_used) AS BIGINT) AS gas_used, 1 AS files
+FROM blocks GROUP BY 1""")
+def size_compaction(spark, sf_dir):
+    """Daily partitions written by four loads, packed by file size: rows and files of each day afterwards (a day is far below
+    the target, so one file each)."""
+    path = os.path.join(_scratch(spark, "packed"), "table")
+    blocks = driver.blocks(spark, sf_dir).drop("year_month")
+    for k in range(4):
+        W.write_blocks(blocks.filter(F.pmod(F.col("number"), F.lit(4)) == k), path, part_col="day")
+    C.compact_files(spark, path, "number")
+    table = W.read_table(spark, path, part_col="day").select("day", "gas_used", F.col("_metadata.file_path").alias("file"))
+    return table.groupBy("day").agg(F.count(F.lit(1)).alias("blocks"), F.sum("gas_used").cast("bigint").alias("gas_used"),
+                                    F.count_distinct("file").cast("int").alias("files"))
