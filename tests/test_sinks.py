@@ -147,3 +147,35 @@ def test_report_messages_may_hold_quotes(spark):
     b = driver.blocks(spark, SF001)
     rows = Q.report(b, [Q.custom_rule("c", F.col("size") > 0, "it can't be \\ \"empty\"")], "2024-01-31", "x").collect()
     assert [r.message for r in rows] == ["it can't be \\ \"empty\""]
+
+
+def test_prefilter_loses_no_stored_key(spark):
+    """Every stored key may be stored; few new ones may; a saturated filter only sends more rows to the exact join."""
+    from gapseries.operators.prefilter import split_known
+    stored = spark.range(0, 40_000, 2).select("id", F.concat(F.lit("k"), F.col("id")).alias("name"))
+    rows = spark.range(0, 40_000).select("id", F.concat(F.lit("k"), F.col("id")).alias("name"), F.lit(1).alias("v"))
+    for keys in (["id"], ["id", "name"], ["name"]):
+        new, maybe = split_known(rows, stored, keys, 20_000)
+        assert new.where("id % 2 = 0").count() == 0 and maybe.where("id % 2 = 0").count() == 20_000
+        assert maybe.where("id % 2 = 1").count() < 600 and new.count() + maybe.count() == 40_000
+        assert new.columns == maybe.columns == rows.columns
+    full = split_known(rows, stored, ["id"], 20_000, max_bytes=1)          # one page
+    assert full[0].where("id % 2 = 0").count() == 0 and full[1].count() > 25_000
+    none = split_known(rows, stored.limit(0), ["id"], 0)
+    assert (none[0].count(), none[1].count()) == (40_000, 0)
+
+
+def test_append_new_whatever_the_filter(spark):
+    """Stored, new, repeated and null-sequence rows: the same table with a saturated filter; a second run adds nothing."""
+    raw = driver.raw_blocks(spark, SF001)
+    first = raw.filter((F.col("number") % 3 == 0) & (F.col("_ingest_seq") == 1))
+    tables = []
+    for size in (1, 1 << 20):
+        path = os.path.join(tempfile.mkdtemp(prefix="gs-ign-"), "blocks")
+        W.write_blocks(first, path, mode="overwrite")
+        for _ in range(2):
+            W.append_new(spark, path, raw, max_filter_bytes=size)
+        tables.append(sorted((r.number, r.gas_used, r._ingest_seq) for r in W.read_table(spark, path).collect()))
+    numbers = [r[0] for r in tables[0]]
+    assert tables[0] == tables[1] and len(numbers) == len(set(numbers)) == raw.select("number").distinct().count()
+    assert {r[2] for r in tables[0]} == {1}
