@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gapseries.plans.q_quality import REPORTS, _report
 from gapseries.plans.registry import register
-from gapseries.plans.sqlviews import BLOCKS, RAW_BLOCKS, with_
+from gapseries.plans.sqlviews import BLOCKS, RAW_BLOCKS, SOURCES, with_
 from gapseries.session import cut_lineage, scratch_path
 from gapseries.sinks import compaction as C
 from gapseries.sinks import deltas as X
@@ -117,3 +117,19 @@ def size_compaction(spark, sf_dir):
     table = W.read_table(spark, path, part_col="day").select("day", "gas_used", F.col("_metadata.file_path").alias("file"))
     return table.groupBy("day").agg(F.count(F.lit(1)).alias("blocks"), F.sum("gas_used").cast("bigint").alias("gas_used"),
                                     F.count_distinct("file").cast("int").alias("files"))
+
+
+@register("append_ignore", "SNK-3 JN-12", sql=with_(SOURCES) + """
+SELECT strftime("timestamp", '%Y%m%d') AS day, count(*) AS blocks, CAST(sum(gas_used) AS BIGINT) AS gas_used,
+       CAST(sum(number) AS BIGINT) AS numbers
+FROM (SELECT "timestamp", gas_used, number FROM src_primary UNION ALL
+      SELECT "timestamp", gas_used, number FROM src_backfill b WHERE NOT EXISTS (SELECT 1 FROM src_primary a WHERE a.number = b.number)) t
+GROUP BY 1""")
+def append_ignore(spark, sf_dir):
+    """The first source stored, the second appended where its keys are new, twice (the second time nothing is)."""
+    path = os.path.join(_scratch(spark, "append"), "table")
+    W.write_blocks(driver.source_blocks(spark, sf_dir, "primary"), path, mode="overwrite")
+    for _ in range(2):
+        W.append_new(spark, path, driver.source_blocks(spark, sf_dir, "backfill"))
+    return W.read_table(spark, path).groupBy(F.date_format("timestamp", "yyyyMMdd").alias("day")).agg(
+        F.count(F.lit(1)).alias("blocks"), F.sum("gas_used").cast("bigint").alias("gas_used"), F.sum("number").cast("bigint").alias("numbers"))
