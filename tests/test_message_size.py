@@ -41,3 +41,7 @@ def _dealt(spark, name):
 
 def test_builder_tags_is_dealt(spark):
     assert _dealt(spark, "builder_tags")
+
+
+def test_wide_hex_round_trip_is_dealt(spark):
+    assert _dealt(spark, "wide_hex_round_trip")
