@@ -45,3 +45,7 @@ def test_builder_tags_is_dealt(spark):
 
 def test_wide_hex_round_trip_is_dealt(spark):
     assert _dealt(spark, "wide_hex_round_trip")
+
+
+def test_ingest_quarantine_is_dealt(spark):
+    assert _dealt(spark, "ingest_quarantine")
