@@ -17,6 +17,13 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_filter_on_decoded_values_does_not_parse_again(spark):
+    rows = spark.createDataFrame([("{}",), ("{broken",), (None,)], "json string")
+    decoded = D.decode_blocks(rows)
+    assert _plan(decoded.filter("_valid")).count("from_json(") == 1
+    assert decoded.count() == 3 and decoded.filter("_valid").count() == 0
+
+
 def test_messages_hold_the_same_list(spark):
     blocks = driver.raw_blocks(spark, SF001)
     listed = F.from_json("json", D.RPC_MESSAGE)["result"]["transactions"]
