@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from gapseries.functions import hexcodec as H
 from gapseries.plans import registry
+from gapseries.session import ensure_checkpoint_dir
 from gapseries.sources import decoders as D
 from gapseries.sources import driver
+from gapseries.streaming import ingest
 
 from conftest import SF001
 
@@ -56,3 +58,27 @@ def test_wide_hex_round_trip_is_dealt(spark):
 
 def test_ingest_quarantine_is_dealt(spark):
     assert _dealt(spark, "ingest_quarantine")
+
+
+def test_only_malformed_messages_keep_their_text(spark, tmp_path):
+    good = D.encode_blocks(driver.raw_blocks(spark, SF001).limit(1))
+    good.unionByName(spark.createDataFrame([("{broken",)], "json string")).write.text(str(tmp_path / "in"))
+    kept = ingest.stored_columns(ingest.block_stream(spark, str(tmp_path / "in")))
+    q = kept.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = {r["_valid"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert rows[True]["json"] is None and rows[True]["row_hash"] is not None and rows[False]["json"] == "{broken"
+    assert "withdrawals" not in kept.columns
+
+
+def _landed(spark, name):
+    shared = ensure_checkpoint_dir(spark)
+    before = set(os.listdir(shared))
+    registry.plans()[name](spark, SF001)
+    return [f for d in set(os.listdir(shared)) - before for f in glob.glob(os.path.join(shared, d, "landed", "part-*"))]
+
+
+def test_stream_ingest_lands_little(spark):
+    files = _landed(spark, "stream_ingest")
+    assert sum(f.endswith(".txt.gz") for f in files) > 1
