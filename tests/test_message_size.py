@@ -82,3 +82,7 @@ def _landed(spark, name):
 def test_stream_ingest_lands_little(spark):
     files = _landed(spark, "stream_ingest")
     assert sum(f.endswith(".txt.gz") for f in files) > 1
+
+
+def test_ingest_bad_messages_lands_little(spark):
+    assert any(f.endswith(".txt.gz") for f in _landed(spark, "ingest_bad_messages"))
