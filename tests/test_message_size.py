@@ -86,3 +86,8 @@ def test_stream_ingest_lands_little(spark):
 
 def test_ingest_bad_messages_lands_little(spark):
     assert any(f.endswith(".txt.gz") for f in _landed(spark, "ingest_bad_messages"))
+
+
+def test_stream_interval_flush_lands_little(spark):
+    files = _landed(spark, "stream_interval_flush")
+    assert files and all(f.endswith(".txt.gz") for f in files)
