@@ -91,3 +91,8 @@ def test_ingest_bad_messages_lands_little(spark):
 def test_stream_interval_flush_lands_little(spark):
     files = _landed(spark, "stream_interval_flush")
     assert files and all(f.endswith(".txt.gz") for f in files)
+
+
+def test_ingest_revisions_lands_in_several_files(spark):
+    files = _landed(spark, "ingest_revisions")
+    assert len(files) > 1 and all(f.endswith(".txt.gz") for f in files)
