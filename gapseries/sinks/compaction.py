@@ -86,7 +86,8 @@ def compact_files(spark: SparkSession, path: str, sort_by: str | Sequence[str] =
         rows = spark.read.parquet(*[f"{row['folder']}/{n}" for n in names])
         columns = rows.columns
         packed = (rows.select("*", F.col("_metadata.file_name").alias("_from_file"))
-                  .join(own.select(F.col("file").alias("_from_file"), F.col("pack").cast("int").alias("_pack")), "_from_file")
+                  # the listing is sent to the tasks; left to choose, Spark sends the rows of a small folder through the driver
+                  .join(F.broadcast(own.select(F.col("file").alias("_from_file"), F.col("pack").cast("int").alias("_pack"))), "_from_file")
                   .repartitionById(int(row["packs"]), "_pack").select(*columns))
         (packed.sortWithinPartitions(*sort_by) if sort_by else packed).write.parquet(f"{new}/files")
         out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{new}/ready.part"), True)
