@@ -16,9 +16,10 @@ Events of a bucket, per micro-batch:
 :func:`open_gaps` reduces the events to the gaps still open, and finds those
 between buckets from the edges: a step over one row per bucket.
 
-Staleness (the dead-man timer) is a processor of its own, over one row per
-chain and task: :func:`stale_events` by the wall clock, :func:`silent_events`
-by the time of the events themselves, which gives the same events in a replay.
+Staleness (the dead-man timer) is a query of its own: :func:`stale_events`, a
+processor over one row per chain and task, by the wall clock;
+:func:`silent_events`, by session windows, by the time of the events
+themselves, which gives the same events in a replay.
 """
 
 from __future__ import annotations
@@ -35,7 +36,6 @@ from gapseries.operators.ordered import exclusive_scan
 
 OUTPUT_SCHEMA = ("chain string, bucket long, event string, gap_start long, gap_end long, gap_size long, "
                  "handling string, at_ms long")
-SILENT_SCHEMA = "chain string, number long, at timestamp"
 HEARTBEAT = ""                  # chain of rows that only tell how late it is
 STALE_SCHEMA = "chain string, event string, number long, at_ms long"
 WIDTH = 1 << 16
@@ -183,69 +183,29 @@ def stale_events(stream: DataFrame, chain_col: str = "chain", stale_after_s: int
         statefulProcessor=StaleTimer(stale_after_s), outputStructType=STALE_SCHEMA, outputMode="Append", timeMode="ProcessingTime")
 
 
-class SilenceTimer(StatefulProcessor):
-    def __init__(self, stale_after_s: int):
-        self.stale_us = stale_after_s * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "at long, number long, told boolean")
-
-    def _event(self, chain: str, at: int, number: int) -> pd.DataFrame:
-        return pd.DataFrame({"chain": [chain], "number": [number], "at": pd.to_datetime([at + self.stale_us], unit="us", utc=True)})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[0] == HEARTBEAT:
-            return
-        spans = sorted((a, b, n) for pdf in rows for a, b, n in zip(pdf["first_us"].tolist(), pdf["last_us"].tolist(), pdf["number"].tolist()))
-        at, number, told = self.last.get() if self.last.exists() else (None, None, False)
-        for first, last, n in spans:
-            if at is not None and first - at > self.stale_us and not told:
-                yield self._event(key[0], at, number)
-            if at is None or (last, n) >= (at, number):
-                at, number, told = last, n, False
-        self.last.update((at, number, told))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if not told:
-            self.handle.registerTimer((at + self.stale_us) // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at, number, told = self.last.get()
-        if not told:
-            self.last.update((at, number, True))
-            yield self._event(key[0], at, number)
-
-    def close(self) -> None:
-        pass
-
-
-def _spans(stale_us: int):
-    """Spans of rows without a silence between them, ahead of the shuffle."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf = pdf.sort_values(["chain", "us", "number"], kind="stable")
-            new = (pdf["chain"] != pdf["chain"].shift()) | (pdf["us"] - pdf["us"].shift() > stale_us)
-            if len(pdf):
-                yield pdf.groupby(new.cumsum()).agg(chain=("chain", "first"), first_us=("us", "first"), last_us=("us", "last"),
-                                                    number=("number", "last"))
-    return run
-
-
 def silent_events(stream: DataFrame, chain_col: str = "chain", ts: str = "timestamp", stale_after_s: int = 960, delay: str = "0 seconds") -> DataFrame:
     """STR-6 on event time: one row per silence of more than ``stale_after_s`` seconds, ``at`` the time it was due.
 
     Time is the stream's watermark (the newest event of any chain less
-    ``delay``), so a replay gives the same rows. A silence that ends within
-    the rows at hand is told from them, one that goes on by a timer, each once.
-    Rows of chain :data:`HEARTBEAT` move the time on and are no chain. Events
-    must not arrive out of order by more than ``delay``. Rows without a time
-    are ignored, a missing number counts as 0.
+    ``delay``), so a replay gives the same rows. A chain's events without a
+    silence between them are a session; it ends ``stale_after_s`` after its
+    last event and is told once time has passed that end, by a millisecond at
+    least, as a watermark has no smaller steps. State and output are kept and
+    merged by Spark; each task sends one row per session to the shuffle. Rows
+    of chain :data:`HEARTBEAT` move the time on and are no chain. Events must
+    not arrive out of order by more than ``delay``. Rows without a time are
+    ignored, a missing number counts as 0. Sets the session's state store
+    provider and lets tasks merge sessions, for queries started afterwards.
     """
-    _by_value()
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    s = (stream.filter(F.col(ts).isNotNull()).withWatermark(ts, delay)
-         .select(F.col(chain_col).alias("chain"), F.unix_micros(F.col(ts)).alias("us"), F.coalesce(F.col("number").cast("bigint"), F.lit(0)).alias("number"))
-         .mapInPandas(_spans(stale_after_s * 1_000_000), "chain string, first_us long, last_us long, number long"))
-    return s.groupBy("chain").transformWithStateInPandas(
-        statefulProcessor=SilenceTimer(stale_after_s), outputStructType=SILENT_SCHEMA, outputMode="Append", timeMode="EventTime")
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    # a session that ends with the newest event is not silent yet: a watermark a millisecond behind has not reached its end
+    s = (stream.filter(F.col(ts).isNotNull())
+         .select(F.col(chain_col).cast("string").alias("chain"), F.col(ts).alias("due"), F.coalesce(F.col("number").cast("bigint"), F.lit(0)).alias("number"))
+         .withWatermark("due", f"{delay} 1 millisecond"))
+    ended = s.groupBy("chain", F.session_window("due", f"{stale_after_s} seconds").alias("session")).agg(
+        F.max(F.struct("due", "number")).alias("last"),
+        # not a filter on the key: Spark would move it ahead of the watermark, which the heartbeats must reach
+        F.count_if(F.coalesce(F.col("chain") != HEARTBEAT, F.lit(True))).alias("events"))
+    return ended.filter("events > 0").select("chain", F.col("last.number").alias("number"), F.col("session.end").alias("at"))

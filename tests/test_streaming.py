@@ -210,3 +210,33 @@ def test_silences_are_told_once(spark):
     deliver([(gap_state.HEARTBEAT, None, 1700)])
     deliver([("a", 3, 1800), ("b", 5, 1810), (gap_state.HEARTBEAT, None, 1820)])
     assert [e for e in events() if e[0] in ("a", "b")] == [("a", 1, 1100), ("a", 2, 1400), ("b", 3, 1280), ("b", 4, 1600)]
+
+
+def test_silences_are_found_by_spark(spark, capsys):
+    """Session windows: no Python call per chain, ends exact, rows late by up to the delay counted, the heartbeat no chain."""
+    base = tempfile.mkdtemp(prefix="gs-silent-")
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "out", "ckpt"))
+    schema = "chain string, number long, timestamp timestamp"
+
+    def deliver(rows):
+        (spark.createDataFrame(rows, "chain string, number long, s double").select("chain", "number", F.timestamp_micros((F.col("s") * 1e6).cast("long")).alias("timestamp"))
+         .repartition(3).write.mode("append").parquet(src))
+        q = (gap_state.silent_events(spark.readStream.schema(schema).parquet(src), stale_after_s=100, delay="50 seconds").writeStream
+             .format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
+
+    def events():
+        return sorted((r.chain or "-", r.number, r.s) for r in spark.read.parquet(out).select("chain", "number", (F.unix_micros("at") / 1e6).alias("s")).collect())
+    capsys.readouterr()
+    deliver([("a", 1, 1000.0), ("b", 1, 1200.0), ("c", None, 1000.0), (None, 3, 1000.25), (None, 4, 1100.25)]).explain()
+    plan = capsys.readouterr().out
+    assert "SessionWindow" in plan and "Python" not in plan and "Pandas" not in plan
+    first = [("a", 1, 1100.0), ("c", 0, 1100.0)]
+    assert events() == first
+    deliver([("a", 2, 1160.0), (gap_state.HEARTBEAT, None, 1250.25)])       # 40 s late; the null chain's end is not passed yet
+    assert events() == first
+    deliver([(gap_state.HEARTBEAT, None, 1250.252)])
+    assert events() == [("-", 4, 1200.25), *first]
+    deliver([(gap_state.HEARTBEAT, None, 1320.0)])
+    assert events() == [("-", 4, 1200.25), ("a", 1, 1100.0), ("a", 2, 1260.0), ("c", 0, 1100.0)]
