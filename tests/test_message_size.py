@@ -96,3 +96,22 @@ def test_stream_interval_flush_lands_little(spark):
 def test_ingest_revisions_lands_in_several_files(spark):
     files = _landed(spark, "ingest_revisions")
     assert len(files) > 1 and all(f.endswith(".txt.gz") for f in files)
+
+
+def test_hash_lists_by_columns_of_digits():
+    """The lists of one table of digits: carries, numbers without leading zeros, negative numbers, whatever came before."""
+    tables = {}
+    for lo, n in ((1, 20), (600_000_000_001, 90_000), (65_530, 10), (1, 70_000), (100_001, 7), (-99_999, 150_000), (0xfffff0, 40), (65_536, 1)):
+        wanted = ",".join(f'"{i & (1 << 64) - 1:#x}"' for i in range(lo, lo + n))
+        assert b"".join(bytes(t) for t in D._hashes(lo, lo + n - 1, tables)).decode() == wanted
+
+
+def test_long_messages_are_handed_on_a_few_at_a_time():
+    import pyarrow as pa
+    n, size = 40, 50_000
+    batch = pa.record_batch([pa.array(['{"transactions":[]}}'] * n), pa.array([1_000_001] * (n - 1) + [None], pa.int64()),
+                             pa.array([1_000_000 + size] * (n - 1) + [None], pa.int64())], ["json", "lo", "hi"])
+    out = list(D.write_lists(iter([batch])))
+    assert len(out) > 1 and sum(b.num_rows for b in out) == n and all(b.nbytes < D.HELD + size * 16 for b in out)
+    texts = [t for b in out for t in b.column(0).to_pylist()]
+    assert texts[-1] == '{"transactions":[]}}' and all(t.count('"0x') == size and t.endswith('"]}}') for t in texts[:-1])
