@@ -115,3 +115,15 @@ def test_long_messages_are_handed_on_a_few_at_a_time():
     assert len(out) > 1 and sum(b.num_rows for b in out) == n and all(b.nbytes < D.HELD + size * 16 for b in out)
     texts = [t for b in out for t in b.column(0).to_pylist()]
     assert texts[-1] == '{"transactions":[]}}' and all(t.count('"0x') == size and t.endswith('"]}}') for t in texts[:-1])
+
+
+def test_a_landed_message_is_parsed_once(spark, tmp_path):
+    """The JSON-RPC id comes from the parse of the message; one that is text, or no number, leaves the block valid."""
+    D.encode_blocks(driver.raw_blocks(spark, SF001).limit(1)).write.text(str(tmp_path / "in"))
+    stream = ingest.block_stream(spark, str(tmp_path / "in"))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "get_json_object" not in plan and plan.count("from_json(") == 1
+    good = '{"id":%s,"result":{"number":"0x5","timestamp":"0x5","gasLimit":"0x1","gasUsed":"0x1","size":"0x2","transactions":[{"a":[1]},"b",null]}}'
+    rows = spark.createDataFrame([(good % i,) for i in ("7", '"8"', '"x"', "null", '{"a":1}')], "json string")
+    got = D.decode_blocks(rows, keep_raw=True, message_col="_message").collect()
+    assert [r._message for r in got] == [7, 8, None, None, None] and all(r._valid and r.transaction_count == 3 for r in got)
