@@ -127,3 +127,11 @@ def test_a_landed_message_is_parsed_once(spark, tmp_path):
     rows = spark.createDataFrame([(good % i,) for i in ("7", '"8"', '"x"', "null", '{"a":1}')], "json string")
     got = D.decode_blocks(rows, keep_raw=True, message_col="_message").collect()
     assert [r._message for r in got] == [7, 8, None, None, None] and all(r._valid and r.transaction_count == 3 for r in got)
+
+
+def test_stream_interval_flush_lands_by_the_length_of_the_lists(spark):
+    from gapseries.plans import q_streaming
+    assert len(_landed(spark, "stream_interval_flush")) >= 4       # two deliveries, two files a trigger
+    blocks = driver.raw_blocks(spark, SF001).limit(100).withColumn("transaction_count", F.lit(q_streaming.FILE_HASHES // 10))
+    assert q_streaming._dealt(blocks).rdd.getNumPartitions() == 10
+    assert q_streaming._dealt(blocks.filter("false")).rdd.getNumPartitions() == 2
